@@ -73,20 +73,21 @@ def interval_lookup(
     Each interval is listed under every bucket of width ``step`` it touches and a
     value belongs to one bucket, so this is a hash join that looks at the one or two
     intervals of a bucket. Exact for any ``step``; about the width of an interval is
-    best. ``rows`` bounds the interval table if known.
+    best. ``rows`` bounds the interval table if known; it is meant for intervals no
+    wider than ``step``, which touch at most three buckets.
     """
     bucket = lambda c: F.floor(c / F.lit(step))
-    spread = intervals.withColumn(
+    # The keys get names of their own: the curves often come from the very rows
+    # they are looked up for, and equal names would then mean equal columns.
+    spread = intervals.withColumnsRenamed({k: f"_of_{k}" for k in keys}).withColumn(
         "_bucket", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi"))))
     )
-    if rows is not None:
-        rows = 3 * rows
-    right = bounded_broadcast(spread, rows)
-    v = df[value]
-    match = (bucket(v) == right["_bucket"]) & (v >= right["lo"]) & (v < right["hi"])
+    right = bounded_broadcast(spread, None if rows is None else 3 * rows)
+    v = F.col(value)
+    match = (bucket(v) == F.col("_bucket")) & (v >= F.col("lo")) & (v < F.col("hi"))
     for key in keys:
-        match = match & (df[key] == right[key])
-    return df.join(right, match, "left").drop("_bucket", *[right[k] for k in keys])
+        match = match & (F.col(key) == F.col(f"_of_{key}"))
+    return df.join(right, match, "left").drop("_bucket", *[f"_of_{k}" for k in keys])
 
 
 def interpolate(u: Column, scale: float) -> Column:

@@ -62,12 +62,12 @@ def hist2d(
     y_bins: Bins,
     groups: list[str] | None = None,
 ) -> DataFrame:
-    """Counts on a grid: ``groups + [bx, by, n]``, cells with entries only."""
+    """Counts on a grid: ``groups + [bin_x, bin_y, n]``, cells with entries only."""
     groups = groups or []
     return (
-        df.select(*groups, bin_of(x, x_bins).alias("bx"), bin_of(y, y_bins).alias("by"))
-        .where(F.col("bx").isNotNull() & F.col("by").isNotNull())
-        .groupBy(*groups, "bx", "by")
+        df.select(*groups, bin_of(x, x_bins).alias("bin_x"), bin_of(y, y_bins).alias("bin_y"))
+        .where(F.col("bin_x").isNotNull() & F.col("bin_y").isNotNull())
+        .groupBy(*groups, "bin_x", "bin_y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -88,14 +88,14 @@ def hist2d_arrays(
 
 def project_x(grid: DataFrame, groups: list[str] | None = None) -> DataFrame:
     """Sum the grid over y: ``groups + [bin, n]``."""
-    return _project(grid, "bx", groups or [])
+    return _project(grid, "bin_x", groups or [])
 
 
 def project_y(
     grid: DataFrame, first: int, last: int, groups: list[str] | None = None
 ) -> DataFrame:
     """Sum the grid over the x bins ``first..last`` (both included)."""
-    return _project(grid.where(F.col("bx").between(first, last)), "by", groups or [])
+    return _project(grid.where(F.col("bin_x").between(first, last)), "bin_y", groups or [])
 
 
 def _project(grid: DataFrame, axis: str, groups: list[str]) -> DataFrame:

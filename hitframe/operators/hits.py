@@ -45,7 +45,6 @@ def wire_hits(
         "ch",
         C.ticks_to_ns("time", C.dither(dither, key, 0, seed), cfg.tick_ns).alias("tcal"),
         C.ticks_to_ns("tot", C.dither(dither, key, 1, seed), cfg.tick_ns).alias("charge"),
-        key.alias("tie"),
     )
 
 

@@ -71,8 +71,8 @@ def pulser_modes(
     """
     grid = histograms.hist2d(hits, "id", id_bins, "charge", charge_bins, groups)
     found = histograms.mode_bin(
-        grid.where(F.col("bx") < n_ids), [*groups, "bx"], "by"
-    ).select(*groups, F.col("bx").alias("bin"), F.col("mode_bin").alias("n"))
+        grid.where(F.col("bin_x") < n_ids), [*groups, "bin_x"], "bin_y"
+    ).select(*groups, F.col("bin_x").alias("bin"), F.col("mode_bin").alias("n"))
     return histograms.fill_bins(found, n_ids, groups).select(
         *groups, F.col("bin").cast("int").alias("id"), F.col("n").cast("int").alias("mode_bin")
     )

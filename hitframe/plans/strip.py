@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitframe.config import StripConfig
@@ -77,7 +77,11 @@ def adjacent_events(wide: DataFrame, cfg: StripConfig) -> DataFrame:
 
 
 def positions(
-    wide: DataFrame, curves: DataFrame, cfg: StripConfig, rows: int | None = None
+    wide: DataFrame,
+    curves: DataFrame,
+    cfg: StripConfig,
+    rows: int | None = None,
+    u: Column | None = None,
 ) -> DataFrame:
     """Positions from the charge asymmetry, both sides in one lookup.
 
@@ -94,7 +98,7 @@ def positions(
         for s in cfg.sides
     ]
     long = adjacent_events(wide, cfg).select("frame_id", F.inline(F.array(*sides)))
-    u = keyed_uniform(row_key("frame_id", "side"), 2)
+    u = keyed_uniform(row_key("frame_id", "side"), 2) if u is None else u
     found = curve_ops.curve_lookup(
         long,
         curves.withColumnRenamed("plane", "side"),

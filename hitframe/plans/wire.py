@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitframe.config import WireConfig
@@ -45,7 +45,7 @@ def leading_hits(mapped: DataFrame) -> DataFrame:
         mapped,
         ["frame_id", "plane"],
         [*_LEADING_VALUES, "sra_timing", "sra_tdc_raw"],
-        ["id", "tie"],
+        ["id", "timing"],
     ).withColumnsRenamed({"sra_timing0": "sra_timing", "sra_tdc_raw0": "sra_tdc_raw"})
 
 
@@ -68,30 +68,38 @@ def event_hits(
     """The hit lists of the events: all their hits with the rank in charge order."""
     mapped = mapped_hits(raw, triggers, chmap, cfg, rows)
     kept = frames.coincident_hits(mapped, cfg.planes)
-    return frames.ranked_hits(kept, ["frame_id", "plane"], frames.by_charge("charge", "id", "tie"))
+    return frames.ranked_hits(kept, ["frame_id", "plane"], frames.by_charge("charge", "id", "timing"))
 
 
 def drift_lengths(
-    leads: DataFrame, curves: DataFrame, cfg: WireConfig, rows: int | None = None
+    leads: DataFrame,
+    curves: DataFrame,
+    cfg: WireConfig,
+    rows: int | None = None,
+    u: Column | None = None,
 ) -> DataFrame:
     """Drift length ``dl`` of each leading hit; null outside the curve of its plane.
 
     All planes at once in long form. The curves are broadcast, so the hits keep
-    their placement by frame for the step that makes them wide.
+    their placement by frame for the step that makes them wide. ``u`` is the
+    fraction of the curve interval, by default drawn from the frame and plane.
     """
-    u = keyed_uniform(row_key("frame_id", "plane"), 2)
+    u = keyed_uniform(row_key("frame_id", "plane"), 2) if u is None else u
     return curve_ops.curve_lookup(
         leads, curves, ["plane"], "timing0", u, cfg.half_cell, "dl", cfg.curve_step, rows
     )
 
 
 def drift_events(
-    leads: DataFrame, curves: DataFrame, cfg: WireConfig, rows: int | None = None
+    leads: DataFrame,
+    curves: DataFrame,
+    cfg: WireConfig,
+    rows: int | None = None,
+    u: Column | None = None,
 ) -> DataFrame:
     """Events with ``dl`` next to the leading hit of every plane."""
-    return events(
-        drift_lengths(leads, curves, cfg, rows), cfg, ["dl", "id0", "charge0", "timing0"]
-    )
+    values = ["dl", "id0", "charge0", "timing0"]
+    return events(drift_lengths(leads, curves, cfg, rows, u), cfg, values)
 
 
 def with_positions(wide: DataFrame, cfg: WireConfig) -> DataFrame:

@@ -156,7 +156,11 @@ def one_row_per_frame(
 def coincident_hits(
     hits: DataFrame, planes: list[str] | tuple[str, ...], frame: str = "frame_id"
 ) -> DataFrame:
-    """All hits of the frames in which every plane has at least one."""
+    """All hits of the frames in which every plane has at least one.
+
+    The surviving frames are written down, one number each, so that the semi-join
+    has an exchange on both sides and can split a frame with very many hits.
+    """
     bits = F.lit(0).cast("long")
     for i, plane in enumerate(planes):
         bits = F.when(F.col("plane") == plane, F.lit(1 << i).cast("long")).otherwise(bits)
@@ -166,7 +170,7 @@ def coincident_hits(
         .where(F.col("_planes") == (1 << len(planes)) - 1)
         .select(frame)
     )
-    return hits.join(frames, frame, "left_semi")
+    return hits.join(materialise(frames, "coincident-frames"), frame, "left_semi")
 
 
 def multiplicity_cut(limit: int, sides: tuple[str, ...] = ("x", "y")) -> Column:

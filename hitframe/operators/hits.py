@@ -15,6 +15,7 @@ from hitframe.config import (
     WireConfig,
 )
 from hitframe.functions import columns as C
+from hitframe.sources.stages import materialise
 
 from .skew import bounded_broadcast
 
@@ -92,14 +93,22 @@ def earliest_row(
     return hits.groupBy(frame).agg(first).select(frame, "_first.*")
 
 
+def staged_time_zero(t0: DataFrame) -> DataFrame:
+    """Write the time zeros down: one narrow row per triggered frame, computed once
+    for all the joins that need it."""
+    return materialise(t0, "time-zero")
+
+
 def subtract_time_zero(
     hits: DataFrame, t0: DataFrame, frame: str = "frame_id", time: str = "tcal", zero: str = "t0"
 ) -> DataFrame:
     """Timing relative to the trigger; frames without one are dropped.
 
-    Both sides grow with the data, so neither is broadcast by hint. ``t0`` has one
-    row per frame: a frame with very many hits is skewed on one side only, which
-    the adaptive skew split handles by cutting that side.
+    Both sides grow with the data, so neither is broadcast by hint; Spark does it
+    where the size of ``t0`` allows. ``t0`` has one row per frame, so a frame with
+    very many hits is heavy on one side only and the adaptive skew split cuts that
+    side. The split needs an exchange right below the join on both sides: hand in
+    ``t0`` as a table (``staged_time_zero``), not as an open aggregation.
     """
     joined = hits.join(t0, frame)
     return joined.withColumn("timing", F.col(time) - F.col(zero)).drop(time, zero)

@@ -24,7 +24,8 @@ _SLOTS = {"timing": 1, "charge": 3, "id": 3}
 
 
 def trigger_times(blocks: DataFrame, cfg: StripConfig, dither: str = "keyed") -> DataFrame:
-    return hits.earliest_time(hits.anode_hits(blocks, cfg.tick_ns, dither))
+    """Earliest anode hit of each frame, as a table."""
+    return hits.staged_time_zero(hits.earliest_time(hits.anode_hits(blocks, cfg.tick_ns, dither)))
 
 
 def timed_edges(edges: DataFrame, triggers: DataFrame, cfg: StripConfig) -> DataFrame:

@@ -16,14 +16,19 @@ from hitframe.functions import (
 )
 from hitframe.operators import curves as curve_ops
 from hitframe.operators import frames, hits
+from hitframe.sources import materialise
 
 _LEADING_VALUES = ["id", "charge", "timing"]
 
 
 def trigger_times(blocks: DataFrame, cfg: WireConfig, dither: str = "keyed") -> DataFrame:
+    """Earliest anode hit of each frame, as a table."""
     anode = hits.anode_hits(blocks, cfg.tick_ns, dither)
-    return hits.earliest_row(anode, "tcal", ["tdc_raw"]).select(
-        "frame_id", F.col("tcal").alias("sra_timing"), F.col("tdc_raw").alias("sra_tdc_raw")
+    first = hits.earliest_row(anode, "tcal", ["tdc_raw"])
+    return hits.staged_time_zero(
+        first.select(
+            "frame_id", F.col("tcal").alias("sra_timing"), F.col("tdc_raw").alias("sra_tdc_raw")
+        )
     )
 
 
@@ -65,8 +70,11 @@ def events(leads: DataFrame, cfg: WireConfig, values: list[str] | None = None) -
 def event_hits(
     raw: DataFrame, triggers: DataFrame, chmap: DataFrame, cfg: WireConfig, rows: int | None = None
 ) -> DataFrame:
-    """The hit lists of the events: all their hits with the rank in charge order."""
-    mapped = mapped_hits(raw, triggers, chmap, cfg, rows)
+    """The hit lists of the events: all their hits with the rank in charge order.
+
+    The hits after the cuts are read several times here, so they become a table.
+    """
+    mapped = materialise(mapped_hits(raw, triggers, chmap, cfg, rows), "mapped-hits")
     kept = frames.coincident_hits(mapped, cfg.planes)
     return frames.ranked_hits(kept, ["frame_id", "plane"], frames.by_charge("charge", "id", "timing"))
 
@@ -140,7 +148,10 @@ def positions(
     dither: str = "keyed",
     rows: int | None = None,
 ) -> DataFrame:
-    """The whole chain. The hits are shuffled once, on the frame."""
+    """The whole chain. The hits are shuffled once, on the frame.
+
+    ``rows`` bounds the curve table if known.
+    """
     triggers = trigger_times(blocks, cfg, dither)
     leads = leading_hits(mapped_hits(hits.wire_hits(blocks, cfg, dither), triggers, chmap, cfg))
     return with_positions(drift_events(leads, curves, cfg, rows), cfg)

@@ -128,7 +128,8 @@ def first_trigger_row(spark, sf):
 
 def _timed(spark, sf) -> DataFrame:
     h = V.hits(spark, sf)
-    return hits.subtract_time_zero(_wire_like_hits(h), hits.earliest_time(_trigger_hits(h)))
+    t0 = hits.staged_time_zero(hits.earliest_time(_trigger_hits(h)))
+    return hits.subtract_time_zero(_wire_like_hits(h), t0)
 
 
 @query
@@ -229,10 +230,9 @@ def ordered_hits(spark, sf):
 
 def _plane_leads(spark, sf) -> DataFrame:
     h = V.hits(spark, sf)
-    timed = hits.subtract_time_zero(
-        _wire_like_hits(h),
-        hits.earliest_row(_trigger_hits(h), "tcal", ["tdc_raw"]).withColumnRenamed("tcal", "t0"),
-    )
+    first = hits.earliest_row(_trigger_hits(h), "tcal", ["tdc_raw"])
+    t0 = hits.staged_time_zero(first.withColumnRenamed("tcal", "t0"))
+    timed = hits.subtract_time_zero(_wire_like_hits(h), t0)
     cut = timed.where(inside("charge", CHARGE)).select(
         "frame_id",
         F.concat(F.lit("p"), F.col("plane_no")).alias("plane"),
@@ -262,9 +262,10 @@ def plane_coincidence(spark, sf):
 @query
 def coincident_hit_lists(spark, sf):
     """All hits of the events of the wire chain with their rank."""
-    kept = frames.coincident_hits(V.chain_mapped(spark, sf), V.CHAIN.planes)
-    order = frames.by_charge("charge", "id", "timing")
-    out = frames.ranked_hits(kept, ["frame_id", "plane"], order)
+    blocks = V.wire_blocks(spark, sf)
+    raw = hits.wire_hits(blocks, V.CHAIN, "mid")
+    triggers = wire.trigger_times(blocks, V.CHAIN, "mid")
+    out = wire.event_hits(raw, triggers, V.wire_map(spark), V.CHAIN, V.WIRE_MAP_ROWS)
     return out.select("frame_id", "plane", *big("rank", "id"), "charge", "timing")
 
 

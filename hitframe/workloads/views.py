@@ -14,6 +14,7 @@ from hitframe.config import Bins, Box, PlanePair, StripConfig, WireConfig
 from hitframe.functions import keyed_uniform
 from hitframe.operators import hits as hit_ops
 from hitframe.plans import calibration, strip, wire
+from hitframe.sources import materialise
 
 HOUR_US = 3_600_000_000
 FRAME_EVENTS = 32
@@ -170,7 +171,8 @@ def chain_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wire.leading_hits(chain_mapped(spark, sf_dir))
+    """Leading hits as a stage table, as the calibration loop reads them twice."""
+    return materialise(wire.leading_hits(chain_mapped(spark, sf_dir)), "wire-leads")
 
 
 def chain_curves(leads: DataFrame) -> DataFrame:
@@ -264,8 +266,10 @@ def strip_chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_chain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strip events as a stage table, as the calibration loop reads them twice."""
     timed = strip_chain_edges(spark, sf_dir)
-    return strip.side_by_side(strip.side_slots(timed, strip_map(spark), STRIP_MAP_ROWS))
+    slots = strip.side_slots(timed, strip_map(spark), STRIP_MAP_ROWS)
+    return materialise(strip.side_by_side(slots), "strip-events")
 
 
 def strip_chain_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

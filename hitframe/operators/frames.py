@@ -58,14 +58,17 @@ def hit_slots(
     Missing positions are null. ``sizes`` replaces the plain row count where the
     rows at hand are only the candidates for the slots.
     """
-    top = top_hits(hits, keys, order, max(slots.values()))
+    top = top_hits(hits, keys, order, max(slots.values())).select(*keys, "rank", *slots)
     cells = [
         F.max(F.when(F.col("rank") == i + 1, F.col(c))).alias(f"{c}{i}")
         for c, n in slots.items()
         for i in range(n)
     ]
     sizes = group_sizes(hits, keys) if sizes is None else sizes
-    return sizes.join(top.groupBy(*keys).agg(*cells), keys)
+    # Both parts are placed by the keys already, and a grouped union needs neither
+    # a join nor another exchange.
+    both = top.unionByName(sizes.select(*keys, "size"), allowMissingColumns=True)
+    return both.groupBy(*keys).agg(F.max("size").alias("size"), *cells)
 
 
 def ranked_hits(

@@ -23,7 +23,9 @@ HEADLINE = (
     "hist2d",
     "cdf_curve",
     "interval_lookup",
+    "drift_length",
     "track_extrapolation",
+    "strip_chain_slots",
     "strip_position",
     "detector_join",
     "resolution",

@@ -1,4 +1,4 @@
-"""Naive plan shapes of three operators, as a baseline for the ones in use.
+"""Naive plan shapes of some operators, as a baseline for the ones in use.
 
 Same results, obvious plans: one group and one join per plane, a range condition
 as it stands, and a global sort before the lists are collected.
@@ -7,7 +7,8 @@ as it stands, and a global sort before the lists are collected.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hitframe.operators import curves
+from hitframe.operators import curves, hits
+from hitframe.plans import strip
 from hitframe.workloads import catalog as K
 from hitframe.workloads import views as V
 
@@ -86,7 +87,79 @@ def ordered_hit_slots(spark, sf):
     )
 
 
+def strip_chain_slots(spark, sf):
+    """Full product of the edges, one grouped list per side, outer join."""
+    blocks = V.strip_blocks(spark, sf)
+    cfg = V.STRIP_CHAIN
+    t0 = hits.earliest_time(hits.anode_hits(blocks, cfg, "mid"))
+    timed = strip.timed_edges(hits.strip_edges(blocks, cfg, "mid"), t0, cfg)
+    lead = timed.where("edge = 0").select("frame_id", "ch", "timing")
+    trail = timed.where("edge = 1").select("frame_id", "ch", F.col("timing").alias("t2"))
+    pairs = lead.join(trail, ["frame_id", "ch"]).withColumn("charge", F.col("t2") - F.col("timing"))
+    out = None
+    for s in cfg.sides:
+        chmap = V.strip_map(spark).where(F.col("side") == s)
+        lists = (
+            pairs.join(chmap, "ch")
+            .orderBy(F.col("charge").desc())
+            .groupBy("frame_id")
+            .agg(*[F.collect_list(c).alias(c) for c in ("id", "timing", "charge")])
+        )
+        one = lists.select(
+            "frame_id",
+            F.size("id").alias(f"size_{s}"),
+            *[
+                F.try_element_at(c, F.lit(i + 1)).alias(f"{c}{i}_{s}")
+                for c, k in (("id", 3), ("charge", 3), ("timing", 1))
+                for i in range(k)
+            ],
+        )
+        out = one if out is None else out.join(one, "frame_id", "outer")
+    return out
+
+
+def drift_length(spark, sf):
+    """One group per plane, joined; then one range join and one join-back per plane."""
+    cfg, blocks = V.CHAIN, V.wire_blocks(spark, sf)
+    anode = hits.anode_hits(blocks, cfg, "mid")
+    w = Window.partitionBy("frame_id").orderBy("tcal")
+    t0 = anode.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    mapped = hits.map_channels(
+        hits.wire_hits(blocks, cfg, "mid"),
+        hits.wire_channel_map(V.wire_map(spark), cfg),
+        ["femId", "ch"],
+    )
+    cut = hits.subtract_time_zero(
+        mapped, t0.select("frame_id", F.col("tcal").alias("t0"))
+    ).where(hits.wire_cut(cfg))
+    wide = cut.select("frame_id").dropDuplicates()
+    for p in cfg.planes:
+        one = (
+            cut.where(F.col("plane") == p)
+            .orderBy(F.col("charge").desc())
+            .groupBy("frame_id")
+            .agg(*[F.collect_list(c).alias(f"{p}_{c}") for c in ("id", "timing", "charge")])
+        )
+        wide = wide.join(one, "frame_id")
+    leads = V.chain_leads(spark, sf)
+    steps = curves.curve_intervals(V.chain_curves(leads), ["plane"])
+    out = wide.select("frame_id")
+    for p in cfg.planes:
+        first = wide.select(
+            "frame_id", F.try_element_at(f"{p}_timing", F.lit(1)).alias("timing0")
+        )
+        curve = steps.where(F.col("plane") == p)
+        found = first.join(
+            curve, (F.col("timing0") >= F.col("lo")) & (F.col("timing0") < F.col("hi")), "left"
+        )
+        dl = curves.interpolate(F.lit(0.5), cfg.half_cell)
+        out = out.join(found.select("frame_id", dl.alias(f"{p}_dl")), "frame_id", "left")
+    return out
+
+
 NAIVE = {
+    "strip_chain_slots": strip_chain_slots,
+    "drift_length": drift_length,
     "plane_coincidence": plane_coincidence,
     "interval_lookup": interval_lookup,
     "ordered_hit_slots": ordered_hit_slots,

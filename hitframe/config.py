@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 # Fixed value: one TDC tick in nanoseconds (1/1024).
 TICK_NS = 0.0009765625
 
+# What identifies a frame. Several runs in one job need ("runname", "frame_id").
+FRAME = ("frame_id",)
+
 # Fixed value: leading edges are stored as 0, trailing edges as 1.
 LEADING, TRAILING = 0, 1
 
@@ -54,6 +57,7 @@ TRIGGER_CHANNEL = 4
 
 @dataclass(frozen=True)
 class WireConfig:
+    frame: tuple[str, ...] = FRAME
     # Fixed values of the wire chambers.
     tick_ns: float = TICK_NS
     wires_per_plane: int = 16
@@ -115,6 +119,7 @@ class WireConfig:
 
 @dataclass(frozen=True)
 class StripConfig:
+    frame: tuple[str, ...] = FRAME
     # Fixed values of the strip detector.
     tick_ns: float = TICK_NS
     window: tuple[float, float] = (-50, 300)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitframe.config import FRAME
 from hitframe.sources.stages import materialise
 
 from .skew import HOT_FLOOR, HOT_SHARE, hot_groups
@@ -133,7 +134,7 @@ def one_row_per_frame(
     members: list[str] | tuple[str, ...],
     values: list[str],
     name: str,
-    frame: str = "frame_id",
+    frame: tuple[str, ...] = FRAME,
     carry: tuple[str, ...] = (),
     require_all: bool = False,
 ) -> DataFrame:
@@ -148,7 +149,7 @@ def one_row_per_frame(
         for m in members
         for v in values
     ]
-    wide = groups.where(F.col(by).isin(*members)).groupBy(frame).agg(
+    wide = groups.where(F.col(by).isin(*members)).groupBy(*frame).agg(
         F.count(F.lit(1)).alias("_members"), *cells, *[F.max(c).alias(c) for c in carry]
     )
     if require_all:
@@ -157,7 +158,7 @@ def one_row_per_frame(
 
 
 def coincident_hits(
-    hits: DataFrame, planes: list[str] | tuple[str, ...], frame: str = "frame_id"
+    hits: DataFrame, planes: list[str] | tuple[str, ...], frame: tuple[str, ...] = FRAME
 ) -> DataFrame:
     """All hits of the frames in which every plane has at least one.
 
@@ -168,12 +169,12 @@ def coincident_hits(
     for i, plane in enumerate(planes):
         bits = F.when(F.col("plane") == plane, F.lit(1 << i).cast("long")).otherwise(bits)
     frames = (
-        hits.groupBy(frame)
+        hits.groupBy(*frame)
         .agg(F.bit_or(bits).alias("_planes"))
         .where(F.col("_planes") == (1 << len(planes)) - 1)
-        .select(frame)
+        .select(*frame)
     )
-    return hits.join(materialise(frames, "coincident-frames"), frame, "left_semi")
+    return hits.join(materialise(frames, "coincident-frames"), list(frame), "left_semi")
 
 
 def multiplicity_cut(limit: int, sides: tuple[str, ...] = ("x", "y")) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hitframe.config import (
     ANODE_MODULE,
+    FRAME,
     STRIP_MODULE,
     TRIGGER_CHANNEL,
     WIRE_MODULE,
@@ -28,7 +29,7 @@ def of_module(module: Module) -> Column:
 def explode_hits(blocks: DataFrame, *keep: str) -> DataFrame:
     """One row per hit. A block without hits gives no row."""
     return blocks.select(
-        *keep,
+        *[k for k in keep if k != "frame_id"],
         F.col("decoded.hbf.hbfNumber").alias("frame_id"),
         F.inline("decoded.data"),
     )
@@ -38,10 +39,10 @@ def wire_hits(
     blocks: DataFrame, cfg: WireConfig, dither: str = "keyed", seed: int = 0,
     module: Module = WIRE_MODULE,
 ) -> DataFrame:
-    hits = explode_hits(blocks.where(of_module(module)), "femId")
-    key = C.row_key("frame_id", "femId", "ch", "time", "tot")
+    hits = explode_hits(blocks.where(of_module(module)), *cfg.frame, "femId")
+    key = C.row_key(*cfg.frame, "femId", "ch", "time", "tot")
     return hits.select(
-        "frame_id",
+        *cfg.frame,
         "femId",
         "ch",
         C.ticks_to_ns("time", C.dither(dither, key, 0, seed), cfg.tick_ns).alias("tcal"),
@@ -50,14 +51,14 @@ def wire_hits(
 
 
 def anode_hits(
-    blocks: DataFrame, tick_ns: float, dither: str = "keyed", seed: int = 0,
+    blocks: DataFrame, cfg: WireConfig | StripConfig, dither: str = "keyed", seed: int = 0,
     module: Module = ANODE_MODULE, channel: int = TRIGGER_CHANNEL,
 ) -> DataFrame:
-    hits = explode_hits(blocks.where(of_module(module))).where(F.col("ch") == channel)
-    key = C.row_key("frame_id", "ch", "time", "tot")
+    hits = explode_hits(blocks.where(of_module(module)), *cfg.frame).where(F.col("ch") == channel)
+    key = C.row_key(*cfg.frame, "ch", "time", "tot")
     return hits.select(
-        "frame_id",
-        C.ticks_to_ns("time", C.dither(dither, key, 0, seed), tick_ns).alias("tcal"),
+        *cfg.frame,
+        C.ticks_to_ns("time", C.dither(dither, key, 0, seed), cfg.tick_ns).alias("tcal"),
         F.col("time").alias("tdc_raw"),
     )
 
@@ -66,23 +67,25 @@ def strip_edges(
     blocks: DataFrame, cfg: StripConfig, dither: str = "keyed", seed: int = 0,
     module: Module = STRIP_MODULE,
 ) -> DataFrame:
-    hits = explode_hits(blocks.where(of_module(module)))
-    key = C.row_key("frame_id", "ch", "time", "tot")
+    hits = explode_hits(blocks.where(of_module(module)), *cfg.frame)
+    key = C.row_key(*cfg.frame, "ch", "time", "tot")
     return hits.select(
-        "frame_id",
+        *cfg.frame,
         "ch",
         F.col("tot").cast("int").alias("edge"),
         C.ticks_to_ns("time", C.dither(dither, key, 0, seed), cfg.tick_ns).alias("tcal"),
     )
 
 
-def earliest_time(hits: DataFrame, time: str = "tcal", frame: str = "frame_id") -> DataFrame:
+def earliest_time(
+    hits: DataFrame, time: str = "tcal", frame: tuple[str, ...] = FRAME
+) -> DataFrame:
     """Time zero of each frame."""
-    return hits.groupBy(frame).agg(F.min(time).alias("t0"))
+    return hits.groupBy(*frame).agg(F.min(time).alias("t0"))
 
 
 def earliest_row(
-    hits: DataFrame, time: str, carry: list[str], frame: str = "frame_id"
+    hits: DataFrame, time: str, carry: list[str], frame: tuple[str, ...] = FRAME
 ) -> DataFrame:
     """The earliest hit of each frame with its companion columns.
 
@@ -90,7 +93,7 @@ def earliest_row(
     before the shuffle and orders equal times.
     """
     first = F.min(F.struct(time, *carry)).alias("_first")
-    return hits.groupBy(frame).agg(first).select(frame, "_first.*")
+    return hits.groupBy(*frame).agg(first).select(*frame, "_first.*")
 
 
 def staged_time_zero(t0: DataFrame) -> DataFrame:
@@ -100,7 +103,11 @@ def staged_time_zero(t0: DataFrame) -> DataFrame:
 
 
 def subtract_time_zero(
-    hits: DataFrame, t0: DataFrame, frame: str = "frame_id", time: str = "tcal", zero: str = "t0"
+    hits: DataFrame,
+    t0: DataFrame,
+    frame: tuple[str, ...] = FRAME,
+    time: str = "tcal",
+    zero: str = "t0",
 ) -> DataFrame:
     """Timing relative to the trigger; frames without one are dropped.
 
@@ -110,7 +117,7 @@ def subtract_time_zero(
     side. The split needs an exchange right below the join on both sides: hand in
     ``t0`` as a table (``staged_time_zero``), not as an open aggregation.
     """
-    joined = hits.join(t0, frame)
+    joined = hits.join(t0, list(frame))
     return joined.withColumn("timing", F.col(time) - F.col(zero)).drop(time, zero)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitframe.config import RESOLUTION_LIMIT
+from hitframe.config import FRAME, RESOLUTION_LIMIT
 from hitframe.functions import mean_of
 
 from .frames import cluster_cut
@@ -38,7 +38,10 @@ def slot_efficiency(events: DataFrame, sides: tuple[str, ...] = ("x", "y")) -> D
     )
 
 
-def residual_columns(df: DataFrame, pairs: tuple[tuple[str, str], ...], suffix: str = "_posi") -> DataFrame:
+def residual_columns(
+    df: DataFrame, pairs: tuple[tuple[str, str], ...], suffix: str = "_posi",
+    frame: tuple[str, ...] = FRAME,
+) -> DataFrame:
     """Differences between planes in long form: ``pair, diff`` per frame and pair."""
     rows = [
         F.struct(
@@ -47,7 +50,7 @@ def residual_columns(df: DataFrame, pairs: tuple[tuple[str, str], ...], suffix:
         )
         for a, b in pairs
     ]
-    return df.select("frame_id", F.inline(F.array(*rows)))
+    return df.select(*frame, F.inline(F.array(*rows)))
 
 
 def resolution(

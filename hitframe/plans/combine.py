@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitframe.config import WireConfig
+from hitframe.config import FRAME, WireConfig
 from hitframe.functions import extrapolate
 from hitframe.sources import select_by_suffix
 
 
-def join_detectors(strips: DataFrame, wires: DataFrame, frame: str = "frame_id") -> DataFrame:
+def join_detectors(
+    strips: DataFrame, wires: DataFrame, frame: tuple[str, ...] = FRAME
+) -> DataFrame:
     """Frames seen by both. Each side has one row per frame, so no frame is heavy
     and the join is left to the adaptive planner."""
     left = select_by_suffix(strips, frame, ("_pos_x", "_pos_y"))
     right = select_by_suffix(wires, frame, ("_x", "_y"))
-    return left.join(right, frame)
+    return left.join(right, list(frame))
 
 
 def detector_residuals(joined: DataFrame, cfg: WireConfig, z: float = 0.0) -> DataFrame:
@@ -33,4 +35,4 @@ def detector_residuals(joined: DataFrame, cfg: WireConfig, z: float = 0.0) -> Da
                 (F.col(f"sr_pos_{axis}") - track).alias("diff"),
             )
         )
-    return joined.select("frame_id", F.inline(F.array(*rows)))
+    return joined.select(*cfg.frame, F.inline(F.array(*rows)))

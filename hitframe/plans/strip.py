@@ -25,24 +25,27 @@ _SLOTS = {"timing": 1, "charge": 3, "id": 3}
 
 def trigger_times(blocks: DataFrame, cfg: StripConfig, dither: str = "keyed") -> DataFrame:
     """Earliest anode hit of each frame, as a table."""
-    return hits.staged_time_zero(hits.earliest_time(hits.anode_hits(blocks, cfg.tick_ns, dither)))
+    anode = hits.anode_hits(blocks, cfg, dither)
+    return hits.staged_time_zero(hits.earliest_time(anode, frame=cfg.frame))
 
 
 def timed_edges(edges: DataFrame, triggers: DataFrame, cfg: StripConfig) -> DataFrame:
     """Edges of triggered frames inside the window, with the polarity set right."""
-    timed = hits.subtract_time_zero(edges, triggers).where(inside("timing", cfg.window))
+    timed = hits.subtract_time_zero(edges, triggers, cfg.frame).where(inside("timing", cfg.window))
     if cfg.flip_even_channels:
         timed = timed.withColumn("edge", flip_even_channels("edge", "ch"))
     return timed
 
 
-def side_slots(timed: DataFrame, chmap: DataFrame, rows: int | None = None) -> DataFrame:
+def side_slots(
+    timed: DataFrame, chmap: DataFrame, cfg: StripConfig, rows: int | None = None
+) -> DataFrame:
     """Size and charge-ordered slots per frame and side.
 
     ``size`` counts all pairs; the slots come from the few pairs per channel that
     can be among the three widest.
     """
-    channel, keys = ["frame_id", "ch"], ["frame_id", "side"]
+    channel, keys = [*cfg.frame, "ch"], [*cfg.frame, "side"]
     chmap = bounded_broadcast(chmap, rows)
     sizes = (
         edge_ops.pair_summary(timed, channel)
@@ -54,11 +57,13 @@ def side_slots(timed: DataFrame, chmap: DataFrame, rows: int | None = None) -> D
     return frames.hit_slots(pairs, keys, frames.by_charge("charge", "id", "timing"), _SLOTS, sizes)
 
 
-def side_by_side(slots: DataFrame, sides: tuple[str, ...] = ("x", "y")) -> DataFrame:
+def side_by_side(slots: DataFrame, cfg: StripConfig) -> DataFrame:
     """One row per frame with ``_x`` and ``_y`` columns; a missing side is null."""
     slots = slots.withColumn("q0q1", asymmetry("charge0", "charge1"))
-    values = [c for c in slots.columns if c not in ("frame_id", "side")]
-    return frames.one_row_per_frame(slots, "side", sides, values, "{value}_{member}")
+    values = [c for c in slots.columns if c not in (*cfg.frame, "side")]
+    return frames.one_row_per_frame(
+        slots, "side", cfg.sides, values, "{value}_{member}", cfg.frame
+    )
 
 
 def events(
@@ -67,7 +72,7 @@ def events(
     """Strip events and the triggers they belong to."""
     triggers = trigger_times(blocks, cfg, dither)
     timed = timed_edges(hits.strip_edges(blocks, cfg, dither), triggers, cfg)
-    return side_by_side(side_slots(timed, chmap), cfg.sides), triggers
+    return side_by_side(side_slots(timed, chmap, cfg), cfg), triggers
 
 
 def adjacent_events(wide: DataFrame, cfg: StripConfig) -> DataFrame:
@@ -83,6 +88,7 @@ def positions(
     cfg: StripConfig,
     rows: int | None = None,
     u: Column | None = None,
+    curve_keys: tuple[str, ...] = ("side",),
 ) -> DataFrame:
     """Positions from the charge asymmetry, both sides in one lookup.
 
@@ -98,12 +104,12 @@ def positions(
         )
         for s in cfg.sides
     ]
-    long = adjacent_events(wide, cfg).select("frame_id", F.inline(F.array(*sides)))
-    u = keyed_uniform(row_key("frame_id", "side"), 2) if u is None else u
+    long = adjacent_events(wide, cfg).select(*cfg.frame, F.inline(F.array(*sides)))
+    u = keyed_uniform(row_key(*cfg.frame, "side"), 2) if u is None else u
     found = curve_ops.curve_lookup(
         long,
         curves.withColumnRenamed("plane", "side"),
-        ["side"],
+        list(curve_keys),
         "q0q1",
         u,
         1.0,
@@ -121,5 +127,5 @@ def positions(
         pos = F.when(here, place) if pos is None else pos.when(here, place)
     placed = found.withColumn("ins", ins).withColumn("pos", pos)
     return frames.one_row_per_frame(
-        placed, "side", cfg.sides, ["pos", "ins"], "sr_{value}_{member}"
+        placed, "side", cfg.sides, ["pos", "ins"], "sr_{value}_{member}", cfg.frame
     )

@@ -23,11 +23,11 @@ _LEADING_VALUES = ["id", "charge", "timing"]
 
 def trigger_times(blocks: DataFrame, cfg: WireConfig, dither: str = "keyed") -> DataFrame:
     """Earliest anode hit of each frame, as a table."""
-    anode = hits.anode_hits(blocks, cfg.tick_ns, dither)
-    first = hits.earliest_row(anode, "tcal", ["tdc_raw"])
+    anode = hits.anode_hits(blocks, cfg, dither)
+    first = hits.earliest_row(anode, "tcal", ["tdc_raw"], cfg.frame)
     return hits.staged_time_zero(
         first.select(
-            "frame_id", F.col("tcal").alias("sra_timing"), F.col("tdc_raw").alias("sra_tdc_raw")
+            *cfg.frame, F.col("tcal").alias("sra_timing"), F.col("tdc_raw").alias("sra_tdc_raw")
         )
     )
 
@@ -41,14 +41,14 @@ def mapped_hits(
     """
     known = hits.map_channels(raw, hits.wire_channel_map(chmap, cfg), ["femId", "ch"], rows)
     timed = triggers.withColumn("t0", F.col("sra_timing"))
-    return hits.subtract_time_zero(known, timed).where(hits.wire_cut(cfg))
+    return hits.subtract_time_zero(known, timed, cfg.frame).where(hits.wire_cut(cfg))
 
 
-def leading_hits(mapped: DataFrame) -> DataFrame:
+def leading_hits(mapped: DataFrame, cfg: WireConfig) -> DataFrame:
     """Leading hit per frame and plane; the trigger columns ride along."""
     return frames.leading_hit(
         mapped,
-        ["frame_id", "plane"],
+        [*cfg.frame, "plane"],
         [*_LEADING_VALUES, "sra_timing", "sra_tdc_raw"],
         ["id", "timing"],
     ).withColumnsRenamed({"sra_timing0": "sra_timing", "sra_tdc_raw0": "sra_tdc_raw"})
@@ -62,6 +62,7 @@ def events(leads: DataFrame, cfg: WireConfig, values: list[str] | None = None) -
         cfg.planes,
         values or ["size", "id0", "charge0", "timing0"],
         "{member}_{value}",
+        cfg.frame,
         carry=("sra_timing", "sra_tdc_raw"),
         require_all=True,
     )
@@ -75,8 +76,8 @@ def event_hits(
     The hits after the cuts are read several times here, so they become a table.
     """
     mapped = materialise(mapped_hits(raw, triggers, chmap, cfg, rows), "mapped-hits")
-    kept = frames.coincident_hits(mapped, cfg.planes)
-    return frames.ranked_hits(kept, ["frame_id", "plane"], frames.by_charge("charge", "id", "timing"))
+    kept = frames.coincident_hits(mapped, cfg.planes, cfg.frame)
+    return frames.ranked_hits(kept, [*cfg.frame, "plane"], frames.by_charge("charge", "id", "timing"))
 
 
 def drift_lengths(
@@ -85,16 +86,18 @@ def drift_lengths(
     cfg: WireConfig,
     rows: int | None = None,
     u: Column | None = None,
+    curve_keys: tuple[str, ...] = ("plane",),
 ) -> DataFrame:
     """Drift length ``dl`` of each leading hit; null outside the curve of its plane.
 
     All planes at once in long form. The curves are broadcast, so the hits keep
     their placement by frame for the step that makes them wide. ``u`` is the
-    fraction of the curve interval, by default drawn from the frame and plane.
+    fraction of the curve interval, by default drawn from the frame and plane;
+    ``curve_keys`` adds the run where each has curves of its own.
     """
-    u = keyed_uniform(row_key("frame_id", "plane"), 2) if u is None else u
+    u = keyed_uniform(row_key(*cfg.frame, "plane"), 2) if u is None else u
     return curve_ops.curve_lookup(
-        leads, curves, ["plane"], "timing0", u, cfg.half_cell, "dl", cfg.curve_step, rows
+        leads, curves, list(curve_keys), "timing0", u, cfg.half_cell, "dl", cfg.curve_step, rows
     )
 
 
@@ -104,10 +107,11 @@ def drift_events(
     cfg: WireConfig,
     rows: int | None = None,
     u: Column | None = None,
+    curve_keys: tuple[str, ...] = ("plane",),
 ) -> DataFrame:
     """Events with ``dl`` next to the leading hit of every plane."""
     values = ["dl", "id0", "charge0", "timing0"]
-    return events(drift_lengths(leads, curves, cfg, rows, u), cfg, values)
+    return events(drift_lengths(leads, curves, cfg, rows, u, curve_keys), cfg, values)
 
 
 def with_positions(wide: DataFrame, cfg: WireConfig) -> DataFrame:
@@ -147,20 +151,23 @@ def positions(
     cfg: WireConfig,
     dither: str = "keyed",
     rows: int | None = None,
+    curve_keys: tuple[str, ...] = ("plane",),
 ) -> DataFrame:
     """The whole chain. The hits are shuffled once, on the frame.
 
     ``rows`` bounds the curve table if known.
     """
     triggers = trigger_times(blocks, cfg, dither)
-    leads = leading_hits(mapped_hits(hits.wire_hits(blocks, cfg, dither), triggers, chmap, cfg))
-    return with_positions(drift_events(leads, curves, cfg, rows), cfg)
+    leads = leading_hits(
+        mapped_hits(hits.wire_hits(blocks, cfg, dither), triggers, chmap, cfg), cfg
+    )
+    return with_positions(drift_events(leads, curves, cfg, rows, None, curve_keys), cfg)
 
 
 def target_table(positions_: DataFrame, cfg: WireConfig) -> DataFrame:
     """Only the view means, the extrapolated points and the raw trigger time."""
     points = [f"{axis}_{t}" for t in cfg.targets for axis in ("x", "y")]
-    return with_targets(positions_, cfg).select("frame_id", *cfg.views, *points, "sra_tdc_raw")
+    return with_targets(positions_, cfg).select(*cfg.frame, *cfg.views, *points, "sra_tdc_raw")
 
 
 def shift_check(wide: DataFrame, cfg: WireConfig) -> DataFrame:
@@ -177,4 +184,4 @@ def shift_check(wide: DataFrame, cfg: WireConfig) -> DataFrame:
                 shifted_drift(*names, p.shift, cfg.cell).alias("dl2"),
             )
         )
-    return wide.select("frame_id", F.inline(F.array(*rows)))
+    return wide.select(*cfg.frame, F.inline(F.array(*rows)))

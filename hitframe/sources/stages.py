@@ -71,8 +71,10 @@ def union_runs(runs: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def select_by_suffix(df: DataFrame, key: str, suffixes: tuple[str, ...]) -> DataFrame:
-    return df.select(key, *[c for c in df.columns if c != key and c.endswith(suffixes)])
+def select_by_suffix(
+    df: DataFrame, keys: tuple[str, ...], suffixes: tuple[str, ...]
+) -> DataFrame:
+    return df.select(*keys, *[c for c in df.columns if c not in keys and c.endswith(suffixes)])
 
 
 def preview(df: DataFrame, n: int) -> DataFrame:

@@ -209,7 +209,7 @@ def _strip_slots(spark, sf) -> DataFrame:
 
 
 def _strip_events(spark, sf) -> DataFrame:
-    return strip.side_by_side(_strip_slots(spark, sf))
+    return strip.side_by_side(_strip_slots(spark, sf), V.STRIP_CHAIN)
 
 
 @query
@@ -280,7 +280,7 @@ def two_side_outer(spark, sf):
         frames.by_charge(*_STRIP_ORDER),
         {"id": 2, "charge": 2},
     )
-    wide = strip.side_by_side(slots)
+    wide = strip.side_by_side(slots, V.STRIP_CHAIN)
     ints = [f"{c}_{s}" for s in ("x", "y") for c in ("size", "id0", "id1")]
     return wide.select("frame_id", *big(*ints), "charge0_x", "charge0_y", "q0q1_x", "q0q1_y")
 

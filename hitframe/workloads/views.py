@@ -172,7 +172,7 @@ def chain_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chain_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leading hits as a stage table, as the calibration loop reads them twice."""
-    return materialise(wire.leading_hits(chain_mapped(spark, sf_dir)), "wire-leads")
+    return materialise(wire.leading_hits(chain_mapped(spark, sf_dir), CHAIN), "wire-leads")
 
 
 def chain_curves(leads: DataFrame) -> DataFrame:
@@ -268,8 +268,8 @@ def strip_chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def strip_chain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strip events as a stage table, as the calibration loop reads them twice."""
     timed = strip_chain_edges(spark, sf_dir)
-    slots = strip.side_slots(timed, strip_map(spark), STRIP_MAP_ROWS)
-    return materialise(strip.side_by_side(slots), "strip-events")
+    slots = strip.side_slots(timed, strip_map(spark), STRIP_CHAIN, STRIP_MAP_ROWS)
+    return materialise(strip.side_by_side(slots, STRIP_CHAIN), "strip-events")
 
 
 def strip_chain_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

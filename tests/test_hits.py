@@ -26,7 +26,7 @@ def test_routing_and_explode(spark):
     )
     flat = hits.explode_hits(df.where(hits.of_module(WIRE_MODULE)), "femId")
     assert sorted(map(tuple, flat.collect())) == [(616, 7, 3, 100, 50), (616, 7, 4, 101, 51)]
-    anode = hits.anode_hits(df, 1.0, "mid")
+    anode = hits.anode_hits(df, WireConfig(tick_ns=1.0), "mid")
     assert [tuple(r) for r in anode.collect()] == [(7, 90.5, 90)]
     assert hits.of_module(ANODE_MODULE) is not None
 

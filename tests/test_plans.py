@@ -79,7 +79,7 @@ def chain_leads(df, wire_map):
 
     triggers = wire.trigger_times(df, CFG, "mid")
     return wire.leading_hits(
-        wire.mapped_hits(hits.wire_hits(df, CFG, "mid"), triggers, wire_map, CFG)
+        wire.mapped_hits(hits.wire_hits(df, CFG, "mid"), triggers, wire_map, CFG), CFG
     )
 
 

@@ -81,7 +81,7 @@ def test_blocks_keep_valid_ones(spark, tmp_path):
 
 def test_suffix_selection_and_run_union(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "frame_id int, a_pos_x int, a_ins_x int, b_y int")
-    assert sources.select_by_suffix(df, "frame_id", ("_pos_x", "_y")).columns == ["frame_id", "a_pos_x", "b_y"]
+    assert sources.select_by_suffix(df, ("frame_id",), ("_pos_x", "_y")).columns == ["frame_id", "a_pos_x", "b_y"]
     runs = sources.union_runs({"r1": df, "r2": df.select(*reversed(df.columns))})
     assert sorted(r.runname for r in runs.where(F.col("b_y") == 4).collect()) == ["r1", "r2"]
     assert sources.preview(runs, 1).count() == 1

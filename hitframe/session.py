@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hitframe-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
 
@@ -35,8 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        folder = tempfile.mkdtemp(prefix="hitframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 

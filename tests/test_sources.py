@@ -93,14 +93,19 @@ def test_shared_folder_comes_from_the_session(spark):
     assert a != b and a.startswith(session.shared_folder(spark))
 
 
-def test_no_local_folder_on_a_cluster():
-    class Conf:
-        def get(self, key, default=None):
-            return default
+class Unset:
+    """A session without the setting."""
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("C", (), {"master": "yarn"})()
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = type("Context", (), {"master": master})()
 
+    def get(self, key, default=None):
+        return default
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    folder = session.shared_folder(Unset("local[2]"))
+    assert folder == session.shared_folder(Unset("local[2]"))
     with pytest.raises(ValueError):
-        session.shared_folder(Cluster())
+        session.shared_folder(Unset("yarn"))

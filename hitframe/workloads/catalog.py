@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitframe import session
-from hitframe.config import TICK_NS, Bins, Box
+from hitframe.config import ANODE_MODULE, TICK_NS, WIRE_MODULE, Bins, Box
 from hitframe.functions import (
     asymmetry,
     flip_even_channels,
@@ -81,8 +81,6 @@ def r6(c: Column | str) -> Column:
 @query
 def hit_routing_explode(spark, sf):
     """Nested blocks -> module filter -> one row per hit; anode keeps channel 4."""
-    from hitframe.config import ANODE_MODULE, WIRE_MODULE
-
     anode, wires = hits.of_module(ANODE_MODULE), hits.of_module(WIRE_MODULE)
     flat = hits.explode_hits(V.wire_blocks(spark, sf).where(anode | wires), "femType", "femId")
     return flat.where(wires | (F.col("ch") == 4)).select(

@@ -6,6 +6,8 @@ independent of the DataFrame operators, so agreement means something.
 
 from __future__ import annotations
 
+import re
+
 from . import catalog as K
 from . import views as V
 
@@ -462,8 +464,6 @@ BODIES = {
 
 def _with_needed(body: str) -> str:
     """Prefix the common table expressions a statement uses, in definition order."""
-    import re
-
     needed: set[str] = set()
     todo = [body]
     while todo:

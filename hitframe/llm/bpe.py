@@ -11,7 +11,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import byte_letters, small_batches
+from .common import byte_letters, for_python
 
 # words up to this many symbols use the rank array, longer ones a heap
 SHORT = 256
@@ -164,7 +164,7 @@ def encode_texts(
     and decode to the empty text. Repeated rows come out as often as they came in;
     other columns are not read.
     """
-    small_batches(docs.sparkSession)
+    for_python(docs.sparkSession)
     schema = T.StructType(
         [
             docs.schema[key],

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
+import tempfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +45,26 @@ def without_blanks(text: Column) -> Column:
     return out
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound what one Arrow batch brings into a Python worker.
+@lru_cache(maxsize=None)
+def _package_archive() -> str:
+    package = Path(__file__).resolve().parents[1]
+    base = os.path.join(tempfile.mkdtemp(prefix="py-files-"), package.name)
+    return shutil.make_archive(base, "zip", package.parent, package.name)
 
-    The default of 10,000 rows is meant for narrow rows, not for whole texts.
+
+@lru_cache(maxsize=None)
+def _ship(application: str, spark: SparkSession) -> None:
+    spark.sparkContext.addPyFile(_package_archive())
+
+
+def for_python(spark: SparkSession, rows: int = 512) -> None:
+    """Make Python stages possible and bounded.
+
+    The package goes to the executors as a py-file, by Spark's own file server. An
+    Arrow batch brings ``rows`` rows at most into a worker: the default of 10,000 is
+    meant for narrow rows, not for whole texts.
     """
+    _ship(spark.sparkContext.applicationId, spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from hitframe.sources.stages import materialise
 
-from .common import byte_letters, small_batches
+from .common import byte_letters, for_python
 
 # words kept per worker; beyond it the cache starts anew
 CACHED = 1 << 19
@@ -114,7 +114,7 @@ def token_pieces(
     remainder. Null and empty texts are one piece of ``end_id`` alone. ``with_ids``
     adds the ids of each piece. Rows are independent; nothing is shuffled.
     """
-    small_batches(docs.sparkSession)
+    for_python(docs.sparkSession)
     numbers = {"piece": T.IntegerType(), "start": T.LongType(), "length": T.LongType(), "ids_crc32": T.LongType()}
     schema = T.StructType([docs.schema[key], *[T.StructField(n, t) for n, t in numbers.items()]])
     if with_ids:

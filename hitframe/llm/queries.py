@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing
+from . import bpe, exact_dedup, packing, warc
 from .common import table, tokenizer_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents"), tokenizer_path(BYTE_VOCABULARY)
@@ -38,6 +42,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op8_bpe": op8_bpe,
+    "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
 

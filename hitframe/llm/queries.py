@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, warc
+from . import bpe, exact_dedup, packing, toxicity, warc
 from .common import table, tokenizer_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +18,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path(WORD_VOCABULARY))
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -41,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, ngram_join, packing, toxicity, warc
+from . import bpe, exact_dedup, line_dedup, ngram_join, packing, toxicity, warc
 from .common import table, tokenizer_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op6_ngram_join": op6_ngram_join,
     "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,

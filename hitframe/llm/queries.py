@@ -7,13 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, ngram_join, packing, toxicity, warc
+from . import (
+    bpe,
+    exact_dedup,
+    hamming_search,
+    licenses,
+    line_dedup,
+    ngram_join,
+    packing,
+    toxicity,
+    warc,
+)
 from .common import table, tokenizer_path
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(
+        table(spark, sf_dir, "documents"), licenses.known_licenses(spark)
+    )
+
+
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.nearest_codes(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -53,6 +75,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_topk_search": op2_topk_search,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_ngram_join": op6_ngram_join,
@@ -63,6 +87,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL = {
+    "op1_license_scan": licenses.oracle_sql(),
+    "op2_topk_search": """
+        WITH c AS (
+          SELECT vec_id, array_to_string([CASE WHEN x > 0 THEN '1' ELSE '0' END FOR x IN embedding], '') AS code
+          FROM embeddings),
+        d AS (
+          SELECT q.vec_id, n.vec_id AS neighbor_id, hamming(q.code, n.code) AS distance
+          FROM c q JOIN c n ON q.vec_id % 20 = 0 AND q.vec_id != n.vec_id),
+        r AS (
+          SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank FROM d)
+        SELECT vec_id, rank, neighbor_id, distance FROM r WHERE rank <= 10
+    """,
     "op3_exact_dedup": """
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS points,

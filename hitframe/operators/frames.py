@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from hitframe.config import FRAME
 from hitframe.sources.stages import materialise
 
-from .skew import HOT_FLOOR, HOT_SHARE, hot_groups
-
 
 def by_charge(charge: str = "charge", *ties: str) -> list[Column]:
     """Charge descending; ties in ascending order make the order total."""
@@ -72,35 +70,13 @@ def hit_slots(
     return both.groupBy(*keys).agg(F.max("size").alias("size"), *cells)
 
 
-def ranked_hits(
-    hits: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    hot_floor: int = HOT_FLOOR,
-    hot_share: int = HOT_SHARE,
-) -> DataFrame:
+def ranked_hits(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The whole charge-ordered list of each group, one row per hit with its rank.
 
     Long form on purpose: a list in one cell would have to fit one task, whatever
-    the size of the group. Ordinary groups are ranked in a window; hot ones are
-    cut into ranges of the order and ranked from the range sizes.
-    """
-    hot = hot_groups(hits, keys, hot_floor, hot_share)
-    if hot.isEmpty():
-        return _rank_in_window(hits, keys, order)
-    # at most ``hot_share`` rows by definition, hence the broadcast
-    hot = F.broadcast(materialise(hot, "hot-groups"))
-    ordinary = _rank_in_window(hits.join(hot, keys, "left_anti"), keys, order)
-    return ordinary.unionByName(_rank_in_ranges(hits.join(hot, keys, "left_semi"), keys, order))
-
-
-def _rank_in_window(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return hits.withColumn("rank", F.row_number().over(window).cast("long"))
-
-
-def _rank_in_ranges(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Rank = rows of the group in earlier ranges + position in the own range.
+    the size of the group. All hits are cut into ranges of the order, so a group of
+    any share lies in several, and the rank is the number of the group's rows in
+    earlier ranges plus the position in the own range.
 
     The ranges come from sampling, so they are written down once; everything after
     reads that table and a retried task sees the same ranges.

@@ -1,4 +1,4 @@
-"""Guards for broadcasts and for groups that hold a large share of the rows."""
+"""Guards for broadcasts."""
 
 from __future__ import annotations
 
@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 # (maps, curves, group keys) are a few numbers wide, so this is some ten megabytes.
 MAX_BROADCAST_ROWS = 200_000
 
-# A group is hot above this many rows and above 1/HOT_SHARE of all rows. The
-# second part bounds the number of hot groups by HOT_SHARE whatever the data size.
-HOT_FLOOR = 5_000_000
-HOT_SHARE = 50_000
-
 
 def bounded_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if it is known to be small.
@@ -26,16 +21,3 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     if rows is None:
         rows = df.limit(MAX_BROADCAST_ROWS + 1).count()
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
-
-
-def hot_groups(
-    df: DataFrame, keys: list[str], floor: int = HOT_FLOOR, share: int = HOT_SHARE
-) -> DataFrame:
-    """Keys of the groups that must not end up in one task (at most ``share``)."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > floor) & (F.col("_n") * share > total))
-        .select(*keys)
-    )

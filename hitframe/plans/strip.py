@@ -19,6 +19,7 @@ from hitframe.operators import curves as curve_ops
 from hitframe.operators import edges as edge_ops
 from hitframe.operators import frames, hits
 from hitframe.operators.skew import bounded_broadcast
+from hitframe.sources.stages import materialise
 
 _SLOTS = {"timing": 1, "charge": 3, "id": 3}
 
@@ -43,9 +44,12 @@ def side_slots(
     """Size and charge-ordered slots per frame and side.
 
     ``size`` counts all pairs; the slots come from the few pairs per channel that
-    can be among the three widest.
+    can be among the three widest. The edges are written down first, narrow: both
+    parts read that table, and the limit of the second has a fresh exchange below
+    it, so that a hot channel is cut to a few edges in every task before it moves.
     """
     channel, keys = [*cfg.frame, "ch"], [*cfg.frame, "side"]
+    timed = materialise(timed.select(*channel, "edge", "timing"), "timed-edges")
     chmap = bounded_broadcast(chmap, rows)
     sizes = (
         edge_ops.pair_summary(timed, channel)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections import defaultdict
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +19,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# what each application has written below the shared folder, for drop_scratch
+_written: dict[str, list[str]] = defaultdict(list)
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -27,24 +29,40 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="hitframe-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor sees, as named by ``spark.checkpoint.dir``.
+    """Folder that every executor sees: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only a local session may go without that setting.
+    Both are settings that a cluster has to point at shared storage anyway; a
+    temporary folder of one machine is never used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        folder = _local_folder()
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        folder = "file://" + folder.removeprefix("file:")
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables of this application, once nothing reads them any more.
+
+    ``since`` is a number from ``scratch_mark``: only later ones are deleted.
+    """
+    paths = _written[spark.sparkContext.applicationId]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths[since:]:
+        place = hadoop.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    del paths[since:]
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    return len(_written[spark.sparkContext.applicationId])

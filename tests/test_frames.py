@@ -62,27 +62,24 @@ def test_leading_hit_is_first_slot(some_hits):
     assert got == {k: (len(v), v[0][1], -v[0][0], v[0][2]) for k, v in lists(rows).items()}
 
 
-@pytest.mark.parametrize("floor", [10_000, 300, 20])
-def test_ranks_with_and_without_hot_groups(some_hits, floor):
-    """300 makes the heavy frame hot, 20 nearly all groups."""
+@pytest.mark.parametrize("ranges", [1, 8, 40])
+def test_ranks_of_a_group_in_one_or_many_ranges(spark, some_hits, ranges):
+    """With 40 ranges the heavy frame, a third of all rows, lies in about thirteen."""
     rows, df = some_hits
-    out = frames.ranked_hits(df, KEYS, frames.by_charge(*ORDER), floor)
-    got = {(r.frame_id, r.side, r["rank"]): (-r.charge, r.id, r.tie) for r in out.collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    try:
+        out = frames.ranked_hits(df, KEYS, frames.by_charge(*ORDER)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    got = {(r.frame_id, r.side, r["rank"]): (-r.charge, r.id, r.tie) for r in out}
     want = {(*k, i + 1): h for k, v in lists(rows).items() for i, h in enumerate(v)}
     assert got == want
 
 
-def test_hot_groups_are_bounded_by_share(some_hits):
-    from hitframe.operators.skew import hot_groups
-
-    _, df = some_hits
-    assert [tuple(r) for r in hot_groups(df, KEYS, 10, 3).collect()] == []
-    assert [tuple(r) for r in hot_groups(df, KEYS, 10, 4).collect()] == [(999, "x")]
-
-
 def test_rank_does_not_depend_on_partitioning(some_hits):
     _, df = some_hits
-    a = frames.ranked_hits(df, KEYS, frames.by_charge(*ORDER), 300)
+    a = frames.ranked_hits(df, KEYS, frames.by_charge(*ORDER))
     b = frames.ranked_hits(df.repartition(3, "tie"), KEYS, frames.by_charge(*ORDER))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 

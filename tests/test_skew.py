@@ -89,6 +89,28 @@ def test_hot_channel_is_split_on_both_sides_of_the_pairing(tight):
     assert top.where("frame_id = -7").count() == 5
 
 
+def test_hot_channel_is_cut_before_and_after_the_shuffle_behind_the_frame_join(tight):
+    """Through the time-zero join, as the strip chain runs it."""
+    from hitframe.config import StripConfig
+    from hitframe.plans import strip
+
+    e = tight.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, -7).otherwise(F.col("id") % 500).alias("frame_id"),
+        (F.col("id") % 4).cast("int").alias("ch"),
+        (F.xxhash64("id") % 2 == 0).cast("int").alias("edge"),
+        (F.xxhash64("id") % 1000 / 10.0).alias("tcal"),
+    )
+    triggers = hits.staged_time_zero(hits.earliest_time(e))
+    cfg = StripConfig()
+    timed = strip.timed_edges(e, triggers, cfg)
+    assert "SortMergeJoin(skew=true)" in final_plan(timed)
+    chmap = tight.range(4).select(F.col("id").cast("int").alias("ch"), F.col("id").cast("int").alias("id"), F.lit("x").alias("side"))
+    plan = final_plan(strip.side_slots(timed, chmap, cfg, rows=4))
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line and "edge" in line]
+    assert any("Partial" in x for x in limits) and any("Final" in x for x in limits), limits
+
+
 def test_slots_of_a_hot_frame_leave_three_rows_per_task(tight):
     h = wire_like(tight).withColumn("tie", F.monotonically_increasing_id())
     out = frames.hit_slots(h, ["frame_id"], frames.by_charge("charge", "id", "tie"), {"id": 3, "charge": 3})

@@ -15,6 +15,7 @@ from . import (
     line_dedup,
     ngram_join,
     packing,
+    quotations,
     toxicity,
     warc,
 )
@@ -40,6 +41,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.link_quotations(table(spark, sf_dir, "conversations"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_topk_search": op2_topk_search,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quotations": op4_quotations,
     "op5_line_dedup": op5_line_dedup,
     "op6_ngram_join": op6_ngram_join,
     "op7_toxicity": op7_toxicity,

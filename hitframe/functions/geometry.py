@@ -67,6 +67,14 @@ def strip_inset(id0: Column | str, id1: Column | str, depth: Column | str) -> Co
     return F.when(_col(id1) == _col(id0) + 1, depth).otherwise(-depth)
 
 
-def strip_position(id0: Column | str, inset: Column | str, centre: int, half_strip: float) -> Column:
+def strip_position(
+    id0: Column | str, inset: Column | str, centre: int, half_strip: float, mirror_fix: bool = False
+) -> Column:
+    """Position from the leading strip and the inset.
+
+    Positions fall with the strip id while the inset rises with it; ``mirror_fix``
+    turns the inset round so that both point the same way.
+    """
     pitch = F.lit(abs(half_strip) * 2.0)
-    return (F.lit(float(centre)) - _col(id0)) * pitch + _col(inset) - F.lit(half_strip)
+    inset = -_col(inset) if mirror_fix else _col(inset)
+    return (F.lit(float(centre)) - _col(id0)) * pitch + inset - F.lit(half_strip)

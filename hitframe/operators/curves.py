@@ -10,6 +10,9 @@ from hitframe.config import CDF_TOLERANCE, Bins
 from .histograms import bin_centre
 from .skew import bounded_broadcast
 
+# buckets that one interval may touch
+MAX_BUCKETS = 10_000
+
 
 def cdf_curve(
     counts: DataFrame,
@@ -77,6 +80,11 @@ def interval_lookup(
     wider than ``step``, which touch at most three buckets.
     """
     bucket = lambda c: F.floor(c / F.lit(step))
+    # A gap in a curve file would else become an array of that many buckets.
+    wide = (F.col("hi") - F.col("lo")) > F.lit(MAX_BUCKETS * step)
+    intervals = intervals.withColumn(
+        "hi", F.when(wide, F.raise_error(F.lit("an interval is far wider than the step"))).otherwise(F.col("hi"))
+    )
     # The keys get names of their own: the curves often come from the very rows
     # they are looked up for, and equal names would then mean equal columns.
     spread = intervals.withColumnsRenamed({k: f"_of_{k}" for k in keys}).withColumn(

@@ -8,12 +8,12 @@ outermost edges, so the product itself is not formed on the way to positions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitframe.config import LEADING, TRAILING
 
-from .frames import top_hits
+from .frames import placed_in_ranges, top_hits
 
 
 def pair_summary(edges: DataFrame, keys: list[str], time: str = "timing") -> DataFrame:
@@ -64,6 +64,36 @@ def widest_pairs(edges: DataFrame, keys: list[str], k: int, time: str = "timing"
     )
 
 
+def nearest_pairs(edges: DataFrame, keys: list[str], time: str = "timing") -> DataFrame:
+    """Each leading edge with the first trailing edge after it in its channel.
+
+    At most one hit per leading edge, so the lists grow with the edges and not with
+    their product. A leading edge without a later trailing one gives no hit. The
+    edges are cut into ranges of (keys, time): the partner is looked for in the own
+    range, else it is the earliest trailing edge of the later ranges, so a channel of
+    any share is spread over many tasks.
+    """
+    both = edges.where(F.col("edge").isin(LEADING, TRAILING)).select(*keys, "edge", time)
+    # at equal times the trailing edge comes first, so it is not after the leading one
+    placed = placed_in_ranges(both, keys, [F.col(time).asc(), F.col("edge").desc()])
+    pieces = [*keys, "_range"]
+    trailing = F.min(F.when(F.col("edge") == TRAILING, F.col(time)))
+    onward = Window.partitionBy(*pieces).orderBy(F.col(time).desc(), F.col("edge").asc())
+    later = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = (
+        placed.groupBy(*pieces).agg(trailing.alias("_first")).withColumn("_beyond", F.min("_first").over(later))
+    ).drop("_first")
+    near = placed.withColumn(
+        "_own", trailing.over(onward.rowsBetween(Window.unboundedPreceding, -1))
+    ).where(F.col("edge") == LEADING)
+    return (
+        near.join(beyond, pieces)
+        .withColumn("timing_trail", F.coalesce("_own", "_beyond"))
+        .where(F.col("timing_trail").isNotNull())
+        .select(*keys, F.col(time).alias("timing"), "timing_trail", (F.col("timing_trail") - F.col(time)).alias("charge"))
+    )
+
+
 def pair_edges(edges: DataFrame, keys: list[str], time: str = "timing") -> DataFrame:
     """All hits of the channels, for lists and occupancies of every hit.
 

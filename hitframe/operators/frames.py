@@ -20,7 +20,8 @@ def leading_hit(
     """Hit of largest charge per group as ``<value>0`` columns, with the group size.
 
     One pass with a fixed-size buffer per group: it combines before the shuffle,
-    and needs none where the hits are already placed by frame.
+    and needs none where the hits are already placed by frame. Equal charges go by
+    ``ties`` in their order, then by the remaining ``values``, so the order is total.
     """
     rest = [v for v in values if v not in ties and v != charge]
     best = F.min(F.struct((-F.col(charge)).alias("_neg"), *ties, *rest, charge))
@@ -70,6 +71,17 @@ def hit_slots(
     return both.groupBy(*keys).agg(F.max("size").alias("size"), *cells)
 
 
+def placed_in_ranges(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The rows as a table, cut into ``_range`` pieces along (keys, order).
+
+    A group of any share lies in several pieces. The cuts come from sampling, so they
+    are written down once; everything after reads that table and a retried task sees
+    the same pieces.
+    """
+    placed = rows.repartitionByRange(*[F.col(k) for k in keys], *order)
+    return materialise(placed.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
 def ranked_hits(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The whole charge-ordered list of each group, one row per hit with its rank.
 
@@ -77,16 +89,8 @@ def ranked_hits(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     the size of the group. All hits are cut into ranges of the order, so a group of
     any share lies in several, and the rank is the number of the group's rows in
     earlier ranges plus the position in the own range.
-
-    The ranges come from sampling, so they are written down once; everything after
-    reads that table and a retried task sees the same ranges.
     """
-    placed = materialise(
-        hits.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn(
-            "_range", F.spark_partition_id()
-        ),
-        "ranges",
-    )
+    placed = placed_in_ranges(hits, keys, order)
     pieces = [*keys, "_range"]
     # one row per group and range: the window below sees at most one per range
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,11 +157,15 @@ def coincident_hits(
     return hits.join(materialise(frames, "coincident-frames"), list(frame), "left_semi")
 
 
-def multiplicity_cut(limit: int, sides: tuple[str, ...] = ("x", "y")) -> Column:
-    """More than one and fewer than ``limit`` hits on every side."""
+def multiplicity_cut(
+    limit: int, sides: tuple[str, ...] = ("x", "y"), above: int | None = 1
+) -> Column:
+    """More than ``above`` (None: any number) and fewer than ``limit`` hits on every side."""
     cut = F.lit(True)
     for s in sides:
-        cut = cut & (F.col(f"size_{s}") > 1) & (F.col(f"size_{s}") < limit)
+        cut = cut & (F.col(f"size_{s}") < limit)
+        if above is not None:
+            cut = cut & (F.col(f"size_{s}") > above)
     return cut
 
 

@@ -11,29 +11,39 @@ from hitframe.functions import mean_of
 from .frames import cluster_cut
 
 
-def efficiency(events: DataFrame, triggers: DataFrame) -> DataFrame:
+def efficiency(
+    events: DataFrame, triggers: DataFrame, groups: tuple[str, ...] = ()
+) -> DataFrame:
     """Frames with a three-strip cluster per triggered frame, in percent.
 
-    Null without triggers. Each side is reduced to one row before they meet.
+    One row per group that has triggers (per run, say), or one in all; null without
+    triggers. Both sides are reduced to a row per group before they meet.
     """
-    clusters = events.select(F.count_if(cluster_cut())).scalar()
-    return triggers.agg(F.count(F.lit(1)).alias("n_triggers")).select(
-        "n_triggers",
-        clusters.alias("n_clusters"),
-        F.try_divide(clusters * F.lit(100.0), F.col("n_triggers")).alias("efficiency"),
-    )
-
-
-def slot_efficiency(events: DataFrame, sides: tuple[str, ...] = ("x", "y")) -> DataFrame:
-    """Share of frames with a third strip among those with a first, per side."""
-    counts = events.agg(
+    n_triggers = F.count(F.lit(1)).alias("n_triggers")
+    n_clusters = F.count_if(cluster_cut())
+    if groups:
+        clusters = events.groupBy(*groups).agg(n_clusters.alias("n_clusters"))
+        both = triggers.groupBy(*groups).agg(n_triggers).join(clusters, list(groups), "left")
+        both = both.withColumn("n_clusters", F.coalesce("n_clusters", F.lit(0)))
+    else:
+        clusters = events.select(n_clusters).scalar()
+        both = triggers.agg(n_triggers).withColumn("n_clusters", clusters)
+    percent = F.try_divide(F.col("n_clusters") * F.lit(100.0), F.col("n_triggers"))
+    return both.select(*groups, "n_triggers", "n_clusters", percent.alias("efficiency"))
+
+
+def slot_efficiency(
+    events: DataFrame, sides: tuple[str, ...] = ("x", "y"), groups: tuple[str, ...] = ()
+) -> DataFrame:
+    """Share of frames with a third strip among those with a first, per group and side."""
+    counts = events.groupBy(*groups).agg(
         *[F.count_if(F.col(f"charge{i}_{s}") > 0).alias(f"_{i}_{s}") for s in sides for i in (0, 2)]
     )
     rows = [
         F.struct(F.lit(s).alias("side"), F.col(f"_0_{s}").alias("n0"), F.col(f"_2_{s}").alias("n2"))
         for s in sides
     ]
-    return counts.select(F.inline(F.array(*rows))).withColumn(
+    return counts.select(*groups, F.inline(F.array(*rows))).withColumn(
         "efficiency", F.try_divide(F.col("n2").cast("double"), F.col("n0"))
     )
 
@@ -54,9 +64,12 @@ def residual_columns(
 
 
 def resolution(
-    df: DataFrame, views: dict[str, tuple[str, ...]], limit: float = RESOLUTION_LIMIT
+    df: DataFrame,
+    views: dict[str, tuple[str, ...]],
+    limit: float = RESOLUTION_LIMIT,
+    groups: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Position resolution per view (um) from the spread around the plane mean.
+    """Position resolution per group and view (um) from the spread around the plane mean.
 
     The spread sums the accepted residuals but divides by all rows; the variant
     over accepted rows is returned next to it.
@@ -69,7 +82,7 @@ def resolution(
             kept = F.abs(diff) < limit
             aggs.append(F.sum(F.when(kept, diff * diff)).alias(f"{view}|{p}|ss"))
             aggs.append(F.count_if(kept).alias(f"{view}|{p}|n"))
-    total = df.agg(*aggs)
+    total = df.groupBy(*groups).agg(*aggs)
 
     def spread(view: str, planes: tuple[str, ...], over: str | None) -> Column:
         terms = []
@@ -88,7 +101,7 @@ def resolution(
         )
         for view, planes in views.items()
     ]
-    return total.select(F.inline(F.array(*rows)))
+    return total.select(*groups, F.inline(F.array(*rows)))
 
 
 def residual_summary(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hitframe.config import StripConfig, WireConfig
 from hitframe.operators import hits, quality
-from hitframe.sources import materialise, write_curves, write_stage
+from hitframe.sources import read_stage, write_curves, write_stage
 
 from . import calibration, combine, strip, wire
 
@@ -23,9 +23,7 @@ def wire_leads(
     mapped = wire.mapped_hits(
         hits.wire_hits(blocks, cfg), wire.trigger_times(blocks, cfg), chmap, cfg
     )
-    leads = materialise(wire.leading_hits(mapped, cfg), "wire-leads")
-    complete = wire.events(leads, cfg, ["size"]).select(*cfg.frame)
-    write_stage(leads.join(complete, list(cfg.frame), "left_semi"), out, runname)
+    write_stage(wire.complete_leads(mapped, cfg), out, runname)
 
 
 def wire_hit_lists(
@@ -56,14 +54,31 @@ def wire_positions(
 def strip_events(
     blocks: DataFrame, chmap: DataFrame, cfg: StripConfig, out: str, runname: str | None = None
 ) -> DataFrame:
-    """Blocks -> strip events. Returns the efficiency, counted on what was written."""
-    spark = blocks.sparkSession
+    """Blocks -> strip events. Returns the efficiency of each run of this call.
+
+    It is counted on what was written, and the triggers say which runs those are: the
+    folder may hold others.
+    """
     wide, triggers = strip.events(blocks, chmap, cfg)
-    write_stage(wide, out, runname)
-    written = spark.read.parquet(out)
     if runname is not None:
-        written = written.where(F.col("runname") == runname)
-    return quality.efficiency(written, triggers)
+        triggers = triggers.withColumn("runname", F.lit(runname))
+    write_stage(wide, out, runname)
+    written = read_stage(blocks.sparkSession, out)
+    return quality.efficiency(written, triggers, ("runname",))
+
+
+def strip_hit_lists(
+    blocks: DataFrame,
+    chmap: DataFrame,
+    cfg: StripConfig,
+    out: str,
+    runname: str | None = None,
+    calib: DataFrame | None = None,
+) -> None:
+    """Blocks -> all strip hits of triggered frames with their rank, the pulser input."""
+    triggers = strip.trigger_times(blocks, cfg)
+    timed = strip.timed_edges(hits.strip_edges(blocks, cfg), triggers, cfg)
+    write_stage(strip.hit_lists(timed, chmap, cfg, calib=calib), out, runname)
 
 
 def strip_positions(
@@ -78,9 +93,11 @@ def strip_positions(
     write_stage(strip.positions(events, curves, cfg, curve_keys=curve_keys), out, runname)
 
 
-def join(strips: DataFrame, wires: DataFrame, cfg: WireConfig, out: str) -> None:
+def join(
+    strips: DataFrame, wires: DataFrame, cfg: WireConfig, out: str, runname: str | None = None
+) -> None:
     """Positions of both detectors on the same frame."""
-    combine.join_detectors(strips, wires, cfg.frame).write.mode("overwrite").parquet(out)
+    write_stage(combine.join_detectors(strips, wires, cfg.frame), out, runname)
 
 
 def calibrate_drift(leads: DataFrame, cfg: WireConfig, out: str) -> None:

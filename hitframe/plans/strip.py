@@ -61,6 +61,27 @@ def side_slots(
     return frames.hit_slots(pairs, keys, frames.by_charge("charge", "id", "timing"), _SLOTS, sizes)
 
 
+def hit_lists(
+    timed: DataFrame,
+    chmap: DataFrame,
+    cfg: StripConfig,
+    rows: int | None = None,
+    calib: DataFrame | None = None,
+) -> DataFrame:
+    """All hits per frame and side with their rank in charge order, in long form.
+
+    A hit is a leading edge with the first trailing edge after it. ``calib`` holds
+    ``side, id, p1, p0``: charges are then put through it before they are ordered, and
+    hits of strips without constants are left out.
+    """
+    pairs = edge_ops.nearest_pairs(timed, [*cfg.frame, "ch"])
+    placed = hits.map_channels(pairs, chmap, ["ch"], rows)
+    if calib is not None:
+        placed = hits.linear_calibration(placed, calib, ["side", "id"], rows=rows).where("charge IS NOT NULL")
+    order = frames.by_charge("charge", "id", "timing")
+    return frames.ranked_hits(placed, [*cfg.frame, "side"], order)
+
+
 def side_by_side(slots: DataFrame, cfg: StripConfig) -> DataFrame:
     """One row per frame with ``_x`` and ``_y`` columns; a missing side is null."""
     slots = slots.withColumn("q0q1", asymmetry("charge0", "charge1"))

@@ -54,6 +54,17 @@ def leading_hits(mapped: DataFrame, cfg: WireConfig) -> DataFrame:
     ).withColumnsRenamed({"sra_timing0": "sra_timing", "sra_tdc_raw0": "sra_tdc_raw"})
 
 
+def complete_leads(mapped: DataFrame, cfg: WireConfig) -> DataFrame:
+    """Leading hits of the frames in which every plane has one.
+
+    The calibration and the drift lengths are defined on these alone. The leads are
+    written down, since their frames are found from the same table.
+    """
+    leads = materialise(leading_hits(mapped, cfg), "wire-leads")
+    complete = events(leads, cfg, ["size"]).select(*cfg.frame)
+    return leads.join(complete, list(cfg.frame), "left_semi")
+
+
 def events(leads: DataFrame, cfg: WireConfig, values: list[str] | None = None) -> DataFrame:
     """One row per frame in which every plane has a hit."""
     return frames.one_row_per_frame(

@@ -9,11 +9,16 @@ from hitframe.session import scratch_path
 
 
 def write_stage(df: DataFrame, path: str, runname: str | None = None) -> None:
-    """Write one stage. Only the runs present in ``df`` are replaced."""
+    """Write one stage. Only the runs present in ``df`` are replaced.
+
+    Rows are gathered by run first, so that a task does not leave a file per run;
+    large runs are split and small ones put together as the rows turn out.
+    """
     if runname is not None:
         df = df.withColumn("runname", F.lit(runname))
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "runname")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("runname")
         .parquet(path)
@@ -21,8 +26,18 @@ def write_stage(df: DataFrame, path: str, runname: str | None = None) -> None:
 
 
 def read_stage(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
-    """Read one stage; naming a run prunes the scan to its partition."""
-    df = spark.read.parquet(path)
+    """Read one stage; naming a run prunes the scan to its partition.
+
+    Run labels are text, also those that look like numbers. Spark infers the types of
+    partition columns while it lists the folder, so that is switched off for the read.
+    """
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, old)
     return df if run is None else df.where(F.col("runname") == run)
 
 

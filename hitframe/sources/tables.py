@@ -55,9 +55,11 @@ def read_curve_files(spark: SparkSession, path: str | list[str], pattern: str) -
     """Curves from one CSV per plane and run.
 
     ``pattern`` is a regular expression on the file name with the plane as first
-    group and the run as second one.
+    group and the run as second one. A file that does not match it is an error.
     """
-    name = F.col("_metadata.file_name")
+    file = F.col("_metadata.file_name")
+    unknown = F.raise_error(F.concat(F.lit("no plane and run in the name of "), file))
+    name = F.when(file.rlike(pattern), file).otherwise(unknown)
     return _read_csv(spark, path, schemas.CURVE_FILE).select(
         F.col("histy_x").alias("x"),
         "tx",

@@ -27,8 +27,10 @@ from hitframe.plans import calibration, combine, strip, wire
 from hitframe.sources import (
     preview,
     read_curves,
+    read_linear_calibration,
     read_mode_table,
     read_stage,
+    read_strip_map,
     union_runs,
     write_curves,
     write_mode_table,
@@ -41,11 +43,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 PLANES = (0, 1, 2, 3)
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 CHARGE = (10.0, 150.0)
 WINDOW_NS = (-1_000_000.0, 1_500_000.0)
 CHARGE_BINS = Bins(0.0, 150.0, 75)
 TIME_BINS = Bins(0.0, 3_600_000.0, 60)
 CURVE_BINS = Bins(10.0, 150.0, 100)
+STRIP_CHARGE_BINS = Bins(0.0, 120.0, 60)
 CURVE_ROWS = len(PLANES) * CURVE_BINS.n
 SLOTS = {"id": 3, "charge": 3}
 RESIDUAL_PAIRS = (
@@ -151,8 +155,13 @@ def channel_map_join(spark, sf):
 
 @query
 def side_map_join(spark, sf):
-    """Single-key map with one table for both sides."""
-    mapped = hits.map_channels(V.hits(spark, sf), V.strip_map(spark), ["ch"], V.STRIP_MAP_ROWS)
+    """Single-key map with one table for both sides; ten of 100 channels are not in it."""
+    sides = spark.range(90).select(
+        F.col("id").cast("int").alias("ch"),
+        F.expr("if(id < 45, 'x', 'y')").alias("side"),
+        F.expr("cast(if(id < 45, 44 - id, id - 45) as int)").alias("id"),
+    )
+    mapped = hits.map_channels(V.hits(spark, sf), sides, ["ch"], 90)
     return mapped.select("event_id", "side", *big("id"), "charge")
 
 
@@ -217,6 +226,43 @@ def ordered_hit_slots(spark, sf):
     )
 
 
+@query
+def nearest_pairs(spark, sf):
+    """Each leading edge with the first trailing edge after it."""
+    out = edges.nearest_pairs(V.edges(spark, sf), ["frame_id", "ch"])
+    return out.select("frame_id", *big("ch"), "timing", "timing_trail", "charge")
+
+
+@query
+def strip_hit_lists(spark, sf):
+    """All strip hits of triggered frames per side, in charge order."""
+    out = V.strip_chain_hits(spark, sf)
+    return out.select("frame_id", "side", *big("rank", "id"), "timing", r6("charge").alias("charge"))
+
+
+@query
+def strip_occupancy(spark, sf):
+    """Strip id against charge of every hit, per side."""
+    out = calibration.occupancy(V.strip_chain_hits(spark, sf), ["side"], Bins(-0.5, 7.5, 8), STRIP_CHARGE_BINS)
+    return out.select("side", *big("bin_x", "bin_y", "n"))
+
+
+@query
+def map_and_calibration_files(spark, sf):
+    """A side map and constants as padded CSV files, read back and applied to the hits."""
+    folder = session.scratch_path(spark, "maps")
+    padded = lambda c: F.format_string(" %s  ", F.col(c))
+    n = V.table(spark, sf, "nation").select(F.col("n_nationkey").alias("ch"), (24 - F.col("n_nationkey")).alias("id"))
+    constants = n.select("id", (1 + F.col("id") * F.lit(0.01)).alias("p1"), (F.col("id") * F.lit(0.5)).alias("p0"))
+    for name, df in (("map", n.select("id", "ch")), ("calib", constants)):
+        df.select(*[padded(c).alias(c) for c in df.columns]).write.option("header", True).csv(f"{folder}/{name}")
+    chmap = read_strip_map(spark, {"x": f"{folder}/map"})
+    calib = read_linear_calibration(spark, {"x": f"{folder}/calib"})
+    mapped = hits.map_channels(V.hits(spark, sf).select("event_id", "ch", "charge"), chmap, ["ch"])
+    out = hits.linear_calibration(mapped, calib, ["side", "id"])
+    return out.select("event_id", *big("id"), "side", r6("charge").alias("charge"))
+
+
 @query
 def ordered_hits(spark, sf):
     """The whole charge-ordered list of every frame and side, with ranks."""
@@ -364,12 +410,14 @@ def mode_bin(spark, sf):
 
 
 def _pulser_hits(spark, sf) -> DataFrame:
+    """One run per event type, its channels folded to the 32 strips."""
     h = V.hits(spark, sf)
-    runs = {
-        t: h.where(F.col("event_type") == t).select(F.col("ch").alias("id"), "charge")
-        for t in ("click", "view")
-    }
-    return union_runs(runs)
+    return union_runs(
+        {
+            t: h.where(F.col("event_type") == t).select((F.col("ch") % 32).alias("id"), "charge")
+            for t in EVENT_TYPES
+        }
+    )
 
 
 @query
@@ -523,12 +571,26 @@ def plane_residuals(spark, sf):
 
 @query
 def efficiency(spark, sf):
-    timed = V.strip_chain_events(spark, sf)
-    triggers = strip.trigger_times(V.strip_blocks(spark, sf), V.STRIP_CHAIN, "mid")
-    out = quality.efficiency(timed, triggers)
+    out = quality.efficiency(*V.strip_chain_with_triggers(spark, sf))
     return out.select(*big("n_triggers", "n_clusters"), r6("efficiency").alias("efficiency"))
 
 
+@query
+def efficiency_by_run(spark, sf):
+    """One efficiency per run; a run is a third of the frames."""
+    run = (F.col("frame_id") % 3).alias("run")
+    events, triggers = V.strip_chain_with_triggers(spark, sf)
+    out = quality.efficiency(events.select("*", run), triggers.select("*", run), ("run",))
+    return out.select(*big("run", "n_triggers", "n_clusters"), r6("efficiency").alias("efficiency"))
+
+
+@query
+def slot_efficiency_by_run(spark, sf):
+    events = _strip_events(spark, sf).withColumn("run", F.col("frame_id") % 3)
+    out = quality.slot_efficiency(events, groups=("run",))
+    return out.select("side", *big("run", "n0", "n2"), r6("efficiency").alias("efficiency"))
+
+
 @query
 def slot_efficiency(spark, sf):
     out = quality.slot_efficiency(_strip_events(spark, sf))
@@ -550,7 +612,9 @@ def resolution(spark, sf):
 def residual_summary(spark, sf):
     long = quality.residual_columns(V.chain_positions(spark, sf), RESIDUAL_PAIRS)
     out = quality.residual_summary(long, "diff", ["pair"], (-10.0, 10.0))
-    return out.select("pair", *big("n"), r6("centre").alias("centre"), r6("width").alias("width"))
+    # the approximate median is exact here, as each group has fewer values than its accuracy
+    rounded = [r6(c).alias(c) for c in ("centre", "width", "median")]
+    return out.select("pair", *big("n"), *rounded)
 
 
 # --- sinks ------------------------------------------------------------------

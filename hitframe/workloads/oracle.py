@@ -59,7 +59,7 @@ CTE = {
         FROM sx x FULL JOIN sy y ON x.frame_id = y.frame_id""",
     "edges": """SELECT l_orderkey AS frame_id, l_linenumber AS ch,
         CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS edge, l_quantity AS t
-        FROM lineitem WHERE l_returnflag IN ('A', 'R')""",
+        FROM lineitem""",
     "pairs": """SELECT l.frame_id, l.ch, l.t AS timing, r.t - l.t AS width
         FROM (SELECT * FROM edges WHERE edge = 0) l JOIN (SELECT * FROM edges WHERE edge = 1) r
         ON l.frame_id = r.frame_id AND l.ch = r.ch""",
@@ -105,8 +105,8 @@ CTE |= {
     "curve_counts": _dense("curve_bin", "plane_no", K.CURVE_BINS),
     "curve": _curve("curve_counts", "plane_no", K.CURVE_BINS),
     "steps": _intervals("curve", "plane_no"),
-    "pulser": """SELECT event_type AS runname, ch AS id, CAST(floor(charge) AS BIGINT) AS cb FROM hits
-        WHERE event_type IN ('click', 'view') AND charge >= 0 AND charge < 500 AND ch < 32""",
+    "pulser": """SELECT event_type AS runname, ch % 32 AS id, CAST(floor(charge) AS BIGINT) AS cb FROM hits
+        WHERE charge >= 0 AND charge < 500""",
     "pulser_mode": """SELECT runname, id, cb FROM (SELECT *, row_number() OVER (PARTITION BY runname, id ORDER BY n DESC, cb) AS r
         FROM (SELECT runname, id, cb, count(*) AS n FROM pulser GROUP BY runname, id, cb)) WHERE r = 1""",
     "modes": """SELECT g.runname, i.range AS id, coalesce(m.cb, 0) AS mode_bin
@@ -179,14 +179,15 @@ CTE |= {
         count(*) OVER (PARTITION BY frame_id, plane) AS size FROM kept""",
     "leads": "SELECT frame_id, plane, size, id AS id0, charge AS charge0, timing AS timing0, sra_timing, sra_tdc_raw FROM wranked WHERE rn = 1",
     "full_frames": "SELECT frame_id FROM leads GROUP BY frame_id HAVING count(*) = 8",
+    "cleads": "SELECT l.* FROM leads l JOIN full_frames USING (frame_id)",
     "drift_bin": f"""SELECT plane, bin FROM (SELECT plane, {_bin('timing0', V.CHAIN_TIME_BINS)} AS bin,
-        {_bin('charge0', V.CHAIN_CHARGE_BINS)} AS cb FROM leads WHERE id0 > 0 AND id0 < 11
+        {_bin('charge0', V.CHAIN_CHARGE_BINS)} AS cb FROM cleads WHERE id0 > 0 AND id0 < 11
         AND charge0 > 10 AND charge0 < 150 AND timing0 > -60 AND timing0 < 60) WHERE bin IS NOT NULL AND cb IS NOT NULL""",
     "drift_counts": _dense("drift_bin", "plane", V.CHAIN_TIME_BINS),
     "drift_curve": _curve("drift_counts", "plane", V.CHAIN_TIME_BINS),
     "drift_steps": _intervals("drift_curve", "plane"),
     "dl": f"""SELECT l.*, (s.tx_lo + (s.tx_hi - s.tx_lo) * ({_uniform('l.frame_id')})) * {_d(V.CHAIN.half_cell)} AS dl
-        FROM leads l LEFT JOIN drift_steps s ON l.plane = s.plane AND l.timing0 >= s.lo AND l.timing0 < s.hi""",
+        FROM cleads l LEFT JOIN drift_steps s ON l.plane = s.plane AND l.timing0 >= s.lo AND l.timing0 < s.hi""",
     "dwide": "SELECT frame_id, max(sra_tdc_raw) AS sra_tdc_raw, "
     + ", ".join(f"{_pick(p, 'dl')} AS {p}_dl, {_pick(p, 'id0')} AS {p}_id0, {_pick(p, 'size')} AS {p}_size" for p in _PL)
     + " FROM dl JOIN full_frames USING (frame_id) GROUP BY frame_id",
@@ -234,6 +235,11 @@ CTE |= {
         CASE WHEN l.ch < 32 THEN 7 - l.ch ELSE l.ch - 32 END AS id, l.timing, r.timing - l.timing AS charge
         FROM (SELECT * FROM stimed WHERE edge = 0) l JOIN (SELECT * FROM stimed WHERE edge = 1) r
         ON l.frame_id = r.frame_id AND l.ch = r.ch""",
+    "snear": """SELECT frame_id, CASE WHEN ch < 32 THEN 'x' ELSE 'y' END AS side,
+        CASE WHEN ch < 32 THEN 7 - ch ELSE ch - 32 END AS id, timing, trail - timing AS charge FROM (
+        SELECT l.frame_id, l.ch, l.timing, (SELECT min(r.timing) FROM stimed r WHERE r.edge = 1
+        AND r.frame_id = l.frame_id AND r.ch = l.ch AND r.timing > l.timing) AS trail FROM stimed l WHERE l.edge = 0)
+        WHERE trail IS NOT NULL""",
     "sranked": """SELECT *, row_number() OVER (PARTITION BY frame_id, side ORDER BY charge DESC, id, timing) AS rn,
         count(*) OVER (PARTITION BY frame_id, side) AS n FROM spairs""",
     "sslots": "SELECT frame_id, side, max(n) AS size, "
@@ -388,13 +394,23 @@ BODIES = {
     "channel_map_join": """SELECT event_id, m.id // 16 AS plane_no, m.id % 16 AS id, charge FROM hits h
         JOIN (SELECT range AS id, 616 + range // 90 AS fem, range % 90 AS ch FROM range(180)) m
         ON h.fem = m.fem AND h.ch = m.ch""",
-    "side_map_join": """SELECT event_id, CASE WHEN ch < 32 THEN 'x' ELSE 'y' END AS side,
-        CAST(CASE WHEN ch < 32 THEN 7 - ch ELSE ch - 32 END AS BIGINT) AS id, charge FROM hits
-        WHERE ch BETWEEN 0 AND 7 OR ch BETWEEN 32 AND 39""",
+    "side_map_join": """SELECT event_id, CASE WHEN ch < 45 THEN 'x' ELSE 'y' END AS side,
+        CAST(CASE WHEN ch < 45 THEN 44 - ch ELSE ch - 45 END AS BIGINT) AS id, charge FROM hits WHERE ch < 90""",
     "polarity_flip": f"""SELECT {_big('ch', 'edge', 'flipped')}, count(*) AS n FROM (SELECT *,
         CASE WHEN ch % 2 = 0 THEN 1 - edge ELSE edge END AS flipped FROM edges) GROUP BY ch, edge, flipped""",
     "linear_calibration": f"""SELECT event_id, charge * (1e0 + n_nationkey * {_d(0.01)}) + n_nationkey * {_d(0.5)} AS charge
         FROM hits LEFT JOIN nation ON ch = n_nationkey""",
+    "map_and_calibration_files": f"""SELECT event_id, CAST(24 - n_nationkey AS BIGINT) AS id, 'x' AS side,
+        {_r6(f"charge * (1e0 + (24 - n_nationkey) * {_d(0.01)}) + (24 - n_nationkey) * {_d(0.5)}")} AS charge
+        FROM hits JOIN nation ON ch = n_nationkey""",
+    "nearest_pairs": """SELECT frame_id, CAST(ch AS BIGINT) AS ch, timing, timing_trail, timing_trail - timing AS charge FROM (
+        SELECT l.frame_id, l.ch, l.t AS timing, (SELECT min(r.t) FROM edges r WHERE r.edge = 1
+        AND r.frame_id = l.frame_id AND r.ch = l.ch AND r.t > l.t) AS timing_trail FROM edges l WHERE l.edge = 0)
+        WHERE timing_trail IS NOT NULL""",
+    "strip_hit_lists": f"""SELECT frame_id, side, row_number() OVER (PARTITION BY frame_id, side
+        ORDER BY charge DESC, id, timing) AS rank, CAST(id AS BIGINT) AS id, timing, {_r6('charge')} AS charge FROM snear""",
+    "strip_occupancy": f"""SELECT side, CAST(id AS BIGINT) AS bin_x, CAST(floor(charge / {_d(2)}) AS BIGINT) AS bin_y, count(*) AS n
+        FROM snear WHERE charge >= 0 AND charge < 120 GROUP BY ALL""",
     "edge_pairing": f"""SELECT frame_id, CAST(ch AS BIGINT) AS ch, count(*) AS n_pairs, {_r6('min(width)')} AS width_min,
         {_r6('max(width)')} AS width_max, {_r6('sum(width)')} AS width_sum FROM pairs GROUP BY frame_id, ch""",
     "edge_pair_slots": f"""SELECT frame_id, {_big('rank', 'ch')}, timing, width AS charge FROM (SELECT *,
@@ -426,7 +442,7 @@ BODIES = {
     "pulser_calibration": "SELECT runname, id, mode_bin FROM modes",
     "pulser_occupancy": _OCC,
     "plane_correlation": _correlation(),
-    "edge_veto_box": """SELECT frame_id, plane, CAST(id0 AS BIGINT) AS id0, charge0, timing0 FROM leads WHERE id0 > 0 AND id0 < 11
+    "edge_veto_box": """SELECT frame_id, plane, CAST(id0 AS BIGINT) AS id0, charge0, timing0 FROM cleads WHERE id0 > 0 AND id0 < 11
         AND charge0 > 30 AND charge0 < 120 AND timing0 > -40 AND timing0 < 40""",
     "cdf_curve": "SELECT plane_no, bin, x, tx FROM curve",
     "interval_table": "SELECT plane_no, lo, hi, tx_lo, tx_hi FROM steps",
@@ -450,10 +466,16 @@ BODIES = {
     "plane_residuals": f"""SELECT pair, bin, n FROM ({_dense(f"(SELECT * FROM (SELECT pair, {_bin('diff', K.Bins(-5.0, 5.0, 50))} AS bin FROM residuals) WHERE bin IS NOT NULL)", 'pair', K.Bins(-5.0, 5.0, 50))})""",
     "efficiency": f"""SELECT t AS n_triggers, c AS n_clusters, {_r6('CASE WHEN t > 0 THEN c * 100e0 / t END')} AS efficiency FROM
         (SELECT (SELECT count(*) FROM st0) AS t, (SELECT count(*) FROM swide WHERE {_CLUSTER}) AS c)""",
+    "efficiency_by_run": f"""SELECT run, t AS n_triggers, coalesce(c, 0) AS n_clusters, {_r6('coalesce(c, 0) * 100e0 / t')} AS efficiency FROM
+        (SELECT frame_id % 3 AS run, count(*) AS t FROM st0 GROUP BY 1)
+        LEFT JOIN (SELECT frame_id % 3 AS run, count(*) AS c FROM swide WHERE {_CLUSTER} GROUP BY 1) USING (run)""",
+    "slot_efficiency_by_run": f"""SELECT run, side, n0, n2, {_r6('CAST(n2 AS DOUBLE) / n0')} AS efficiency FROM (SELECT frame_id % 3 AS run, side,
+        count(CASE WHEN charge0 > 0 THEN 1 END) AS n0, count(CASE WHEN charge2 > 0 THEN 1 END) AS n2 FROM slots GROUP BY 1, side)""",
     "slot_efficiency": f"""SELECT side, n0, n2, {_r6('CAST(n2 AS DOUBLE) / n0')} AS efficiency FROM (SELECT side,
         count(CASE WHEN charge0 > 0 THEN 1 END) AS n0, count(CASE WHEN charge2 > 0 THEN 1 END) AS n2 FROM slots GROUP BY side)""",
     "resolution": _resolution(),
-    "residual_summary": f"""SELECT pair, count(*) AS n, {_r6('avg(diff)')} AS centre, {_r6('stddev_samp(diff)')} AS width
+    "residual_summary": f"""SELECT pair, count(*) AS n, {_r6('avg(diff)')} AS centre, {_r6('stddev_samp(diff)')} AS width,
+        {_r6('quantile_disc(diff, 0.5)')} AS median
         FROM residuals WHERE diff >= -10 AND diff < 10 GROUP BY pair""",
     "stage_roundtrip": f"""SELECT frame_id, 'run' || (frame_id % 3) AS runname, {_big('size_x', 'size_y', 'id0_x', 'id0_y')}, {_ASYM['x']} FROM wide""",
     "curve_roundtrip": "SELECT 'run1' AS run, 'p' || plane_no AS plane, x, tx FROM curve",

@@ -71,16 +71,12 @@ def strips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges of a channel: returned lines lead, rejected lines trail."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_returnflag").isin("A", "R"))
-        .select(
-            F.col("l_orderkey").alias("frame_id"),
-            F.col("l_linenumber").alias("ch"),
-            F.when(F.col("l_returnflag") == "A", 0).otherwise(1).alias("edge"),
-            F.col("l_quantity").alias("timing"),
-        )
+    """Edges of a channel: lines with flag A lead, all others trail."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("frame_id"),
+        F.col("l_linenumber").alias("ch"),
+        F.when(F.col("l_returnflag") == "A", 0).otherwise(1).alias("edge"),
+        F.col("l_quantity").alias("timing"),
     )
 
 
@@ -171,8 +167,8 @@ def chain_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leading hits as a stage table, as the calibration loop reads them twice."""
-    return materialise(wire.leading_hits(chain_mapped(spark, sf_dir), CHAIN), "wire-leads")
+    """Leading hits of complete frames, as a table that the calibration loop reads twice."""
+    return materialise(wire.complete_leads(chain_mapped(spark, sf_dir), CHAIN), "complete-leads")
 
 
 def chain_curves(leads: DataFrame) -> DataFrame:
@@ -256,20 +252,30 @@ def strip_map(spark: SparkSession) -> DataFrame:
     )
 
 
-def strip_chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+def strip_chain_edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Timed edges, and the triggers that they were timed with."""
     blocks = strip_blocks(spark, sf_dir)
-    return strip.timed_edges(
-        hit_ops.strip_edges(blocks, STRIP_CHAIN, "mid"),
-        strip.trigger_times(blocks, STRIP_CHAIN, "mid"),
-        STRIP_CHAIN,
-    )
+    triggers = strip.trigger_times(blocks, STRIP_CHAIN, "mid")
+    edges = hit_ops.strip_edges(blocks, STRIP_CHAIN, "mid")
+    return strip.timed_edges(edges, triggers, STRIP_CHAIN), triggers
+
+
+def strip_chain_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every strip hit with its rank."""
+    timed, _ = strip_chain_edges(spark, sf_dir)
+    return strip.hit_lists(timed, strip_map(spark), STRIP_CHAIN, STRIP_MAP_ROWS)
+
+
+def strip_chain_with_triggers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Strip events as a stage table, and the triggers that they were built with."""
+    timed, triggers = strip_chain_edges(spark, sf_dir)
+    slots = strip.side_slots(timed, strip_map(spark), STRIP_CHAIN, STRIP_MAP_ROWS)
+    return materialise(strip.side_by_side(slots, STRIP_CHAIN), "strip-events"), triggers
 
 
 def strip_chain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strip events as a stage table, as the calibration loop reads them twice."""
-    timed = strip_chain_edges(spark, sf_dir)
-    slots = strip.side_slots(timed, strip_map(spark), STRIP_CHAIN, STRIP_MAP_ROWS)
-    return materialise(strip.side_by_side(slots, STRIP_CHAIN), "strip-events")
+    return strip_chain_with_triggers(spark, sf_dir)[0]
 
 
 def strip_chain_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,3 +104,12 @@ def test_lookup_of_the_rows_the_curve_came_from(spark):
             assert r.dl == pytest.approx((pts[i - 1][1] + pts[i][1]) / 2 * 1.5)
         else:
             assert r.dl is None
+
+
+def test_a_gap_in_a_curve_is_an_error(spark):
+    from pyspark.errors import PySparkException
+
+    values = spark.createDataFrame([("p", 1.0)], "plane string, v double")
+    steps = spark.createDataFrame([("p", 0.0, 1e6, 0.0, 1.0)], "plane string, lo double, hi double, tx_lo double, tx_hi double")
+    with pytest.raises(PySparkException, match="wider than the step"):
+        curves.interval_lookup(values, steps, ["plane"], "v", 0.1, 1).collect()

@@ -65,3 +65,20 @@ def test_pair_count_beyond_a_long(spark):
     df = spark.createDataFrame([(4_000_000_000, 5_000_000_000)], "m long, n long")
     got = df.select(F.col("m").cast("decimal(19,0)") * F.col("n").cast("decimal(18,0)")).first()[0]
     assert int(got) == 20_000_000_000_000_000_000
+
+
+def test_nearest_pairs_in_one_or_many_ranges(spark):
+    rows, df = make(spark)
+    rows += [(90, 2, 0, float(t)) for t in range(300)] + [(90, 2, 1, 250.0)] * 2  # one hot channel
+    df = spark.createDataFrame(rows, df.schema)
+    want = []
+    for f, c, e, t in rows:
+        later = [t2 for f2, c2, e2, t2 in rows if (f2, c2, e2) == (f, c, 1) and t2 > t]
+        if e == 0 and later:
+            want.append((f, c, t, min(later), min(later) - t))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for ranges in (1, 30):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        got = sorted(map(tuple, edges.nearest_pairs(df, ["frame_id", "ch"]).collect()))
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert got == sorted(want)

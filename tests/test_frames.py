@@ -124,3 +124,9 @@ def test_cuts_drop_undecided_rows(spark):
 def test_edge_wire_veto(spark):
     df = spark.createDataFrame([(0,), (1,), (14,), (15,)], "id0 int")
     assert [r[0] for r in df.where(frames.edge_wire_veto(15)).collect()] == [1, 14]
+
+
+def test_multiplicity_with_and_without_a_lower_bound(spark):
+    df = spark.createDataFrame([(1, 1), (2, 3), (7, 2), (0, 6)], "size_x int, size_y int")
+    assert df.where(frames.multiplicity_cut(7)).count() == 1
+    assert df.where(frames.multiplicity_cut(7, above=None)).count() == 3

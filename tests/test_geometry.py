@@ -79,3 +79,13 @@ def test_strip_position(spark):
     assert got[0] == pytest.approx((0.5, 6 * 2.55 + 0.5 - 1.275))
     assert got[1] == pytest.approx((-0.5, 6 * 2.55 - 0.5 - 1.275))
     assert got[2] == (None, None)
+
+
+def test_mirror_fix_turns_the_inset_round(spark):
+    from hitframe.functions import strip_position
+
+    df = spark.createDataFrame([(10, 0.5)], "id0 int, ins double")
+    plain, fixed = df.select(
+        strip_position("id0", "ins", 16, 1.0), strip_position("id0", "ins", 16, 1.0, mirror_fix=True)
+    ).first()
+    assert (plain, fixed) == (11.5, 10.5)

@@ -102,8 +102,9 @@ def test_strip_jobs_and_join(spark, block_table, strip_map, wire_map, tmp_path):
     cfg = replace(RPA_STRIPS, frame=MANY)
     blocks = sources.read_blocks(spark, block_table)
     events, curves, pos = (str(tmp_path / n) for n in ("events", "curves", "pos"))
-    report = jobs.strip_events(blocks, strip_map, cfg, events).first()
-    assert report.n_triggers == 120 and 0 <= report.efficiency <= 100
+    report = jobs.strip_events(blocks, strip_map, cfg, events).collect()
+    assert {r.runname for r in report} == {"run1", "run2"} and sum(r.n_triggers for r in report) == 120
+    assert all(0 <= r.efficiency <= 100 for r in report)
 
     table = sources.read_stage(spark, events)
     assert table.groupBy(*MANY).count().where("count > 1").isEmpty()
@@ -119,6 +120,39 @@ def test_strip_jobs_and_join(spark, block_table, strip_map, wire_map, tmp_path):
     )
     out = str(tmp_path / "joined")
     jobs.join(strips, wires, replace(WireConfig(), frame=MANY), out)
-    joined = spark.read.parquet(out)
+    joined = sources.read_stage(spark, out)
     assert joined.count() == strips.where(F.col("frame_id") < 30).count()
-    assert joined.columns[:4] == ["runname", "frame_id", "sr_pos_x", "sr_pos_y"]
+    assert joined.columns[:3] == ["frame_id", "sr_pos_x", "sr_pos_y"]
+    # another run leaves the first two in place
+    jobs.join(strips.where("runname = 'run1'").drop("runname"), wires.where("runname = 'run1'").drop("runname"), WireConfig(), out, "0039")
+    assert {r.runname for r in sources.read_stage(spark, out).select("runname").distinct().collect()} == {"run1", "run2", "0039"}
+
+
+def test_efficiency_counts_the_runs_of_the_call(spark, block_table, strip_map, tmp_path):
+    """Several calls write into one folder; a label that looks like a number stays text."""
+    cfg = replace(RPA_STRIPS, frame=("frame_id",))
+    one = sources.read_blocks(spark, block_table).where("runname = 'run1'").drop("runname")
+    events = str(tmp_path / "events")
+    first = [tuple(r) for r in jobs.strip_events(one, strip_map, cfg, events, "0039").collect()]
+    second = [tuple(r) for r in jobs.strip_events(one, strip_map, cfg, events, "0040").collect()]
+    again = [tuple(r) for r in jobs.strip_events(one, strip_map, cfg, events, "0039").collect()]
+    assert [r[0] for r in first + second] == ["0039", "0040"]
+    assert first[0][1:] == second[0][1:] == again[0][1:]
+    stage = sources.read_stage(spark, events, "0039")
+    assert not stage.isEmpty() and dict(stage.dtypes)["runname"] == "string"
+
+
+def test_query_and_job_calibrate_on_the_same_leads(spark, tmp_path):
+    from hitframe.plans import calibration, wire
+    from hitframe.workloads import views as V
+
+    sf = "/root/testdata/sf0.01"
+    leads = wire.complete_leads(V.chain_mapped(spark, sf), V.CHAIN)
+    assert leads.groupBy("frame_id").count().where(f"count != {len(V.CHAIN.planes)}").isEmpty()
+    out = str(tmp_path / "leads")
+    sources.write_stage(leads, out, "1")
+    curves = lambda df: calibration.drift_curves(
+        df, V.CHAIN, ["plane"], V.CHAIN_BOX, V.CHAIN_TIME_BINS, V.CHAIN_CHARGE_BINS
+    )
+    a, b = curves(V.chain_leads(spark, sf)), curves(sources.read_stage(spark, out))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -1,7 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from hitframe import session, sources
+from hitframe.sources import stages
 
 
 def test_padded_maps(spark, tmp_path):
@@ -93,19 +96,37 @@ def test_shared_folder_comes_from_the_session(spark):
     assert a != b and a.startswith(session.shared_folder(spark))
 
 
-class Unset:
-    """A session without the setting."""
+class Settings(dict):
+    """The part of a session that the folder is read from."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_shared_folder_is_always_a_setting():
+    warehouse = {"spark.sql.warehouse.dir": "file:/data/warehouse"}
+    assert session.shared_folder(Settings(warehouse)) == "file:///data/warehouse/_scratch"
+    named = Settings(warehouse | {"spark.checkpoint.dir": "hdfs://name/shared/"})
+    assert session.shared_folder(named) == "hdfs://name/shared"
+
 
-    def __init__(self, master):
-        self.conf = self
-        self.sparkContext = type("Context", (), {"master": master})()
+def test_scratch_tables_can_be_dropped(spark, tmp_path):
+    mark = session.scratch_mark(spark)
+    df = stages.materialise(spark.range(5).toDF("n"), "gone")
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    session.drop_scratch(spark, mark)
+    assert not os.path.exists(path) and session.scratch_mark(spark) == mark
 
-    def get(self, key, default=None):
-        return default
 
+def test_curve_file_without_a_run_in_its_name_is_an_error(spark, tmp_path):
+    from pyspark.errors import PySparkException
 
-def test_only_a_local_session_may_go_without_a_shared_folder():
-    folder = session.shared_folder(Unset("local[2]"))
-    assert folder == session.shared_folder(Unset("local[2]"))
-    with pytest.raises(ValueError):
-        session.shared_folder(Unset("yarn"))
+    (tmp_path / "curves").mkdir()
+    (tmp_path / "curves" / "x1_run7.csv").write_text("histy_x,tx\n1.0,0.5\n")
+    found = lambda: sources.read_curve_files(spark, str(tmp_path / "curves"), r"(\w+)_run(\d+)")
+    assert [tuple(r) for r in found().collect()] == [(1.0, 0.5, "7", "x1")]
+    (tmp_path / "curves" / "other.csv").write_text("histy_x,tx\n1.0,0.5\n")
+    with pytest.raises(PySparkException, match="no plane and run"):
+        found().collect()

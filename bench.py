@@ -39,6 +39,7 @@ def timed(run) -> float:
 
 
 def main() -> None:
+    from hitframe.session import drop_scratch
     from hitframe.workloads.catalog import QUERIES
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -51,6 +52,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SCRATCH", os.path.abspath("spark-warehouse/_bench")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,6 +66,7 @@ def main() -> None:
     for name, run in runs.items():
         timed(run)
         times[name] = round(min(timed(run), timed(run)), 3)
+        drop_scratch(spark)
     headline = {n: t for n, t in times.items() if not n.startswith("naive_")}
     print(
         json.dumps(

@@ -1,160 +1,134 @@
-"""Naive plan shapes of some operators, as a baseline for the ones in use.
+"""Plain SQL for some operators, as a baseline for the plans in use.
 
-Same results, obvious plans: one group and one join per plane, a range condition
-as it stands, and a global sort before the lists are collected.
+The same results from the shape one writes first: every list is ranked in a window
+over its frame, every plane or side is a subquery of its own, and all of them meet in
+joins. Inputs that are not what is compared (curves, views) are built by the package.
 """
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
+from functools import cache
 
 from hitframe.operators import curves, hits
 from hitframe.plans import strip
+from hitframe.sources import materialise
 from hitframe.workloads import catalog as K
 from hitframe.workloads import views as V
 
 
+def _sql(spark, text, **views):
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(text)
+
+
+def _first(table, member, columns, by):
+    """The leading row of one plane or side, with columns named after it."""
+    cells = ", ".join(f"{c} AS {member}_{c}" for c in columns)
+    return f"(SELECT frame_id, {cells} FROM {table} WHERE {by} = '{member}' AND rn = 1) {member}"
+
+
 def plane_coincidence(spark, sf):
     h = V.hits(spark, sf)
-    w = Window.partitionBy("frame_id").orderBy("tcal", "tdc_raw")
-    t0 = (
-        K._trigger_hits(h)
-        .withColumn("rn", F.row_number().over(w))
-        .where("rn = 1")
-        .select("frame_id", F.col("tcal").alias("t0"), "tdc_raw")
-    )
-    cut = (
-        K._wire_like_hits(h)
-        .join(t0.drop("tdc_raw"), "frame_id")
-        .withColumn("timing", F.col("tcal") - F.col("t0"))
-        .where("charge > 10 and charge < 150")
+    planes = [f"p{i}" for i in K.PLANES]
+    sides = " JOIN ".join(
+        _first("ranked", p, ("id", "charge", "timing", "size"), "plane") + (" USING (frame_id)" if p != "p0" else "")
+        for p in planes
     )
-    out = cut.select("frame_id").dropDuplicates()
-    for i in K.PLANES:
-        one = (
-            cut.where(F.col("plane_no") == i)
-            .withColumn("id", F.col("ch") % 25)
-            .orderBy(F.col("charge").desc())
-            .groupBy("frame_id")
-            .agg(*[F.collect_list(c).alias(f"p{i}_{c}") for c in ("id", "charge", "timing")])
-        )
-        out = out.join(one, "frame_id")
-    out = out.join(t0, "frame_id")
-    return out.select(
-        "frame_id",
-        "tdc_raw",
-        *[
-            F.try_element_at(f"p{i}_{c}", F.lit(1)).alias(f"p{i}_{c}0")
-            for i in K.PLANES
-            for c in ("id", "charge", "timing")
-        ],
-        *[F.size(f"p{i}_id").alias(f"p{i}_size") for i in K.PLANES],
+    return _sql(
+        spark,
+        f"""WITH zero AS (
+            SELECT frame_id, tcal AS t0, tdc_raw FROM (
+              SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY tcal, tdc_raw) AS rn FROM naive_triggers)
+            WHERE rn = 1),
+        cut AS (
+            SELECT frame_id, concat('p', plane_no) AS plane, ch % 25 AS id, charge, tcal - t0 AS timing, tdc_raw
+            FROM naive_hits JOIN zero USING (frame_id) WHERE charge > 10 AND charge < 150),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY frame_id, plane ORDER BY charge DESC, id, timing) AS rn,
+              count(*) OVER (PARTITION BY frame_id, plane) AS size FROM cut)
+        SELECT * FROM {sides} JOIN (SELECT frame_id, tdc_raw FROM zero) USING (frame_id)""",
+        naive_triggers=K._trigger_hits(h),
+        naive_hits=K._wire_like_hits(h).drop("tdc_raw"),
     )
 
 
 def interval_lookup(spark, sf):
-    h = V.hits(spark, sf).select("event_id", "plane_no", "charge", "u")
-    steps = curves.curve_intervals(K._charge_curves(spark, sf), ["plane_no"])
-    steps = steps.withColumnRenamed("plane_no", "of_plane")
-    match = (
-        (F.col("plane_no") == F.col("of_plane"))
-        & (F.col("charge") >= F.col("lo"))
-        & (F.col("charge") < F.col("hi"))
+    return _sql(
+        spark,
+        """SELECT event_id, h.plane_no, charge, (tx_lo + (tx_hi - tx_lo) * u) * 1.5D AS dl
+        FROM naive_hits h LEFT JOIN naive_steps s
+        ON h.plane_no = s.plane_no AND charge >= lo AND charge < hi""",
+        naive_hits=V.hits(spark, sf),
+        naive_steps=curves.curve_intervals(K._charge_curves(spark, sf), ["plane_no"]),
     )
-    # per plane, as one curve file per plane is looked up: only the range remains
-    out = None
-    for i in K.PLANES:
-        part = h.where(F.col("plane_no") == i).join(
-            steps.where(F.col("of_plane") == i), match, "left"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("dl", curves.interpolate(F.col("u"), 1.5)).select(
-        "event_id", "plane_no", "charge", "dl"
+
+
+def _slots(table, keys, slots):
+    cells = ", ".join(
+        f"max(CASE WHEN rn = {i + 1} THEN {c} END) AS {c}{i}" for c, k in slots.items() for i in range(k)
     )
+    return f"SELECT {keys}, max(n) AS size, {cells} FROM {table} GROUP BY {keys}"
 
 
 def ordered_hit_slots(spark, sf):
-    lists = (
-        V.strips(spark, sf)
-        .orderBy(F.col("charge").desc(), "id", "tie")
-        .groupBy("frame_id", "side")
-        .agg(F.collect_list("id").alias("id"), F.collect_list("charge").alias("charge"))
-    )
-    return lists.select(
-        "frame_id",
-        "side",
-        F.size("id").alias("size"),
-        *[F.try_element_at(c, F.lit(i + 1)).alias(f"{c}{i}") for c in ("id", "charge") for i in range(3)],
+    return _sql(
+        spark,
+        f"""WITH ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY frame_id, side ORDER BY charge DESC, id, tie) AS rn,
+              count(*) OVER (PARTITION BY frame_id, side) AS n FROM naive_strips)
+        {_slots('ranked', 'frame_id, side', {'id': 3, 'charge': 3})}""",
+        naive_strips=V.strips(spark, sf),
     )
 
 
 def strip_chain_slots(spark, sf):
-    """Full product of the edges, one grouped list per side, outer join."""
-    blocks = V.strip_blocks(spark, sf)
-    cfg = V.STRIP_CHAIN
-    t0 = hits.earliest_time(hits.anode_hits(blocks, cfg, "mid"))
-    timed = strip.timed_edges(hits.strip_edges(blocks, cfg, "mid"), t0, cfg)
-    lead = timed.where("edge = 0").select("frame_id", "ch", "timing")
-    trail = timed.where("edge = 1").select("frame_id", "ch", F.col("timing").alias("t2"))
-    pairs = lead.join(trail, ["frame_id", "ch"]).withColumn("charge", F.col("t2") - F.col("timing"))
-    out = None
-    for s in cfg.sides:
-        chmap = V.strip_map(spark).where(F.col("side") == s)
-        lists = (
-            pairs.join(chmap, "ch")
-            .orderBy(F.col("charge").desc())
-            .groupBy("frame_id")
-            .agg(*[F.collect_list(c).alias(c) for c in ("id", "timing", "charge")])
-        )
-        one = lists.select(
-            "frame_id",
-            F.size("id").alias(f"size_{s}"),
-            *[
-                F.try_element_at(c, F.lit(i + 1)).alias(f"{c}{i}_{s}")
-                for c, k in (("id", 3), ("charge", 3), ("timing", 1))
-                for i in range(k)
-            ],
-        )
-        out = one if out is None else out.join(one, "frame_id", "outer")
-    return out
+    """Every leading edge with every trailing one of its channel, then ranked."""
+    blocks, cfg = V.strip_blocks(spark, sf), V.STRIP_CHAIN
+    zero = hits.earliest_time(hits.anode_hits(blocks, cfg, "mid"))
+    wanted = {"id": 3, "charge": 3, "timing": 1}
+    return _sql(
+        spark,
+        f"""WITH pairs AS (
+            SELECT l.frame_id, m.side, m.id, l.timing, t.timing - l.timing AS charge
+            FROM naive_edges l JOIN naive_edges t ON l.frame_id = t.frame_id AND l.ch = t.ch
+            JOIN naive_map m ON m.ch = l.ch WHERE l.edge = 0 AND t.edge = 1),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY frame_id, side ORDER BY charge DESC, id, timing) AS rn,
+              count(*) OVER (PARTITION BY frame_id, side) AS n FROM pairs),
+        slots AS ({_slots('ranked', 'frame_id, side', wanted)})
+        SELECT * FROM (SELECT * FROM slots WHERE side = 'x') x
+        FULL JOIN (SELECT * FROM slots WHERE side = 'y') y USING (frame_id)""",
+        naive_edges=strip.timed_edges(hits.strip_edges(blocks, cfg, "mid"), zero, cfg),
+        naive_map=V.strip_map(spark),
+    )
+
+
+@cache
+def _curve_steps(spark, sf):
+    """Written once and outside of the time measured, as curves come from files."""
+    found = V.chain_curves(V.chain_leads(spark, sf))
+    return materialise(curves.curve_intervals(found, ["plane"]), "naive-steps")
 
 
 def drift_length(spark, sf):
-    """One group per plane, joined; then one range join and one join-back per plane."""
     cfg, blocks = V.CHAIN, V.wire_blocks(spark, sf)
     anode = hits.anode_hits(blocks, cfg, "mid")
-    w = Window.partitionBy("frame_id").orderBy("tcal")
-    t0 = anode.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
-    mapped = hits.map_channels(
-        hits.wire_hits(blocks, cfg, "mid"),
-        hits.wire_channel_map(V.wire_map(spark), cfg),
-        ["femId", "ch"],
+    known = hits.map_channels(
+        hits.wire_hits(blocks, cfg, "mid"), hits.wire_channel_map(V.wire_map(spark), cfg), ["femId", "ch"]
+    )
+    cut = hits.subtract_time_zero(known, hits.earliest_time(anode)).where(hits.wire_cut(cfg))
+    return _sql(
+        spark,
+        f"""WITH ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY frame_id, plane ORDER BY charge DESC, id, timing) AS rn
+            FROM naive_cut),
+        leads AS (SELECT frame_id, plane, id AS id0, timing AS timing0 FROM ranked WHERE rn = 1),
+        complete AS (SELECT frame_id FROM leads GROUP BY frame_id HAVING count(*) = {len(cfg.planes)})
+        SELECT l.*, (tx_lo + (tx_hi - tx_lo) * 0.5D) * {cfg.half_cell}D AS dl
+        FROM leads l JOIN complete USING (frame_id) LEFT JOIN naive_steps s
+        ON l.plane = s.plane AND timing0 >= lo AND timing0 < hi""",
+        naive_cut=cut,
+        naive_steps=_curve_steps(spark, sf),
     )
-    cut = hits.subtract_time_zero(
-        mapped, t0.select("frame_id", F.col("tcal").alias("t0"))
-    ).where(hits.wire_cut(cfg))
-    wide = cut.select("frame_id").dropDuplicates()
-    for p in cfg.planes:
-        one = (
-            cut.where(F.col("plane") == p)
-            .orderBy(F.col("charge").desc())
-            .groupBy("frame_id")
-            .agg(*[F.collect_list(c).alias(f"{p}_{c}") for c in ("id", "timing", "charge")])
-        )
-        wide = wide.join(one, "frame_id")
-    leads = V.chain_leads(spark, sf)
-    steps = curves.curve_intervals(V.chain_curves(leads), ["plane"])
-    out = wide.select("frame_id")
-    for p in cfg.planes:
-        first = wide.select(
-            "frame_id", F.try_element_at(f"{p}_timing", F.lit(1)).alias("timing0")
-        )
-        curve = steps.where(F.col("plane") == p)
-        found = first.join(
-            curve, (F.col("timing0") >= F.col("lo")) & (F.col("timing0") < F.col("hi")), "left"
-        )
-        dl = curves.interpolate(F.lit(0.5), cfg.half_cell)
-        out = out.join(found.select("frame_id", dl.alias(f"{p}_dl")), "frame_id", "left")
-    return out
 
 
 NAIVE = {

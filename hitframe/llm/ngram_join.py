@@ -5,12 +5,12 @@ from __future__ import annotations
 import hashlib
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitframe.sources.stages import materialise
 
-from .common import LOWER, WORD, for_python
+from .common import BLANKS, for_python
 from .components import components
 
 SHINGLE = 5
@@ -22,46 +22,75 @@ ORDER_BITS = 16
 ROUNDS = 4
 # postings with more members than this get another pivot round
 LARGE = 64
-CACHED = 1 << 18
+# 64-bit words of a set's parity sketch
+SKETCH_WORDS = 16
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> dict[str, int]:
-    return {}
+def _number(name: str, i: int) -> int:
+    """A fixed odd 64-bit number."""
+    return int.from_bytes(hashlib.blake2b(f"{name} {i}".encode(), digest_size=8).digest(), "big") | 1
 
 
 @lru_cache(maxsize=4)
 def _factors(n: int):
-    """Odd 64-bit factors, one per place of a shingle, and one per length below n."""
+    """One factor per place of a shingle, one per length below n, and one to mix with."""
+    import numpy as np
+
+    return np.array([_number("place", i) for i in range(2 * n)], np.uint64)
+
+
+@lru_cache(maxsize=1)
+def _letters():
+    """A number for each byte, and which bytes are white space."""
     import numpy as np
 
-    digest = lambda i: hashlib.blake2b(b"place %d" % i, digest_size=8).digest()
-    return np.array([int.from_bytes(digest(i), "big") | 1 for i in range(2 * n)], np.uint64)
+    blank = np.zeros(256, bool)
+    blank[[ord(c) for c in BLANKS]] = True
+    return np.array([_number("byte", i) for i in range(256)], np.uint64), blank
+
+
+@lru_cache(maxsize=8)
+def _powers(bits: int):
+    """Powers of an odd number and of its inverse in 64 bits, 2**bits of each."""
+    import numpy as np
+
+    base = _number("base", 0)
+    run = lambda x: np.cumprod(np.full(1 << bits, x, np.uint64), dtype=np.uint64)
+    return run(base), run(pow(base, -1, 1 << 64))
+
+
+def word_hashes(text: str):
+    """A 64-bit hash of each word, lower-cased for A-Z, cut at [\x20\x09-\x0D].
+
+    A word is the sum of its bytes' numbers times powers by place. All words come from
+    one running sum over the text: the part between a word's ends, shifted back.
+    """
+    import numpy as np
+
+    letters, blank = _letters()
+    data = np.frombuffer(text.encode().lower(), np.uint8)
+    ends = np.flatnonzero(np.diff(blank[data], prepend=True, append=True))
+    powers, inverse = _powers(max(12, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(letters[data] * powers[: len(data)], out=sums[1:])
+    hashes = (sums[ends[1::2]] - sums[ends[::2]]) * inverse[ends[::2]]
+    hashes ^= hashes >> np.uint64(32)
+    return hashes * _factors(1)[0]
 
 
 def shingle_set(text: str | None, n: int = SHINGLE):
     """Sorted distinct 64-bit hashes of the n-word shingles of the whole text.
 
-    A text of fewer than n words is one shingle; one without words has none. Words
-    are hashed to 64 bits and a shingle is a mixed sum of words times place factors,
-    so unequal shingles of two texts meet with a probability of some 2**-64 each.
+    A text of fewer than n words is one shingle; one without words has none. A shingle
+    is a mixed sum of word hashes times place factors, so unequal shingles of two
+    texts meet with a probability of some 2**-60 each.
     """
     import numpy as np
-    import xxhash
-
-    known = _word_hashes()
-    if len(known) > CACHED:
-        known.clear()
-    words = WORD.findall((text or "").translate(LOWER))
-    if not words:
-        return np.empty(0, np.uint64)
-    try:
-        hashes = [known[w] for w in words]
-    except KeyError:
-        for w in {*words}.difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        hashes = [known[w] for w in words]
-    hashes, factors = np.array(hashes, np.uint64), _factors(n)
+
+    hashes = word_hashes(text or "")
+    if not len(hashes):
+        return hashes
+    factors = _factors(n)
     size = min(n, len(hashes))
     count = len(hashes) - size + 1
     mixed = np.full(count, factors[n + size - 1])
@@ -70,7 +99,8 @@ def shingle_set(text: str | None, n: int = SHINGLE):
     mixed ^= mixed >> np.uint64(29)
     mixed *= factors[n]
     mixed ^= mixed >> np.uint64(32)
-    return np.unique(mixed)
+    mixed.sort()
+    return mixed[np.diff(mixed, prepend=~mixed[:1]) != 0]
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -90,9 +120,9 @@ def _digests(docs: DataFrame, shingle: int) -> DataFrame:
         counts = np.zeros(places, np.int64)
         for batch in batches:
             sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
-            for s in sets:
-                np.add.at(counts, (s >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
             rows = len(sets)
+            classes = np.concatenate([*sets, np.empty(0, np.uint64)]) >> np.uint64(64 - ORDER_BITS)
+            counts += np.bincount(classes.astype(np.int64), minlength=places)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -209,10 +239,59 @@ def _shared(postings: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "token long, id long, n long")
 
 
+def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """``(id, n, s0, s1, ...)``: size and parity sketch of each set.
+
+    Every shingle flips one of the bits. Two sketches differ in no more bits than
+    the sets have unshared shingles, which bounds their distance from below.
+    """
+    names = [f"s{i}" for i in range(SKETCH_WORDS)]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        bits = 64 * SKETCH_WORDS
+        for batch in batches:
+            rows = np.zeros((batch.num_rows, SKETCH_WORDS), np.int64)
+            sizes = []
+            for at, text in enumerate(batch.column(1).to_pylist()):
+                s = shingle_set(text, shingle)
+                flips = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+                rows[at] = np.packbits(flips.astype(np.uint8)).view(np.int64)
+                sizes.append(len(s))
+            words = [pa.array(rows[:, i].copy()) for i in range(SKETCH_WORDS)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), *words], names=["id", "n", *names]
+            )
+
+    schema = "id long, n long, " + ", ".join(f"{x} long" for x in names)
+    return docs.select("_id", "_text").mapInArrow(run, schema)
+
+
+def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``(a, b, bound)``: a distance that the pair has at least, from sizes and sketches."""
+    words = range(SKETCH_WORDS)
+
+    def named(side: str) -> DataFrame:
+        return sketches.select(
+            F.col("id").alias(side), F.col("n").alias(f"_n{side}"), *[F.col(f"s{i}").alias(f"_{side}{i}") for i in words]
+        )
+
+    differing = F.lit(0)
+    for i in words:
+        differing = differing + F.bit_count(F.col(f"_a{i}").bitwiseXOR(F.col(f"_b{i}")))
+    unshared = F.greatest(differing.cast("long"), F.abs(F.col("_na") - F.col("_nb")))
+    both = pairs.join(named("b"), "b").join(named("a"), "a")
+    return both.select("a", "b", (2 * unshared / (F.col("_na") + F.col("_nb") + unshared)).alias("bound"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """``(a, b, common, whole)`` of distinct pairs, from the two whole texts."""
-    named = lambda side: docs.select(F.col("_id").alias(side), F.col("_text").alias(f"_text_{side}"))
-    # a is the pivot: its text comes last and is not shuffled with every pair
+
+    def named(side: str) -> DataFrame:
+        return docs.select(F.col("_id").alias(side), F.col("_text").alias(f"_text_{side}"))
+
     whole = pairs.join(named("b"), "b").join(named("a"), "a")
 
     def run(batches):
@@ -224,7 +303,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
             a, b, text_a, text_b = [c.to_pylist() for c in batch.columns]
             common, union = [], []
             for i in range(len(a)):
-                if (a[i], text_a[i]) != last:  # pairs of a pivot come one after another
+                if (a[i], text_a[i]) != last:  # pairs of one a come one after another
                     last, left = (a[i], text_a[i]), shingle_set(text_a[i], shingle)
                 right = shingle_set(text_b[i], shingle)
                 both = len(np.intersect1d(left, right, assume_unique=True))
@@ -235,57 +314,70 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
                 names=["a", "b", "common", "whole"],
             )
 
-    checked = whole.select("a", "b", "_text_a", "_text_b").mapInArrow(
+    return whole.select("a", "b", "_text_a", "_text_b").mapInArrow(
         run, "a long, b long, common long, whole long"
     )
-    return materialise(checked, "verified-pairs")
 
 
-def _may_link(n1: str, n2: str, percent: int):
+def _may_link(n1: str, n2: str, percent: int) -> Column:
     """Sizes that do not rule a link out."""
     return (F.col(n1) * 100 >= F.col(n2) * percent) & (F.col(n2) * 100 >= F.col(n1) * percent)
 
 
+def _ordered(a: str, b: str) -> tuple[Column, Column]:
+    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+
+
 def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links between distinct sets: enough of them to connect all that are connected.
 
-    The sets that share a token are a region with the smallest id as its pivot, and
-    their exact distances to the pivot are known after a round. Those within the
-    link distance r of it (the ball) are connected through it and need no more
-    comparison among each other. By the triangle inequality a set at distance x can
-    link to a ball member at distance y only if x - y <= r, so only the sets up to
-    2r away are replicated against the ball, each against the window that it can
-    reach. All sets outside the ball go on as a smaller region with another pivot;
-    small regions and what is left after the last round are joined directly.
+    The sets that share a token are a region. Its pivot is the set of which most
+    tokens are shared, as the common origin of copies is. After a round the distances
+    to the pivot are known, exact within the link distance r and bounded from below
+    beyond it. Those within r (the ball) are connected through the pivot and need no
+    more comparison among each other. By the triangle inequality a set at distance x
+    can link to a ball member at distance y only if x - y <= r, so only sets up to 2r
+    away are replicated against the ball, each against the window that it can reach.
+    The sets outside the ball are a smaller region: a large one goes on with another
+    pivot, a small one, or what is left after the last round, is joined directly. No
+    pair is compared twice, and texts are read only for pairs that no bound excludes.
     """
     # distances of small whole numbers differ by far more than this allowance
     radius = (100 - percent) / 100 + 1e-9
-    region, done = shared, []
-    for at in range(ROUNDS + 1):
-        heads = region.groupBy("token").agg(
-            F.min("id").alias("pivot"), F.count(F.lit(1)).alias("_members")
+    sketches = materialise(_sketches(docs, shingle), "sketches")
+    degrees = shared.groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("_n"))
+    prefix = F.col("_n") - F.ceil(F.col("_n") * percent / 100) + 1
+    weights = degrees.select("id", (F.col("_shared") / prefix).alias("weight"))
+    region = materialise(shared.join(weights, "id").select("token", "id", "n", "weight"), "region")
+    small, done = None, None
+
+    def compare(pairs: DataFrame) -> None:
+        """Bound or verify the pairs not seen yet and remember them."""
+        nonlocal done
+        new = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
+        bounded = materialise(_bounded(new, sketches), "bounded-pairs")
+        close = bounded.where(F.col("bound") <= radius).select("a", "b")
+        exact = _verified(close, docs, shingle).select(
+            "a",
+            "b",
+            (1 - F.col("common") / F.col("whole")).alias("d"),
+            (F.col("common") * 100 >= F.col("whole") * percent).alias("linked"),
         )
-        if at == ROUNDS or (at and heads.where(F.col("_members") > LARGE).isEmpty()):
-            break
-        pivots = shared.select(F.col("id").alias("pivot"), F.col("n").alias("_np")).distinct()
-        members = region.join(heads.drop("_members"), "token").where("id != pivot").join(pivots, "pivot")
-        pairs = members.where(_may_link("n", "_np", percent)).select(
-            F.col("pivot").alias("a"), F.col("id").alias("b")
-        )
-        found = _verified(pairs.distinct(), docs, shingle)
-        done.append(found)
-        distances = found.select(
-            F.col("a").alias("pivot"), F.col("b").alias("id"), (1 - F.col("common") / F.col("whole")).alias("d")
+        far = bounded.where(F.col("bound") > radius)
+        found = materialise(exact, "verified-pairs").unionByName(
+            far.select("a", "b", F.col("bound").alias("d"), F.lit(False).alias("linked"))
         )
-        # where sizes rule a link out they give a lower bound of the distance, which is
-        # beyond the radius and serves the windows as well
-        apart = 1 - F.least("n", "_np") / F.greatest("n", "_np")
-        measured = materialise(
-            members.join(distances, ["pivot", "id"], "left").select(
-                "token", "id", "n", F.coalesce("d", apart).alias("d")
-            ),
-            "regions",
+        done = found if done is None else done.unionByName(found)
+
+    for _ in range(ROUNDS):
+        heads = region.groupBy("token").agg(F.max_by("id", "weight").alias("pivot"))
+        # written once: of equal weights any may lead, but always the same one
+        members = materialise(region.join(heads, "token").where("id != pivot"), "members")
+        compare(members.select(*_ordered("pivot", "id")))
+        distances = done.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "d").unionByName(
+            done.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "d")
         )
+        measured = materialise(members.join(distances, ["pivot", "id"]), "measured")
         inside, outside = measured.where(F.col("d") <= radius), measured.where(F.col("d") > radius)
         ball = inside.select("token", F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("d").alias("_db"))
         edge = (
@@ -293,22 +385,19 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
             .join(ball, "token")
             .where(_may_link("n", "_nb", percent) & (F.col("d") - F.col("_db") <= radius))
         )
-        done.append(
-            _verified(
-                edge.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct(),
-                docs,
-                shingle,
-            )
-        )
-        region = outside.select("token", "id", "n")
-    other = region.select("token", F.col("id").alias("b"), F.col("n").alias("_nb"))
-    rest = region.join(other, "token").where((F.col("id") < F.col("b")) & _may_link("n", "_nb", percent))
-    done.append(_verified(rest.select(F.col("id").alias("a"), "b").distinct(), docs, shingle))
-    linked = [d.where(F.col("common") * 100 >= F.col("whole") * percent).select("a", "b") for d in done]
-    out = linked[0]
-    for more in linked[1:]:
-        out = out.unionByName(more)
-    return out
+        compare(edge.select(*_ordered("id", "b")))
+        left = outside.select(*region.columns)
+        large = left.groupBy("token").count().where(F.col("count") > LARGE).select("token")
+        direct = left.join(large, "token", "left_anti")
+        small = direct if small is None else small.unionByName(direct)
+        region = materialise(left.join(large, "token", "left_semi"), "large-regions")
+        if region.isEmpty():
+            break
+    rest = small.unionByName(region)
+    other = rest.select("token", F.col("id").alias("b"), F.col("n").alias("_nb"))
+    pairs = rest.join(other, "token").where((F.col("id") < F.col("b")) & _may_link("n", "_nb", percent))
+    compare(pairs.select(F.col("id").alias("a"), "b"))
+    return done.where("linked").select("a", "b")
 
 
 def jaccard_components(

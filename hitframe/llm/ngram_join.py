@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+from decimal import Decimal
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitframe.session import scratch_path
 from hitframe.sources.stages import materialise
 
 from .common import BLANKS, for_python
@@ -23,7 +25,7 @@ ROUNDS = 4
 # postings with more members than this get another pivot round
 LARGE = 64
 # 64-bit words of a set's parity sketch
-SKETCH_WORDS = 16
+SKETCH_WORDS = 8
 
 
 def _number(name: str, i: int) -> int:
@@ -269,21 +271,34 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, schema)
 
 
-def _bounded(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``(a, b, bound)``: a distance that the pair has at least, from sizes and sketches."""
-    words = range(SKETCH_WORDS)
+def _sketched(rows: DataFrame, sketches: DataFrame, side: str) -> DataFrame:
+    """Rows with the size and the sketch of the set in the column ``side``."""
+    words = [F.col(f"s{i}").alias(f"_{side}{i}") for i in range(SKETCH_WORDS)]
+    return rows.join(sketches.select(F.col("id").alias(side), F.col("n").alias(f"_n{side}"), *words), side)
 
-    def named(side: str) -> DataFrame:
-        return sketches.select(
-            F.col("id").alias(side), F.col("n").alias(f"_n{side}"), *[F.col(f"s{i}").alias(f"_{side}{i}") for i in words]
-        )
 
+def _bound() -> Column:
+    """A distance that the sets a and b have at least, from their sizes and sketches."""
     differing = F.lit(0)
-    for i in words:
+    for i in range(SKETCH_WORDS):
         differing = differing + F.bit_count(F.col(f"_a{i}").bitwiseXOR(F.col(f"_b{i}")))
     unshared = F.greatest(differing.cast("long"), F.abs(F.col("_na") - F.col("_nb")))
-    both = pairs.join(named("b"), "b").join(named("a"), "a")
-    return both.select("a", "b", (2 * unshared / (F.col("_na") + F.col("_nb") + unshared)).alias("bound"))
+    return 2 * unshared / (F.col("_na") + F.col("_nb") + unshared)
+
+
+def _by_id(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The texts as a table bucketed by id, and its name.
+
+    They are joined again and again; the buckets keep them from being shuffled with
+    each join, only the narrow pairs move.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "candidates")
+    name = "candidates_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = docs.repartition(buckets, "_id").write.bucketBy(buckets, "_id").sortBy("_id")
+    writer.option("path", path).saveAsTable(name)
+    return spark.table(name), name
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
@@ -347,7 +362,11 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     sketches = materialise(_sketches(docs, shingle), "sketches")
     degrees = shared.groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("_n"))
     prefix = F.col("_n") - F.ceil(F.col("_n") * percent / 100) + 1
-    weights = degrees.select("id", (F.col("_shared") / prefix).alias("weight"))
+    # the share of shared tokens, then the smallest id, in one decimal that hash
+    # aggregates can hold: all tokens of a group of copies agree on one pivot
+    share = F.floor(F.col("_shared") / prefix * 1_000_000).cast("decimal(10,0)") * F.lit(Decimal(10**20))
+    place = F.lit(Decimal(2**63 - 1)) - F.col("id").cast("decimal(20,0)")
+    weights = degrees.select("id", (share + place).cast("decimal(31,0)").alias("weight"))
     region = materialise(shared.join(weights, "id").select("token", "id", "n", "weight"), "region")
     small, done = None, None
 
@@ -355,7 +374,8 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
         """Bound or verify the pairs not seen yet and remember them."""
         nonlocal done
         new = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
-        bounded = materialise(_bounded(new, sketches), "bounded-pairs")
+        both = _sketched(_sketched(new, sketches, "b"), sketches, "a")
+        bounded = materialise(both.select("a", "b", _bound().alias("bound")), "bounded-pairs")
         close = bounded.where(F.col("bound") <= radius).select("a", "b")
         exact = _verified(close, docs, shingle).select(
             "a",
@@ -370,9 +390,10 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
         done = found if done is None else done.unionByName(found)
 
     for _ in range(ROUNDS):
-        heads = region.groupBy("token").agg(F.max_by("id", "weight").alias("pivot"))
-        # written once: of equal weights any may lead, but always the same one
-        members = materialise(region.join(heads, "token").where("id != pivot"), "members")
+        heads = region.groupBy("token").agg(F.max("weight").alias("_top"))
+        pivot = F.lit(Decimal(2**63 - 1)) - (F.col("_top") % F.lit(Decimal(10**20))).cast("decimal(20,0)")
+        heads = heads.select("token", pivot.cast("long").alias("pivot"))
+        members = region.join(heads, "token").where("id != pivot")
         compare(members.select(*_ordered("pivot", "id")))
         distances = done.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "d").unionByName(
             done.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "d")
@@ -393,10 +414,11 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
         region = materialise(left.join(large, "token", "left_semi"), "large-regions")
         if region.isEmpty():
             break
-    rest = small.unionByName(region)
-    other = rest.select("token", F.col("id").alias("b"), F.col("n").alias("_nb"))
-    pairs = rest.join(other, "token").where((F.col("id") < F.col("b")) & _may_link("n", "_nb", percent))
-    compare(pairs.select(F.col("id").alias("a"), "b"))
+    # the sketches come along, so that only pairs that no bound excludes leave the join
+    rest = materialise(small.unionByName(region).select("token", "id"), "rest")
+    one = _sketched(rest.withColumnRenamed("id", "a"), sketches, "a")
+    two = _sketched(rest.withColumnRenamed("id", "b"), sketches, "b")
+    compare(one.join(two, "token").where((F.col("a") < F.col("b")) & (_bound() <= radius)).select("a", "b"))
     return done.where("linked").select("a", "b")
 
 
@@ -426,10 +448,11 @@ def jaccard_components(
     known = texts.where("_id IS NOT NULL")
     shared = materialise(_shared(_postings(known, order, shingle, percent)), "shared-tokens")
     # only these texts are ever compared
-    candidates = materialise(
-        known.join(shared.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi"), "candidates"
+    candidates, name = _by_id(
+        known.join(shared.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi")
     )
     roots = components(_links(shared, candidates, shingle, percent))
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # the entry; the files are scratch
     classes = sets.join(roots.withColumnRenamed("id", "_first"), "_first", "left").select(
         "digest", F.coalesce("root", "_first").alias("_component")
     )

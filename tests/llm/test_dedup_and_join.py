@@ -150,6 +150,34 @@ def test_line_dedup_equals_brute_force(spark):
         assert r.source == "s"
 
 
+def test_links_of_one_bucket_connect_all_alike(spark):
+    """Chains and families whose heads resemble only some of them, all in one bucket."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    lines = []
+    for _ in range(12):
+        words = [word() for _ in range(40)]
+        for _ in range(4):
+            lines.append(" ".join(words))
+            words = list(words)
+            for at in rnd.sample(range(40), 2):
+                words[at] = word()
+    rnd.shuffle(lines)
+    sets = [{x[a : a + 8] for a in range(len(x) - 7)} for x in lines]
+    alike = [
+        (a, b)
+        for b in range(len(lines))
+        for a in range(b)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    rows = [(n, line, [n % 2]) for n, line in enumerate(lines)]
+    got = line_dedup.similar_lines(spark.createDataFrame(rows, "_n long, _line string, _bands array<long>"), 0.8)
+    found = [(r.a, r.b) for r in got.collect()]
+    assert {(min(x), max(x)) for x in found} <= {*alike}
+    want = union_find(range(len(lines)), [(a, b) for a, b in alike if a % 2 == b % 2])
+    assert union_find(range(len(lines)), found) == want
+
+
 def test_bands_recall_of_similar_lines(spark):
     """Pairs at a Jaccard index around 0.85 are found in at least nine of ten cases."""
     rnd = random.Random(1)

@@ -195,6 +195,23 @@ def test_bands_recall_of_similar_lines(spark):
     assert pairs > 50 and 0.9 * pairs <= found <= pairs
 
 
+def test_bands_recall_of_lines_with_few_words(spark):
+    """Unbroken lines and lines of long words, one letter changed."""
+    rnd = random.Random(3)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    rows = []
+    for i in range(60):
+        line = letters(201) if i % 2 else " ".join(letters(rnd.randint(18, 39)) for _ in range(4))
+        # the first letter, or the first of the last word
+        at = 0 if i % 2 else line.rindex(" ") + 1
+        rows += [(2 * i, line), (2 * i + 1, line[:at] + "z" + line[at + 1 :])]
+    want = brute_lines(rows)
+    pairs = [i for i in range(60) if not want[2 * i + 1]]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(spark, rows)).collect()}
+    assert sum(i % 2 for i in pairs) == 30 and len(pairs) > 45
+    assert sum(not got[2 * i + 1] for i in pairs) >= 0.95 * len(pairs)
+
+
 def test_line_dedup_odd_rows(spark):
     line = "a line that is long enough to count"
     rows = [(None, line), (1, line), (1, line), (2, line + "\n" + line), (None, line)]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from itertools import product
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,48 @@ NOTICES = [
     ),
 ]
 
+# Headings that these texts go by.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License",
+        "The BSD 3-Clause License",
+        'BSD 3-Clause "New" or "Revised" License',
+    ],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+
+_BSD_HEAD = """Redistribution and use in source and binary forms, with or without modification, are
+permitted provided that the following conditions are met:"""
+_BSD_CLAUSES = [
+    """Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer.""",
+    """Redistributions in binary form must reproduce the above copyright notice, this list of
+    conditions and the following disclaimer in the documentation and/or other materials provided
+    with the distribution.""",
+    """Neither the name of {holder} nor the names of its contributors may be used to endorse or
+    promote products derived from this software without specific prior written permission.""",
+]
+_BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+{owner} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+DAMAGE."""
+_ZERO_BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or
+without fee is hereby granted.
+THE SOFTWARE IS PROVIDED "AS IS" AND"""
+
+# Full texts, one file per SPDX identifier.
+TEXTS = Path(__file__).with_name("license_texts")
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
 # Spellings that licence matching takes as equal, after lower-casing.
 SPELLINGS = [
     (r"\blicence(s|d)?\b", "license$1"),
@@ -59,8 +103,14 @@ SPELLINGS = [
     (r"\bnon infringement\b", "noninfringement"),
 ]
 
-# Whole lines that name a holder and differ from copy to copy.
-_HOLDER = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved).*$"
+# Whole lines that name a holder and differ from copy to copy. A line of running text may
+# begin with these words as well, so a sign, a year or a blank to fill in has to follow.
+_HOLDER = (
+    r"(?m)^[ \t]*(copyright[ \t:]*(\(c\)|©|&copy;|[0-9]{4}|[<\[{])"
+    r"|(\(c\)|©)[ \t]*(copyright\b|[0-9]{4}|[<\[{])|all rights reserved[. \t]*$).*$"
+)
+# The SQL keeps the rule that it was written with.
+_SQL_HOLDER = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved).*$"
 _PUNCTUATION = r"[^\p{L}\p{N}]+"
 
 
@@ -74,8 +124,50 @@ def canonical(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """``(license, text)`` of the built-in notices."""
-    return spark.createDataFrame(NOTICES, "license string, text string")
+    """``(license, text)`` of the notices and full texts, with and without their headings."""
+    rows = [*NOTICES, *_short_texts(), *_full_texts()]
+    return spark.createDataFrame(rows, "license string, text string")
+
+
+def _short_texts() -> list[tuple[str, str]]:
+    """Texts of a few paragraphs, as published and under each of their headings."""
+    bodies = [(name, text) for name, text in NOTICES if "THE SOFTWARE IS PROVIDED" in text]
+    isc = dict(bodies)["ISC"]
+    bodies.append(("0BSD", _ZERO_BSD + isc.split('"AS IS" AND')[1]))
+    forms = product(
+        [2, 3],
+        [True, False],
+        ["HOLDER", "OWNER"],
+        ["the copyright holder", "the copyright holders", "copyright holder", "the University"],
+    )
+    for count, numbered, owner, holder in forms:
+        clauses = [f"{n}. {c}" if numbered else c for n, c in enumerate(_BSD_CLAUSES[:count], 1)]
+        text = "\n".join([_BSD_HEAD, *clauses, _BSD_TAIL]).format(holder=holder, owner=owner)
+        bodies.append((f"BSD-{count}-Clause", text))
+    return [
+        (name, text)
+        for name, body in dict.fromkeys(bodies)
+        for text in [body, *[f"{title}\n{body}" for title in TITLES[name]]]
+    ]
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """Long texts with and without the heading above and the instructions below the terms."""
+    out = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        forms = [text]
+        if _TERMS_END in text:
+            terms = text.split(_TERMS_END)[0]
+            forms += [terms + _TERMS_END, terms]
+        if path.stem in TITLES:  # without a heading of its own
+            out += [(path.stem, text), *[(path.stem, f"{title}\n{text}") for title in TITLES[path.stem]]]
+            continue
+        for form in forms:
+            # the heading is what stands before the first empty line
+            _, _, body = form.lstrip().partition("\n\n")
+            out += [(path.stem, form), (path.stem, body)]
+    return out
 
 
 def license_scan(
@@ -122,10 +214,10 @@ def license_scan(
 
 
 def oracle_sql() -> str:
-    """The same scan of ``documents`` in SQL."""
+    """The same scan of ``documents`` in SQL, for the notices and bodies of ``NOTICES``."""
 
     def form(column: str) -> str:
-        out = f"regexp_replace(lower(coalesce({column}, '')), '{_HOLDER}', '', 'g')"
+        out = f"regexp_replace(lower(coalesce({column}, '')), '{_SQL_HOLDER}', '', 'g')"
         out = f"regexp_replace({out}, '{_PUNCTUATION}', ' ', 'g')"
         for pattern, spelling in SPELLINGS:
             target = re.sub(r"\$(\d)", r"\\\1", spelling)

@@ -209,6 +209,25 @@ def test_notices_in_any_spelling(spark):
     assert licenses.license_scan(docs(spark, []), licenses.known_licenses(spark)).count() == 0
 
 
+def test_full_texts_with_and_without_headings(spark):
+    mit = licenses.NOTICES[-2][1]
+    full = {p.stem: p.read_text() for p in sorted(licenses.TEXTS.glob("*.txt"))}
+    bsd = dict(licenses._short_texts())["BSD-3-Clause"]
+    wrapped = mit.replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")
+    rows = list(enumerate([
+        "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + mit,
+        "The MIT License (MIT)\nCopyright 2020 Somebody\n" + wrapped,
+        "Copyright © 2019 Somebody\nAll rights reserved.\n\n" + bsd,
+        mit.replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT THIEVES"),
+        full["Apache-2.0"].split("END OF TERMS")[0],
+        *full.values(),
+    ]))
+    out = licenses.license_scan(docs(spark, rows), licenses.known_licenses(spark)).collect()
+    got = [r.whole_text for r in sorted(out, key=lambda r: r.doc_id)]
+    assert got == ["MIT", "MIT", "BSD-3-Clause", None, "Apache-2.0", *full]
+    assert {"Apache-2.0", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "CC0-1.0", "Unlicense"} <= {*full}
+
+
 # --- quotations -------------------------------------------------------------
 
 

@@ -52,30 +52,79 @@ def passage_hash(passage: str) -> bytes | None:
     return hashlib.sha256(" ".join(words).encode()).digest()[:16] if words else None
 
 
+def line_hashes(passage: str) -> list[bytes]:
+    """Digests of the lines with words in them, each once and in order."""
+    return sorted({h for line in passage.split("\n") if (h := passage_hash(line)) is not None})
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
-    """Per message its own text, and the hash of every passage with its level."""
+    """Per message its own text and lines, and every passage with its level.
+
+    Quoted passages come with the hashes of their lines.
+    """
 
     def run(batches):
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.binary())]))
+        kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.binary()), ("lines", pa.list_(pa.binary()))]))
         for batch in batches:
-            own, found = [], []
+            own, said, found = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 parts = passages(text)
                 own.append("\n\n".join(p for level, p in parts if not level))
+                said.append(line_hashes(own[-1]))
                 found.append(
-                    [{"level": level, "hash": h} for level, p in parts if (h := passage_hash(p)) is not None]
+                    [
+                        {"level": level, "hash": h, "lines": line_hashes(p) if level else []}
+                        for level, p in parts
+                        if (h := passage_hash(p)) is not None
+                    ]
                 )
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(own, pa.string()), pa.array(found, kind)],
-                names=["conv", "turn", "role", "content", "passages"],
+                [
+                    *batch.columns[:-1],
+                    pa.array(own, pa.string()),
+                    pa.array(said, pa.list_(pa.binary())),
+                    pa.array(found, kind),
+                ],
+                names=["conv", "turn", "role", "content", "lines", "passages"],
             )
 
-    schema = "conv long, turn long, role string, content string, passages array<struct<level: int, hash: binary>>"
+    schema = (
+        "conv long, turn long, role string, content string, lines array<binary>,"
+        " passages array<struct<level: int, hash: binary, lines: array<binary>>>"
+    )
     return messages.mapInArrow(run, schema)
 
 
+def _holders(parts: DataFrame, own: DataFrame) -> DataFrame:
+    """``(conv, lines, first_turn)``: the first message that has all lines of a set as its own.
+
+    Each distinct set is looked up by the line of it that the fewest messages have, and
+    the messages found are held against the others.
+    """
+    sets = materialise(parts.select("conv", "lines").distinct(), "quoted-parts")
+    each = sets.select("conv", "lines", F.explode("lines").alias("line"))
+    held = own.join(each.select("conv", "line").distinct(), ["conv", "line"], "left_semi")
+    counts = held.groupBy("conv", "line").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (
+        each.join(counts, ["conv", "line"])
+        .groupBy("conv", "lines")
+        .agg(F.min(F.struct("_n", "line")).alias("_rarest"))
+        .select("conv", "lines", F.col("_rarest.line").alias("line"))
+    )
+    messages = rarest.join(held, ["conv", "line"]).select("conv", "turn", "lines")
+    return (
+        messages.withColumn("line", F.explode("lines"))
+        .join(held, ["conv", "turn", "line"])
+        .groupBy("conv", "turn", "lines")
+        .agg(F.count(F.lit(1)).alias("_found"))
+        .where(F.col("_found") == F.size("lines"))
+        .groupBy("conv", "lines")
+        .agg(F.min("turn").alias("first_turn"))
+    )
+
+
 def _threads(parents: DataFrame) -> DataFrame:
     """``(conv, turn, root_turn, depth)`` of every message with a parent.
 
@@ -112,7 +161,9 @@ def link_quotations(
     """Every message without its quotes, with the message it answers and its place.
 
     A quoted passage of any level is linked to the first message of the conversation
-    that has it as its own text, if that came before. The latest message so quoted is
+    that has it as its own text, if that came before. A passage that none has as a whole,
+    as it is trimmed or answered in between, is linked to the first message that has all
+    its lines among its own, if that came before. The latest message so quoted is
     the parent. A thread is a message without a parent and all that answer it, at any
     depth; conversations are ordered by the turn of the thread's root, then by turn,
     so a reply always follows what it answers. ``position`` counts from 1.
@@ -135,14 +186,20 @@ def link_quotations(
         F.col(text).alias("text"),
     )
     parsed = materialise(_parsed(keyed), "parsed-messages")
-    said = parsed.select("conv", "turn", F.explode("passages").alias("p")).select(
-        "conv", "turn", F.col("p.level").alias("level"), F.col("p.hash").alias("hash")
-    )
+    said = parsed.select("conv", "turn", F.explode("passages").alias("p")).select("conv", "turn", "p.*")
     originals = said.where("level = 0").groupBy("conv", "hash").agg(F.min("turn").alias("first_turn"))
-    linked = (
+    quotes = materialise(
         said.where("level > 0")
-        .join(originals, ["conv", "hash"])
-        .where("first_turn < turn")
+        .join(originals, ["conv", "hash"], "left")
+        .select("conv", "turn", "lines", F.expr("if(first_turn < turn, first_turn, null)").alias("first_turn")),
+        "quoted-passages",
+    )
+    parts = quotes.where("first_turn IS NULL").drop("first_turn")
+    own = parsed.select("conv", "turn", F.explode("lines").alias("line")).distinct()
+    by_parts = parts.join(_holders(parts, own), ["conv", "lines"]).where("first_turn < turn")
+    linked = (
+        quotes.where("first_turn IS NOT NULL")
+        .unionByName(by_parts)
         .groupBy("conv", "turn")
         .agg(F.max("first_turn").alias("parent"), F.count(F.lit(1)).alias("n_linked"))
     )
@@ -151,7 +208,7 @@ def link_quotations(
     quoted = F.size(F.filter("passages", lambda p: p["level"] > 0)).cast("long")
     placed = (
         parsed.withColumn("n_quotes", quoted)
-        .drop("passages")
+        .drop("passages", "lines")
         .join(linked, ["conv", "turn"], "left")
         .join(threads, ["conv", "turn"], "left")
         .withColumn("root_turn", F.coalesce("root_turn", "turn"))

@@ -290,6 +290,28 @@ def test_reply_order_equals_brute_force(spark):
     assert Counter(map(tuple, quotations.link_quotations(df).collect())) == want
 
 
+def test_trimmed_and_interleaved_quotes(spark):
+    rows = [
+        (1, 0, "user", "line one here\nline two here\nline three here\n\nlast words"),
+        (1, 1, "user", "thanks\nline nine here"),
+        (1, 2, "assistant", "> line one here\nyes\n> Line two here\n> line three here\nno"),
+        (1, 3, "user", "> line one here\n> line three here\nskipped"),
+        (1, 4, "user", "thanks\nother things"),
+        (1, 5, "user", "> thanks\n> other things\n> never said\nno link"),
+        (1, 6, "user", "> other things\n> thanks\nof two lines, the first said before"),
+        (1, 7, "user", "> line nine here\n> line two here\nof two messages"),
+        (1, 8, "user", "> later line\nlink to nothing"),
+        (1, 9, "user", "later line\nand more"),
+        (2, 1, "user", "> line two here\nanother conversation"),
+    ]
+    out = quotations.link_quotations(spark.createDataFrame([(*r, "c", 9) for r in rows], CHAT)).collect()
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.n_quotes, r.n_linked) for r in out if r.n_quotes}
+    assert got == {
+        (1, 2): (0, 2, 2), (1, 3): (0, 1, 1), (1, 5): (None, 1, 0), (1, 6): (4, 1, 1), (1, 7): (None, 1, 0),
+        (1, 8): (None, 1, 0), (2, 1): (None, 1, 0),
+    }
+
+
 def test_quotations_of_rows_without_ids(spark):
     rows = [(None, 0, "user", "hi there"), (None, 1, None, "> Hi, there\nyes"), (1, None, "user", "x")]
     out = quotations.link_quotations(spark.createDataFrame([(*r, "c", 9) for r in rows], CHAT)).collect()

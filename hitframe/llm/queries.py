@@ -16,6 +16,7 @@ from . import (
     ngram_join,
     packing,
     quotations,
+    suffix_levels,
     toxicity,
     warc,
 )
@@ -79,6 +80,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_levels.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_topk_search": op2_topk_search,
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL = {

@@ -6,6 +6,8 @@ import os
 import re
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -70,6 +72,18 @@ def for_python(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most ``rows`` rows per Arrow batch for what is run inside, for rows that are blocks."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def byte_letters() -> list[str]:
     """The printable stand-in of each byte: itself if visible, else from U+0100 on."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}

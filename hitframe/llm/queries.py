@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    ball_search,
     bpe,
+    centroids,
     exact_dedup,
     hamming_search,
     licenses,
@@ -80,6 +82,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_levels.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select(
@@ -98,10 +110,71 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op11_ball_search": op11_ball_search,
+    "op12_centroids": op12_centroids,
     "op13_suffix_dedup": op13_suffix_dedup,
 }
 
+# Terms and the four passes of the clustering are spelled out once.
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+
+def _clustering_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    apart = f"CAST(list_sum([(k.v[i] - c.v[i]) * (k.v[i] - c.v[i]) FOR i IN range(1, {dims + 1})]) AS BIGINT)"
+    parts = [
+        f"""kept AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS r,
+          [CAST(floor({dims} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+          WHERE len(embedding) = {dims} AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept
+          WHERE vec_id IS NOT NULL ORDER BY sha256('1:' || vec_id), v LIMIT {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (SELECT vec_id, v, c, distance FROM (
+              SELECT k.r, k.vec_id, k.v, c.c, {apart} AS distance,
+                row_number() OVER (PARTITION BY k.r ORDER BY {apart}, c.c) AS n FROM kept k CROSS JOIN c{i} c) WHERE n = 1)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+                  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+                    SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+                      SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) GROUP BY c, i)
+                  GROUP BY c) m ON m.c = c.c)"""
+            )
+    return (
+        "WITH "
+        + ",\n".join(parts)
+        + f"""
+        SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, a.distance,
+          CAST(sum(a.distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+          CAST(sum(a.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON a.c = c.c"""
+    )
+
+
 ORACLE_SQL = {
+    "op11_ball_search": f"""
+        WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+        n AS (SELECT doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+        s AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM n),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+        q AS (SELECT item_id, term, count(*) AS qtf FROM (
+          SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, s),
+        score AS (
+          SELECT q.item_id, tf.doc_id,
+            CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+          FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n USING (doc_id), s GROUP BY ALL),
+        r AS (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+    """,
+    "op12_centroids": _clustering_sql(),
     "op1_license_scan": licenses.oracle_sql(),
     "op2_topk_search": """
         WITH c AS (

@@ -122,6 +122,9 @@ def _segments(data, ends, width: int, heat):
 
     found = []
     total = len(data) - width + 1
+    sizes = np.diff(ends, prepend=0)
+    texts = np.repeat(np.arange(len(ends), dtype=np.int32), sizes)
+    last_start = np.repeat(ends - width, sizes)  # windows end with their text
     for at in range(0, max(0, total), PIECE):
         count = min(PIECE, total - at)
         grams = _gram_hashes(data[at : at + count + width - 1])
@@ -129,12 +132,10 @@ def _segments(data, ends, width: int, heat):
         keys |= (grams * _numbers()[1]) >> np.uint64(28) << np.uint64(24)
         keys |= np.arange(len(keys), dtype=np.uint64)
         place = (_least(keys, width - ANCHOR + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
-        start = np.arange(count)
-        text = np.searchsorted(ends, at + start, side="right")
-        whole = at + start + width <= ends[text]  # windows end with their text
-        start, place, text = start[whole], place[whole], text[whole]
+        start = np.flatnonzero(np.arange(at, at + count) <= last_start[at : at + count])
         if not len(start):
             continue
+        place, text = place[start], texts[at + start]
         first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])]))
         last = np.concatenate([first[1:], [len(start)]]) - 1
         place = place[first]
@@ -145,21 +146,33 @@ def _segments(data, ends, width: int, heat):
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _rows(data, place, low, high, width: int):
-    """The bytes of each segment around its anchor: onward from it, then those before it.
+def _lines(data, place, low, high, width: int):
+    """The bytes around each anchor in their order, and which of them its windows cover."""
+    import numpy as np
+
+    before = width - ANCHOR
+    padded = np.concatenate([np.zeros(before, np.uint8), data, np.zeros(width, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, before + width)[place], _covered(low, high, width)
+
 
-    Bytes that no window of the segment covers are zero; the two offsets come last, so
-    rows are equal exactly if their windows are.
+def _covered(low, high, width: int):
+    import numpy as np
+
+    at = np.arange(2 * width - ANCHOR) - (width - ANCHOR)
+    return (at >= -high.astype(np.int64)[:, None]) & (at < width - low.astype(np.int64)[:, None])
+
+
+def _rows(lines, low, high, width: int):
+    """Sortable rows: the bytes onward from the anchor, then those before it.
+
+    Bytes that no window covers are zero and the two offsets come last, so rows are
+    equal exactly if their windows are.
     """
     import numpy as np
 
     before = width - ANCHOR
-    padded = np.concatenate([np.zeros(before, np.uint8), data, np.zeros(width, np.uint8)])
-    around = np.lib.stride_tricks.sliding_window_view(padded, before + width)[place]
-    at = np.arange(before + width) - before
-    around = np.where((at >= -high[:, None]) & (at < width - low[:, None]), around, 0).astype(np.uint8)
     ends = np.stack([low, high], axis=1).astype(np.uint8)
-    return np.concatenate([around[:, before:], around[:, :before], ends], axis=1)
+    return np.concatenate([lines[:, before:], lines[:, :before], ends], axis=1)
 
 
 def _as_strings(rows):
@@ -169,15 +182,18 @@ def _as_strings(rows):
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
 
 
-def _row_numbers(rows):
+def _row_numbers(lines, low, high):
     """A 64-bit number of each row, to bring equal ones together."""
     import numpy as np
 
-    letters, left, _ = _numbers()
-    out = np.zeros(len(rows), np.uint64)
-    for i in range(rows.shape[1]):
-        out *= left
-        out += letters[rows[:, i]]
+    _, left, mix = _numbers()
+    words = np.zeros((len(lines), -(-lines.shape[1] // 8) * 8), np.uint8)
+    words[:, : lines.shape[1]] = lines
+    words = words.view(np.uint64)
+    out = low.astype(np.uint64) << np.uint64(8) | high.astype(np.uint64)
+    for i in range(words.shape[1]):
+        out = (out ^ words[:, i]) * (mix if i % 2 else left)
+        out ^= out >> np.uint64(29)
     return out
 
 
@@ -196,27 +212,26 @@ def _unplanes(data: bytes):
     return np.cumsum(np.ascontiguousarray(planes).view(np.int64).ravel())
 
 
-def _pack(arrays, rows) -> bytes:
+def _pack(arrays, raw) -> bytes:
+    """Whole numbers and plain bytes as one compressed block."""
     import numpy as np
     import pyarrow as pa
 
-    parts = [_planes(a) for a in arrays] + [rows.tobytes()]
-    sizes = np.array([len(p) for p in parts] + [rows.shape[1]], np.int64)
-    raw = sizes.tobytes() + b"".join(parts)
-    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
+    parts = [_planes(a) for a in arrays] + [r.tobytes() for r in raw]
+    whole = np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd", 5).compress(whole, asbytes=True)
 
 
-def _unpack(block: bytes, arrays: int):
+def _unpack(block: bytes, arrays: int, raw: int):
     import numpy as np
     import pyarrow as pa
 
-    raw = pa.Codec("zstd").decompress(block[8:], int.from_bytes(block[:8], "little"), asbytes=True)
-    head = 8 * (arrays + 2)
-    sizes = np.frombuffer(raw[:head], np.int64)
-    ends = head + np.cumsum(sizes[:-1])
-    parts = [raw[e - n : e] for e, n in zip(ends, sizes)]
-    rows = np.frombuffer(parts[-1], np.uint8).reshape(-1, max(1, sizes[-1]))
-    return [_unplanes(p) for p in parts[:-1]], rows
+    whole = pa.Codec("zstd").decompress(block[8:], int.from_bytes(block[:8], "little"), asbytes=True)
+    head = 8 * (arrays + raw)
+    sizes = np.frombuffer(whole[:head], np.int64)
+    ends = head + np.cumsum(sizes)
+    parts = [whole[e - n : e] for e, n in zip(ends, sizes)]
+    return [_unplanes(p) for p in parts[:arrays]], [np.frombuffer(p, np.uint8) for p in parts[arrays:]]
 
 
 def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
@@ -234,13 +249,15 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            place, low, high, ids, marks, grams = (np.concatenate(x) for x in list(zip(*held))[:6])
-            rows = np.concatenate([x[6] for x in held])
+            place, low, high, ids, marks, grams, lines = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            numbers = _row_numbers(rows)
+            numbers = _row_numbers(lines, low, high)
             order = np.lexsort((place, marks, ids, numbers))
             near, next_ = order[:-1], order[1:]
-            same = (numbers[next_] == numbers[near]) & (rows[next_] == rows[near]).all(axis=1)
+            same = numbers[next_] == numbers[near]
+            check = np.flatnonzero(same)
+            a, b = next_[check], near[check]
+            same[check] = (lines[a] == lines[b]).all(axis=1) & (low[a] == low[b]) & (high[a] == high[b])
             head = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(order)), 0))
             settled = np.zeros(len(order), bool)
             settled[order] = ids[order] > ids[order][head]
@@ -257,7 +274,9 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
                 done = here[len(open_) :]
                 span = (place - high)[done] << LENGTH_BITS | (high - low + width)[done]
                 lists = [ids[open_], marks[open_], place[open_], ids[done], marks[done], span]
-                out.append((int(shard[by[a]]), _pack(lists, rows[open_])))
+                ends_ = [low[open_].astype(np.uint8), high[open_].astype(np.uint8)]
+                # of a segment only the bytes that its windows cover
+                out.append((int(shard[by[a]]), _pack(lists, [*ends_, lines[open_][_covered(*ends_, width)]])))
             return pa.RecordBatch.from_arrays(
                 [pa.array([s for s, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
                 names=["shard", "block"],
@@ -269,7 +288,9 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
             place, text, grams, low, high = _segments(data, ends, width, heat.value)
             if len(place):
                 begin = np.concatenate([[0], ends[:-1]])[text]
-                held.append((place - begin, low, high, ids[text], marks[text], grams, _rows(data, place, low, high, width)))
+                lines, covered = _lines(data, place, low, high, width)
+                lines[~covered] = 0
+                held.append((place - begin, low, high, ids[text], marks[text], grams, lines))
                 size += len(data)
             if size >= BATCH_BYTES:
                 yield flush()
@@ -435,11 +456,13 @@ def _shard_spans(width: int):
 
         lists, rows = [], []
         for block in table.column("block"):
-            arrays, part = _unpack(block.as_py(), 6)
+            arrays, (low, high, flat) = _unpack(block.as_py(), 6, 3)
+            lines = np.zeros((len(low), 2 * width - ANCHOR), np.uint8)
+            lines[_covered(low, high, width)] = flat
             lists.append(arrays)
-            rows.append(part)
+            rows.append(_rows(lines, low, high, width))
         ids, marks, place, done_ids, done_marks, done = (np.concatenate(x) for x in zip(*lists))
-        rows = np.concatenate([r for r in rows if len(r)] or [np.empty((0, 1), np.uint8)])
+        rows = np.concatenate(rows)
         order = np.argsort(ids, kind="stable")
         ids, marks, place, rows = ids[order], marks[order], place[order], rows[order]
         levels: list[_Level] = []
@@ -506,15 +529,36 @@ def _marked(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select("id", mark.alias("mark"), "text")
 
 
+def _compressed(rows: DataFrame) -> DataFrame:
+    """The texts as they go through the shuffle: size in bytes, then a zstd frame."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        codec = pa.Codec("zstd", 3)
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(2).cast("binary").to_pylist()]
+            packed = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["id", "mark", "text"]
+            )
+
+    return rows.select("id", "mark", "text").mapInArrow(run, "id long, mark long, text binary")
+
+
 def _cut(rows: DataFrame) -> DataFrame:
-    """What is left of each text without its spans, as counts and bytes."""
+    """What is left of each compressed text without its spans, as counts and bytes."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        codec = pa.Codec("zstd")
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast("binary").to_pylist()]
+            texts = [
+                codec.decompress(t[8:], int.from_bytes(t[:8], "little"), asbytes=True)
+                for t in batch.column(1).to_pylist()
+            ]
             removed, runs, kept = [], [], []
             for data, spans in zip(texts, batch.column(2)):
                 spans = spans.values
@@ -568,6 +612,8 @@ def remove_repeats(docs: DataFrame, width: int = 50, key: str = "doc_id", text:
     """
     rows = _marked(docs, key, text)
     found = _found(rows, width).groupBy("id", "mark").agg(F.collect_list("spans").alias("spans"))
-    judged = rows.where("id IS NOT NULL").join(found, ["id", "mark"], "left").select("id", "text", "spans")
-    without = rows.where("id IS NULL").select("id", "text", F.lit(None).cast("array<array<bigint>>").alias("spans"))
+    judged = _compressed(rows.where("id IS NOT NULL")).join(found, ["id", "mark"], "left").select("id", "text", "spans")
+    without = _compressed(rows.where("id IS NULL")).select(
+        "id", "text", F.lit(None).cast("array<array<bigint>>").alias("spans")
+    )
     return _cut(judged.unionByName(without)).withColumnRenamed("id", key)

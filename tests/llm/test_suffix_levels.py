@@ -73,7 +73,8 @@ def test_small_batches_and_many_levels(spark, monkeypatch):
     place, text, _, low, high = suffix_levels._segments(data, ends, 50, heat)
     begin = np.concatenate([[0], ends[:-1]])[text]
     lists = [np.array(ids)[text], np.array(marks)[text], place - begin, *[np.empty(0, np.int64)] * 3]
-    block = suffix_levels._pack(lists, suffix_levels._rows(data, place, low, high, 50))
+    lines, covered = suffix_levels._lines(data, place, low, high, 50)
+    block = suffix_levels._pack(lists, [low.astype(np.uint8), high.astype(np.uint8), lines[covered]])
     out = suffix_levels._shard_spans(50)(pa.table({"block": pa.array([block], pa.binary())}))
     spans = dict(zip(out["id"].to_pylist(), out["spans"].to_pylist()))
     for i, _, removed, *_ in brute(rows):

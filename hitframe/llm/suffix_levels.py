@@ -249,8 +249,11 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            place, low, high, ids, marks, grams, lines = (np.concatenate(x) for x in zip(*held))
-            held.clear()
+            place, low, high, ids, marks, grams = (np.concatenate(x) for x in list(zip(*held))[:6])
+            lines, filled = np.empty((len(place), held[0][6].shape[1]), np.uint8), 0
+            for part in _drained(held):
+                lines[filled : filled + len(part[0])] = part[6]
+                filled += len(part[0])
             numbers = _row_numbers(lines, low, high)
             order = np.lexsort((place, marks, ids, numbers))
             near, next_ = order[:-1], order[1:]
@@ -304,11 +307,10 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
 class _Level:
     """Distinct segments in suffix order, each with the smallest id that has it."""
 
-    def __init__(self, strings, rows, ids):
-        import numpy as np
-
-        self.strings, self.rows, self.ids = strings, rows, ids
-        self.anchors = _as_strings(np.ascontiguousarray(rows[:, :ANCHOR]))
+    def __init__(self, rows, ids):
+        self.rows, self.ids = rows, ids
+        self.strings = _as_strings(rows)  # the same bytes, seen as strings
+        self.anchors = _as_strings(rows[:, :ANCHOR])
 
     def __len__(self):
         return len(self.ids)
@@ -317,13 +319,9 @@ class _Level:
         """Both in one order; a stable sort of two sorted runs is a merge."""
         import numpy as np
 
-        strings = np.concatenate([self.strings, other.strings])
-        order = np.argsort(strings, kind="stable")
-        return _Level(
-            strings[order],
-            np.concatenate([self.rows, other.rows])[order],
-            np.concatenate([self.ids, other.ids])[order],
-        )
+        rows = np.concatenate([self.rows, other.rows])
+        order = np.argsort(_as_strings(rows), kind="stable")
+        return _Level(rows[order], np.concatenate([self.ids, other.ids])[order])
 
 
 def _shared_windows(rows, ids, asked, width: int):
@@ -375,15 +373,15 @@ def _scan(batch_rows, batch_ids, levels: list[_Level], width: int):
     """
     import numpy as np
 
-    strings = _as_strings(batch_rows)
-    order = np.argsort(strings, kind="stable")
-    strings, rows, ids = strings[order], batch_rows[order], batch_ids[order]
+    order = np.argsort(_as_strings(batch_rows), kind="stable")
+    rows, ids = batch_rows[order], batch_ids[order]
+    strings = _as_strings(rows)
     new = np.concatenate([[True], strings[1:] != strings[:-1]])
     group = np.cumsum(new) - 1
     heads = np.flatnonzero(new)
     low, high = rows[:, -2].astype(np.uint64), rows[:, -1].astype(np.uint64)
     whole = (np.uint64(2) << high) - (np.uint64(1) << low)
-    own = _Level(strings[heads], rows[heads], ids[heads])
+    own = _Level(rows[heads], ids[heads])
     known = np.zeros(len(own), bool)
     for level in levels:
         at = np.minimum(np.searchsorted(level.strings, own.strings), len(level) - 1)
@@ -417,9 +415,10 @@ def _scan(batch_rows, batch_ids, levels: list[_Level], width: int):
     out = np.empty(len(rows), np.uint64)
     out[order] = np.where(ids > ids[heads][group], whole, bits[group])
     if not known.all():
-        levels.append(_Level(own.strings[~known], own.rows[~known], own.ids[~known]))
+        levels.append(_Level(own.rows[~known], own.ids[~known]))
         while len(levels) > 1 and len(levels[-2]) <= 2 * len(levels[-1]):
-            levels[-2:] = [levels[-2].merged(levels[-1])]
+            last = levels.pop()
+            levels[-1] = levels[-1].merged(last)
     return out
 
 
@@ -447,6 +446,13 @@ def _spans_of(bits, place, width: int):
     return np.concatenate(rows), np.concatenate(spans)
 
 
+def _drained(items: list):
+    """The items in order, each let go of as the next one is taken."""
+    items.reverse()
+    while items:
+        yield items.pop()
+
+
 def _shard_spans(width: int):
     """Function of one shard's blocks: ``(id, mark, spans)``."""
 
@@ -454,24 +460,28 @@ def _shard_spans(width: int):
         import numpy as np
         import pyarrow as pa
 
-        lists, rows = [], []
+        lists, raws = [], []
         for block in table.column("block"):
-            arrays, (low, high, flat) = _unpack(block.as_py(), 6, 3)
-            lines = np.zeros((len(low), 2 * width - ANCHOR), np.uint8)
-            lines[_covered(low, high, width)] = flat
+            arrays, raw = _unpack(block.as_py(), 6, 3)
             lists.append(arrays)
-            rows.append(_rows(lines, low, high, width))
+            raws.append(raw)
         ids, marks, place, done_ids, done_marks, done = (np.concatenate(x) for x in zip(*lists))
-        rows = np.concatenate(rows)
+        # one array for all rows; what it is filled from goes block by block
+        rows, filled = np.empty((len(ids), 2 * width - ANCHOR + 2), np.uint8), 0
+        for low, high, flat in _drained(raws):
+            lines = np.zeros((len(low), 2 * width - ANCHOR), np.uint8)
+            lines[_covered(low, high, width)] = flat
+            rows[filled : filled + len(low)] = _rows(lines, low, high, width)
+            filled += len(low)
         order = np.argsort(ids, kind="stable")
-        ids, marks, place, rows = ids[order], marks[order], place[order], rows[order]
+        ids, marks, place = ids[order], marks[order], place[order]
         levels: list[_Level] = []
         all_ids, all_marks, all_spans = [done_ids], [done_marks], [done]
         begin = 0
         while begin < len(ids):
             # a batch ends with an id, so that levels hold smaller ones only
             end = int(np.searchsorted(ids, ids[min(begin + BATCH_ROWS, len(ids)) - 1], "right"))
-            bits = _scan(rows[begin:end], ids[begin:end], levels, width)
+            bits = _scan(rows[order[begin:end]], ids[begin:end], levels, width)
             at, spans = _spans_of(bits, place[begin:end], width)
             all_ids.append(ids[begin:end][at])
             all_marks.append(marks[begin:end][at])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 from functools import lru_cache
 
@@ -20,8 +21,9 @@ COMMON = 8
 PIECE = 1 << 18
 # bytes of text that a task turns into one batch of suffixes, and that a shard holds
 BATCH_BYTES = SHARD_BYTES = 12 << 20
-# suffixes of one batch within a shard
+# suffixes of one batch within a shard, and copies that are compared at once
 BATCH_ROWS = 1 << 17
+COMPARED = 1 << 14
 # bits of a place in a packed span; the rest is its length
 LENGTH_BITS = 8
 
@@ -162,6 +164,32 @@ def _covered(low, high, width: int):
     return (at >= -high.astype(np.int64)[:, None]) & (at < width - low.astype(np.int64)[:, None])
 
 
+def _covered_bytes(low, high, width: int):
+    """How many bytes the windows of each segment cover."""
+    import numpy as np
+
+    return high.astype(np.int64) - low + width
+
+
+def _lines_of(flat, starts, low, high, rows, width: int):
+    """The lines of some segments from their covered bytes, zero elsewhere."""
+    import numpy as np
+
+    sizes = _covered_bytes(low[rows], high[rows], width)
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    lines = np.zeros((len(rows), 2 * width - ANCHOR), np.uint8)
+    lines[_covered(low[rows], high[rows], width)] = flat[np.repeat(starts[rows], sizes) + within]
+    return lines
+
+
+def _give_back() -> None:
+    """Let the allocator return what is free, as the worker lives on into other stages."""
+    import ctypes
+
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _rows(lines, low, high, width: int):
     """Sortable rows: the bytes onward from the anchor, then those before it.
 
@@ -249,18 +277,22 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            place, low, high, ids, marks, grams = (np.concatenate(x) for x in list(zip(*held))[:6])
-            lines, filled = np.empty((len(place), held[0][6].shape[1]), np.uint8), 0
-            for part in _drained(held):
-                lines[filled : filled + len(part[0])] = part[6]
-                filled += len(part[0])
-            numbers = _row_numbers(lines, low, high)
+            texts = np.cumsum([0] + [len(x[0]) for x in held[:-1]])
+            text = np.concatenate([x[2] + first for x, first in zip(held, texts)])
+            ids, marks, place, low, high, grams, numbers = (
+                np.concatenate([x[i] for x in held]) for i in (0, 1, 3, 4, 5, 6, 7)
+            )
+            flat = np.concatenate([x[8] for x in held])
+            held.clear()
+            ids, marks = ids[text], marks[text]
+            sizes = _covered_bytes(low, high, width)
+            starts = np.cumsum(sizes) - sizes
             order = np.lexsort((place, marks, ids, numbers))
             near, next_ = order[:-1], order[1:]
-            same = numbers[next_] == numbers[near]
-            check = np.flatnonzero(same)
-            a, b = next_[check], near[check]
-            same[check] = (lines[a] == lines[b]).all(axis=1) & (low[a] == low[b]) & (high[a] == high[b])
+            same = (numbers[next_] == numbers[near]) & (low[next_] == low[near]) & (high[next_] == high[near])
+            for part in np.array_split(np.flatnonzero(same), 1 + int(same.sum()) // COMPARED):
+                one, two = (_lines_of(flat, starts, low, high, x[part], width) for x in (next_, near))
+                same[part] = (one == two).all(axis=1)
             head = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(order)), 0))
             settled = np.zeros(len(order), bool)
             settled[order] = ids[order] > ids[order][head]
@@ -270,20 +302,19 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
             by = np.lexsort((place, marks, ids, settled, shard))
             by = by[~again[by]]
             cuts = np.flatnonzero(np.diff(shard[by], prepend=-1, append=-1))
-            out = []
             for a, b in zip(cuts, cuts[1:]):
                 here = by[a:b]
                 open_ = here[: int((~settled[here]).sum())]
                 done = here[len(open_) :]
-                span = (place - high)[done] << LENGTH_BITS | (high - low + width)[done]
+                span = (place[done] - high[done]) << LENGTH_BITS | (high[done].astype(np.int64) - low[done] + width)
                 lists = [ids[open_], marks[open_], place[open_], ids[done], marks[done], span]
-                ends_ = [low[open_].astype(np.uint8), high[open_].astype(np.uint8)]
                 # of a segment only the bytes that its windows cover
-                out.append((int(shard[by[a]]), _pack(lists, [*ends_, lines[open_][_covered(*ends_, width)]])))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([s for s, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
-                names=["shard", "block"],
-            )
+                lines = _lines_of(flat, starts, low, high, open_, width)
+                raw = [low[open_], high[open_], lines[_covered(low[open_], high[open_], width)]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(shard[here[0]])], pa.int32()), pa.array([_pack(lists, raw)], pa.binary())],
+                    names=["shard", "block"],
+                )
 
         for batch in batches:
             ids, marks = (batch.column(i).to_numpy() for i in (0, 1))
@@ -293,13 +324,17 @@ def _blocks(texts: DataFrame, heat, shards: int, width: int) -> DataFrame:
                 begin = np.concatenate([[0], ends[:-1]])[text]
                 lines, covered = _lines(data, place, low, high, width)
                 lines[~covered] = 0
-                held.append((place - begin, low, high, ids[text], marks[text], grams, lines))
+                numbers = _row_numbers(lines, low, high)
+                small = [low.astype(np.uint8), high.astype(np.uint8)]
+                held.append((ids, marks, text, place - begin, *small, grams, numbers, lines[covered]))
                 size += len(data)
             if size >= BATCH_BYTES:
-                yield flush()
+                yield from flush()
                 size = 0
+                _give_back()
         if held:
-            yield flush()
+            yield from flush()
+            _give_back()
 
     return texts.select("id", "mark", "text").mapInArrow(run, "shard int, block binary")
 
@@ -498,6 +533,8 @@ def _shard_spans(width: int):
         new[1:] = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
         new = np.flatnonzero(new)
         offsets = np.concatenate([new, [len(ids)]]).astype(np.int32)
+        del rows, levels
+        _give_back()
         return pa.table(
             {
                 "id": pa.array(ids[new], pa.int64()),

@@ -106,7 +106,8 @@ class WireConfig:
     downstream: Station = Station(787.97 - 3.0, 787.97 + 3.0)
     # output suffix -> z of the plane to extrapolate to
     targets: dict[str, float] = field(default_factory=lambda: {"z229": 229.2, "z400": 400.7})
-    curve_step: float = 0.2
+    # take the exact fraction of a curve interval instead of a dithered one
+    exact_fraction: bool = False
 
     @property
     def planes(self) -> tuple[str, ...]:
@@ -129,7 +130,9 @@ class StripConfig:
     )
     centre_strip: dict[str, int] = field(default_factory=lambda: {"x": 16, "y": 16})
     flip_even_channels: bool = False
-    curve_step: float = 0.001
+    exact_fraction: bool = False
+    # turn the inset round so that it points the way positions do
+    mirror_fix: bool = False
 
     @property
     def sides(self) -> tuple[str, ...]:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitframe.config import CDF_TOLERANCE, Bins
 
+from hitframe.sources.stages import materialise
+
 from .histograms import bin_centre
-from .skew import bounded_broadcast
 
-# buckets that one interval may touch
-MAX_BUCKETS = 10_000
+# Points of all curves together that are sent to every executor: 16 bytes each.
+MAX_CURVE_POINTS = 4_000_000
+# a curve has fewer than 2 to this power points
+MAX_POINT_BITS = 20
 
 
 def cdf_curve(
@@ -63,39 +69,75 @@ def curve_intervals(curves: DataFrame, keys: list[str]) -> DataFrame:
     ).where(F.col("lo").isNotNull())
 
 
+def curve_table(curves: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per curve: ``keys + [xs, txs, steps]``, the points in order of x.
+
+    ``steps`` is the number of points per unit of x, which makes the place of a value in
+    an evenly spaced curve a multiplication. A curve has as many points as its histogram
+    has bins, a few hundred, so the arrays are small.
+    """
+    points = F.sort_array(F.collect_list(F.struct("x", "tx")))
+    rows = curves.where("x IS NOT NULL").groupBy(*keys).agg(points.alias("_p"))
+    first, last = F.col("_p")[0]["x"], F.element_at("_p", -1)["x"]
+    return rows.select(
+        *keys,
+        F.col("_p.x").alias("xs"),
+        F.col("_p.tx").alias("txs"),
+        F.try_divide(F.size("_p") - 1, last - first).alias("steps"),
+    )
+
+
+def _place(value: Column) -> Column:
+    """Number of the last point at or before ``value``, which lies within the curve.
+
+    The evenly spaced guess and its neighbours are tried first; a curve with gaps or of
+    any other spacing is searched by halves.
+    """
+    guess = F.col("_guess")
+    here = lambda i: (F.get("xs", i) <= value) & (value < F.get("xs", i + 1))
+    halves = F.array(*[F.lit(1 << b) for b in reversed(range(MAX_POINT_BITS))])
+    searched = F.aggregate(
+        halves,
+        F.lit(0),
+        lambda at, step: F.when(F.get("xs", at + step) <= value, at + step).otherwise(at),
+    )
+    tried = F.when(here(guess), guess).when(here(guess - 1), guess - 1).when(here(guess + 1), guess + 1)
+    return tried.otherwise(searched)
+
+
 def interval_lookup(
-    df: DataFrame,
-    intervals: DataFrame,
-    keys: list[str],
-    value: str,
-    step: float,
-    rows: int | None = None,
+    df: DataFrame, curves: DataFrame, keys: list[str], value: str, points: int | None = None
 ) -> DataFrame:
-    """Left join on ``keys`` and ``lo <= value < hi``; null where no interval fits.
+    """Add ``lo, hi, tx_lo, tx_hi``: the curve points around ``value``; null outside.
 
-    Each interval is listed under every bucket of width ``step`` it touches and a
-    value belongs to one bucket, so this is a hash join that looks at the one or two
-    intervals of a bucket. Exact for any ``step``; about the width of an interval is
-    best. ``rows`` bounds the interval table if known; it is meant for intervals no
-    wider than ``step``, which touch at most three buckets.
+    A left join on ``keys`` with one row per curve, then the place in its arrays:
+    ``lo <= value < hi``, whatever the spacing, and no row is listed more than once.
+    ``points`` bounds the points of all curves if known, else they are written down and
+    counted. Beyond ``MAX_CURVE_POINTS`` the same join shuffles; each curve is one row,
+    so only the rows that look up are heavy and the skew split can cut them.
     """
-    bucket = lambda c: F.floor(c / F.lit(step))
-    # A gap in a curve file would else become an array of that many buckets.
-    wide = (F.col("hi") - F.col("lo")) > F.lit(MAX_BUCKETS * step)
-    intervals = intervals.withColumn(
-        "hi", F.when(wide, F.raise_error(F.lit("an interval is far wider than the step"))).otherwise(F.col("hi"))
-    )
     # The keys get names of their own: the curves often come from the very rows
     # they are looked up for, and equal names would then mean equal columns.
-    spread = intervals.withColumnsRenamed({k: f"_of_{k}" for k in keys}).withColumn(
-        "_bucket", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi"))))
-    )
-    right = bounded_broadcast(spread, None if rows is None else 3 * rows)
+    table = curve_table(curves, keys).withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    if points is None:
+        table = materialise(table, "curve-table")
+        points = table.agg(F.sum(F.size("xs"))).first()[0] or 0
+    right = F.broadcast(table) if points <= MAX_CURVE_POINTS else table
+    match = reduce(and_, [F.col(key) == F.col(f"_of_{key}") for key in keys])
     v = F.col(value)
-    match = (bucket(v) == F.col("_bucket")) & (v >= F.col("lo")) & (v < F.col("hi"))
-    for key in keys:
-        match = match & (F.col(key) == F.col(f"_of_{key}"))
-    return df.join(right, match, "left").drop("_bucket", *[f"_of_{k}" for k in keys])
+    first, last = F.get("xs", F.lit(0)), F.element_at("xs", -1)
+    inside = (v >= first) & (v < last)
+    guess = F.when(inside, F.floor((v - first) * F.col("steps")).cast("int"))
+    joined = df.join(right, match, "left").withColumn("_guess", guess)
+    placed = joined.withColumn("_at", F.when(inside, _place(v)))
+    found = {
+        "lo": F.get("xs", F.col("_at")),
+        "hi": F.get("xs", F.col("_at") + 1),
+        "tx_lo": F.get("txs", F.col("_at")),
+        "tx_hi": F.get("txs", F.col("_at") + 1),
+    }
+    helpers = ["xs", "txs", "steps", "_guess", "_at", *[f"_of_{k}" for k in keys]]
+    return placed.withColumns(found).drop(*helpers)
 
 
 def interpolate(u: Column, scale: float) -> Column:
@@ -103,17 +145,48 @@ def interpolate(u: Column, scale: float) -> Column:
     return (F.col("tx_lo") + (F.col("tx_hi") - F.col("tx_lo")) * u) * F.lit(float(scale))
 
 
+def exact_fraction(value: str) -> Column:
+    """How far ``value`` lies along the interval found."""
+    return (F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo"))
+
+
 def curve_lookup(
     df: DataFrame,
     curves: DataFrame,
     keys: list[str],
     value: str,
-    u: Column,
+    u: Column | None,
     scale: float,
     out: str,
-    step: float,
-    rows: int | None = None,
+    points: int | None = None,
 ) -> DataFrame:
-    """Add ``out``: the curve of each row's ``keys`` at ``value``, null outside it."""
-    found = interval_lookup(df, curve_intervals(curves, keys), keys, value, step, rows)
+    """Add ``out``: the curve of each row's ``keys`` at ``value``, null outside it.
+
+    ``u`` is the fraction of the interval to take; None takes the exact one.
+    """
+    found = interval_lookup(df, curves, keys, value, points)
+    u = exact_fraction(value) if u is None else u
     return found.withColumn(out, interpolate(u, scale)).drop("lo", "hi", "tx_lo", "tx_hi")
+
+
+def curves_in_force(runs: DataFrame, curves: DataFrame, planes: list[str], order: str = "run_no") -> DataFrame:
+    """Which calibration serves which run: ``planes + [order, curve_no, curve_version]``.
+
+    An as-of join. ``runs`` names the runs and planes that ask (repeats count once),
+    ``curves`` has a row ``planes + [order, version]`` per calibration taken. A run uses,
+    plane by plane, the latest calibration taken at it or before it, of several at one
+    place the one of highest version; both are null before the first. Rows are runs, not
+    hits: the hits join this table by their run.
+    """
+    taken = curves.groupBy(*planes, order).agg(F.max("version").alias("_version"))
+    wanted = runs.select(*planes, order).distinct()
+    both = wanted.withColumn("_asked", F.lit(True)).unionByName(
+        taken.withColumn("_asked", F.lit(False)), allowMissingColumns=True
+    )
+    # at one place the calibration comes before the run that asks
+    past = Window.partitionBy(*planes).orderBy(order, "_asked")
+    given = F.when(~F.col("_asked"), F.struct(F.col(order).alias("at"), "_version"))
+    served = both.withColumn("_last", F.last(given, ignorenulls=True).over(past)).where("_asked")
+    return served.select(
+        order, *planes, F.col("_last.at").alias("curve_no"), F.col("_last._version").alias("curve_version")
+    )

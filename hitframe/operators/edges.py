@@ -8,11 +8,13 @@ outermost edges, so the product itself is not formed on the way to positions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitframe.config import LEADING, TRAILING
 
+from hitframe.sources.stages import materialise
+
 from .frames import placed_in_ranges, top_hits
 
 
@@ -35,15 +37,23 @@ def pair_summary(edges: DataFrame, keys: list[str], time: str = "timing") -> Dat
     )
 
 
-def widest_pairs(edges: DataFrame, keys: list[str], k: int, time: str = "timing") -> DataFrame:
+def widest_pairs(
+    edges: DataFrame, keys: list[str], k: int, time: str = "timing", narrow: Column | None = None
+) -> DataFrame:
     """Pairs among which the ``k`` widest of each channel are, at most O(k log k).
 
     Counted from the earliest leading and the latest trailing edge, the pair (i, j)
     has i*j - 1 pairs at least as wide, so only i*j <= k can matter. Pairs of equal
     width come in order of their leading time; two that agree in both are the same.
+
+    Where ``narrow`` holds, a condition on the channel, the narrowest ones are wanted:
+    there the same count starts from the latest leading and the earliest trailing edge.
     """
     t = F.col(time)
-    outermost = [F.when(F.col("edge") == LEADING, t).otherwise(-t).asc()]
+    outward = F.when(F.col("edge") == LEADING, t).otherwise(-t)
+    if narrow is not None:
+        outward = F.when(narrow, -outward).otherwise(outward)
+    outermost = [outward.asc()]
     both = edges.where(F.col("edge").isin(LEADING, TRAILING))
     top = top_hits(both, [*keys, "edge"], outermost, k)
     cell = {
@@ -103,3 +113,33 @@ def pair_edges(edges: DataFrame, keys: list[str], time: str = "timing") -> DataF
     lead = edges.where(F.col("edge") == LEADING).select(*keys, F.col(time).alias("timing"))
     trail = edges.where(F.col("edge") == TRAILING).select(*keys, F.col(time).alias("timing_trail"))
     return lead.join(trail, keys).withColumn("charge", F.col("timing_trail") - F.col("timing"))
+
+
+def width_counts(
+    edges: DataFrame, keys: list[str], groups: list[str], cell: float, time: str = "timing"
+) -> DataFrame:
+    """Widths of all pairs as ``groups + [width, n]``, without forming the pairs.
+
+    ``keys`` name a channel within a frame, ``groups`` those of them to count by. Edges
+    are counted per time cell of a channel first, and the counts of leading and trailing
+    cells multiply: a cross-correlation. A channel meets in at most (window / cell)
+    squared rows, however many edges it has. Widths are differences of cells times
+    ``cell``: exact for times on that grid, else less than one cell off.
+    """
+    both = edges.where(F.col("edge").isin(LEADING, TRAILING))
+    cells = both.groupBy(*keys, "edge", F.floor(F.col(time) / F.lit(float(cell))).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    # read from both sides of the join below
+    cells = materialise(cells, "edge-cells")
+    lead = cells.where(F.col("edge") == LEADING).select(*keys, F.col("_cell").alias("_from"), F.col("_n").alias("_m"))
+    trail = cells.where(F.col("edge") == TRAILING).select(*keys, "_cell", "_n")
+    # the product of two row counts can pass the range of a long
+    pairs = F.col("_m").cast("decimal(19,0)") * F.col("_n").cast("decimal(18,0)")
+    return (
+        lead.join(trail, keys)
+        .select(*groups, (F.col("_cell") - F.col("_from")).alias("_width"), pairs.cast("decimal(28,0)").alias("_pairs"))
+        .groupBy(*groups, "_width")
+        .agg(F.sum("_pairs").alias("n"))
+        .select(*groups, (F.col("_width") * F.lit(float(cell))).alias("width"), "n")
+    )

@@ -1,14 +1,17 @@
-"""Efficiencies, residuals and resolutions. Each is one aggregation."""
+"""Efficiencies, residuals and resolutions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitframe.config import FRAME, RESOLUTION_LIMIT
+from hitframe.config import FRAME, RESOLUTION_LIMIT, Bins
 from hitframe.functions import mean_of
+from hitframe.sources.stages import materialise
 
 from .frames import cluster_cut
+from .histograms import hist1d
+from .statistics import exact_quantiles, peak_fit
 
 
 def efficiency(
@@ -107,15 +110,27 @@ def resolution(
 def residual_summary(
     df: DataFrame, value: str, groups: list[str], bounds: tuple[float, float]
 ) -> DataFrame:
-    """Centre and width of a residual distribution inside ``bounds``."""
+    """Mean, spread and exact quartiles of a residual distribution inside ``bounds``.
+
+    ``quartile_width`` is the half width between the outer quartiles, which tails do not
+    widen. The residuals are written down, since the quartiles read them several times.
+    """
     v = F.col(value)
-    return (
-        df.where((v >= bounds[0]) & (v < bounds[1]))
-        .groupBy(*groups)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(v).alias("centre"),
-            F.stddev_samp(v).alias("width"),
-            F.percentile_approx(v, 0.5, 10000).alias("median"),
-        )
+    inside = materialise(df.where((v >= bounds[0]) & (v < bounds[1])).select(*groups, value), "residuals")
+    moments = inside.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(v).alias("centre"), F.stddev_samp(v).alias("width")
+    )
+    q = exact_quantiles(inside, value, groups, (0.25, 0.5, 0.75)).alias("q")
+    match = F.lit(True)
+    for g in groups:
+        match = match & F.col(f"m.{g}").eqNullSafe(F.col(f"q.{g}"))
+    return moments.alias("m").join(q, match).select(
+        "m.*", F.col("q1").alias("median"), ((F.col("q2") - F.col("q0")) / 2).alias("quartile_width")
     )
+
+
+def residual_peaks(
+    df: DataFrame, value: str, groups: list[str], bins: Bins, rounds: int = 5
+) -> DataFrame:
+    """Centre and width of the Gaussian core of each residual distribution."""
+    return peak_fit(hist1d(df, value, bins, groups, dense=False), bins, groups, rounds)

@@ -32,7 +32,20 @@ def drift_curves(
     time_bins: Bins = DRIFT_BINS,
     charge_bins: Bins = DRIFT_CHARGE_BINS,
 ) -> DataFrame:
-    """Drift curves from leading hits, away from the edge wires.
+    """Drift curves from leading hits, away from the edge wires."""
+    counts = drift_counts(leads, cfg, groups, box, time_bins, charge_bins)
+    return curves_of_counts(counts, time_bins, groups)
+
+
+def drift_counts(
+    leads: DataFrame,
+    cfg: WireConfig,
+    groups: list[str],
+    box: Box = DRIFT_BOX,
+    time_bins: Bins = DRIFT_BINS,
+    charge_bins: Bins = DRIFT_CHARGE_BINS,
+) -> DataFrame:
+    """Entries per timing bin, ``groups + [bin, n]``: what a drift curve is made of.
 
     The grid of timing and charge is projected on timing, so hits outside either
     range do not count.
@@ -41,21 +54,32 @@ def drift_curves(
         frames.edge_wire_veto(cfg.wires_per_plane - 1) & in_box("charge0", "timing0", box)
     )
     grid = histograms.hist2d(kept, "timing0", time_bins, "charge0", charge_bins, groups)
-    counts = histograms.fill_bins(histograms.project_x(grid, groups), time_bins.n, groups)
-    return curves.cdf_curve(counts, time_bins, groups, CDF_TOLERANCE)
+    return histograms.project_x(grid, groups)
+
+
+def curves_of_counts(counts: DataFrame, bins: Bins, groups: list[str]) -> DataFrame:
+    """Curves from entries per bin. Counts of several runs, or of parts of one, add up,
+    so a curve over all of them does not read the hits again."""
+    merged = counts.groupBy(*groups, "bin").agg(F.sum("n").cast("long").alias("n"))
+    return curves.cdf_curve(histograms.fill_bins(merged, bins.n, groups), bins, groups, CDF_TOLERANCE)
 
 
 def asymmetry_curves(
     wide: DataFrame, cfg: StripConfig, groups: list[str], bins: Bins = ASYMMETRY_BINS
 ) -> DataFrame:
     """Asymmetry curves per side (column ``plane``) from strip events."""
+    return curves_of_counts(asymmetry_counts(wide, cfg, groups, bins), bins, [*groups, "plane"])
+
+
+def asymmetry_counts(
+    wide: DataFrame, cfg: StripConfig, groups: list[str], bins: Bins = ASYMMETRY_BINS
+) -> DataFrame:
+    """Entries per asymmetry bin and side, ``groups + [plane, bin, n]``."""
     rows = [
         F.struct(F.lit(s).alias("plane"), F.col(f"q0q1_{s}").alias("q0q1")) for s in cfg.sides
     ]
     long = adjacent_events(wide, cfg).select(*groups, F.inline(F.array(*rows)))
-    keys = [*groups, "plane"]
-    counts = histograms.hist1d(long, "q0q1", bins, keys)
-    return curves.cdf_curve(counts, bins, keys, CDF_TOLERANCE)
+    return histograms.hist1d(long, "q0q1", bins, [*groups, "plane"], dense=False)
 
 
 def pulser_modes(

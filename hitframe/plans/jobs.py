@@ -12,10 +12,10 @@ from functools import wraps
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitframe.config import StripConfig, WireConfig
+from hitframe.config import Bins, StripConfig, WireConfig
 from hitframe.operators import hits, quality
 from hitframe.session import drop_scratch, scratch_mark
-from hitframe.sources import read_stage, write_curves, write_stage
+from hitframe.sources import commit_runs, pending_runs, read_stage, write_curves, write_stage
 
 from . import calibration, combine, strip, wire
 
@@ -71,19 +71,28 @@ def wire_positions(
 
 
 def strip_events(
-    blocks: DataFrame, chmap: DataFrame, cfg: StripConfig, out: str, runname: str | None = None
+    blocks: DataFrame,
+    chmap: DataFrame,
+    cfg: StripConfig,
+    out: str,
+    runname: str | None = None,
+    calib: DataFrame | None = None,
 ) -> DataFrame:
     """Blocks -> strip events. Returns the efficiency of each run of this call.
 
     It is counted on what was written, and the triggers say which runs those are: the
-    folder may hold others.
+    folder may hold others. The report is a row per run, held by the driver.
     """
-    wide, triggers = strip.events(blocks, chmap, cfg)
+    spark = blocks.sparkSession
+    mark = scratch_mark(spark)
+    wide, triggers = strip.events(blocks, chmap, cfg, calib=calib)
     if runname is not None:
         triggers = triggers.withColumn("runname", F.lit(runname))
     write_stage(wide, out, runname)
-    written = read_stage(blocks.sparkSession, out)
-    return quality.efficiency(written, triggers, ("runname",))
+    report = quality.efficiency(read_stage(spark, out), triggers, ("runname",))
+    rows = report.collect()
+    drop_scratch(spark, mark)
+    return spark.createDataFrame(rows, report.schema)
 
 
 @_leaves_no_scratch
@@ -134,3 +143,57 @@ def calibrate_asymmetry(events: DataFrame, cfg: StripConfig, out: str) -> None:
     """Strip events of any number of runs -> one asymmetry curve per run and side."""
     found = calibration.asymmetry_curves(events, cfg, ["runname"])
     write_curves(found.withColumnRenamed("runname", "run"), out)
+
+
+@_leaves_no_scratch
+def count_drift(leads: DataFrame, cfg: WireConfig, out: str) -> None:
+    """Leading hits of some runs -> their timing counts, next to those of other runs.
+
+    Repeating a run replaces its counts and leaves the rest as it is.
+    """
+    write_stage(calibration.drift_counts(leads, cfg, ["runname", "plane"]), out)
+
+
+@_leaves_no_scratch
+def count_asymmetry(events: DataFrame, cfg: StripConfig, out: str) -> None:
+    """Strip events of some runs -> their asymmetry counts."""
+    write_stage(calibration.asymmetry_counts(events, cfg, ["runname"]), out)
+
+
+@_leaves_no_scratch
+def curves_from_counts(
+    counts: DataFrame, label: str, out: str, bins: Bins, runs: list[str] | None = None
+) -> None:
+    """Counts of all or of the named runs -> one curve per plane, labelled ``label``.
+
+    ``bins`` are those that were counted, ``DRIFT_BINS`` or ``ASYMMETRY_BINS`` as a rule.
+    A few hundred rows a run and plane are read, whatever the runs hold.
+    """
+    if runs is not None:
+        counts = counts.where(F.col("runname").isin(*runs))
+    found = calibration.curves_of_counts(counts, bins, ["plane"])
+    write_curves(found.withColumn("run", F.lit(label)), out)
+
+
+def run_pending(
+    blocks: DataFrame,
+    stage: str,
+    commits: str,
+    job: Callable[[DataFrame], None],
+    at_once: int = 16,
+) -> list[str]:
+    """Put the runs of ``blocks`` that ``stage`` has not committed yet through ``job``.
+
+    ``job`` gets the blocks of up to ``at_once`` runs with their ``runname`` and writes its
+    table by run, as the jobs here do. Its runs are committed after that, in one append.
+    A job that is lost before leaves runs uncommitted; the next call repeats them, and the
+    repetition replaces what was left. Returns the runs it has done; only run labels come
+    to the driver.
+    """
+    spark = blocks.sparkSession
+    todo = [r["runname"] for r in pending_runs(blocks, spark, commits, stage).orderBy("runname").collect()]
+    for start in range(0, len(todo), at_once):
+        runs = todo[start : start + at_once]
+        job(blocks.where(F.col("runname").isin(*runs)))
+        commit_runs(spark, commits, stage, runs)
+    return todo

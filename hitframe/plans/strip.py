@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitframe.config import StripConfig
+from hitframe.config import Bins, StripConfig
 from hitframe.functions import (
     asymmetry,
     flip_even_channels,
     inside,
     keyed_uniform,
+    linear,
     row_key,
     strip_inset,
     strip_position,
@@ -18,6 +19,7 @@ from hitframe.functions import (
 from hitframe.operators import curves as curve_ops
 from hitframe.operators import edges as edge_ops
 from hitframe.operators import frames, hits
+from hitframe.operators.histograms import bin_of
 from hitframe.operators.skew import bounded_broadcast
 from hitframe.sources.stages import materialise
 
@@ -39,7 +41,11 @@ def timed_edges(edges: DataFrame, triggers: DataFrame, cfg: StripConfig) -> Data
 
 
 def side_slots(
-    timed: DataFrame, chmap: DataFrame, cfg: StripConfig, rows: int | None = None
+    timed: DataFrame,
+    chmap: DataFrame,
+    cfg: StripConfig,
+    rows: int | None = None,
+    calib: DataFrame | None = None,
 ) -> DataFrame:
     """Size and charge-ordered slots per frame and side.
 
@@ -47,8 +53,18 @@ def side_slots(
     can be among the three widest. The edges are written down first, narrow: both
     parts read that table, and the limit of the second has a fresh exchange below
     it, so that a hot channel is cut to a few edges in every task before it moves.
+
+    ``calib`` holds ``side, id, p1, p0``: charges are put through ``charge * p1 + p0``
+    before they are ordered. A gain that is not negative keeps the order of the widths of
+    a channel, so the widest pairs are the candidates as before; a negative one turns it
+    round, and the narrowest are. Strips without constants are left out. Pairs that a
+    negative gain makes equal only by rounding go by the narrower one.
     """
     channel, keys = [*cfg.frame, "ch"], [*cfg.frame, "side"]
+    top = max(_SLOTS.values())
+    if calib is not None:
+        known = calib.select("side", "id", "p1", "p0").where("p1 IS NOT NULL AND p0 IS NOT NULL")
+        chmap = chmap.join(known, ["side", "id"])
     timed = materialise(timed.select(*channel, "edge", "timing"), "timed-edges")
     chmap = bounded_broadcast(chmap, rows)
     sizes = (
@@ -57,7 +73,12 @@ def side_slots(
         .groupBy(*keys)
         .agg(F.sum("n_pairs").alias("size"))
     )
-    pairs = edge_ops.widest_pairs(timed, channel, max(_SLOTS.values())).join(chmap, "ch")
+    if calib is None:
+        pairs = edge_ops.widest_pairs(timed, channel, top).join(chmap, "ch")
+    else:
+        signed = timed.join(chmap.select("ch", F.col("p1").alias("_gain")), "ch")
+        pairs = edge_ops.widest_pairs(signed, channel, top, narrow=F.col("_gain") < 0).join(chmap, "ch")
+        pairs = pairs.withColumn("charge", linear("charge", "p1", "p0"))
     return frames.hit_slots(pairs, keys, frames.by_charge("charge", "id", "timing"), _SLOTS, sizes)
 
 
@@ -82,6 +103,26 @@ def hit_lists(
     return frames.ranked_hits(placed, [*cfg.frame, "side"], order)
 
 
+def pair_occupancy(
+    timed: DataFrame,
+    chmap: DataFrame,
+    cfg: StripConfig,
+    bins: Bins,
+    cell: float | None = None,
+    rows: int | None = None,
+) -> DataFrame:
+    """Strip id against the charge of all pairs: ``side, id, bin, n``, cells with entries.
+
+    Counted over time cells of width ``cell`` (by default one bin of charge), so a noisy
+    channel costs no more than its window has cells; charges are exact for times on that
+    grid.
+    """
+    cell = bins.width if cell is None else cell
+    counts = edge_ops.width_counts(timed, [*cfg.frame, "ch"], ["ch"], cell)
+    placed = hits.map_channels(counts, chmap, ["ch"], rows).withColumn("bin", bin_of("width", bins))
+    return placed.where("bin IS NOT NULL").groupBy("side", "id", "bin").agg(F.sum("n").alias("n"))
+
+
 def side_by_side(slots: DataFrame, cfg: StripConfig) -> DataFrame:
     """One row per frame with ``_x`` and ``_y`` columns; a missing side is null."""
     slots = slots.withColumn("q0q1", asymmetry("charge0", "charge1"))
@@ -92,12 +133,16 @@ def side_by_side(slots: DataFrame, cfg: StripConfig) -> DataFrame:
 
 
 def events(
-    blocks: DataFrame, chmap: DataFrame, cfg: StripConfig, dither: str = "keyed"
+    blocks: DataFrame,
+    chmap: DataFrame,
+    cfg: StripConfig,
+    dither: str = "keyed",
+    calib: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Strip events and the triggers they belong to."""
     triggers = trigger_times(blocks, cfg, dither)
     timed = timed_edges(hits.strip_edges(blocks, cfg, dither), triggers, cfg)
-    return side_by_side(side_slots(timed, chmap, cfg), cfg), triggers
+    return side_by_side(side_slots(timed, chmap, cfg, calib=calib), cfg), triggers
 
 
 def adjacent_events(wide: DataFrame, cfg: StripConfig) -> DataFrame:
@@ -130,7 +175,8 @@ def positions(
         for s in cfg.sides
     ]
     long = adjacent_events(wide, cfg).select(*cfg.frame, F.inline(F.array(*sides)))
-    u = keyed_uniform(row_key(*cfg.frame, "side"), 2) if u is None else u
+    if u is None and not cfg.exact_fraction:
+        u = keyed_uniform(row_key(*cfg.frame, "side"), 2)
     found = curve_ops.curve_lookup(
         long,
         curves.withColumnRenamed("plane", "side"),
@@ -139,7 +185,6 @@ def positions(
         u,
         1.0,
         "_cdf",
-        cfg.curve_step,
         rows,
     )
     ins, pos = None, None
@@ -147,7 +192,7 @@ def positions(
         half = cfg.half_strip[s]
         here = F.col("side") == s
         depth = strip_inset("id0", "id1", F.col("_cdf") * F.lit(abs(half)))
-        place = strip_position("id0", "ins", cfg.centre_strip[s], half)
+        place = strip_position("id0", "ins", cfg.centre_strip[s], half, cfg.mirror_fix)
         ins = F.when(here, depth) if ins is None else ins.when(here, depth)
         pos = F.when(here, place) if pos is None else pos.when(here, place)
     placed = found.withColumn("ins", ins).withColumn("pos", pos)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitframe.config import WireConfig
@@ -57,12 +57,13 @@ def leading_hits(mapped: DataFrame, cfg: WireConfig) -> DataFrame:
 def complete_leads(mapped: DataFrame, cfg: WireConfig) -> DataFrame:
     """Leading hits of the frames in which every plane has one.
 
-    The calibration and the drift lengths are defined on these alone. The leads are
-    written down, since their frames are found from the same table.
+    The calibration and the drift lengths are defined on these alone. A frame has one
+    lead per plane at most and they are placed by frame already, so counting them takes
+    neither a join nor another shuffle.
     """
-    leads = materialise(leading_hits(mapped, cfg), "wire-leads")
-    complete = events(leads, cfg, ["size"]).select(*cfg.frame)
-    return leads.join(complete, list(cfg.frame), "left_semi")
+    planes = F.count(F.lit(1)).over(Window.partitionBy(*cfg.frame))
+    counted = leading_hits(mapped, cfg).withColumn("_planes", planes)
+    return counted.where(F.col("_planes") == len(cfg.planes)).drop("_planes")
 
 
 def events(leads: DataFrame, cfg: WireConfig, values: list[str] | None = None) -> DataFrame:
@@ -103,12 +104,14 @@ def drift_lengths(
 
     All planes at once in long form. The curves are broadcast, so the hits keep
     their placement by frame for the step that makes them wide. ``u`` is the
-    fraction of the curve interval, by default drawn from the frame and plane;
+    fraction of the curve interval, by default drawn from the frame and plane, or
+    with ``cfg.exact_fraction`` the exact one; ``rows`` bounds the curve points if known;
     ``curve_keys`` adds the run where each has curves of its own.
     """
-    u = keyed_uniform(row_key(*cfg.frame, "plane"), 2) if u is None else u
+    if u is None and not cfg.exact_fraction:
+        u = keyed_uniform(row_key(*cfg.frame, "plane"), 2)
     return curve_ops.curve_lookup(
-        leads, curves, list(curve_keys), "timing0", u, cfg.half_cell, "dl", cfg.curve_step, rows
+        leads, curves, list(curve_keys), "timing0", u, cfg.half_cell, "dl", rows
     )
 
 

@@ -1,9 +1,14 @@
 from .stages import (  # noqa: F401
+    commit_runs,
+    committed_runs,
     materialise,
+    open_bucketed,
+    pending_runs,
     preview,
     read_stage,
     select_by_suffix,
     union_runs,
+    write_bucketed,
     write_curves,
     write_mode_table,
     write_stage,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hitframe.session import scratch_path
 
@@ -41,6 +44,61 @@ def read_stage(spark: SparkSession, path: str, run: str | None = None) -> DataFr
     return df if run is None else df.where(F.col("runname") == run)
 
 
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write a stage cut into ``buckets`` by ``keys`` and return it as it reads back.
+
+    Stages with equal buckets join and group on the keys without moving a row: the one
+    shuffle is paid when the stage is written. The cut is known by the table that is
+    returned, as files alone do not tell it; ``open_bucketed`` opens them again.
+    """
+    spark = df.sparkSession
+    name = f"stage_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).saveAsTable(name)
+    return _unlisted(spark, name)
+
+
+def open_bucketed(spark: SparkSession, path: str, schema: StructType, keys: list[str], buckets: int) -> DataFrame:
+    """A stage of ``write_bucketed`` from its files."""
+    name = f"stage_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+        f"INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return _unlisted(spark, name)
+
+
+def _unlisted(spark: SparkSession, name: str) -> DataFrame:
+    """The table without its entry in the catalogue; the files stay where they are."""
+    df = spark.table(name)
+    df.schema  # resolves the table, which the plan then holds
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
+def commit_runs(spark: SparkSession, path: str, stage: str, runs: list[str]) -> None:
+    """Record that a stage has written these runs: one append, all of them or none."""
+    rows = [(stage, run) for run in runs]
+    if rows:
+        spark.createDataFrame(rows, "stage string, runname string").coalesce(1).write.mode("append").parquet(path)
+
+
+def committed_runs(spark: SparkSession, path: str, stage: str) -> DataFrame:
+    """``runname`` of each run that a stage has committed; none if nothing was ever."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "runname string")
+    table = spark.read.schema("stage string, runname string").parquet(path)
+    return table.where(F.col("stage") == stage).select("runname").distinct()
+
+
+def pending_runs(inputs: DataFrame, spark: SparkSession, path: str, stage: str) -> DataFrame:
+    """``runname`` of each run of the inputs that the stage has not committed."""
+    return inputs.select("runname").distinct().join(committed_runs(spark, path, stage), "runname", "left_anti")
+
+
 def write_curves(curves: DataFrame, path: str) -> None:
     """CSV curves, one folder per run and plane. A curve is a few hundred rows,
     so the shuffle that brings each one into a single file is small."""

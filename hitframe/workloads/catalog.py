@@ -7,12 +7,13 @@ results compare value by value with the SQL in ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitframe import session
-from hitframe.config import ANODE_MODULE, TICK_NS, WIRE_MODULE, Bins, Box
+from hitframe.config import ANODE_MODULE, RESIDUAL_PAIRS, TICK_NS, WIRE_MODULE, Bins, Box
 from hitframe.functions import (
     asymmetry,
     flip_even_channels,
@@ -22,7 +23,7 @@ from hitframe.functions import (
     linear,
     ticks_to_ns,
 )
-from hitframe.operators import curves, edges, frames, histograms, hits, quality
+from hitframe.operators import curves, edges, frames, histograms, hits, quality, statistics
 from hitframe.plans import calibration, combine, strip, wire
 from hitframe.sources import (
     preview,
@@ -32,6 +33,7 @@ from hitframe.sources import (
     read_stage,
     read_strip_map,
     union_runs,
+    write_bucketed,
     write_curves,
     write_mode_table,
     write_stage,
@@ -52,12 +54,11 @@ CURVE_BINS = Bins(10.0, 150.0, 100)
 STRIP_CHARGE_BINS = Bins(0.0, 120.0, 60)
 CURVE_ROWS = len(PLANES) * CURVE_BINS.n
 SLOTS = {"id": 3, "charge": 3}
-RESIDUAL_PAIRS = (
-    ("dc31_x1", "dc31_x2"),
-    ("dc31_y1", "dc31_y2"),
-    ("dc32_x1", "dc32_x2"),
-    ("dc32_y1", "dc32_y2"),
-)
+QUANTILES = (0.25, 0.5, 0.75, 0.99)
+PEAK_BINS = Bins(-100.0, 100.0, 50)
+# hours of a run, and the charge that calls for a calibration
+RUN_FRAMES, STRONG = 24, 220.0
+CORRELATION_PAIRS = tuple((p.first, p.second) for p in V.CHAIN.pairs)
 
 
 def query(fn: Query) -> Query:
@@ -142,14 +143,17 @@ def time_zero_window(spark, sf):
 
 @query
 def channel_map_join(spark, sf):
-    """Composite-key map; plane and local id come from the map side."""
-    chmap = spark.range(180).select(
+    """Composite-key map of all three boards; plane and local id come from the map side.
+
+    Four of 100 channels of a board are not in it.
+    """
+    chmap = spark.range(288).select(
         F.expr("cast(id as int)").alias("id"),
-        F.expr("cast(616 + id div 90 as int)").alias("femId"),
-        F.expr("cast(id % 90 as int)").alias("ch"),
+        F.expr("cast(616 + id div 96 as int)").alias("femId"),
+        F.expr("cast(id % 96 as int)").alias("ch"),
     )
     planes = chmap.withColumn("plane_no", F.expr("id div 16")).withColumn("id", F.col("id") % 16)
-    mapped = hits.map_channels(V.hits(spark, sf).drop("plane_no"), planes, ["femId", "ch"], 180)
+    mapped = hits.map_channels(V.hits(spark, sf).drop("plane_no"), planes, ["femId", "ch"], 288)
     return mapped.select("event_id", *big("plane_no", "id"), "charge")
 
 
@@ -357,6 +361,44 @@ def strip_chain_slots(spark, sf):
     return wide.select("frame_id", *big(*ints), *rest)
 
 
+@query
+def strip_chain_slots_gain(spark, sf):
+    """The same with charges put through gains of either sign before they are ordered."""
+    timed, _ = V.strip_chain_edges(spark, sf)
+    slots = strip.side_slots(
+        timed, V.strip_map(spark), V.STRIP_CHAIN, V.STRIP_MAP_ROWS, V.strip_gains(spark, sf)
+    )
+    wide = strip.side_by_side(slots, V.STRIP_CHAIN)
+    ints = [f"{c}_{s}" for s in ("x", "y") for c in ("size", "id0", "id1", "id2")]
+    rest = [f"{c}_{s}" for s in ("x", "y") for c in ("timing0", "charge0", "charge1", "charge2")]
+    return wide.select("frame_id", *big(*ints), *rest)
+
+
+@query
+def pair_widths(spark, sf):
+    """Widths of all leading x trailing pairs per channel, from counts of time cells."""
+    out = edges.width_counts(V.edges(spark, sf), ["frame_id", "ch"], ["ch"], 1.0)
+    return out.select(*big("ch"), "width", *big("n"))
+
+
+@query
+def strip_pair_occupancy(spark, sf):
+    """Strip id against the charge of every pair, on the grid of the clock."""
+    timed, _ = V.strip_chain_edges(spark, sf)
+    out = strip.pair_occupancy(
+        timed, V.strip_map(spark), V.STRIP_CHAIN, STRIP_CHARGE_BINS, TICK_NS, V.STRIP_MAP_ROWS
+    )
+    return out.select("side", *big("id", "bin", "n"))
+
+
+@query
+def default_dither(spark, sf):
+    """Hits with the dither that jobs use: the tick and width it was drawn into come back."""
+    raw = hits.wire_hits(V.wire_blocks(spark, sf), V.CHAIN)
+    whole = [F.floor(F.col(c) / F.lit(TICK_NS)).alias(n) for c, n in (("tcal", "ticks"), ("charge", "tot"))]
+    return raw.select("frame_id", *big("femId", "ch"), *whole)
+
+
 # --- histograms -------------------------------------------------------------
 
 
@@ -428,19 +470,28 @@ def pulser_calibration(spark, sf):
     )
 
 
+@query
+def strip_pulser_calibration(spark, sf):
+    """Strip hit lists of three runs -> most frequent charge bin per run, side and strip."""
+    lists = V.strip_chain_hits(spark, sf)
+    runs = {f"run{i}": lists.where(F.col("frame_id") % 3 == i).select("side", "id", "charge") for i in range(3)}
+    out = calibration.pulser_modes(union_runs(runs), ["runname", "side"], n_ids=8)
+    return out.select("runname", "side", *big("id", "mode_bin"))
+
+
 @query
 def pulser_occupancy(spark, sf):
     """Mapped hits of the wire chain before time zero and cuts."""
     raw = hits.wire_hits(V.wire_blocks(spark, sf), V.CHAIN, "mid")
     mapped = hits.map_channels(raw, V.wire_map(spark), ["femId", "ch"], V.WIRE_MAP_ROWS)
-    out = calibration.occupancy(mapped, ["detector"], Bins(-0.5, 47.5, 48), Bins(0.0, 200.0, 100))
+    out = calibration.occupancy(mapped, ["detector"], Bins(-0.5, 127.5, 128), Bins(0.0, 200.0, 100))
     return out.select("detector", *big("bin_x", "bin_y", "n"))
 
 
 @query
 def plane_correlation(spark, sf):
     """Frames with a single hit on both planes: wire against wire."""
-    cells = Bins(-0.5, 11.5, 12)
+    cells = Bins(-0.5, 15.5, 16)
     wide = wire.events(V.chain_leads(spark, sf), V.CHAIN, ["size", "id0"])
     rows = [
         F.struct(
@@ -449,7 +500,7 @@ def plane_correlation(spark, sf):
             F.col(f"{b}_id0").alias("b"),
             ((F.col(f"{a}_size") == 1) & (F.col(f"{b}_size") == 1)).alias("single"),
         )
-        for a, b in RESIDUAL_PAIRS
+        for a, b in CORRELATION_PAIRS
     ]
     long = wide.select(F.inline(F.array(*rows))).where("single")
     return histograms.hist2d(long, "a", cells, "b", cells, ["pair"]).select("pair", *big("bin_x", "bin_y", "n"))
@@ -459,7 +510,7 @@ def plane_correlation(spark, sf):
 def edge_veto_box(spark, sf):
     """Leading hits away from the edge wires and inside a tighter box."""
     leads = V.chain_leads(spark, sf)
-    cut = frames.edge_wire_veto(11) & in_box("charge0", "timing0", Box((30, 120), (-40, 40)))
+    cut = frames.edge_wire_veto(V.CHAIN.wires_per_plane - 1) & in_box("charge0", "timing0", Box((30, 120), (-40, 40)))
     return leads.where(cut).select("frame_id", "plane", *big("id0"), "charge0", "timing0")
 
 
@@ -487,12 +538,64 @@ def interval_table(spark, sf):
 def interval_lookup(spark, sf):
     h = V.hits(spark, sf).select("event_id", "plane_no", "charge", "u")
     out = curves.curve_lookup(
-        h, _charge_curves(spark, sf), ["plane_no"], "charge", F.col("u"), 1.5, "dl",
-        CURVE_BINS.width, CURVE_ROWS,
+        h, _charge_curves(spark, sf), ["plane_no"], "charge", F.col("u"), 1.5, "dl", CURVE_ROWS
     )
     return out.select("event_id", *big("plane_no"), "charge", "dl")
 
 
+@query
+def interval_lookup_exact(spark, sf):
+    """The exact fraction of the curve interval instead of a dithered one."""
+    h = V.hits(spark, sf).select("event_id", "plane_no", "charge")
+    out = curves.curve_lookup(
+        h, _charge_curves(spark, sf), ["plane_no"], "charge", None, 1.5, "dl", CURVE_ROWS
+    )
+    return out.select("event_id", *big("plane_no"), "charge", r6("dl").alias("dl"))
+
+
+def _run_hits(spark, sf) -> DataFrame:
+    """A run is a day."""
+    return V.hits(spark, sf).withColumn("run_no", F.expr(f"frame_id div {RUN_FRAMES}"))
+
+
+def _calibrations(spark, sf) -> DataFrame:
+    """A plane is calibrated in a run with a strong purchase; several of a run are versions."""
+    strong = (F.col("event_type") == "purchase") & (F.col("charge") > STRONG)
+    return _run_hits(spark, sf).where(strong).select("plane_no", "run_no", F.col("ch").alias("version"))
+
+
+@query
+def calibration_in_force(spark, sf):
+    """Which calibration serves each run and plane: the latest one up to it."""
+    out = curves.curves_in_force(_run_hits(spark, sf), _calibrations(spark, sf), ["plane_no"])
+    return out.select(*big("plane_no", "run_no", "curve_no", "curve_version"))
+
+
+@query
+def lookup_in_force(spark, sf):
+    """Hits of every run looked up in the curves of the calibration run that serves it."""
+    h, taken = _run_hits(spark, sf), _calibrations(spark, sf)
+    counts = histograms.hist1d(h.join(taken, ["plane_no", "run_no"], "left_semi"), "charge", CURVE_BINS, ["plane_no", "run_no"])
+    found = curves.cdf_curve(counts, CURVE_BINS, ["plane_no", "run_no"]).withColumnRenamed("run_no", "curve_no")
+    served = curves.curves_in_force(h, taken, ["plane_no"])
+    known = h.join(served, ["plane_no", "run_no"])
+    out = curves.curve_lookup(known, found, ["plane_no", "curve_no"], "charge", F.col("u"), 1.5, "dl")
+    return out.select("event_id", *big("plane_no", "curve_no"), "charge", "dl")
+
+
+@query
+def drift_calibration_by_parts(spark, sf):
+    """Counts of two runs written one after the other, then the curves of their sums."""
+    leads, path = V.chain_leads(spark, sf), session.scratch_path(spark, "drift-counts")
+    for part, run in ((F.col("frame_id") % 2 == 0, "even"), (F.col("frame_id") % 2 == 1, "odd")):
+        counted = calibration.drift_counts(
+            leads.where(part), V.CHAIN, ["plane"], V.CHAIN_BOX, V.CHAIN_TIME_BINS, V.CHAIN_CHARGE_BINS
+        )
+        write_stage(counted, path, run)
+    out = calibration.curves_of_counts(read_stage(spark, path), V.CHAIN_TIME_BINS, ["plane"])
+    return out.select("plane", *big("bin"), "x", "tx")
+
+
 @query
 def drift_calibration(spark, sf):
     return V.chain_curves(V.chain_leads(spark, sf)).select("plane", *big("bin"), "x", "tx")
@@ -545,6 +648,14 @@ def strip_position(spark, sf):
     )
 
 
+@query
+def strip_position_mirrored(spark, sf):
+    """The inset turned round, so that it points the way positions do."""
+    return V.strip_chain_positions(spark, sf, replace(V.STRIP_CHAIN, mirror_fix=True)).select(
+        "frame_id", "sr_pos_x", "sr_ins_x", "sr_pos_y", "sr_ins_y"
+    )
+
+
 # --- both detectors, quality ------------------------------------------------
 
 
@@ -557,6 +668,16 @@ def detector_join(spark, sf):
     return _joined(spark, sf)
 
 
+@query
+def bucketed_join(spark, sf):
+    """Both stages written in buckets of the frame, joined without moving a row."""
+    buckets = 8
+    stages = []
+    for name, df in (("strips", V.strip_chain_positions(spark, sf)), ("wires", V.chain_positions(spark, sf))):
+        stages.append(write_bucketed(df, session.scratch_path(spark, f"bucketed-{name}"), ["frame_id"], buckets))
+    return combine.join_detectors(*stages)
+
+
 @query
 def detector_residuals(spark, sf):
     return combine.detector_residuals(_joined(spark, sf), V.CHAIN)
@@ -608,15 +729,47 @@ def resolution(spark, sf):
     )
 
 
+@query
+def resolution_by_run(spark, sf):
+    positions = V.chain_positions(spark, sf).withColumn("run", F.col("frame_id") % 3)
+    out = quality.resolution(positions, V.CHAIN.views, groups=("run",))
+    return out.select(
+        "view",
+        *big("run", "n_all"),
+        F.round("resolution_um", 4).alias("resolution_um"),
+        F.round("resolution_accepted_um", 4).alias("resolution_accepted_um"),
+    )
+
+
 @query
 def residual_summary(spark, sf):
     long = quality.residual_columns(V.chain_positions(spark, sf), RESIDUAL_PAIRS)
     out = quality.residual_summary(long, "diff", ["pair"], (-10.0, 10.0))
-    # the approximate median is exact here, as each group has fewer values than its accuracy
-    rounded = [r6(c).alias(c) for c in ("centre", "width", "median")]
+    rounded = [r6(c).alias(c) for c in ("centre", "width", "median", "quartile_width")]
     return out.select("pair", *big("n"), *rounded)
 
 
+@query
+def exact_quantiles(spark, sf):
+    """Quartiles and the 99th percentile of prices per flag, tens of thousands of values each."""
+    lines = V.table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
+    out = statistics.exact_quantiles(lines, "l_extendedprice", ["l_returnflag"], QUANTILES)
+    return out.select("l_returnflag", *[r6(f"q{i}").alias(f"q{i}") for i in range(len(QUANTILES))])
+
+
+def _spreads(spark, sf) -> DataFrame:
+    """Sums of even spreads, whose distribution has a peak."""
+    spread = "l_quantity + l_partkey % 50 + l_suppkey % 50 + l_orderkey % 50 - 100"
+    return V.table(spark, sf, "lineitem").select("l_returnflag", F.expr(f"cast({spread} as double)").alias("diff"))
+
+
+@query
+def peak_fit(spark, sf):
+    """Gaussian core of a distribution per group: centre, width and height of the fit."""
+    out = quality.residual_peaks(_spreads(spark, sf), "diff", ["l_returnflag"], PEAK_BINS)
+    return out.select("l_returnflag", *big("n"), *[r6(c).alias(c) for c in ("height", "centre", "width")])
+
+
 # --- sinks ------------------------------------------------------------------
 
 

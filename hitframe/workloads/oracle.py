@@ -116,8 +116,6 @@ CTE |= {
 
 # --- wire chain -------------------------------------------------------------
 
-_CH = "CASE WHEN event_type = 'signup' THEN (CASE WHEN k < 80 THEN 4 ELSE 5 END) ELSE k % 50 END"
-_FEM = "CASE WHEN event_type = 'signup' THEN 614 ELSE 616 + k // 50 END"
 _TOT = f"CAST(floor(value * {_d(1024)} + {_d(0.5)}) AS BIGINT)"
 _NAMES = "[" + ", ".join(f"'{p}'" for p in V.CHAIN.planes) + "]"
 _PL = V.CHAIN.planes
@@ -158,30 +156,34 @@ def _mean(cols: list[str]) -> str:
 
 
 CTE |= {
-    "wb": f"""SELECT event_id // {V.FRAME_EVENTS} AS frame_id, {_FEM} AS fem, {_CH} AS ch,
-        us % 65536 AS time, {_TOT} AS tot, value FROM ev
+    "wb": f"""SELECT event_id, event_id // {V.FRAME_EVENTS} AS frame_id, us, k, {_TOT} AS tot, value FROM ev
         WHERE event_id > 0 AND event_type <> 'error' AND value >= 1""",
-    "raw": """SELECT frame_id, fem, ch, time, tot FROM wb UNION ALL
-        SELECT frame_id, fem, (ch + 7) % 50, time + 40, tot // 2 FROM wb WHERE value > 100""",
+    "wires": """SELECT w.*, b.range AS b, j.range AS j, (k + (event_id * (4 * b.range + j.range)) % 3) % 16 AS wire,
+        (us + 4099 * j.range + 9973 * b.range) % 65536 AS time FROM wb w CROSS JOIN range(3) b CROSS JOIN range(4) j""",
+    "raw": """SELECT frame_id, 614 AS fem, CASE WHEN k < 90 THEN 4 ELSE 5 END AS ch, us % 65536 AS time, tot FROM wb
+        UNION ALL SELECT frame_id, 614, CASE WHEN k < 90 THEN 4 ELSE 5 END, us % 65536 + 40, tot // 2 FROM wb WHERE value > 100
+        UNION ALL SELECT frame_id, 616 + b, 4 * wire + j, time, tot + 512 * j FROM wires
+        UNION ALL SELECT frame_id, 616 + b, 4 * ((wire + 3) % 16) + j, time + 40, tot // 2 FROM wires WHERE value > 100""",
     "wt0": f"""SELECT frame_id, min((time + {_d(0.5)}) * {TICK}) AS sra_timing, min(time) AS sra_tdc_raw
         FROM raw WHERE fem = 614 AND ch = 4 GROUP BY frame_id""",
-    "cmap": """SELECT range AS i, 616 + range // 48 AS fem, range % 48 AS ch, ((range % 48) * 5) % 48 AS id,
-        CASE WHEN range < 48 THEN 'dc31' ELSE 'dc32' END AS detector FROM range(96)""",
+    "cmap": """SELECT 616 + f.range AS fem, 4 * w.range + p.range AS ch,
+        (CASE WHEN f.range = 1 THEN 64 ELSE 0 END) + 16 * p.range + (5 * w.range) % 16 AS id,
+        CASE WHEN f.range < 2 THEN 'dc31' ELSE 'dc32' END AS detector FROM range(3) f, range(16) w, range(4) p""",
     "mapped_raw": f"""SELECT r.frame_id, m.detector, m.id AS chan, (r.time + {_d(0.5)}) * {TICK} AS tcal,
         (r.tot + {_d(0.5)}) * {TICK} AS charge
         FROM raw r JOIN cmap m ON r.fem = m.fem AND r.ch = m.ch WHERE r.fem <> 614""",
-    "mapped": f"""SELECT m.frame_id, m.detector, ({_NAMES})[CAST((CASE WHEN detector = 'dc31' THEN 0 ELSE 4 END) + chan // 12 + 1 AS INT)] AS plane,
-        m.chan % 12 AS id, m.charge, m.tcal - t.sra_timing AS timing, t.sra_timing, t.sra_tdc_raw
+    "mapped": f"""SELECT m.frame_id, m.detector, ({_NAMES})[CAST((CASE WHEN detector = 'dc31' THEN 0 ELSE 8 END) + chan // 16 + 1 AS INT)] AS plane,
+        m.chan % 16 AS id, m.charge, m.tcal - t.sra_timing AS timing, t.sra_timing, t.sra_tdc_raw
         FROM mapped_raw m JOIN wt0 t USING (frame_id)""",
     "kept": """SELECT * FROM mapped WHERE charge > 10 AND charge < 150 AND timing > -60
         AND timing < CASE WHEN detector = 'dc31' THEN 60 ELSE 55 END""",
     "wranked": """SELECT *, row_number() OVER (PARTITION BY frame_id, plane ORDER BY charge DESC, id, timing) AS rn,
         count(*) OVER (PARTITION BY frame_id, plane) AS size FROM kept""",
     "leads": "SELECT frame_id, plane, size, id AS id0, charge AS charge0, timing AS timing0, sra_timing, sra_tdc_raw FROM wranked WHERE rn = 1",
-    "full_frames": "SELECT frame_id FROM leads GROUP BY frame_id HAVING count(*) = 8",
+    "full_frames": "SELECT frame_id FROM leads GROUP BY frame_id HAVING count(*) = 12",
     "cleads": "SELECT l.* FROM leads l JOIN full_frames USING (frame_id)",
     "drift_bin": f"""SELECT plane, bin FROM (SELECT plane, {_bin('timing0', V.CHAIN_TIME_BINS)} AS bin,
-        {_bin('charge0', V.CHAIN_CHARGE_BINS)} AS cb FROM cleads WHERE id0 > 0 AND id0 < 11
+        {_bin('charge0', V.CHAIN_CHARGE_BINS)} AS cb FROM cleads WHERE id0 > 0 AND id0 < 15
         AND charge0 > 10 AND charge0 < 150 AND timing0 > -60 AND timing0 < 60) WHERE bin IS NOT NULL AND cb IS NOT NULL""",
     "drift_counts": _dense("drift_bin", "plane", V.CHAIN_TIME_BINS),
     "drift_curve": _curve("drift_counts", "plane", V.CHAIN_TIME_BINS),
@@ -202,18 +204,18 @@ CTE |= {
 _LO, _HI = V.STRIP_CHAIN.window
 _LX, _LY = "l_partkey % 1000", "l_partkey % 900"
 _WX, _WY = "CAST(floor(l_extendedprice) AS BIGINT)", "CAST(floor(l_quantity * 1000) AS BIGINT)"
-_CX, _CY = "l_linenumber", "32 + l_suppkey % 8"
+_CX, _CY = "l_linenumber", "32 + l_suppkey % 4"
 
 
 def _side(s: str, col: str) -> str:
     return f"max(CASE WHEN side = '{s}' THEN {col} END)"
 
 
-def _place(side: str) -> tuple[str, str]:
+def _place(side: str, turned: str = "") -> tuple[str, str]:
     half, centre = V.STRIP_CHAIN.half_strip[side], V.STRIP_CHAIN.centre_strip[side]
     depth = f"cdf * {_d(abs(half))}"
     ins = f"CASE WHEN id1 = id0 + 1 THEN {depth} ELSE -({depth}) END"
-    pos = f"({_d(centre)} - id0) * {_d(abs(half) * 2.0)} + ({ins}) - {_d(half)}"
+    pos = f"({_d(centre)} - id0) * {_d(abs(half) * 2.0)} + {turned}({ins}) - {_d(half)}"
     return ins, pos
 
 
@@ -274,6 +276,10 @@ CTE |= {
         f"SELECT frame_id, plane, {_place(s)[1]} AS pos, {_place(s)[0]} AS ins FROM scdf WHERE plane = '{s}'"
         for s in ("x", "y")
     ),
+    "splaced_turned": " UNION ALL ".join(
+        f"SELECT frame_id, plane, {_place(s, '-')[1]} AS pos, {_place(s)[0]} AS ins FROM scdf WHERE plane = '{s}'"
+        for s in ("x", "y")
+    ),
     "spos": """SELECT frame_id,
         max(CASE WHEN plane = 'x' THEN pos END) AS sr_pos_x, max(CASE WHEN plane = 'x' THEN ins END) AS sr_ins_x,
         max(CASE WHEN plane = 'y' THEN pos END) AS sr_pos_y, max(CASE WHEN plane = 'y' THEN ins END) AS sr_ins_y
@@ -287,7 +293,65 @@ CTE |= {
 }
 
 
-def _resolution() -> str:
+CTE |= {
+    "gains": """SELECT CASE WHEN n_nationkey < 8 THEN 'x' ELSE 'y' END AS side, n_nationkey % 8 AS id,
+        CASE n_nationkey % 4 WHEN 0 THEN 1.25e0 WHEN 1 THEN -0.75e0 WHEN 2 THEN 0.5e0 ELSE 0e0 END AS p1,
+        n_nationkey * 0.5e0 + 3e0 AS p0 FROM nation WHERE n_nationkey < 16 AND n_nationkey NOT IN (5, 14)""",
+    "granked": """SELECT *, row_number() OVER (PARTITION BY frame_id, side ORDER BY charge DESC, id, timing) AS rn,
+        count(*) OVER (PARTITION BY frame_id, side) AS n FROM (
+        SELECT p.frame_id, p.side, p.id, p.timing, p.charge * g.p1 + g.p0 AS charge
+        FROM spairs p JOIN gains g ON p.side = g.side AND p.id = g.id)""",
+    "run_hits": f"SELECT *, frame_id // {K.RUN_FRAMES} AS run_no FROM hits",
+    "taken": f"""SELECT DISTINCT plane_no, run_no, ch AS version FROM run_hits
+        WHERE event_type = 'purchase' AND charge > {_d(K.STRONG)}""",
+    "served": """SELECT r.plane_no, r.run_no, t.run_no AS curve_no, t.version AS curve_version FROM (
+        SELECT DISTINCT plane_no, run_no FROM run_hits) r LEFT JOIN taken t ON t.plane_no = r.plane_no AND t.run_no <= r.run_no
+        QUALIFY row_number() OVER (PARTITION BY r.plane_no, r.run_no ORDER BY t.run_no DESC NULLS LAST, t.version DESC) = 1""",
+    "cal_bin": f"""SELECT * FROM (SELECT plane_no * 1000 + run_no AS cal, {_bin('charge', K.CURVE_BINS)} AS bin FROM run_hits
+        WHERE (plane_no, run_no) IN (SELECT (plane_no, run_no) FROM taken)) WHERE bin IS NOT NULL""",
+    "cal_counts": _dense("cal_bin", "cal", K.CURVE_BINS),
+    "cal_curve": _curve("cal_counts", "cal", K.CURVE_BINS),
+    "cal_steps": _intervals("cal_curve", "cal"),
+    "strip_modes": """SELECT 'run' || (frame_id % 3) AS runname, side, id, CAST(floor(charge) AS BIGINT) AS cb FROM snear
+        WHERE charge >= 0 AND charge < 500""",
+    "spread_bin": f"""SELECT l_returnflag, bin, count(*) AS n FROM (SELECT l_returnflag,
+        {_bin('diff', K.PEAK_BINS)} AS bin FROM (SELECT l_returnflag, CAST(l_quantity + l_partkey % 50 + l_suppkey % 50
+        + l_orderkey % 50 - 100 AS DOUBLE) AS diff FROM lineitem)) WHERE bin IS NOT NULL GROUP BY l_returnflag, bin""",
+}
+
+
+def _peak(counts: str, key: str, bins, rounds: int = 5, floor: float = 0.1) -> str:
+    """The iterated fit, one nested select per round."""
+
+    def det(x, y, z):
+        return (
+            f"({x[0]} * ({y[1]} * {z[2]} - {y[2]} * {z[1]}) - {x[1]} * ({y[0]} * {z[2]} - {y[2]} * {z[0]})"
+            f" + {x[2]} * ({y[0]} * {z[1]} - {y[1]} * {z[0]}))"
+        )
+
+    s = [["s0", "s1", "s2"], ["s1", "s2", "s3"], ["s2", "s3", "s4"]]
+    roots = []
+    for i, name in enumerate("abc"):
+        put = [[f"t{r}" if c == i else s[r][c] for c in range(3)] for r in range(3)]
+        roots.append(f"{det(*put)} / nullif({det(*s)}, 0) AS {name}")
+    sums = [f"sum(w * u ** {i}) OVER p AS s{i}" for i in range(5)] + [f"sum(w * u ** {i} * y) OVER p AS t{i}" for i in range(3)]
+    rows = f"""SELECT {key}, CAST(n AS DOUBLE) AS n, (bin + 0.5e0) / {_d(bins.n)} - 0.5e0 AS u, ln(n) AS y, CAST(n AS DOUBLE) AS w
+        FROM (SELECT *, max(n) OVER (PARTITION BY {key}) AS top FROM {counts}) WHERE n > 0 AND n >= {_d(floor)} * top"""
+    for _ in range(rounds):
+        rows = f"""SELECT {key}, n, u, y, a, b, c, CASE WHEN c < 0 THEN exp(a + (b + c * u) * u) ELSE n END AS w FROM (
+            SELECT *, {', '.join(roots)} FROM (SELECT {key}, n, u, y, w, {', '.join(sums)} FROM ({rows}) WINDOW p AS (PARTITION BY {key})))"""
+    span = _d(bins.hi - bins.lo)
+    fits = {
+        "height": "exp(a - b * b / (4 * c))",
+        "centre": f"{_d(bins.lo)} + (-b / (2 * c) + 0.5e0) * {span}",
+        "width": f"sqrt(-0.5e0 / c) * {span}",
+    }
+    cells = ", ".join(f"CASE WHEN c < 0 AND bins >= 3 THEN {_r6(x)} END AS {name}" for name, x in fits.items())
+    return f"""SELECT {key}, CAST(n AS BIGINT) AS n, {cells} FROM (SELECT {key}, sum(n) AS n, count(*) AS bins,
+        max(a) AS a, max(b) AS b, max(c) AS c FROM ({rows}) GROUP BY {key})"""
+
+
+def _resolution(run: bool = False) -> str:
     parts = []
     for view, planes in V.CHAIN.views.items():
         diffs = [f"({p}_posi - {view})" for p in planes]
@@ -301,8 +365,9 @@ def _resolution() -> str:
             return f"round(sqrt(({' + '.join(terms)}) / {k} * ({k} - 1)) / {k} * 1000, 4)"
 
         parts.append(
-            f"SELECT '{view}' AS view, count(*) AS n_all, {spread(False)} AS resolution_um, "
-            f"{spread(True)} AS resolution_accepted_um FROM views"
+            f"SELECT '{view}' AS view, {'frame_id % 3 AS run, ' if run else ''}count(*) AS n_all, "
+            f"{spread(False)} AS resolution_um, {spread(True)} AS resolution_accepted_um FROM views"
+            f"{' GROUP BY frame_id % 3' if run else ''}"
         )
     return " UNION ALL ".join(parts)
 
@@ -359,7 +424,7 @@ def _correlation() -> str:
     parts = [
         f"""SELECT '{a}-{b}' AS pair, CAST({a}_id0 AS BIGINT) AS bin_x, CAST({b}_id0 AS BIGINT) AS bin_y, count(*) AS n
         FROM dwide WHERE {a}_size = 1 AND {b}_size = 1 GROUP BY ALL"""
-        for a, b in K.RESIDUAL_PAIRS
+        for a, b in K.CORRELATION_PAIRS
     ]
     return " UNION ALL ".join(parts)
 
@@ -392,7 +457,7 @@ BODIES = {
     "time_zero_window": f"""SELECT event_id, frame_id, timing, charge FROM timed
         WHERE timing > {_d(K.WINDOW_NS[0])} AND timing < {_d(K.WINDOW_NS[1])} AND charge > 10 AND charge < 150""",
     "channel_map_join": """SELECT event_id, m.id // 16 AS plane_no, m.id % 16 AS id, charge FROM hits h
-        JOIN (SELECT range AS id, 616 + range // 90 AS fem, range % 90 AS ch FROM range(180)) m
+        JOIN (SELECT range AS id, 616 + range // 96 AS fem, range % 96 AS ch FROM range(288)) m
         ON h.fem = m.fem AND h.ch = m.ch""",
     "side_map_join": """SELECT event_id, CASE WHEN ch < 45 THEN 'x' ELSE 'y' END AS side,
         CAST(CASE WHEN ch < 45 THEN 44 - ch ELSE ch - 45 END AS BIGINT) AS id, charge FROM hits WHERE ch < 90""",
@@ -442,7 +507,7 @@ BODIES = {
     "pulser_calibration": "SELECT runname, id, mode_bin FROM modes",
     "pulser_occupancy": _OCC,
     "plane_correlation": _correlation(),
-    "edge_veto_box": """SELECT frame_id, plane, CAST(id0 AS BIGINT) AS id0, charge0, timing0 FROM cleads WHERE id0 > 0 AND id0 < 11
+    "edge_veto_box": """SELECT frame_id, plane, CAST(id0 AS BIGINT) AS id0, charge0, timing0 FROM cleads WHERE id0 > 0 AND id0 < 15
         AND charge0 > 30 AND charge0 < 120 AND timing0 > -40 AND timing0 < 40""",
     "cdf_curve": "SELECT plane_no, bin, x, tx FROM curve",
     "interval_table": "SELECT plane_no, lo, hi, tx_lo, tx_hi FROM steps",
@@ -474,8 +539,48 @@ BODIES = {
     "slot_efficiency": f"""SELECT side, n0, n2, {_r6('CAST(n2 AS DOUBLE) / n0')} AS efficiency FROM (SELECT side,
         count(CASE WHEN charge0 > 0 THEN 1 END) AS n0, count(CASE WHEN charge2 > 0 THEN 1 END) AS n2 FROM slots GROUP BY side)""",
     "resolution": _resolution(),
+    "resolution_by_run": _resolution(True),
+    "exact_quantiles": "SELECT l_returnflag, "
+    + ", ".join(f"{_r6(f'quantile_cont(l_extendedprice, {f})')} AS q{i}" for i, f in enumerate(K.QUANTILES))
+    + " FROM lineitem GROUP BY l_returnflag",
+    "peak_fit": _peak("spread_bin", "l_returnflag", K.PEAK_BINS),
+    "strip_chain_slots_gain": "SELECT frame_id, "
+    + ", ".join(f"CAST({_side(s, 'n')} AS BIGINT) AS size_{s}" for s in _SIDES)
+    + ", "
+    + ", ".join(
+        f"CAST(max(CASE WHEN side = '{s}' AND rn = {i + 1} THEN id END) AS BIGINT) AS id{i}_{s}, "
+        f"max(CASE WHEN side = '{s}' AND rn = {i + 1} THEN charge END) AS charge{i}_{s}"
+        for s in _SIDES
+        for i in range(3)
+    )
+    + ", "
+    + ", ".join(f"max(CASE WHEN side = '{s}' AND rn = 1 THEN timing END) AS timing0_{s}" for s in _SIDES)
+    + " FROM granked GROUP BY frame_id",
+    "pair_widths": "SELECT CAST(ch AS BIGINT) AS ch, width, count(*) AS n FROM pairs GROUP BY ch, width",
+    "strip_pair_occupancy": f"""SELECT side, CAST(id AS BIGINT) AS id, bin, count(*) AS n FROM (
+        SELECT side, id, {_bin('charge', K.STRIP_CHARGE_BINS)} AS bin FROM spairs) WHERE bin IS NOT NULL GROUP BY side, id, bin""",
+    "default_dither": "SELECT frame_id, CAST(fem AS BIGINT) AS femId, CAST(ch AS BIGINT) AS ch, time AS ticks, tot FROM raw WHERE fem <> 614",
+    "strip_pulser_calibration": """SELECT g.runname, g.side, i.range AS id, coalesce(m.cb, 0) AS mode_bin
+        FROM (SELECT DISTINCT runname, side FROM strip_modes) g CROSS JOIN range(8) i LEFT JOIN (
+        SELECT runname, side, id, cb FROM (SELECT runname, side, id, cb, count(*) AS n FROM strip_modes GROUP BY ALL)
+        QUALIFY row_number() OVER (PARTITION BY runname, side, id ORDER BY n DESC, cb) = 1) m
+        ON m.runname = g.runname AND m.side = g.side AND m.id = i.range""",
+    "interval_lookup_exact": f"""SELECT event_id, h.plane_no, charge,
+        {_r6(f"(tx_lo + (tx_hi - tx_lo) * ((charge - lo) / (hi - lo))) * {_d(1.5)}")} AS dl
+        FROM hits h LEFT JOIN steps s ON h.plane_no = s.plane_no AND charge >= lo AND charge < hi""",
+    "calibration_in_force": f"SELECT {_big('plane_no', 'run_no', 'curve_no', 'curve_version')} FROM served",
+    "lookup_in_force": f"""SELECT event_id, h.plane_no, curve_no, charge, (tx_lo + (tx_hi - tx_lo) * u) * {_d(1.5)} AS dl
+        FROM run_hits h JOIN served s ON h.plane_no = s.plane_no AND h.run_no = s.run_no
+        LEFT JOIN cal_steps c ON c.cal = s.plane_no * 1000 + s.curve_no AND charge >= lo AND charge < hi""",
+    "drift_calibration_by_parts": "SELECT plane, bin, x, tx FROM drift_curve",
+    "bucketed_join": "SELECT * FROM joined",
+    "strip_position_mirrored": """SELECT frame_id,
+        max(CASE WHEN plane = 'x' THEN pos END) AS sr_pos_x, max(CASE WHEN plane = 'x' THEN ins END) AS sr_ins_x,
+        max(CASE WHEN plane = 'y' THEN pos END) AS sr_pos_y, max(CASE WHEN plane = 'y' THEN ins END) AS sr_ins_y
+        FROM splaced_turned GROUP BY frame_id""",
     "residual_summary": f"""SELECT pair, count(*) AS n, {_r6('avg(diff)')} AS centre, {_r6('stddev_samp(diff)')} AS width,
-        {_r6('quantile_disc(diff, 0.5)')} AS median
+        {_r6('quantile_cont(diff, 0.5)')} AS median,
+        {_r6('(quantile_cont(diff, 0.75) - quantile_cont(diff, 0.25)) / 2')} AS quartile_width
         FROM residuals WHERE diff >= -10 AND diff < 10 GROUP BY pair""",
     "stage_roundtrip": f"""SELECT frame_id, 'run' || (frame_id % 3) AS runname, {_big('size_x', 'size_y', 'id0_x', 'id0_y')}, {_ASYM['x']} FROM wide""",
     "curve_roundtrip": "SELECT 'run1' AS run, 'p' || plane_no AS plane, x, tx FROM curve",

@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitframe.config import Bins, Box, PlanePair, StripConfig, WireConfig
+from hitframe.config import Bins, Box, StripConfig, WireConfig
 from hitframe.functions import keyed_uniform
 from hitframe.operators import hits as hit_ops
 from hitframe.plans import calibration, strip, wire
 from hitframe.sources import materialise
 
 HOUR_US = 3_600_000_000
-FRAME_EVENTS = 32
+FRAME_EVENTS = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,26 +82,8 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- wire chain -------------------------------------------------------------
 
-CHAIN = WireConfig(
-    wires_per_plane=12,
-    centre_ids=(5.25, 5.75),
-    detectors={"dc31": ("x1", "x2", "y1", "y2"), "dc32": ("x1", "x2", "y1", "y2")},
-    cuts={"dc31": Box((10, 150), (-60, 60)), "dc32": Box((10, 150), (-60, 55))},
-    pairs=(
-        PlanePair("dc31_x1", "dc31_x2", 0.07),
-        PlanePair("dc31_y1", "dc31_y2", 0.08),
-        PlanePair("dc32_x1", "dc32_x2", -0.08),
-        PlanePair("dc32_y1", "dc32_y2", 0.0),
-    ),
-    layer_shift={"dc32_x1": 0.05, "dc32_x2": 0.05},
-    views={
-        "dc31_x": ("dc31_x1", "dc31_x2"),
-        "dc31_y": ("dc31_y1", "dc31_y2"),
-        "dc32_x": ("dc32_x1", "dc32_x2"),
-        "dc32_y": ("dc32_y1", "dc32_y2"),
-    },
-    curve_step=1.0,
-)
+# The detector as it is, all twelve planes of it; only the cuts suit the tables.
+CHAIN = WireConfig(cuts={"dc31": Box((10, 150), (-60, 60)), "dc32": Box((10, 150), (-60, 55))})
 CHAIN_TIME_BINS = Bins(-60.0, 60.0, 120)
 CHAIN_CHARGE_BINS = Bins(10.0, 150.0, 140)
 CHAIN_BOX = Box((10, 150), (-60, 60))
@@ -109,50 +91,55 @@ CHAIN_CURVE_ROWS = len(CHAIN.planes) * CHAIN_TIME_BINS.n
 
 
 def wire_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested readout blocks, one per event: a signup is a trigger block, an error
-    belongs to a board nobody reads, the rest are wire blocks. A weak event has no
-    hit, a strong one a second hit on another channel."""
+    """Nested readout blocks, four per event: one of the anode board and one of each wire
+    board, with a hit on each of its four planes. An error has blocks of a board nobody
+    reads. A weak event has no hits, a strong one a second hit next to each."""
     e = _timed_events(spark, sf_dir)
-    anode = F.col("event_type") == "signup"
-    ch = F.when(anode, F.when(F.col("k") < 80, 4).otherwise(5)).otherwise(F.col("k") % 50)
-    time = F.col("us") % 65536
-    tot = F.floor(F.col("value") * F.lit(1024.0) + F.lit(0.5))
-    first = F.struct(ch.cast("int").alias("ch"), time.alias("time"), tot.alias("tot"))
-    second = F.struct(
-        ((ch + 7) % 50).cast("int").alias("ch"),
-        (time + 40).alias("time"),
-        F.expr("floor(value * 1024.0D + 0.5D) div 2").alias("tot"),
-    )
-    data = (
-        F.when(F.col("value") < 1, F.filter(F.array(first), lambda h: F.lit(False)))
-        .when(F.col("value") > 100, F.array(first, second))
-        .otherwise(F.array(first))
-    )
-    fem = (
-        F.when(anode, 614)
-        .when(F.col("event_type") == "error", 620)
-        .otherwise(F.expr("616 + k div 50"))
-    )
     frame = F.expr(f"event_id div {FRAME_EVENTS}").alias("hbfNumber")
+    tot = F.floor(F.col("value") * F.lit(1024.0) + F.lit(0.5))
+    half = F.expr("floor(value * 1024.0D + 0.5D) div 2")
+    time = F.col("us") % 65536
+
+    def hit(ch, time, tot):
+        return F.struct(ch.cast("int").alias("ch"), time.alias("time"), tot.alias("tot"))
+
+    def block(fem: int, first: list, second: list):
+        none = F.filter(F.array(*first), lambda h: F.lit(False))
+        data = (
+            F.when(F.col("value") < 1, none)
+            .when(F.col("value") > 100, F.array(*first, *second))
+            .otherwise(F.array(*first))
+        )
+        read = F.when(F.col("event_type") == "error", 620).otherwise(fem)
+        return F.struct(read.alias("femId"), F.struct(F.struct(frame).alias("hbf"), data.alias("data")).alias("decoded"))
+
+    anode = F.when(F.col("k") < 90, 4).otherwise(5)
+    blocks = [block(614, [hit(anode, time, tot)], [hit(anode, time + 40, half)])]
+    for board in range(3):
+        first, second = [], []
+        for j in range(4):
+            # the wire wanders a little from plane to plane
+            wire = (F.col("k") + (F.col("event_id") * (4 * board + j)) % 3) % 16
+            at = (F.col("us") + 4099 * j + 9973 * board) % 65536
+            first.append(hit(4 * wire + j, at, tot + 512 * j))
+            second.append(hit(4 * ((wire + 3) % 16) + j, at + 40, half))
+        blocks.append(block(616 + board, first, second))
     return e.select(
-        F.col("event_id").alias("tfId"),
-        F.lit(5).alias("femType"),
-        fem.cast("int").alias("femId"),
-        F.struct(F.struct(frame).alias("hbf"), data.alias("data")).alias("decoded"),
+        F.col("event_id").alias("tfId"), F.lit(5).alias("femType"), F.inline(F.array(*blocks))
     ).where("tfId > 0")
 
 
 def wire_map(spark: SparkSession) -> DataFrame:
-    """Channel map of the wire chain: 96 rows, the ids in scrambled order."""
-    return spark.range(96).select(
-        F.expr("cast((id % 48) * 5 % 48 as int)").alias("id"),
-        F.expr("cast(616 + id div 48 as int)").alias("femId"),
-        F.expr("cast(id % 48 as int)").alias("ch"),
-        F.when(F.col("id") < 48, "dc31").otherwise("dc32").alias("detector"),
+    """Channel map of the wire chain: 192 rows, the wires of a plane in scrambled order."""
+    return spark.range(WIRE_MAP_ROWS).select(
+        F.expr("cast(if(id < 128, id div 64 * 64, 0) + id % 4 * 16 + (id % 64 div 4) * 5 % 16 as int)").alias("id"),
+        F.expr("cast(616 + id div 64 as int)").alias("femId"),
+        F.expr("cast(id % 64 as int)").alias("ch"),
+        F.when(F.col("id") < 128, "dc31").otherwise("dc32").alias("detector"),
     )
 
 
-WIRE_MAP_ROWS = 96
+WIRE_MAP_ROWS = 192
 
 
 def chain_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +177,7 @@ def chain_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- strip chain ------------------------------------------------------------
 
-STRIP_CHAIN = StripConfig(window=(-50, 300), flip_even_channels=True, curve_step=0.005)
+STRIP_CHAIN = StripConfig(window=(-50, 300), flip_even_channels=True)
 STRIP_CURVE_BINS = Bins(0.0, 1.0, 200)
 STRIP_CURVE_ROWS = 2 * STRIP_CURVE_BINS.n
 STRIP_MAP_ROWS = 16
@@ -204,7 +191,7 @@ def strip_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide_x = F.expr("cast(floor(l_extendedprice) as bigint)")
     wide_y = F.expr("cast(floor(l_quantity * 1000) as bigint)")
     ch_x = F.col("l_linenumber").cast("int")
-    ch_y = F.expr("cast(32 + l_suppkey % 8 as int)")
+    ch_y = F.expr("cast(32 + l_suppkey % 4 as int)")
 
     def edge(ch, time, trailing: int):
         # even channels are wired with the opposite polarity
@@ -278,9 +265,22 @@ def strip_chain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strip_chain_with_triggers(spark, sf_dir)[0]
 
 
-def strip_chain_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = strip_chain_events(spark, sf_dir)
-    curves = calibration.asymmetry_curves(wide, STRIP_CHAIN, [], STRIP_CURVE_BINS)
-    return strip.positions(
-        wide, curves, STRIP_CHAIN, STRIP_CURVE_ROWS, keyed_uniform("frame_id")
+def strip_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gain and offset per strip: positive, negative, zero, and none for two of them."""
+    key = F.col("n_nationkey")
+    return (
+        table(spark, sf_dir, "nation")
+        .where((key < STRIP_MAP_ROWS) & ~key.isin(5, 14))
+        .select(
+            F.when(key < 8, "x").otherwise("y").alias("side"),
+            (key % 8).cast("int").alias("id"),
+            F.element_at(F.array(*[F.lit(g) for g in (1.25, -0.75, 0.5, 0.0)]), (key % 4 + 1).cast("int")).alias("p1"),
+            (key * F.lit(0.5) + F.lit(3.0)).alias("p0"),
+        )
     )
+
+
+def strip_chain_positions(spark: SparkSession, sf_dir: str, cfg: StripConfig = STRIP_CHAIN) -> DataFrame:
+    wide = strip_chain_events(spark, sf_dir)
+    curves = calibration.asymmetry_curves(wide, cfg, [], STRIP_CURVE_BINS)
+    return strip.positions(wide, curves, cfg, STRIP_CURVE_ROWS, keyed_uniform("frame_id"))

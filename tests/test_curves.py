@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hitframe.config import Bins
 from hitframe.operators import curves, histograms
+from hitframe.sources import materialise
 
 BINS = Bins(0.0, 10.0, 50)
 
@@ -56,15 +57,28 @@ def test_no_entries_no_curve(spark):
     assert curves.cdf_curve(counts, BINS, []).isEmpty()
 
 
-@pytest.mark.parametrize("step", [0.05, 0.2, 0.37, 5.0])
-def test_lookup_equals_nested_loop(spark, step):
-    """Whatever the bucket width, and with values right on the interval bounds."""
-    _, curve = curve_rows(spark)
-    steps = curves.curve_intervals(curve, ["plane"]).cache()
-    edges = [r.lo for r in steps.collect()] + [r.hi for r in steps.collect()]
-    values = edges + [-3.0, 0.0, 99.0, None] + [random.Random(4).uniform(-1, 11) for _ in range(200)]
+def points_of(spark, shape):
+    rnd = random.Random(3)
+    if shape == "even":
+        return [(p, 1.0 + i * 0.2, i / 40) for p in ("a", "b") for i in range(41)]
+    if shape == "gaps":
+        return [(p, x, i / 20) for p in ("a", "b") for i, x in enumerate([0.0, 0.1, 0.2, 5.0, 5.1, 1e6, 1e6 + 0.1])]
+    if shape == "two points":
+        return [("a", -2.0, 0.0), ("a", 2.0, 1.0), ("b", 3.0, 0.5)]
+    return [(p, x, i / 300) for p in ("a", "b") for i, x in enumerate(sorted(rnd.lognormvariate(0, 2) for _ in range(300)))]
+
+
+@pytest.mark.parametrize("shape", ["even", "gaps", "two points", "uneven"])
+@pytest.mark.parametrize("points", [None, 700, 10**9])
+def test_lookup_equals_nested_loop(spark, shape, points):
+    """Whatever the spacing, and with values right on the interval bounds."""
+    rows = points_of(spark, shape)
+    curve = spark.createDataFrame(rows, "plane string, x double, tx double")
+    steps = curves.curve_intervals(curve, ["plane"])
+    edges = [x for _, x, _ in rows]
+    values = edges + [-3.0, 0.0, 99.0, None, float("nan")] + [random.Random(4).uniform(-1, 11) for _ in range(200)]
     df = spark.createDataFrame([(i, p, v) for i, v in enumerate(values) for p in "abc"], "n int, plane string, v double")
-    got = curves.interval_lookup(df, steps, ["plane"], "v", step)
+    got = curves.interval_lookup(df, curve, ["plane"], "v", points)
     df.createOrReplaceTempView("vals")
     steps.createOrReplaceTempView("steps")
     want = spark.sql(
@@ -76,14 +90,44 @@ def test_lookup_equals_nested_loop(spark, step):
     assert got.count() == df.count()
 
 
-def test_lookup_is_a_hash_join(spark):
-    _, curve = curve_rows(spark)
-    df = spark.range(100).select(F.lit("a").alias("plane"), F.col("id").cast("double").alias("v"))
-    steps = curves.curve_intervals(curve, ["plane"])
-    for rows in (100, 10**9):
-        plan = curves.interval_lookup(df, steps, ["plane"], "v", 0.2, rows)
+def test_lookup_is_a_hash_join_without_copies_of_intervals(spark):
+    curve = materialise(curve_rows(spark)[1], "curve")
+    letters = F.when(F.col("id") < 50, "a").otherwise("b").alias("plane")
+    df = spark.range(100).select(letters, F.col("id").cast("double").alias("v"))
+    for points in (100, 10**9):
+        plan = curves.interval_lookup(df, curve, ["plane"], "v", points)
         text = plan._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in text and "CartesianProduct" not in text
+        assert "NestedLoop" not in text and "CartesianProduct" not in text and "Generate explode" not in text
+
+
+def test_many_runs_are_one_small_broadcast(spark):
+    """Curves of 200 runs and 12 planes: 2,400 rows, however many points they have."""
+    curve = spark.range(200 * 12 * 100).select(
+        F.expr("concat('run', id div 1200)").alias("run"),
+        F.expr("concat('p', id div 100 % 12)").alias("plane"),
+        (F.col("id") % 100 * 0.5).alias("x"),
+        (F.col("id") % 100 / 99.0).alias("tx"),
+    )
+    assert curves.curve_table(curve, ["run", "plane"]).count() == 2400
+    df = spark.range(5000).select(
+        F.expr("concat('run', id % 200)").alias("run"), F.expr("concat('p', id % 12)").alias("plane"), (F.col("id") % 49 + 0.25).alias("v")
+    )
+    out = curves.curve_lookup(df, curve, ["run", "plane"], "v", None, 99.0, "dl")
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("dl is null or abs(dl - v / 0.5) > 1e-9").isEmpty() and out.count() == 5000
+
+
+def test_curves_in_force(spark):
+    taken = [("a", 3, 1), ("a", 3, 2), ("a", 7, 1), ("b", 5, 9), ("c", 100, 1)]
+    curve = spark.createDataFrame(taken, "plane string, run_no long, version long")
+    runs = spark.createDataFrame([(p, r) for p in "abd" for r in (1, 3, 4, 7, 200) for _ in range(2)], "plane string, run_no long")
+    got = {(r.plane, r.run_no): (r.curve_no, r.curve_version) for r in curves.curves_in_force(runs, curve, ["plane"]).collect()}
+    none = (None, None)
+    assert got == {
+        ("a", 1): none, ("a", 3): (3, 2), ("a", 4): (3, 2), ("a", 7): (7, 1), ("a", 200): (7, 1),
+        ("b", 1): none, ("b", 3): none, ("b", 4): none, ("b", 7): (5, 9), ("b", 200): (5, 9),
+        **{("d", r): none for r in (1, 3, 4, 7, 200)},
+    }
 
 
 def test_lookup_of_the_rows_the_curve_came_from(spark):
@@ -94,7 +138,7 @@ def test_lookup_of_the_rows_the_curve_came_from(spark):
         "id",
     ).cache()
     counts = histograms.hist1d(df, "v", BINS, ["plane"])
-    out = curves.curve_lookup(df, curves.cdf_curve(counts, BINS, ["plane"]), ["plane"], "v", F.lit(0.5), 1.5, "dl", 0.2)
+    out = curves.curve_lookup(df, curves.cdf_curve(counts, BINS, ["plane"]), ["plane"], "v", F.lit(0.5), 1.5, "dl")
     assert out.where("plane is null").isEmpty()
     points = {p: sorted((r.x, r.tx) for r in curves.cdf_curve(counts, BINS, ["plane"]).where(F.col("plane") == p).collect()) for p in "ab"}
     for r in out.limit(300).collect():
@@ -104,12 +148,3 @@ def test_lookup_of_the_rows_the_curve_came_from(spark):
             assert r.dl == pytest.approx((pts[i - 1][1] + pts[i][1]) / 2 * 1.5)
         else:
             assert r.dl is None
-
-
-def test_a_gap_in_a_curve_is_an_error(spark):
-    from pyspark.errors import PySparkException
-
-    values = spark.createDataFrame([("p", 1.0)], "plane string, v double")
-    steps = spark.createDataFrame([("p", 0.0, 1e6, 0.0, 1.0)], "plane string, lo double, hi double, tx_lo double, tx_hi double")
-    with pytest.raises(PySparkException, match="wider than the step"):
-        curves.interval_lookup(values, steps, ["plane"], "v", 0.1, 1).collect()

@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from hitframe.operators import edges
 
 
@@ -82,3 +84,40 @@ def test_nearest_pairs_in_one_or_many_ranges(spark):
         got = sorted(map(tuple, edges.nearest_pairs(df, ["frame_id", "ch"]).collect()))
         spark.conf.set("spark.sql.shuffle.partitions", old)
         assert got == sorted(want)
+
+
+def test_narrowest_pairs_are_exact(spark):
+    rnd = random.Random(8)
+    rows = [(f, c, rnd.randrange(2), float(rnd.randrange(40))) for f in range(30) for c in range(2) for _ in range(rnd.randrange(14))]
+    df = spark.createDataFrame(rows, "frame_id long, ch int, edge int, timing double")
+    for k in (1, 3, 5):
+        got = {}
+        for r in edges.widest_pairs(df, ["frame_id", "ch"], k, narrow=F.col("ch") == 1).collect():
+            got.setdefault((r.frame_id, r.ch), []).append((r.charge, r.timing))
+        for f in range(30):
+            for c in range(2):
+                lead = [t for a, b, e, t in rows if (a, b, e) == (f, c, 0)]
+                trail = [t for a, b, e, t in rows if (a, b, e) == (f, c, 1)]
+                sign = -1 if c == 1 else 1
+                want = sorted((-sign * (t - s), s) for s in lead for t in trail)[:k]
+                have = sorted((-sign * w, s) for w, s in got.get((f, c), []))[:k]
+                # only equal pairs can differ, so widths and their order decide
+                assert [w for w, _ in have] == [w for w, _ in want]
+
+
+def test_width_counts_equal_all_pairs(spark):
+    rnd = random.Random(5)
+    rows = [(f, c, rnd.randrange(2), rnd.randrange(60) * 0.25) for f in range(20) for c in range(3) for _ in range(rnd.randrange(25))]
+    df = spark.createDataFrame(rows, "frame_id long, ch int, edge int, timing double")
+    want = edges.pair_edges(df, ["frame_id", "ch"]).groupBy("ch", F.col("charge").alias("width")).count()
+    got = edges.width_counts(df, ["frame_id", "ch"], ["ch"], 0.25).select("ch", "width", F.col("n").cast("long").alias("count"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_a_noisy_channel_does_not_form_its_pairs(spark):
+    """40,000 edges at 50 times: 400 million pairs from at most 2,500 rows."""
+    df = spark.range(40_000).select(
+        F.lit(1).alias("frame_id"), F.lit(3).alias("ch"), (F.col("id") % 2).cast("int").alias("edge"), (F.col("id") % 50 * 1.0).alias("timing")
+    )
+    out = edges.width_counts(df, ["frame_id", "ch"], ["ch"], 1.0)
+    assert out.agg(F.sum("n")).first()[0] == 20_000 * 20_000

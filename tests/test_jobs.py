@@ -158,3 +158,83 @@ def test_query_and_job_calibrate_on_the_same_leads(spark, tmp_path):
     )
     a, b = curves(V.chain_leads(spark, sf)), curves(sources.read_stage(spark, out))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_counts_of_runs_add_up(spark, block_table, wire_map, strip_map, tmp_path):
+    """Two runs counted one after the other give the curves of both read at once."""
+    from hitframe.config import ASYMMETRY_BINS, DRIFT_BINS
+    from hitframe.plans import calibration
+
+    many = replace(WireConfig(), frame=MANY)
+    blocks = sources.read_blocks(spark, block_table)
+    leads, counts, out = (str(tmp_path / n) for n in ("leads", "counts", "curves"))
+    jobs.wire_leads(blocks, wire_map, many, leads)
+    found = sources.read_stage(spark, leads)
+    for run in ("run1", "run2", "run1"):  # a repeated run replaces its counts
+        jobs.count_drift(found.where(F.col("runname") == run), many, counts)
+    jobs.curves_from_counts(sources.read_stage(spark, counts), "both", out, DRIFT_BINS)
+    one_step = calibration.drift_curves(found, many, ["plane"])
+    assert same(one_step.select("plane", "x", "tx"), sources.read_curves(spark, out).where("run = 'both'"))
+    jobs.curves_from_counts(sources.read_stage(spark, counts), "first", out, DRIFT_BINS, ["run1"])
+    alone = calibration.drift_curves(found.where("runname = 'run1'"), many, ["plane"])
+    assert same(alone.select("plane", "x", "tx"), sources.read_curves(spark, out).where("run = 'first'"))
+
+    cfg = replace(RPA_STRIPS, frame=MANY)
+    events, sides = str(tmp_path / "events"), str(tmp_path / "sides")
+    jobs.strip_events(blocks, strip_map, cfg, events)
+    table = sources.read_stage(spark, events)
+    jobs.count_asymmetry(table, cfg, sides)
+    jobs.curves_from_counts(sources.read_stage(spark, sides), "both", out, ASYMMETRY_BINS)
+    wanted = calibration.asymmetry_curves(table, cfg, []).select("plane", "x", "tx")
+    assert same(wanted, sources.read_curves(spark, out).where("run = 'both' and plane in ('x', 'y')"))
+
+
+def test_runs_left_by_a_lost_job_are_done_later(spark, block_table, wire_map, tmp_path):
+    many = replace(WireConfig(), frame=MANY)
+    blocks = sources.read_blocks(spark, block_table)
+    leads, commits = str(tmp_path / "leads"), str(tmp_path / "commits")
+    seen = []
+
+    def job(part, fail=()):
+        runs = [r.runname for r in part.select("runname").distinct().collect()]
+        jobs.wire_leads(part, wire_map, many, leads)
+        seen.append(runs)
+        if set(runs) & set(fail):
+            raise RuntimeError("lost after its write")
+
+    with pytest.raises(RuntimeError):
+        jobs.run_pending(blocks, "leads", commits, lambda part: job(part, ["run2"]), at_once=1)
+    assert seen == [["run1"], ["run2"]]
+    assert [r.runname for r in sources.committed_runs(spark, commits, "leads").collect()] == ["run1"]
+    # the run that was written but not committed is repeated, and only that one
+    assert jobs.run_pending(blocks, "leads", commits, job) == ["run2"]
+    assert jobs.run_pending(blocks, "leads", commits, job) == []
+    assert seen[2:] == [["run2"]]
+    whole = str(tmp_path / "whole")
+    jobs.wire_leads(blocks, wire_map, many, whole)
+    assert same(sources.read_stage(spark, whole), sources.read_stage(spark, leads))
+    # another stage has commits of its own
+    assert sources.pending_runs(blocks, spark, commits, "positions").count() == 2
+
+
+def test_bucketed_stages_join_without_an_exchange(spark, tmp_path):
+    left = spark.range(500).select(F.col("id").alias("frame_id"), (F.col("id") * 0.5).alias("sr_pos_x"), F.lit(1.0).alias("sr_pos_y"))
+    right = spark.range(100, 900).select(F.col("id").alias("frame_id"), *[F.lit(float(i)).alias(c) for i, c in enumerate(("dc31_x", "dc31_y", "dc32_x", "dc32_y"))])
+    from hitframe.plans import combine
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        paths = [str(tmp_path / n) for n in ("left", "right")]
+        stages = [sources.write_bucketed(df, p, ["frame_id"], 4) for df, p in zip((left, right), paths)]
+        again = [sources.open_bucketed(spark, p, df.schema, ["frame_id"], 4) for df, p in zip(stages, paths)]
+        for a, b in (stages, again):
+            joined = combine.join_detectors(a, b)
+            assert joined.count() == 400
+            assert same(joined, combine.join_detectors(left, right))
+            assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+            sums = a.groupBy("frame_id").agg(F.sum("sr_pos_x"))
+            assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("stage_")]

@@ -249,6 +249,39 @@ def test_strip_chain(spark, cfg):
         assert pos.where(F.abs(F.col(f"sr_ins_{s}")) > half).isEmpty()
 
 
+def test_strip_slots_with_gains_of_any_sign(spark):
+    """Charges are calibrated before they are ordered; strips without constants go."""
+    cfg = ASAGI_STRIPS
+    rnd = random.Random(4)
+    rows, times = [], {}
+    for frame in range(60):
+        for ch in rnd.sample(range(12), 5):
+            lead = [rnd.randrange(-2000, 9000) / 64 for _ in range(rnd.randrange(1, 6))]
+            trail = [rnd.randrange(-2000, 9000) / 64 for _ in range(rnd.randrange(1, 6))]
+            times[frame, ch] = (lead, trail)
+            rows += [(frame, ch, 0, t) for t in lead] + [(frame, ch, 1, t) for t in trail]
+    timed = spark.createDataFrame(rows, "frame_id long, ch int, edge int, timing double")
+    chmap = spark.createDataFrame([(c // 2, c, "xy"[c % 2]) for c in range(12)], "id int, ch int, side string")
+    gains = {c: ((1.25, -0.75, 0.0, -2.0, 0.5)[c % 5], c * 0.5 - 2) for c in range(12) if c not in (3, 8)}
+    calib = spark.createDataFrame(
+        [("xy"[c % 2], c // 2, *g) for c, g in gains.items()] + [("x", 99, 1.0, 0.0), ("y", 1, None, 0.0)],
+        "side string, id int, p1 double, p0 double",
+    )
+    got = {(r.frame_id, r.side): r for r in strip.side_slots(timed, chmap, cfg, 12, calib).collect()}
+    want = defaultdict(list)
+    for (frame, c), (lead, trail) in times.items():
+        if c in gains:
+            p1, p0 = gains[c]
+            want[frame, "xy"[c % 2]] += [(-((b - a) * p1 + p0), c // 2, a) for a in lead for b in trail]
+    assert got.keys() == want.keys()
+    for key, hits in want.items():
+        hits.sort()
+        r = got[key]
+        assert (int(r["size"]), r.timing0) == (len(hits), hits[0][2])
+        for i in range(3):
+            assert (r[f"charge{i}"], r[f"id{i}"]) == ((-hits[i][0], hits[i][1]) if i < len(hits) else (None, None))
+
+
 def test_detector_join(spark):
     s = spark.createDataFrame([(1, 0.5, 9.0, 1.5), (2, 0.0, 0.0, 0.0)], "frame_id long, sr_pos_x double, sr_ins_x double, sr_pos_y double")
     w = spark.createDataFrame([(1, 1.0, 2.0, 3.0, 4.0, 5)], "frame_id long, dc31_x double, dc31_y double, dc32_x double, dc32_y double, sra_tdc_raw long")

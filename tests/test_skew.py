@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitframe.operators import edges, frames, hits
+from hitframe.sources import materialise
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -120,19 +121,18 @@ def test_slots_of_a_hot_frame_leave_three_rows_per_task(tight):
     assert got["size"] == h.where("frame_id = 7").count()
 
 
-def test_hot_bucket_is_split_where_the_curves_are_too_many_to_broadcast(tight):
+def test_hot_curve_is_split_where_the_curves_are_too_many_to_broadcast(tight):
     from hitframe.operators import curves
 
     v = tight.range(0, 60_000, 1, 16).select(
         "id",
-        F.lit("p").alias("plane"),
+        F.when(F.col("id") >= 0, "p").otherwise("q").alias("plane"),
         F.when(F.col("id") % 3 == 0, 5.05).otherwise(F.col("id") % 100 / 10.0).alias("v"),
     )
     points = tight.range(101).select(
         F.lit("p").alias("plane"), (F.col("id") / 10.0).alias("x"), (F.col("id") / 100.0).alias("tx")
     )
-    steps = curves.curve_intervals(points, ["plane"])
-    out = curves.interval_lookup(v, steps, ["plane"], "v", 0.1, 10**9)
+    out = curves.interval_lookup(v, materialise(points, "points"), ["plane"], "v", 10**9)
     plan = final_plan(out)
     assert "SortMergeJoin(skew=true)" in plan, plan[:3000]
     assert out.count() == 60_000

@@ -489,7 +489,7 @@ def _drained(items: list):
 
 
 def _shard_spans(width: int):
-    """Function of one shard's blocks: ``(id, mark, spans)``."""
+    """Function of one shard's blocks: ``(id, mark, span)``."""
 
     def run(table):
         import numpy as np
@@ -529,28 +529,17 @@ def _shard_spans(width: int):
         once = np.ones(len(ids), bool)
         once[1:] = ~(same & (spans[1:] == spans[:-1]))
         ids, marks, spans = ids[once], marks[once], spans[once]
-        new = np.ones(len(ids), bool)
-        new[1:] = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
-        new = np.flatnonzero(new)
-        offsets = np.concatenate([new, [len(ids)]]).astype(np.int32)
         del rows, levels
         _give_back()
-        return pa.table(
-            {
-                "id": pa.array(ids[new], pa.int64()),
-                "mark": pa.array(marks[new], pa.int64()),
-                "spans": pa.ListArray.from_arrays(pa.array(offsets), pa.array(spans, pa.int64())),
-            }
-        )
+        return pa.table({"id": pa.array(ids), "mark": pa.array(marks), "span": pa.array(spans)})
 
     return run
 
 
 def repeated_spans(docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, mark, spans)``: where texts repeat ``width`` bytes of a smaller id.
+    """``(id, mark, span)``: where texts repeat ``width`` bytes of a smaller id.
 
-    A span is ``start << 8 | length`` in bytes of the UTF-8 text; spans overlap, and an
-    id may come in several rows. ``mark`` is 0 where ids are unique, else a hash of the
+    A span is ``start << 8 | length`` in bytes of the UTF-8 text; spans overlap. ``mark`` is 0 where ids are unique, else a hash of the
     text that tells rows of one id apart.
     """
     return _found(_marked(docs, key, text), width)
@@ -565,7 +554,7 @@ def _found(marked: DataFrame, width: int) -> DataFrame:
     heat, size = _heat(texts)
     shards = max(1, -(-size // SHARD_BYTES))
     blocks = _blocks(texts, spark.sparkContext.broadcast(heat), shards, width)
-    return blocks.groupBy("shard").applyInArrow(_shard_spans(width), "id long, mark long, spans array<long>")
+    return blocks.groupBy("shard").applyInArrow(_shard_spans(width), "id long, mark long, span long")
 
 
 def _marked(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -614,7 +603,7 @@ def _cut(rows: DataFrame) -> DataFrame:
                     runs.append(0)
                     kept.append(data)
                     continue
-                spans = np.sort(spans.flatten().to_numpy())
+                spans = np.sort(spans.to_numpy())
                 start, end = spans >> LENGTH_BITS, (spans >> LENGTH_BITS) + (spans & ((1 << LENGTH_BITS) - 1))
                 reach = np.maximum.accumulate(end)
                 first = np.concatenate([[True], start[1:] > reach[:-1]])
@@ -658,9 +647,9 @@ def remove_repeats(docs: DataFrame, width: int = 50, key: str = "doc_id", text:
     and copies of a segment meet in the task already, so a common passage crowds none.
     """
     rows = _marked(docs, key, text)
-    found = _found(rows, width).groupBy("id", "mark").agg(F.collect_list("spans").alias("spans"))
+    found = _found(rows, width).groupBy("id", "mark").agg(F.collect_list("span").alias("spans"))
     judged = _compressed(rows.where("id IS NOT NULL")).join(found, ["id", "mark"], "left").select("id", "text", "spans")
     without = _compressed(rows.where("id IS NULL")).select(
-        "id", "text", F.lit(None).cast("array<array<bigint>>").alias("spans")
+        "id", "text", F.lit(None).cast("array<bigint>").alias("spans")
     )
     return _cut(judged.unionByName(without)).withColumnRenamed("id", key)

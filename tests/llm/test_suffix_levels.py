@@ -76,7 +76,9 @@ def test_small_batches_and_many_levels(spark, monkeypatch):
     lines, covered = suffix_levels._lines(data, place, low, high, 50)
     block = suffix_levels._pack(lists, [low.astype(np.uint8), high.astype(np.uint8), lines[covered]])
     out = suffix_levels._shard_spans(50)(pa.table({"block": pa.array([block], pa.binary())}))
-    spans = dict(zip(out["id"].to_pylist(), out["spans"].to_pylist()))
+    spans = {}
+    for i, span in zip(out["id"].to_pylist(), out["span"].to_pylist()):
+        spans.setdefault(i, []).append(span)
     for i, _, removed, *_ in brute(rows):
         covered = set()
         for s in spans.get(i, []):

@@ -20,7 +20,7 @@ COMMON = 8
 # windows whose anchors are sought at once; places within fit 24 bits
 PIECE = 1 << 18
 # bytes of text that a task turns into one batch of suffixes, and that a shard holds
-BATCH_BYTES = SHARD_BYTES = 12 << 20
+BATCH_BYTES, SHARD_BYTES = 12 << 20, 6 << 20
 # suffixes of one batch within a shard, and copies that are compared at once
 BATCH_ROWS = 1 << 17
 COMPARED = 1 << 14

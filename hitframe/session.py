@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections import defaultdict
 
@@ -50,6 +51,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the shuffle files of what has been written go.
+
+    Spark deletes them once the driver's garbage collector finds that no plan refers to
+    them any more, which on a large heap may be long after. To be called between the
+    tables of a long chain, where disk matters more than the collector's short pause.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_scratch(spark: SparkSession, since: int = 0) -> None:
     """Delete the scratch tables of this application, once nothing reads them any more.
 

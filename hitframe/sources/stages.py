@@ -44,17 +44,21 @@ def read_stage(spark: SparkSession, path: str, run: str | None = None) -> DataFr
     return df if run is None else df.where(F.col("runname") == run)
 
 
-def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> DataFrame:
+def write_bucketed(
+    df: DataFrame, path: str, keys: list[str], buckets: int, placed: bool = False, compression: str = "snappy"
+) -> DataFrame:
     """Write a stage cut into ``buckets`` by ``keys`` and return it as it reads back.
 
     Stages with equal buckets join and group on the keys without moving a row: the one
     shuffle is paid when the stage is written. The cut is known by the table that is
-    returned, as files alone do not tell it; ``open_bucketed`` opens them again.
+    returned, as files alone do not tell it; ``open_bucketed`` opens them again. ``placed``
+    says that the rows are repartitioned by the keys already, into as many partitions.
     """
     spark = df.sparkSession
     name = f"stage_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
-    writer.option("path", path).saveAsTable(name)
+    rows = df if placed else df.repartition(buckets, *keys)
+    writer = rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).option("compression", compression).saveAsTable(name)
     return _unlisted(spark, name)
 
 

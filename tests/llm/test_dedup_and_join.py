@@ -101,7 +101,7 @@ def brute_lines(rows, threshold=0.8, k=line_dedup.SHINGLE):
     first = {}
     for i, t in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
         for at, line in enumerate(t.split("\n")):
-            if len(norm(line)) >= line_dedup.MIN_CHARS:
+            if len(norm(line)) >= line_dedup.MIN_CHARS or any(c.isalnum() for c in norm(line)):
                 first.setdefault(norm(line), (i, at))
     lines = list(first)
     sets = [frozenset(x[a : a + k] for a in range(max(1, len(x) - k + 1))) for x in lines]
@@ -109,7 +109,8 @@ def brute_lines(rows, threshold=0.8, k=line_dedup.SHINGLE):
         (a, b)
         for b in range(len(lines))
         for a in range(b)
-        if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])
+        if min(len(lines[a]), len(lines[b])) >= line_dedup.MIN_CHARS
+        and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])
     ]
     root = union_find(range(len(lines)), links)
     best = {}
@@ -171,13 +172,32 @@ def test_links_of_one_bucket_connect_all_alike(spark):
         if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
     ]
     rows = [(n, line, [n % 2]) for n, line in enumerate(lines)]
-    got = line_dedup.similar_lines(spark.createDataFrame(rows, "_n long, _line string, _bands array<long>"), 0.8)
+    df = spark.createDataFrame(rows, "_n long, _line string, _bands array<long>")
+    got = line_dedup.similar_lines(df, df, 0.8)
     found = [(r.a, r.b) for r in got.collect()]
     assert {(min(x), max(x)) for x in found} <= {*alike}
     want = union_find(range(len(lines)), [(a, b) for a, b in alike if a % 2 == b % 2])
     assert union_find(range(len(lines)), found) == want
 
 
+def test_unlike_lines_of_one_bucket_take_few_rounds(spark, monkeypatch):
+    rnd = random.Random(2)
+    lines = ["".join(rnd.choice("abcdefghij ") for _ in range(60)) for _ in range(50)]
+    rows = [(n, line, [7]) for n, line in enumerate(lines)] + [(99, lines[30], [7])]
+    rounds, plain = [], line_dedup._compared
+    monkeypatch.setattr(line_dedup, "_compared", lambda *args: (rounds.append(1), plain(*args))[1])
+    df = spark.createDataFrame(rows, "_n long, _line string, _bands array<long>")
+    got = {(r.a, r.b) for r in line_dedup.similar_lines(df, df, 0.8).collect()}
+    assert got == {(30, 99)}
+    assert len(rounds) <= 5
+
+
+def test_short_lines_are_matched_as_they_are(spark):
+    rows = [(1, "Share this\n--\n\nown line of one"), (2, " share THIS \n--\n\nown line of two"), (3, "share thus\n--")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "--\n\nown line of two", 3: rows[2][1]}
+
+
 def test_bands_recall_of_similar_lines(spark):
     """Pairs at a Jaccard index around 0.85 are found in at least nine of ten cases."""
     rnd = random.Random(1)

@@ -121,14 +121,18 @@ def parse_record(member: bytes) -> Capture:
 
 
 def _first_captures(pages: DataFrame, key: str, html: Column, min_bytes: int) -> DataFrame:
-    """Every page with the smallest id among pages of equal payload."""
-    identity = F.sha2(html, 256)
-    # payloads below the limit stand for themselves, so they share no group
-    alone = F.octet_length(html) < min_bytes
-    group = F.when(alone, F.concat(F.lit("page-"), F.col(key).cast("string"))).otherwise(identity)
-    grouped = pages.withColumn("_group", group)
+    """Every page with the smallest id among pages of equal payload.
+
+    Payloads below the limit stand for themselves, those of rows without an id too.
+    """
+    size = F.octet_length(html)
+    grouped = pages.where(size >= min_bytes) if min_bytes > 0 else pages
+    grouped = grouped.withColumn("_group", F.sha2(html, 256))
     firsts = grouped.groupBy("_group").agg(F.min(key).alias("_first"))
-    return grouped.join(firsts, "_group")
+    found = grouped.join(firsts, "_group").drop("_group")
+    if min_bytes > 0:
+        found = found.unionByName(pages.where(size < min_bytes).withColumn("_first", F.col(key)))
+    return found
 
 
 def write_archives(

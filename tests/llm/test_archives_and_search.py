@@ -31,7 +31,7 @@ def odd_pages(seed, count=400):
         (i, rnd.choice([*urls, f"http://a{i % 7}.example.com/{i % 5}"]), rnd.choice([*htmls, str(i)]))
         for i in range(count)
     ]
-    return rows + [(None, "http://a/", "same"), (None, None, "only null ids"), (7000, "http://a/", "y" * 300_000)]
+    return rows + [(None, "http://a/", "a"), (None, "http://a/", None), (None, "http://a/", "same"), (None, None, "only null ids"), (7000, "http://a/", "y" * 300_000)]
 
 
 def expected_captures(rows, min_bytes=0):

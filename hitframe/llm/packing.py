@@ -150,12 +150,12 @@ def token_pieces(
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def _exact_sums(left: Counter, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+def _exact_sums(left: Counter, capacity: int, parts: int = 3) -> list[tuple[tuple[int, ...], int]]:
     """Combinations of two to four lengths that fill a sequence exactly.
 
     For the longest length still there, its gap is looked up among single lengths,
     then sums of two, then sums of three (a pair sum at a time), each as often as
-    all its lengths are available.
+    all its lengths are available. ``parts`` limits the lengths that fill a gap.
     """
     taken = []
 
@@ -183,10 +183,14 @@ def _exact_sums(left: Counter, capacity: int) -> list[tuple[tuple[int, ...], int
             continue
         if left[gap]:
             take(length, gap)
+        if parts < 2:
+            continue
         for a, b in pairs(gap, length):
             if not left[length]:
                 break
             take(length, a, b)
+        if parts < 3:
+            continue
         for a in range(min(gap - 2, length), 0, -1):
             if not left[length]:
                 break
@@ -240,9 +244,18 @@ def packing_plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int,
     Works on how often each length occurs, never on documents. Every entry uses up
     a length or a group of sequences, so there are a few thousand entries at most
     whatever the number of documents.
+
+    Exact sums of many small lengths use up what best fit would need for other gaps,
+    so the plan is made with gaps filled by up to three, two, one and no lengths first;
+    the one with the fewest sequences is taken, of equal ones that with the most parts.
+    It never needs more sequences than best fit alone.
     """
-    left = Counter(counts)
-    return _exact_sums(left, capacity) + _best_fit(left, capacity)
+    plans = []
+    for parts in (3, 2, 1, 0):
+        left = Counter(counts)
+        exact = _exact_sums(left, capacity, parts) if parts else []
+        plans.append(exact + _best_fit(left, capacity))
+    return min(plans, key=lambda plan: sum(copies for _, copies in plan))
 
 
 def _slots(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:

@@ -14,10 +14,17 @@ from hitframe.sources.stages import materialise
 from .common import for_python
 
 _MARKS = re.compile(r"[ \t]*((?:>[ \t]?)*)")
-_ATTRIBUTION = re.compile(r"[ \t]*(on\b.*|.*\b)wrote:[ \t]*", re.I)
+_ATTRIBUTION = re.compile(r"(?:on\b.*|.*\b)wrote:", re.I)
 _NO_ID = -(1 << 63)
 
 
+def _is_attribution(line: str) -> bool:
+    """Whether the line says who wrote what follows; its end is looked at first, so that
+    the time is linear in its length."""
+    line = line.strip(" \t")
+    return line[-6:].lower() == "wrote:" and _ATTRIBUTION.fullmatch(line) is not None
+
+
 def passages(text: str | None) -> list[tuple[int, str]]:
     """``(level, passage)`` in order: runs of lines of one quote level, cut at empty lines.
 
@@ -36,7 +43,7 @@ def passages(text: str | None) -> list[tuple[int, str]]:
         if not line.strip():
             fresh = True
             continue
-        if _ATTRIBUTION.fullmatch(line) and at + 1 < len(lines) and lines[at + 1][0] > level:
+        if at + 1 < len(lines) and lines[at + 1][0] > level and _is_attribution(line):
             fresh = True
             continue
         if fresh or out[-1][0] != level:

@@ -24,6 +24,8 @@ ORDER_BITS = 16
 ROUNDS = 4
 # postings with more members than this get another pivot round
 LARGE = 64
+# bytes of a word that is hashed with the others
+SHORT_WORD = 64
 # 64-bit words of a set's parity sketch
 SKETCH_WORDS = 8
 
@@ -42,41 +44,47 @@ def _factors(n: int):
 
 
 @lru_cache(maxsize=1)
-def _letters():
-    """A number for each byte, and which bytes are white space."""
+def _blanks():
+    """Which bytes are white space."""
     import numpy as np
 
     blank = np.zeros(256, bool)
     blank[[ord(c) for c in BLANKS]] = True
-    return np.array([_number("byte", i) for i in range(256)], np.uint64), blank
-
-
-@lru_cache(maxsize=8)
-def _powers(bits: int):
-    """Powers of an odd number and of its inverse in 64 bits, 2**bits of each."""
-    import numpy as np
-
-    base = _number("base", 0)
-    run = lambda x: np.cumprod(np.full(1 << bits, x, np.uint64), dtype=np.uint64)
-    return run(base), run(pow(base, -1, 1 << 64))
+    return blank
 
 
 def word_hashes(text: str):
     """A 64-bit hash of each word, lower-cased for A-Z, cut at [\x20\x09-\x0D].
 
-    A word is the sum of its bytes' numbers times powers by place. All words come from
-    one running sum over the text: the part between a word's ends, shifted back.
+    Words of up to ``SHORT_WORD`` bytes are mixed eight bytes at a time, all words at
+    once: each step multiplies and folds what came before, so no sum over places can
+    be made to agree. Longer words have a digest of their own.
     """
     import numpy as np
 
-    letters, blank = _letters()
-    data = np.frombuffer(text.encode().lower(), np.uint8)
-    ends = np.flatnonzero(np.diff(blank[data], prepend=True, append=True))
-    powers, inverse = _powers(max(12, len(data).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(letters[data] * powers[: len(data)], out=sums[1:])
-    hashes = (sums[ends[1::2]] - sums[ends[::2]]) * inverse[ends[::2]]
-    hashes ^= hashes >> np.uint64(32)
+    raw = text.encode().lower()
+    data = np.frombuffer(raw + bytes(8), np.uint8)
+    ends = np.flatnonzero(np.diff(_blanks()[data[: len(raw)]], prepend=True, append=True))
+    starts, sizes = ends[::2], ends[1::2] - ends[::2]
+    # the number of the eight bytes from each place on
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+    keep = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    first, second = np.uint64(_number("word", 0)), np.uint64(_number("word", 1))
+    hashes = sizes.astype(np.uint64) * second
+    live = np.flatnonzero(sizes <= SHORT_WORD)
+    at = 0
+    while len(live):
+        part = np.ascontiguousarray(eight[starts[live] + at]).view("<u8").ravel()
+        part = part & keep[np.minimum(sizes[live] - at, 8)]
+        mixed = (hashes[live] ^ part) * first
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= second
+        hashes[live] = mixed ^ (mixed >> np.uint64(29))
+        at += 8
+        live = live[sizes[live] > at]
+    for i in np.flatnonzero(sizes > SHORT_WORD):
+        word = raw[starts[i] : starts[i] + sizes[i]]
+        hashes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "big")
     return hashes * _factors(1)[0]
 
 

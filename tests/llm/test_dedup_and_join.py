@@ -249,6 +249,33 @@ def test_line_dedup_runs_no_python(spark):
 # --- n-gram join ------------------------------------------------------------
 
 
+def test_unequal_words_have_unequal_hashes():
+    import numpy as np
+
+    thue = "a"
+    while len(thue) < 1024:
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    swap = lambda w: w.translate(str.maketrans("ab", "ba"))
+    rnd = random.Random(6)
+    words = [thue[:n] for n in range(1, 1025)] + [swap(thue[:n]) for n in range(1, 1025)]
+    words += ["".join(rnd.choice("ab") for _ in range(rnd.randint(30, 90))) for _ in range(3000)]
+    words = [*{*words}]
+    hashes = ngram_join.word_hashes(" ".join(words))
+    assert len(hashes) == len(words) == len(np.unique(hashes))
+    again = ngram_join.word_hashes("\n\t".join(w.upper() for w in reversed(words)))
+    assert (again[::-1] == hashes).all()
+    assert len(ngram_join.word_hashes("")) == len(ngram_join.word_hashes(" \n")) == 0
+
+
+def test_thue_morse_words_do_not_link(spark):
+    thue = "a"
+    while len(thue) < 1024:
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    rows = [(1, thue), (2, thue.translate(str.maketrans("ab", "ba")))]
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2}
+
+
 def brute_join(rows, percent=80, n=5):
     sets = {}
     for i, t in rows:

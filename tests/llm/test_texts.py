@@ -334,3 +334,32 @@ def test_digest_columns_of_the_registered_query(spark):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
             len(ids), digest(" ".join(map(str, ids))), digest(decoded)
         )
+
+
+def test_plans_never_need_more_than_best_fit(spark):
+    rnd = random.Random(21)
+    sequences = lambda plan: sum(copies for _, copies in plan)
+    for _ in range(60):
+        capacity = rnd.choice([64, 200])
+        counts = {rnd.randint(1, capacity): rnd.randint(1, 40) for _ in range(rnd.randint(1, 60))}
+        plan = packing.packing_plan(counts, capacity)
+        held = Counter()
+        for lengths, copies in plan:
+            assert sum(lengths) <= capacity and copies > 0
+            for x in lengths:
+                held[x] += copies
+        assert held == Counter(counts)
+        assert sequences(plan) <= sequences(packing._best_fit(Counter(counts), capacity))
+
+
+def test_long_odd_lines_take_linear_time():
+    import time
+
+    blanks = " " * 1_000_000
+    start = time.perf_counter()
+    for line in (blanks + "x", blanks + "wrote:", "on " * 300_000 + "xwrote:", "a" * 1_000_000):
+        quotations.passages(line + "\n> quoted")
+    assert time.perf_counter() - start < 5
+    assert quotations.passages("On Monday, A wrote:\n> q") == [(1, "q")]
+    assert quotations.passages(" wrote:\t\n> q") == [(1, "q")]
+    assert quotations.passages("rewrote:\n> q") == [(0, "rewrote:"), (1, "q")]

@@ -109,8 +109,6 @@ _HOLDER = (
     r"(?m)^[ \t]*(copyright[ \t:]*(\(c\)|©|&copy;|[0-9]{4}|[<\[{])"
     r"|(\(c\)|©)[ \t]*(copyright\b|[0-9]{4}|[<\[{])|all rights reserved[. \t]*$).*$"
 )
-# The SQL keeps the rule that it was written with.
-_SQL_HOLDER = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved).*$"
 _PUNCTUATION = r"[^\p{L}\p{N}]+"
 
 
@@ -125,8 +123,11 @@ def canonical(text: Column) -> Column:
 
 def known_licenses(spark: SparkSession) -> DataFrame:
     """``(license, text)`` of the notices and full texts, with and without their headings."""
-    rows = [*NOTICES, *_short_texts(), *_full_texts()]
-    return spark.createDataFrame(rows, "license string, text string")
+    return spark.createDataFrame(_known_rows(), "license string, text string")
+
+
+def _known_rows() -> list[tuple[str, str]]:
+    return [*NOTICES, *_short_texts(), *_full_texts()]
 
 
 def _short_texts() -> list[tuple[str, str]]:
@@ -214,17 +215,17 @@ def license_scan(
 
 
 def oracle_sql() -> str:
-    """The same scan of ``documents`` in SQL, for the notices and bodies of ``NOTICES``."""
+    """The same scan of ``documents`` in SQL, with the same texts and rules."""
 
     def form(column: str) -> str:
-        out = f"regexp_replace(lower(coalesce({column}, '')), '{_SQL_HOLDER}', '', 'g')"
+        out = f"regexp_replace(lower(coalesce({column}, '')), '{_HOLDER}', '', 'g')"
         out = f"regexp_replace({out}, '{_PUNCTUATION}', ' ', 'g')"
         for pattern, spelling in SPELLINGS:
             target = re.sub(r"\$(\d)", r"\\\1", spelling)
             out = f"regexp_replace({out}, '{pattern}', '{target}', 'g')"
         return f"trim({out})"
 
-    values = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES)
+    values = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in dict.fromkeys(_known_rows()))
     return f"""
         WITH known AS (
           SELECT canonical, min(license) AS license

@@ -363,3 +363,24 @@ def test_long_odd_lines_take_linear_time():
     assert quotations.passages("On Monday, A wrote:\n> q") == [(1, "q")]
     assert quotations.passages(" wrote:\t\n> q") == [(1, "q")]
     assert quotations.passages("rewrote:\n> q") == [(0, "rewrote:"), (1, "q")]
+
+
+def test_license_sql_has_the_same_texts_and_rules(spark, tmp_path):
+    import duckdb
+    from compare import compare
+
+    known = licenses._known_rows()
+    rows = [(i, text) for i, (_, text) in enumerate(known)]
+    rows += [
+        (5000 + i, "MIT Licence\n\nCopyright (c) 2020 Someone, Inc.\n\n" + text.upper() if i % 2 else f"prose\n{text}\nprose")
+        for i, (_, text) in enumerate(known[:60])
+    ]
+    rows += [(9000, "Copyright law is old.\n" + known[0][1]), (9001, "copyright holders\n" + known[-1][1]), (9002, None)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    out = licenses.license_scan(spark.read.parquet(path), licenses.known_licenses(spark))
+    assert compare(out, con, licenses.oracle_sql()) == []
+    found = {r.doc_id: r.whole_text for r in out.collect()}
+    assert all(found[i] for i in range(len(known)))

@@ -175,6 +175,27 @@ ORACLE_SQL = {
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
     """,
     "op12_centroids": _clustering_sql(),
+    # bytes as pairs of hex digits; pieces of a text keep the reading of windows local
+    "op13_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        b AS (SELECT doc_id, c, substr(h, 200 * c + 1, 298) AS part FROM (
+          SELECT doc_id, h, unnest(range((len(h) // 2 + 50) // 100)) AS c FROM d)),
+        w AS (SELECT doc_id, 100 * c + o AS p, substr(part, 2 * o + 1, 100) AS g FROM (
+          SELECT doc_id, c, part, unnest(range(least(100, len(part) // 2 - 49))) AS o FROM b)),
+        m AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+        f AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+          FROM w JOIN m USING (g) WHERE first < doc_id),
+        i AS (SELECT doc_id, p, count(CASE WHEN before IS NULL OR p - before > 50 THEN 1 END)
+          OVER (PARTITION BY doc_id ORDER BY p) AS run FROM f),
+        r AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, run),
+        c AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS after FROM r),
+        k AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed, max(b) AS last,
+            string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS kept
+          FROM c JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+          sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
     "op1_license_scan": licenses.oracle_sql(),
     "op2_topk_search": """
         WITH c AS (

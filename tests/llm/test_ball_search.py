@@ -191,7 +191,7 @@ def test_chunks_give_the_vectors_back(spark, monkeypatch):
     assert sorted(out) == rows
 
 
-@pytest.mark.parametrize("name", ["op11_ball_search", "op12_centroids"])
+@pytest.mark.parametrize("name", ["op11_ball_search", "op12_centroids", "op13_suffix_dedup"])
 def test_queries_equal_sql(spark, name):
     from compare import compare
 

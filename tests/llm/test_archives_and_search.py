@@ -158,7 +158,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_is_registered_once():
-    assert Counter(n.split("_")[0] for n in queries.QUERIES) == Counter(f"op{n}" for n in range(1, 11))
+    assert Counter(n.split("_")[0] for n in queries.QUERIES) == Counter(f"op{n}" for n in range(1, 14))
 
 
 def test_pipeline_stages_one_after_another(spark):
@@ -178,3 +178,28 @@ def test_pipeline_stages_one_after_another(spark):
     packed = pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert {r.doc_id for r in packed} == kept
     assert len(kept) > 100
+
+
+def test_pipeline_stages_keep_odd_rows(spark):
+    """No ids, repeated ids, empty texts and columns of clashing names; then nothing at all."""
+    import corpus_pipeline as pipeline
+
+    sf = "/root/testdata/sf0.001"
+    clean = "a plain line of words that nobody else has said so far in this table"
+    rows = [
+        (None, clean + " one", "en"), (None, None, None), (5, "", "en"), (6, None, "de"), (7, clean + " two", "en"),
+        (7, "another text under the same number, as plain and long as the first", "en"), (8, clean + " two", "fr"),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string, _row long, _id string"
+    docs = spark.createDataFrame([(i, t, g, "src", len(t or ""), "k", 1, "x") for i, t, g in rows], schema)
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        kept = Counter((r.doc_id, r.text) for r in out.collect())
+        assert kept <= Counter((i, t) for i, t, _ in rows) + Counter({(8, ""): 1})
+        assert {(None, rows[0][1]), (None, None), (5, ""), (6, None), (7, rows[4][1])} <= kept.keys()
+        assert all(r["_key"] == "k" and r["_id"] == "x" for r in out.collect())
+        assert stage(spark, docs.limit(0), sf).count() == 0
+    packed = pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(i for i, _, _ in rows)
+    assert pipeline.STAGES[-1][1](spark, docs.limit(0), sf).count() == 0

@@ -25,10 +25,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without an id go by their text, so that they can be rejected as well. Of
     rows that repeat an id none stays if one is rejected.
     """
-    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "_key")
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.xxhash64("text")))
-    toxic = toxicity.score(keyed, labels, key="_key").where("predicted = 1")
-    return _without(keyed, toxic, "_key").select(*docs.columns)
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", key)
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id"), F.xxhash64("text")))
+    toxic = toxicity.score(keyed, labels, key=key).where("predicted = 1")
+    return _without(keyed, toxic, key).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,38 +70,48 @@ def curve_intervals(curves: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def curve_table(curves: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per curve: ``keys + [xs, txs, steps]``, the points in order of x.
+    """One row per curve: ``keys + [xs, txs, steps, even]``, the points in order of x.
 
     ``steps`` is the number of points per unit of x, which makes the place of a value in
-    an evenly spaced curve a multiplication. A curve has as many points as its histogram
-    has bins, a few hundred, so the arrays are small.
+    an evenly spaced curve a multiplication; ``even`` says that this is at most one off
+    for every value. A curve has as many points as its histogram has bins, a few hundred,
+    so the arrays are small.
     """
     points = F.sort_array(F.collect_list(F.struct("x", "tx")))
     rows = curves.where("x IS NOT NULL").groupBy(*keys).agg(points.alias("_p"))
     first, last = F.col("_p")[0]["x"], F.element_at("_p", -1)["x"]
-    return rows.select(
+    table = rows.select(
         *keys,
         F.col("_p.x").alias("xs"),
         F.col("_p.tx").alias("txs"),
         F.try_divide(F.size("_p") - 1, last - first).alias("steps"),
     )
+    # the guess grows with the value, so it is enough to look at the points
+    off = F.filter("xs", lambda x, i: ~_guess(x).between(i - 1, i))
+    return table.withColumn("even", F.coalesce(F.size(off) == 0, F.lit(False)))
 
 
-def _place(value: Column) -> Column:
+def _guess(value: Column) -> Column:
+    return F.floor((value - F.get("xs", F.lit(0))) * F.col("steps")).cast("int")
+
+
+def _place(value: Column, even: bool) -> Column:
     """Number of the last point at or before ``value``, which lies within the curve.
 
-    The evenly spaced guess and its neighbours are tried first; a curve with gaps or of
-    any other spacing is searched by halves.
+    The evenly spaced guess and its neighbours are tried; where not all curves are even,
+    what they do not meet is searched by halves.
     """
     guess = F.col("_guess")
     here = lambda i: (F.get("xs", i) <= value) & (value < F.get("xs", i + 1))
+    tried = F.when(here(guess), guess).when(here(guess - 1), guess - 1).when(here(guess + 1), guess + 1)
+    if even:
+        return tried
     halves = F.array(*[F.lit(1 << b) for b in reversed(range(MAX_POINT_BITS))])
     searched = F.aggregate(
         halves,
         F.lit(0),
         lambda at, step: F.when(F.get("xs", at + step) <= value, at + step).otherwise(at),
     )
-    tried = F.when(here(guess), guess).when(here(guess - 1), guess - 1).when(here(guess + 1), guess + 1)
     return tried.otherwise(searched)
 
 
@@ -111,33 +121,35 @@ def interval_lookup(
     """Add ``lo, hi, tx_lo, tx_hi``: the curve points around ``value``; null outside.
 
     A left join on ``keys`` with one row per curve, then the place in its arrays:
-    ``lo <= value < hi``, whatever the spacing, and no row is listed more than once.
-    ``points`` bounds the points of all curves if known, else they are written down and
-    counted. Beyond ``MAX_CURVE_POINTS`` the same join shuffles; each curve is one row,
-    so only the rows that look up are heavy and the skew split can cut them.
+    ``lo <= value < hi``, whatever the spacing, and no row is listed more than once. The
+    curves are written down, one row each, and tell whether all are evenly spaced: then
+    the place stays in generated code, else it ends in a search. ``points`` bounds the
+    points of all curves if known, else they are counted. Beyond ``MAX_CURVE_POINTS`` the
+    same join shuffles; each curve is one row, so only the rows that look up are heavy
+    and the skew split can cut them.
     """
     # The keys get names of their own: the curves often come from the very rows
     # they are looked up for, and equal names would then mean equal columns.
     table = curve_table(curves, keys).withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    if points is None:
-        table = materialise(table, "curve-table")
-        points = table.agg(F.sum(F.size("xs"))).first()[0] or 0
+    table = materialise(table, "curve-table")
+    found = table.agg(F.sum(F.size("xs")).alias("n"), F.min("even").alias("even")).first()
+    points = (found["n"] or 0) if points is None else points
+    table = table.drop("even")
     right = F.broadcast(table) if points <= MAX_CURVE_POINTS else table
     match = reduce(and_, [F.col(key) == F.col(f"_of_{key}") for key in keys])
     v = F.col(value)
     first, last = F.get("xs", F.lit(0)), F.element_at("xs", -1)
     inside = (v >= first) & (v < last)
-    guess = F.when(inside, F.floor((v - first) * F.col("steps")).cast("int"))
-    joined = df.join(right, match, "left").withColumn("_guess", guess)
-    placed = joined.withColumn("_at", F.when(inside, _place(v)))
-    found = {
+    joined = df.join(right, match, "left").withColumn("_guess", F.when(inside, _guess(v)))
+    placed = joined.withColumn("_at", F.when(inside, _place(v, found["even"] is not False)))
+    cells = {
         "lo": F.get("xs", F.col("_at")),
         "hi": F.get("xs", F.col("_at") + 1),
         "tx_lo": F.get("txs", F.col("_at")),
         "tx_hi": F.get("txs", F.col("_at") + 1),
     }
     helpers = ["xs", "txs", "steps", "_guess", "_at", *[f"_of_{k}" for k in keys]]
-    return placed.withColumns(found).drop(*helpers)
+    return placed.withColumns(cells).drop(*helpers)
 
 
 def interpolate(u: Column, scale: float) -> Column:

@@ -116,7 +116,7 @@ def _place(value: Column, even: bool) -> Column:
 
 
 def interval_lookup(
-    df: DataFrame, curves: DataFrame, keys: list[str], value: str, points: int | None = None
+    df: DataFrame, curves: DataFrame, keys: list[str], value: str, points: int | None = None, even: bool = False
 ) -> DataFrame:
     """Add ``lo, hi, tx_lo, tx_hi``: the curve points around ``value``; null outside.
 
@@ -124,16 +124,19 @@ def interval_lookup(
     ``lo <= value < hi``, whatever the spacing, and no row is listed more than once. The
     curves are written down, one row each, and tell whether all are evenly spaced: then
     the place stays in generated code, else it ends in a search. ``points`` bounds the
-    points of all curves if known, else they are counted. Beyond ``MAX_CURVE_POINTS`` the
+    points of all curves if known, else they are counted; with ``even`` as well, which holds
+    for curves straight from ``cdf_curve``, nothing is written first. Beyond ``MAX_CURVE_POINTS`` the
     same join shuffles; each curve is one row, so only the rows that look up are heavy
     and the skew split can cut them.
     """
     # The keys get names of their own: the curves often come from the very rows
     # they are looked up for, and equal names would then mean equal columns.
     table = curve_table(curves, keys).withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    table = materialise(table, "curve-table")
-    found = table.agg(F.sum(F.size("xs")).alias("n"), F.min("even").alias("even")).first()
-    points = (found["n"] or 0) if points is None else points
+    if points is None or not even:
+        table = materialise(table, "curve-table")
+        found = table.agg(F.sum(F.size("xs")).alias("n"), F.min("even").alias("even")).first()
+        points = (found["n"] or 0) if points is None else points
+        even = found["even"] is not False
     table = table.drop("even")
     right = F.broadcast(table) if points <= MAX_CURVE_POINTS else table
     match = reduce(and_, [F.col(key) == F.col(f"_of_{key}") for key in keys])
@@ -141,7 +144,7 @@ def interval_lookup(
     first, last = F.get("xs", F.lit(0)), F.element_at("xs", -1)
     inside = (v >= first) & (v < last)
     joined = df.join(right, match, "left").withColumn("_guess", F.when(inside, _guess(v)))
-    placed = joined.withColumn("_at", F.when(inside, _place(v, found["even"] is not False)))
+    placed = joined.withColumn("_at", F.when(inside, _place(v, even)))
     cells = {
         "lo": F.get("xs", F.col("_at")),
         "hi": F.get("xs", F.col("_at") + 1),
@@ -171,12 +174,13 @@ def curve_lookup(
     scale: float,
     out: str,
     points: int | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Add ``out``: the curve of each row's ``keys`` at ``value``, null outside it.
 
     ``u`` is the fraction of the interval to take; None takes the exact one.
     """
-    found = interval_lookup(df, curves, keys, value, points)
+    found = interval_lookup(df, curves, keys, value, points, even)
     u = exact_fraction(value) if u is None else u
     return found.withColumn(out, interpolate(u, scale)).drop("lo", "hi", "tx_lo", "tx_hi")
 

@@ -538,7 +538,7 @@ def interval_table(spark, sf):
 def interval_lookup(spark, sf):
     h = V.hits(spark, sf).select("event_id", "plane_no", "charge", "u")
     out = curves.curve_lookup(
-        h, _charge_curves(spark, sf), ["plane_no"], "charge", F.col("u"), 1.5, "dl", CURVE_ROWS
+        h, _charge_curves(spark, sf), ["plane_no"], "charge", F.col("u"), 1.5, "dl", CURVE_ROWS, True
     )
     return out.select("event_id", *big("plane_no"), "charge", "dl")
 
@@ -548,7 +548,7 @@ def interval_lookup_exact(spark, sf):
     """The exact fraction of the curve interval instead of a dithered one."""
     h = V.hits(spark, sf).select("event_id", "plane_no", "charge")
     out = curves.curve_lookup(
-        h, _charge_curves(spark, sf), ["plane_no"], "charge", None, 1.5, "dl", CURVE_ROWS
+        h, _charge_curves(spark, sf), ["plane_no"], "charge", None, 1.5, "dl", CURVE_ROWS, True
     )
     return out.select("event_id", *big("plane_no"), "charge", r6("dl").alias("dl"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,28 +18,48 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 # shorter lines have too few shingles to resemble each other and are matched as they are
 MIN_CHARS = 20
-# Lines with at least so many word starts are signed by the shingles there, lines with
-# fewer than the second number by those at every place, lines in between by both.
-SAMPLED, EVERYWHERE = 16, 24
+# places of a line that are cut out in one go
+PIECE = 48
+# 64-bit words of a line's sketch
+SKETCH_WORDS = 8
 # heads of a bucket in each round grow by this factor
 GROWTH = 4
 
-_EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
-_STARTS = rf"(?s)(?:^|[^\p{{L}}\p{{N}}])(?=([\p{{L}}\p{{N}}].{{{SHINGLE - 1}}}))"
+
+def _number(name: str) -> int:
+    """A fixed 64-bit number."""
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big", signed=True)
 
 
 def normal_line(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
-def _all_shingles(line: Column) -> Column:
-    """The shingle at every place; a line shorter than one is its own shingle."""
-    every = F.regexp_extract_all(line, F.lit(_EVERY), F.lit(1))
-    return F.when(F.char_length(line) < SHINGLE, F.array(line)).otherwise(every)
+def _pieces(line: Column) -> Column:
+    """The line in overlapping pieces that hold each of its shingles once.
+
+    The place of a character is counted from the start of its text, so shingles are cut
+    from short pieces: the work grows with the line and not with its square.
+    """
+    # a piece holds the shingles at PIECE places
+    last = F.greatest(F.char_length(line) - SHINGLE, F.lit(0))
+    starts = F.sequence(F.lit(1), last + 1, F.lit(PIECE))
+    return F.transform(starts, lambda i: F.substring(line, i, F.lit(PIECE + SHINGLE - 1)))
+
+
+def _places(piece: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.char_length(piece) - (SHINGLE - 1), F.lit(1)))
+
+
+def _hashed(piece: Column, at: Column) -> Column:
+    """The shingle at a place; a line shorter than one is its own shingle."""
+    return F.xxhash64(F.substring(piece, at, F.lit(SHINGLE)))
 
 
 def shingles(line: Column) -> Column:
-    return F.array_distinct(_all_shingles(line))
+    """Distinct 64-bit hashes of the shingles at every place."""
+    each = F.transform(_pieces(line), lambda p: F.transform(_places(p), lambda at: _hashed(p, at)))
+    return F.array_distinct(F.flatten(each))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -90,49 +112,83 @@ def _distinct_lines(lines: DataFrame) -> DataFrame:
     return table
 
 
+def _hashes(lines: DataFrame, *keys: str) -> DataFrame:
+    """``keys + [_h]``: the hash of the shingle at every place of the lines."""
+    pieces = lines.select(*keys, F.explode(_pieces(F.col("_line"))).alias("_piece"))
+    places = pieces.select(*keys, "_piece", F.explode(_places(F.col("_piece"))).alias("_at"))
+    return places.select(*keys, _hashed(F.col("_piece"), F.col("_at")).alias("_h"))
+
+
 def _signed(lines: DataFrame) -> DataFrame:
     """``(_n, _bands)``: hashes of the bands of each line's MinHash signature.
 
-    The minima are taken over the shingles at the starts of words where a line has many,
-    a sample that depends on the text alone, and over those at every place where it has
-    few; a line in between has both signatures, so that lines alike share one kind.
+    The minima are taken over the shingles at every place of the whole line. Bands have
+    hashes of their own; the rows of a band look in one of them for what is nearest to
+    a number each.
     """
-    starts = F.regexp_extract_all("_line", F.lit(_STARTS), F.lit(1))
-    every = _all_shingles(F.col("_line"))
-
-    def kinds(found: Column) -> Column:
-        return F.array_compact(
-            F.array(
-                F.when(F.size(found) >= SAMPLED, F.struct(F.lit(1).alias("_kind"), found.alias("_set"))),
-                F.when(F.size(found) < EVERYWHERE, F.struct(F.lit(0).alias("_kind"), every.alias("_set"))),
-            )
-        )
-
-    # the lambda holds the word starts, which would else be sought for each use of them
-    sets = F.flatten(F.transform(F.array(starts), kinds))
-    hashed = (
-        lines.where(F.char_length("_line") >= MIN_CHARS)
-        .select("_digest", "_n", F.inline(sets))
-        .select("_digest", "_n", "_kind", F.explode("_set").alias("_shingle"))
-        .select("_digest", "_n", "_kind", F.xxhash64("_shingle").alias("_h"))
-    )
-    minima = [F.min(F.xxhash64("_h", F.lit(i))).alias(f"_m{i}") for i in range(BANDS * ROWS)]
-    bands = [
-        F.xxhash64(F.lit(b), "_kind", *[f"_m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)
+    hashed = _hashes(lines.where(F.char_length("_line") >= MIN_CHARS), "_digest", "_n")
+    each = hashed.select("_digest", "_n", *[F.xxhash64("_h", F.lit(b)).alias(f"_h{b}") for b in range(BANDS)])
+    minima = [
+        F.min(F.col(f"_h{b}").bitwiseXOR(F.lit(_number(f"row {r}")))).alias(f"_m{b}_{r}")
+        for b in range(BANDS)
+        for r in range(ROWS)
     ]
-    signed = hashed.groupBy("_digest", "_n", "_kind").agg(*minima)
+    signed = each.groupBy("_digest", "_n").agg(*minima)
+    bands = [F.xxhash64(F.lit(b), *[f"_m{b}_{r}" for r in range(ROWS)]) for b in range(BANDS)]
     return materialise(signed.select("_n", F.array(*bands).alias("_bands")), "line-bands")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, d, alike)`` of distinct pairs, by the exact Jaccard distance of the lines."""
+def _sketches(lines: DataFrame) -> DataFrame:
+    """``(_n, _places, _s0, _s1, ...)``: the number of places, and a sketch in which every
+    shingle sets a bit."""
+    bit = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))")
+    word = F.shiftrightunsigned("_h", 6) % SKETCH_WORDS
+    words = [
+        F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"_s{i}") for i in range(SKETCH_WORDS)
+    ]
+    found = _hashes(lines, "_n").groupBy("_n").agg(F.count(F.lit(1)).alias("_places"), *words)
+    return materialise(found, "line-sketches")
+
+
+def _sketched(pairs: DataFrame, sketches: DataFrame, side: str) -> DataFrame:
+    """Pairs with the places and the sketch of the line in the column ``side``."""
+    columns = [F.col(c).alias(f"{c}_{side}") for c in sketches.columns if c != "_n"]
+    return pairs.join(sketches.select(F.col("_n").alias(side), *columns), side)
+
+
+def _bound() -> Column:
+    """A Jaccard distance that the lines a and b have at least.
+
+    A bit that only one sketch has stands for a shingle or more that only one line has.
+    Of u such shingles in sets of at most m and n, the distance is at least
+    2u / (m + n + u).
+    """
+    only = F.lit(0)
+    for i in range(SKETCH_WORDS):
+        only = only + F.bit_count(F.col(f"_s{i}_a").bitwiseXOR(F.col(f"_s{i}_b")))
+    return 2 * only / (F.col("_places_a") + F.col("_places_b") + only)
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, d, alike)`` of distinct pairs, by the exact Jaccard distance of the lines.
+
+    Lines that their sketches show to be unlike are not read; their ``d`` is a distance
+    that they have at least.
+    """
+    sketched = _sketched(_sketched(pairs, sketches, "b"), sketches, "a")
+    bounded = materialise(sketched.select("a", "b", _bound().alias("d")), "bounded-lines")
+    # far less than the difference of two Jaccard indices
+    may = F.col("d") <= 1 - threshold + 1e-9
+    far = bounded.where(~may).withColumn("alike", F.lit(False))
+    pairs = bounded.where(may).select("a", "b")
     text = lambda side: texts.select(F.col("_n").alias(side), F.col("_line").alias(f"_{side}"))
     both = pairs.join(text("b"), "b").join(text("a"), "a")
     found = both.select("a", "b", similarity(shingles(F.col("_a")), shingles(F.col("_b"))).alias("_s"))
-    return materialise(
+    exact = materialise(
         found.select("a", "b", (1 - F.col("_s")).alias("d"), (F.col("_s") >= threshold).alias("alike")),
         "compared-lines",
     )
+    return exact.unionByName(far)
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -162,6 +218,7 @@ def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataF
     wanted = lines.select("_n", "_line").join(members.select(F.col("b").alias("_n")).distinct(), "_n", "left_semi")
     path = scratch_path(spark, "compared-texts")
     texts = write_bucketed(wanted, path, ["_n"], _buckets_of(spark), compression="zstd")
+    sketches = _sketches(texts)
     release_shuffles(spark)
     links = measured = known = None
     heads_each = 1
@@ -174,7 +231,7 @@ def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataF
         new = pairs.select("a", "b").distinct()
         if known is not None:
             new = new.join(known, ["a", "b"], "left_anti")
-        compared = _compared(new, texts, threshold)
+        compared = _compared(new, texts, sketches, threshold)
         known = compared if known is None else known.unionByName(compared)
         found = pairs.join(known, ["a", "b"])
         alike = found.where("alike").select("a", "b")
@@ -189,11 +246,16 @@ def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataF
     if links is None:
         return bands.select(F.col("_n").alias("a"), F.col("_n").alias("b")).limit(0)
     links = materialise(links.distinct(), "line-links")
-    return links.unionByName(_links_to_balls(measured, links, texts, threshold, radius))
+    return links.unionByName(_links_to_balls(measured, links, texts, sketches, threshold, radius))
 
 
 def _links_to_balls(
-    measured: DataFrame, links: DataFrame, texts: DataFrame, threshold: float, radius: float
+    measured: DataFrame,
+    links: DataFrame,
+    texts: DataFrame,
+    sketches: DataFrame,
+    threshold: float,
+    radius: float,
 ) -> DataFrame:
     """Links between the lines outside a ball and its members that ``links`` lacks."""
     roots = components(links)
@@ -208,7 +270,7 @@ def _links_to_balls(
     ball = measured.where("alike").select("_bucket", "a", F.col("b").alias("_near"), F.col("d").alias("_y"))
     reached = outside.join(ball, ["_bucket", "a"]).where(F.col("_x") - F.col("_y") <= radius)
     pairs = reached.select(F.least("_near", "_far").alias("a"), F.greatest("_near", "_far").alias("b"))
-    return _compared(pairs.distinct(), texts, threshold).where("alike").select("a", "b")
+    return _compared(pairs.distinct(), texts, sketches, threshold).where("alike").select("a", "b")
 
 
 def dedup_lines(

@@ -232,6 +232,31 @@ def test_bands_recall_of_lines_with_few_words(spark):
     assert sum(not got[2 * i + 1] for i in pairs) >= 0.95 * len(pairs)
 
 
+def test_lines_alike_everywhere_but_at_word_starts(spark):
+    """All words are new but one, which most places of the line are in."""
+    rnd = random.Random(5)
+    letters = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    rows = []
+    for i in range(20):
+        long = letters(1200)
+        rows += [(2 * i + j, " ".join([*[letters(3) for _ in range(30)], long])) for j in range(2)]
+    want = brute_lines(rows)
+    assert all(not want[2 * i + 1] for i in range(20))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(spark, rows)).collect()}
+    assert sum(not got[2 * i + 1] for i in range(20)) >= 18
+
+
+def test_shingles_are_those_at_every_place(spark):
+    rnd = random.Random(6)
+    lines = ["".join(rnd.choice("ab\u00e9\U0001f600 ") for _ in range(n)) for n in (*range(1, 120), 1000)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    hashed = lambda x: {x[a : a + 8] for a in range(max(len(x) - 7, 1))}
+    want = spark.createDataFrame([(x, y) for x in lines for y in hashed(x)], "line string, s string")
+    want = {(r.line, r.h) for r in want.selectExpr("line", "xxhash64(s) AS h").collect()}
+    got = df.select("line", line_dedup.shingles(df.line).alias("found")).collect()
+    assert {(r.line, h) for r in got for h in r.found} == want
+
+
 def test_line_dedup_odd_rows(spark):
     line = "a line that is long enough to count"
     rows = [(None, line), (1, line), (1, line), (2, line + "\n" + line), (None, line)]

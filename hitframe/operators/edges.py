@@ -16,6 +16,7 @@ from hitframe.config import LEADING, TRAILING
 from hitframe.sources.stages import materialise
 
 from .frames import placed_in_ranges, top_hits
+from .skew import all_known, by_size
 
 
 def pair_summary(edges: DataFrame, keys: list[str], time: str = "timing") -> DataFrame:
@@ -25,8 +26,10 @@ def pair_summary(edges: DataFrame, keys: list[str], time: str = "timing") -> Dat
     m, n = F.count_if(lead), F.count_if(trail)
     # the product of two row counts can pass the range of a long
     pairs = m.cast("decimal(19,0)") * n.cast("decimal(18,0)")
+    # the same rows as in the other functions, so that both can read one shuffle
+    both = edges.where(F.col("edge").isin(LEADING, TRAILING))
     return (
-        edges.groupBy(*keys)
+        both.groupBy(*keys)
         .agg(
             pairs.cast("decimal(38,0)").alias("n_pairs"),
             (F.min(F.when(trail, t)) - F.max(F.when(lead, t))).alias("width_min"),
@@ -74,33 +77,60 @@ def widest_pairs(
     )
 
 
-def nearest_pairs(edges: DataFrame, keys: list[str], time: str = "timing") -> DataFrame:
+def nearest_pairs(edges: DataFrame, keys: list[str], time: str = "timing", whole: bool = False) -> DataFrame:
     """Each leading edge with the first trailing edge after it in its channel.
 
     At most one hit per leading edge, so the lists grow with the edges and not with
-    their product. A leading edge without a later trailing one gives no hit. The
-    edges are cut into ranges of (keys, time): the partner is looked for in the own
+    their product. A leading edge without a later trailing one gives no hit. Small
+    channels are paired as they are; ``whole`` says that all are small and placed already
+    (``skew.by_size``), so that nothing moves. Edges without a key give no hit.
+    """
+    both = edges.where(F.col("edge").isin(LEADING, TRAILING) & all_known(keys)).select(*keys, "edge", time)
+    many = None
+    if not whole:
+        both, many = by_size(materialise(both, "edges"), keys)
+    onward = Window.partitionBy(*keys).orderBy(*_onward(time))
+    near = both.withColumn(
+        "timing_trail", _trailing(time).over(onward.rowsBetween(Window.unboundedPreceding, -1))
+    ).where(F.col("edge") == LEADING)
+    if many is not None:
+        near = near.unionByName(_near_in_ranges(many, keys, time))
+    return near.where(F.col("timing_trail").isNotNull()).select(
+        *keys, F.col(time).alias("timing"), "timing_trail", (F.col("timing_trail") - F.col(time)).alias("charge")
+    )
+
+
+def _trailing(time: str) -> Column:
+    return F.min(F.when(F.col("edge") == TRAILING, F.col(time)))
+
+
+def _onward(time: str) -> list[Column]:
+    """From late to early; at equal times the trailing edge is not after the leading one."""
+    return [F.col(time).desc(), F.col("edge").asc()]
+
+
+def _near_in_ranges(edges: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """Leading edges with their ``timing_trail``, for channels of any size.
+
+    The edges are cut into ranges of (keys, time): the partner is looked for in the own
     range, else it is the earliest trailing edge of the later ranges, so a channel of
     any share is spread over many tasks.
     """
-    both = edges.where(F.col("edge").isin(LEADING, TRAILING)).select(*keys, "edge", time)
     # at equal times the trailing edge comes first, so it is not after the leading one
-    placed = placed_in_ranges(both, keys, [F.col(time).asc(), F.col("edge").desc()])
+    placed = placed_in_ranges(edges, keys, [F.col(time).asc(), F.col("edge").desc()])
     pieces = [*keys, "_range"]
-    trailing = F.min(F.when(F.col("edge") == TRAILING, F.col(time)))
-    onward = Window.partitionBy(*pieces).orderBy(F.col(time).desc(), F.col("edge").asc())
+    onward = Window.partitionBy(*pieces).orderBy(*_onward(time))
     later = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     beyond = (
-        placed.groupBy(*pieces).agg(trailing.alias("_first")).withColumn("_beyond", F.min("_first").over(later))
+        placed.groupBy(*pieces).agg(_trailing(time).alias("_first")).withColumn("_beyond", F.min("_first").over(later))
     ).drop("_first")
     near = placed.withColumn(
-        "_own", trailing.over(onward.rowsBetween(Window.unboundedPreceding, -1))
+        "_own", _trailing(time).over(onward.rowsBetween(Window.unboundedPreceding, -1))
     ).where(F.col("edge") == LEADING)
     return (
         near.join(beyond, pieces)
         .withColumn("timing_trail", F.coalesce("_own", "_beyond"))
-        .where(F.col("timing_trail").isNotNull())
-        .select(*keys, F.col(time).alias("timing"), "timing_trail", (F.col("timing_trail") - F.col(time)).alias("charge"))
+        .select(*keys, "edge", time, "timing_trail")
     )
 
 
@@ -116,7 +146,7 @@ def pair_edges(edges: DataFrame, keys: list[str], time: str = "timing") -> DataF
 
 
 def width_counts(
-    edges: DataFrame, keys: list[str], groups: list[str], cell: float, time: str = "timing"
+    edges: DataFrame, keys: list[str], groups: list[str], cell: float, time: str = "timing", whole: bool = False
 ) -> DataFrame:
     """Widths of all pairs as ``groups + [width, n]``, without forming the pairs.
 
@@ -124,14 +154,17 @@ def width_counts(
     are counted per time cell of a channel first, and the counts of leading and trailing
     cells multiply: a cross-correlation. A channel meets in at most (window / cell)
     squared rows, however many edges it has. Widths are differences of cells times
-    ``cell``: exact for times on that grid, else less than one cell off.
+    ``cell``: exact for times on that grid, else less than one cell off. ``whole`` says
+    that all channels are small and placed already (``skew.by_size``): then leading and
+    trailing cells meet where they lie.
     """
     both = edges.where(F.col("edge").isin(LEADING, TRAILING))
     cells = both.groupBy(*keys, "edge", F.floor(F.col(time) / F.lit(float(cell))).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    # read from both sides of the join below
-    cells = materialise(cells, "edge-cells")
+    if not whole:
+        # read from both sides of the join below
+        cells = materialise(cells, "edge-cells")
     lead = cells.where(F.col("edge") == LEADING).select(*keys, F.col("_cell").alias("_from"), F.col("_n").alias("_m"))
     trail = cells.where(F.col("edge") == TRAILING).select(*keys, "_cell", "_n")
     # the product of two row counts can pass the range of a long

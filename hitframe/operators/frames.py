@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from hitframe.config import FRAME
 from hitframe.sources.stages import materialise
 
+from .skew import all_known, by_size
+
 
 def by_charge(charge: str = "charge", *ties: str) -> list[Column]:
     """Charge descending; ties in ascending order make the order total."""
@@ -82,13 +84,31 @@ def placed_in_ranges(rows: DataFrame, keys: list[str], order: list[Column]) -> D
     return materialise(placed.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
-def ranked_hits(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def ranked_hits(hits: DataFrame, keys: list[str], order: list[Column], whole: bool = False) -> DataFrame:
     """The whole charge-ordered list of each group, one row per hit with its rank.
 
     Long form on purpose: a list in one cell would have to fit one task, whatever
-    the size of the group. All hits are cut into ranges of the order, so a group of
-    any share lies in several, and the rank is the number of the group's rows in
-    earlier ranges plus the position in the own range.
+    the size of the group. Small groups are ranked as they are; ``whole`` says that all
+    are small and placed already (``skew.by_size``), so that nothing moves. Hits without
+    a key are in no list.
+    """
+    hits = hits.where(all_known(keys))
+    columns = [*keys, *[c for c in hits.columns if c not in keys], "rank"]
+    many = None
+    if not whole:
+        hits, many = by_size(materialise(hits, "hits"), keys)
+    ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).select(*columns)
+    if many is None:
+        return ranked
+    return ranked.unionByName(_ranked_in_ranges(many, keys, order).select(*columns))
+
+
+def _ranked_in_ranges(hits: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The same for groups of any size.
+
+    All hits are cut into ranges of the order, so a group of any share lies in several,
+    and the rank is the number of the group's rows in earlier ranges plus the position
+    in the own range.
     """
     placed = placed_in_ranges(hits, keys, order)
     pieces = [*keys, "_range"]
@@ -138,12 +158,17 @@ def one_row_per_frame(
 
 
 def coincident_hits(
-    hits: DataFrame, planes: list[str] | tuple[str, ...], frame: tuple[str, ...] = FRAME
+    hits: DataFrame,
+    planes: list[str] | tuple[str, ...],
+    frame: tuple[str, ...] = FRAME,
+    whole: bool = False,
 ) -> DataFrame:
     """All hits of the frames in which every plane has at least one.
 
     The surviving frames are written down, one number each, so that the semi-join
-    has an exchange on both sides and can split a frame with very many hits.
+    has an exchange on both sides and can split a frame with very many hits. ``whole``
+    says that all frames are small and placed already (``skew.by_size``): then the frames
+    meet their hits where they lie.
     """
     bits = F.lit(0).cast("long")
     for i, plane in enumerate(planes):
@@ -154,7 +179,9 @@ def coincident_hits(
         .where(F.col("_planes") == (1 << len(planes)) - 1)
         .select(*frame)
     )
-    return hits.join(materialise(frames, "coincident-frames"), list(frame), "left_semi")
+    if not whole:
+        frames = materialise(frames, "coincident-frames")
+    return hits.join(frames, list(frame), "left_semi")
 
 
 def multiplicity_cut(

@@ -20,7 +20,7 @@ from hitframe.operators import curves as curve_ops
 from hitframe.operators import edges as edge_ops
 from hitframe.operators import frames, hits
 from hitframe.operators.histograms import bin_of
-from hitframe.operators.skew import bounded_broadcast
+from hitframe.operators.skew import bounded_broadcast, by_size
 from hitframe.sources.stages import materialise
 
 _SLOTS = {"timing": 1, "charge": 3, "id": 3}
@@ -91,16 +91,24 @@ def hit_lists(
 ) -> DataFrame:
     """All hits per frame and side with their rank in charge order, in long form.
 
-    A hit is a leading edge with the first trailing edge after it. ``calib`` holds
+    A hit is a leading edge with the first trailing edge after it. Small frames are moved
+    once, for the pairing and the ranks. ``calib`` holds
     ``side, id, p1, p0``: charges are then put through it before they are ordered, and
     hits of strips without constants are left out.
     """
-    pairs = edge_ops.nearest_pairs(timed, [*cfg.frame, "ch"])
-    placed = hits.map_channels(pairs, chmap, ["ch"], rows)
-    if calib is not None:
-        placed = hits.linear_calibration(placed, calib, ["side", "id"], rows=rows).where("charge IS NOT NULL")
     order = frames.by_charge("charge", "id", "timing")
-    return frames.ranked_hits(placed, [*cfg.frame, "side"], order)
+
+    def lists(edges: DataFrame, whole: bool) -> DataFrame:
+        pairs = edge_ops.nearest_pairs(edges, [*cfg.frame, "ch"], whole=whole)
+        placed = hits.map_channels(pairs, chmap, ["ch"], rows)
+        if calib is not None:
+            placed = hits.linear_calibration(placed, calib, ["side", "id"], rows=rows).where("charge IS NOT NULL")
+        return frames.ranked_hits(placed, [*cfg.frame, "side"], order, whole)
+
+    timed = materialise(timed.select(*cfg.frame, "ch", "edge", "timing"), "timed-edges")
+    few, many = by_size(timed, list(cfg.frame))
+    ranked = lists(few, True)
+    return ranked if many is None else ranked.unionByName(lists(many, False))
 
 
 def pair_occupancy(

@@ -16,6 +16,7 @@ from hitframe.functions import (
 )
 from hitframe.operators import curves as curve_ops
 from hitframe.operators import frames, hits
+from hitframe.operators.skew import by_size
 from hitframe.sources import materialise
 
 _LEADING_VALUES = ["id", "charge", "timing"]
@@ -85,11 +86,18 @@ def event_hits(
 ) -> DataFrame:
     """The hit lists of the events: all their hits with the rank in charge order.
 
-    The hits after the cuts are read several times here, so they become a table.
+    The hits after the cuts are read several times here, so they become a table. Small
+    frames are moved once, for the coincidence and the ranks.
     """
+
+    def lists(mapped: DataFrame, whole: bool) -> DataFrame:
+        kept = frames.coincident_hits(mapped, cfg.planes, cfg.frame, whole)
+        return frames.ranked_hits(kept, [*cfg.frame, "plane"], frames.by_charge("charge", "id", "timing"), whole)
+
     mapped = materialise(mapped_hits(raw, triggers, chmap, cfg, rows), "mapped-hits")
-    kept = frames.coincident_hits(mapped, cfg.planes, cfg.frame)
-    return frames.ranked_hits(kept, [*cfg.frame, "plane"], frames.by_charge("charge", "id", "timing"))
+    few, many = by_size(mapped, list(cfg.frame))
+    ranked = lists(few, True)
+    return ranked if many is None else ranked.unionByName(lists(many, False))
 
 
 def drift_lengths(

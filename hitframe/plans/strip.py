@@ -51,8 +51,10 @@ def side_slots(
 
     ``size`` counts all pairs; the slots come from the few pairs per channel that
     can be among the three widest. The edges are written down first, narrow: both
-    parts read that table, and the limit of the second has a fresh exchange below
-    it, so that a hot channel is cut to a few edges in every task before it moves.
+    parts read that table. Small frames are moved once and meet all that goes by
+    channel, side or frame in their place. Of large ones both parts are shuffled by
+    channel, where the limit of the second has a fresh exchange below it, so that a hot
+    channel is cut to a few edges in every task before it moves.
 
     ``calib`` holds ``side, id, p1, p0``: charges are put through ``charge * p1 + p0``
     before they are ordered. A gain that is not negative keeps the order of the widths of
@@ -60,20 +62,26 @@ def side_slots(
     round, and the narrowest are. Strips without constants are left out. Pairs that a
     negative gain makes equal only by rounding go by the narrower one.
     """
-    channel, keys = [*cfg.frame, "ch"], [*cfg.frame, "side"]
-    top = max(_SLOTS.values())
     if calib is not None:
         known = calib.select("side", "id", "p1", "p0").where("p1 IS NOT NULL AND p0 IS NOT NULL")
         chmap = chmap.join(known, ["side", "id"])
-    timed = materialise(timed.select(*channel, "edge", "timing"), "timed-edges")
+    timed = materialise(timed.select(*cfg.frame, "ch", "edge", "timing"), "timed-edges")
     chmap = bounded_broadcast(chmap, rows)
+    few, many = by_size(timed, list(cfg.frame))
+    slots = _side_slots(few, chmap, cfg, calib is not None)
+    return slots if many is None else slots.unionByName(_side_slots(many, chmap, cfg, calib is not None))
+
+
+def _side_slots(timed: DataFrame, chmap: DataFrame, cfg: StripConfig, gains: bool) -> DataFrame:
+    channel, keys = [*cfg.frame, "ch"], [*cfg.frame, "side"]
+    top = max(_SLOTS.values())
     sizes = (
         edge_ops.pair_summary(timed, channel)
         .join(chmap, "ch")
         .groupBy(*keys)
         .agg(F.sum("n_pairs").alias("size"))
     )
-    if calib is None:
+    if not gains:
         pairs = edge_ops.widest_pairs(timed, channel, top).join(chmap, "ch")
     else:
         signed = timed.join(chmap.select("ch", F.col("p1").alias("_gain")), "ch")

@@ -134,7 +134,11 @@ def pair_occupancy(
     grid.
     """
     cell = bins.width if cell is None else cell
-    counts = edge_ops.width_counts(timed, [*cfg.frame, "ch"], ["ch"], cell)
+    timed = materialise(timed.select(*cfg.frame, "ch", "edge", "timing"), "timed-edges")
+    few, many = by_size(timed, list(cfg.frame))
+    counts = edge_ops.width_counts(few, [*cfg.frame, "ch"], ["ch"], cell, whole=True)
+    if many is not None:
+        counts = counts.unionByName(edge_ops.width_counts(many, [*cfg.frame, "ch"], ["ch"], cell))
     placed = hits.map_channels(counts, chmap, ["ch"], rows).withColumn("bin", bin_of("width", bins))
     return placed.where("bin IS NOT NULL").groupBy("side", "id", "bin").agg(F.sum("n").alias("n"))
 

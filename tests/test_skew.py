@@ -137,3 +137,95 @@ def test_hot_curve_is_split_where_the_curves_are_too_many_to_broadcast(tight):
     assert "SortMergeJoin(skew=true)" in plan, plan[:3000]
     assert out.count() == 60_000
     assert out.where("lo is null").isEmpty()
+
+
+def tables_written(spark, run):
+    """Result rows, and the labels of the tables written on the way."""
+    from hitframe import session
+
+    mark = session.scratch_mark(spark)
+    rows = sorted(tuple(r) for r in run().collect())
+    paths = session._written[spark.sparkContext.applicationId][mark:]
+    return rows, {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in paths}
+
+
+def some_edges(spark):
+    """Frame 7 holds a third of the edges."""
+    return spark.range(0, 3_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 200).alias("frame_id"),
+        (F.col("id") % 4).cast("int").alias("ch"),
+        (F.xxhash64("id") % 2 == 0).cast("int").alias("edge"),
+        (F.xxhash64("id", F.lit(1)) % 1000 / 10.0).alias("timing"),
+    )
+
+
+def strip_results(spark):
+    from hitframe.config import Bins, StripConfig
+    from hitframe.plans import strip
+
+    e, cfg = some_edges(spark), StripConfig()
+    chmap = spark.range(4).select(
+        F.col("id").cast("int").alias("ch"),
+        (F.col("id") / 2).cast("int").alias("id"),
+        F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("side"),
+    )
+    return {
+        "lists": lambda: strip.hit_lists(e, chmap, cfg, 4),
+        "slots": lambda: strip.side_slots(e, chmap, cfg, 4),
+        "pairs": lambda: strip.pair_occupancy(e, chmap, cfg, Bins(0.0, 50.0, 25), 0.1, 4),
+    }
+
+
+@pytest.mark.parametrize("name", ["lists", "slots", "pairs"])
+def test_small_frames_are_moved_once_and_large_ones_in_pieces(spark, monkeypatch, name):
+    from hitframe.operators import skew
+
+    run = strip_results(spark)[name]
+    whole, written = tables_written(spark, run)
+    # no ranges are cut and no cells written where every frame is small
+    assert written == {"timed-edges", "large-groups"}
+    monkeypatch.setattr(skew, "WHOLE_GROUP", 100)
+    pieces, written = tables_written(spark, run)
+    assert whole == pieces and whole
+    if name != "slots":
+        assert written & {"ranges", "edge-cells"}
+
+
+def test_small_frames_need_one_shuffle_for_all_that_goes_by_them(spark):
+    plan = final_plan(strip_results(spark)["slots"]())
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moves and all("hashpartitioning(frame_id" in m and "REPARTITION_BY_NUM" in m for m in moves), moves
+
+
+def test_event_hits_of_small_and_large_frames(spark, monkeypatch):
+    from hitframe.operators import skew
+
+    h = wire_like(spark, 6_000).withColumn("plane", F.concat(F.lit("p"), F.col("ch"))).drop("ch")
+    h = materialise(h.withColumnRenamed("tcal", "timing"), "hits")
+    planes, order = ["p0", "p1", "p2", "p3"], frames.by_charge("charge", "id", "timing")
+
+    def whole():
+        few, many = skew.by_size(h, ["frame_id"])
+        assert many is None
+        return frames.ranked_hits(frames.coincident_hits(few, planes, whole=True), ["frame_id", "plane"], order, True)
+
+    got, written = tables_written(spark, whole)
+    assert written == {"large-groups"}
+    monkeypatch.setattr(skew, "WHOLE_GROUP", 50)
+    want, written = tables_written(
+        spark, lambda: frames.ranked_hits(frames.coincident_hits(h, planes), ["frame_id", "plane"], order)
+    )
+    assert got == want and got and "ranges" in written
+
+
+def test_groups_by_size_keep_every_row_and_grow_in_tasks(spark, monkeypatch):
+    from hitframe.operators import skew
+
+    rows = [(None, i) for i in range(30)] + [(1, i) for i in range(3)] + [(2, i) for i in range(25)] + [(None, 5)]
+    table = materialise(spark.createDataFrame(rows, "k int, v int"), "rows")
+    monkeypatch.setattr(skew, "WHOLE_GROUP", 20)
+    monkeypatch.setattr(skew, "TASK_ROWS", 2)
+    few, many = skew.by_size(table, ["k"])
+    assert sorted(r.k for r in few.collect()) == [1] * 3
+    assert many.count() == 56 and many.where("k IS NULL").count() == 31
+    assert few.rdd.getNumPartitions() == 30

@@ -16,7 +16,12 @@ from hitframe.sources.stages import materialise
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    return docs.join(gone.select(key).distinct(), key, "left_anti")
+    """The rows of which the key is not gone.
+
+    The keys are written first, so that their size is known before the texts are
+    moved to them: a small list goes to the texts instead.
+    """
+    return docs.join(materialise(gone.select(key).distinct(), "gone-keys"), key, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitframe.session import drop_paths, scratch_scope
 from hitframe.sources.stages import materialise
 
 
@@ -15,8 +16,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     (a grouped minimum, so a hub combines before the shuffle), then the label of
     that label, which halves long chains. Labels are written to the shared folder
     after each round; the driver sees only whether any of them changed. Nulls link
-    nothing.
+    nothing. Only the last labels stay in the shared folder.
     """
+    with scratch_scope() as made:
+        labels = _last_labels(links, a, b)
+    drop_paths(links.sparkSession, made[:-1])
+    return labels
+
+
+def _last_labels(links: DataFrame, a: str, b: str) -> DataFrame:
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     both = materialise(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), "links")
     labels = materialise(

@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitframe.session import release_shuffles, scratch_path
+from hitframe.session import drop_paths, release_shuffles, scratch_path, scratch_scope
 from hitframe.sources.stages import materialise, write_bucketed
 
 from .components import components
@@ -22,6 +22,8 @@ MIN_CHARS = 20
 PIECE = 48
 # 64-bit words of a line's sketch
 SKETCH_WORDS = 8
+# places that are signed in one row
+STEP = 4
 # heads of a bucket in each round grow by this factor
 GROWTH = 4
 
@@ -113,10 +115,29 @@ def _distinct_lines(lines: DataFrame) -> DataFrame:
 
 
 def _hashes(lines: DataFrame, *keys: str) -> DataFrame:
-    """``keys + [_h]``: the hash of the shingle at every place of the lines."""
-    pieces = lines.select(*keys, F.explode(_pieces(F.col("_line"))).alias("_piece"))
-    places = pieces.select(*keys, "_piece", F.explode(_places(F.col("_piece"))).alias("_at"))
-    return places.select(*keys, _hashed(F.col("_piece"), F.col("_at")).alias("_h"))
+    """``keys + [_h0, _h1, ...]``: hashes of the shingles at ``STEP`` places after each other.
+
+    Together the rows hold the shingle at every place of the lines; the last place fills
+    up the last row. Bytes are cut at any place at once, so ASCII lines are one piece;
+    in other pieces the characters are counted.
+    """
+    line = F.col("_line")
+    ascii = lambda text: F.octet_length(text) == F.char_length(text)
+    pieces = lines.select(*keys, F.explode(F.when(ascii(line), F.array(line)).otherwise(_pieces(line))).alias("_piece"))
+    cut = pieces.select(
+        *keys,
+        "_piece",
+        F.col("_piece").cast("binary").alias("_bytes"),
+        ascii(F.col("_piece")).alias("_ascii"),
+        F.greatest(F.char_length("_piece") - (SHINGLE - 1), F.lit(1)).alias("_last"),
+    )
+    names = [c for c in cut.columns if c not in keys]
+    steps = cut.select(*keys, *names, F.explode(F.sequence(F.lit(1), F.col("_last"), F.lit(STEP))).alias("_at"))
+    at = [F.least(F.col("_at") + i, F.col("_last")) for i in range(STEP)]
+    hashed = lambda i: F.when(F.col("_ascii"), _hashed(F.col("_bytes"), at[i])).otherwise(
+        _hashed(F.col("_piece"), at[i])
+    )
+    return steps.select(*keys, *[hashed(i).alias(f"_h{i}") for i in range(STEP)])
 
 
 def _signed(lines: DataFrame) -> DataFrame:
@@ -127,12 +148,15 @@ def _signed(lines: DataFrame) -> DataFrame:
     a number each.
     """
     hashed = _hashes(lines.where(F.char_length("_line") >= MIN_CHARS), "_digest", "_n")
-    each = hashed.select("_digest", "_n", *[F.xxhash64("_h", F.lit(b)).alias(f"_h{b}") for b in range(BANDS)])
-    minima = [
-        F.min(F.col(f"_h{b}").bitwiseXOR(F.lit(_number(f"row {r}")))).alias(f"_m{b}_{r}")
-        for b in range(BANDS)
-        for r in range(ROWS)
-    ]
+    each = hashed.select(
+        "_digest",
+        "_n",
+        *[F.xxhash64(f"_h{i}", F.lit(b)).alias(f"_h{b}_{i}") for b in range(BANDS) for i in range(STEP)],
+    )
+    nearest = lambda b, r: F.least(
+        *[F.col(f"_h{b}_{i}").bitwiseXOR(F.lit(_number(f"row {r}"))) for i in range(STEP)]
+    )
+    minima = [F.min(nearest(b, r)).alias(f"_m{b}_{r}") for b in range(BANDS) for r in range(ROWS)]
     signed = each.groupBy("_digest", "_n").agg(*minima)
     bands = [F.xxhash64(F.lit(b), *[f"_m{b}_{r}" for r in range(ROWS)]) for b in range(BANDS)]
     return materialise(signed.select("_n", F.array(*bands).alias("_bands")), "line-bands")
@@ -141,19 +165,23 @@ def _signed(lines: DataFrame) -> DataFrame:
 def _sketches(lines: DataFrame) -> DataFrame:
     """``(_n, _places, _s0, _s1, ...)``: the number of places, and a sketch in which every
     shingle sets a bit."""
-    bit = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))")
-    word = F.shiftrightunsigned("_h", 6) % SKETCH_WORDS
-    words = [
-        F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"_s{i}") for i in range(SKETCH_WORDS)
-    ]
-    found = _hashes(lines, "_n").groupBy("_n").agg(F.count(F.lit(1)).alias("_places"), *words)
-    return materialise(found, "line-sketches")
 
+    def word(i: int) -> Column:
+        bits = F.lit(0).cast("long")
+        for k in range(STEP):
+            here = F.shiftrightunsigned(f"_h{k}", 6) % SKETCH_WORDS == i
+            bits = bits.bitwiseOR(F.when(here, F.expr(f"shiftleft(1L, CAST(_h{k} & 63 AS INT))")).otherwise(F.lit(0).cast("long")))
+        return F.bit_or(bits).alias(f"_s{i}")
+
+    places = F.greatest(F.char_length("_line") - (SHINGLE - 1), F.lit(1)).cast("long")
+    hashed = _hashes(lines.withColumn("_places", places), "_n", "_places")
+    return materialise(hashed.groupBy("_n", "_places").agg(*[word(i) for i in range(SKETCH_WORDS)]), "line-sketches")
 
-def _sketched(pairs: DataFrame, sketches: DataFrame, side: str) -> DataFrame:
-    """Pairs with the places and the sketch of the line in the column ``side``."""
+
+def _sketched(rows: DataFrame, sketches: DataFrame, side: str) -> DataFrame:
+    """Rows with the places and the sketch of the line in the column ``side``."""
     columns = [F.col(c).alias(f"{c}_{side}") for c in sketches.columns if c != "_n"]
-    return pairs.join(sketches.select(F.col("_n").alias(side), *columns), side)
+    return rows.join(sketches.select(F.col("_n").alias(side), *columns), side)
 
 
 def _bound() -> Column:
@@ -169,26 +197,15 @@ def _bound() -> Column:
     return 2 * only / (F.col("_places_a") + F.col("_places_b") + only)
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, d, alike)`` of distinct pairs, by the exact Jaccard distance of the lines.
-
-    Lines that their sketches show to be unlike are not read; their ``d`` is a distance
-    that they have at least.
-    """
-    sketched = _sketched(_sketched(pairs, sketches, "b"), sketches, "a")
-    bounded = materialise(sketched.select("a", "b", _bound().alias("d")), "bounded-lines")
-    # far less than the difference of two Jaccard indices
-    may = F.col("d") <= 1 - threshold + 1e-9
-    far = bounded.where(~may).withColumn("alike", F.lit(False))
-    pairs = bounded.where(may).select("a", "b")
+def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, d, alike)`` of distinct pairs, by the exact Jaccard distance of the lines."""
     text = lambda side: texts.select(F.col("_n").alias(side), F.col("_line").alias(f"_{side}"))
     both = pairs.join(text("b"), "b").join(text("a"), "a")
     found = both.select("a", "b", similarity(shingles(F.col("_a")), shingles(F.col("_b"))).alias("_s"))
-    exact = materialise(
+    return materialise(
         found.select("a", "b", (1 - F.col("_s")).alias("d"), (F.col("_s") >= threshold).alias("alike")),
         "compared-lines",
     )
-    return exact.unionByName(far)
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -207,8 +224,16 @@ def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataF
     By the triangle inequality a line at distance x from the head can be like a ball
     member at distance y only if x - y <= r, so lines up to 2r away are compared with
     the members they can reach, unless other links connect them to the ball already.
-    Every pair that shares a band is thus compared, ruled out or connected.
+    Every pair that shares a band is thus compared, ruled out or connected. The sketches
+    are in the joins, so that only pairs that they do not rule out leave them.
     """
+    with scratch_scope() as made:
+        links = _similar(lines, bands, threshold)
+    drop_paths(lines.sparkSession, made[:-1])
+    return links
+
+
+def _similar(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     # far less than the difference of two Jaccard indices
     radius = 1 - threshold + 1e-9
     spark = lines.sparkSession
@@ -220,33 +245,40 @@ def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataF
     texts = write_bucketed(wanted, path, ["_n"], _buckets_of(spark), compression="zstd")
     sketches = _sketches(texts)
     release_shuffles(spark)
-    links = measured = known = None
+    measured = known = None
     heads_each = 1
     while not members.isEmpty():
         first = F.row_number().over(Window.partitionBy("_bucket").orderBy("b"))
         heads = members.withColumn("_at", first).where(F.col("_at") <= heads_each).select("_bucket", F.col("b").alias("a"))
         heads = materialise(heads, "band-heads")
         # heads come first in their bucket, so this also takes each pair of heads once
-        pairs = materialise(members.join(heads, "_bucket").where("a < b"), "band-pairs")
-        new = pairs.select("a", "b").distinct()
+        met = _sketched(members, sketches, "b").join(_sketched(heads, sketches, "a"), "_bucket")
+        near = met.where((F.col("a") < F.col("b")) & (_bound() <= 2 * radius))
+        pairs = materialise(near.select("_bucket", "a", "b", _bound().alias("_least")), "band-pairs")
+        new = pairs.where(F.col("_least") <= radius).select("a", "b").distinct()
         if known is not None:
             new = new.join(known, ["a", "b"], "left_anti")
-        compared = _compared(new, texts, sketches, threshold)
+        compared = _compared(new, texts, threshold)
         known = compared if known is None else known.unionByName(compared)
-        found = pairs.join(known, ["a", "b"])
-        alike = found.where("alike").select("a", "b")
-        links = alike if links is None else links.unionByName(alike)
-        near = found.where(F.col("d") <= 2 * radius)
-        measured = near if measured is None else measured.unionByName(near)
-        unlike = found.groupBy("_bucket", "b").agg(F.max("alike").alias("_hit")).where("NOT _hit").select("_bucket", "b")
-        left = unlike.join(heads.withColumnRenamed("a", "b"), ["_bucket", "b"], "left_anti")
-        members = materialise(_shared(left), "band-members")
+        found = pairs.join(known, ["a", "b"], "left").select(
+            "_bucket",
+            "a",
+            "b",
+            F.coalesce("d", "_least").alias("d"),
+            F.coalesce("alike", F.lit(False)).alias("alike"),
+        )
+        found = materialise(found, "measured-lines")
+        measured = found if measured is None else measured.unionByName(found)
+        used = found.where("alike").select("_bucket", "b").unionByName(heads.select("_bucket", F.col("a").alias("b")))
+        members = materialise(_shared(members.join(used, ["_bucket", "b"], "left_anti")), "band-members")
         heads_each *= GROWTH
         release_shuffles(spark)
-    if links is None:
-        return bands.select(F.col("_n").alias("a"), F.col("_n").alias("b")).limit(0)
-    links = materialise(links.distinct(), "line-links")
-    return links.unionByName(_links_to_balls(measured, links, texts, sketches, threshold, radius))
+    if measured is None:
+        return materialise(bands.select(F.col("_n").alias("a"), F.col("_n").alias("b")).limit(0), "line-links")
+    measured = materialise(measured.where(F.col("d") <= 2 * radius).select("a", "b", "d", "alike").distinct(), "line-distances")
+    links = measured.where("alike").select("a", "b")
+    more = _links_to_balls(measured, links, texts, sketches, threshold, radius)
+    return materialise(links.unionByName(more), "line-links")
 
 
 def _links_to_balls(
@@ -257,7 +289,9 @@ def _links_to_balls(
     threshold: float,
     radius: float,
 ) -> DataFrame:
-    """Links between the lines outside a ball and its members that ``links`` lacks."""
+    """Links between the lines outside a ball and its members that ``links`` lacks.
+
+    A head has one ball, whichever buckets it was met in."""
     roots = components(links)
     root = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"_root_{side}"))
     outside = (
@@ -265,33 +299,20 @@ def _links_to_balls(
         .join(root("a"), "a")  # a head without a link has no ball
         .join(root("b"), "b", "left")
         .where("_root_b IS NULL OR _root_a != _root_b")
-        .select("_bucket", "a", F.col("b").alias("_far"), F.col("d").alias("_x"))
+        .select(F.col("a").alias("_head"), F.col("b").alias("a"), F.col("d").alias("_x"))
     )
-    ball = measured.where("alike").select("_bucket", "a", F.col("b").alias("_near"), F.col("d").alias("_y"))
-    reached = outside.join(ball, ["_bucket", "a"]).where(F.col("_x") - F.col("_y") <= radius)
-    pairs = reached.select(F.least("_near", "_far").alias("a"), F.greatest("_near", "_far").alias("b"))
-    return _compared(pairs.distinct(), texts, sketches, threshold).where("alike").select("a", "b")
-
+    ball = measured.where("alike").select(F.col("a").alias("_head"), "b", F.col("d").alias("_y"))
+    reached = (
+        _sketched(outside, sketches, "a")
+        .join(_sketched(ball, sketches, "b"), "_head")
+        .where((F.col("_x") - F.col("_y") <= radius) & (_bound() <= radius))
+    )
+    pairs = reached.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return _compared(pairs.distinct(), texts, threshold).where("alike").select("a", "b")
 
-def dedup_lines(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    threshold: float = SIMILARITY,
-    carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """``(key, text, n_lines, n_dropped)``: every document without the lines said before.
 
-    Lines are the parts between line feeds, compared without case and outer blanks.
-    Lines that are alike, directly or through others, are one component, and of all
-    its occurrences the one with the smallest id, then line number stays. Lines of
-    fewer than ``MIN_CHARS`` characters are alike only if equal, and those of them
-    without a letter or digit always stay. A document may end up empty;
-    its row stays. Null texts stay null with no lines. Lines under a null id rank
-    after all others and are never dropped, as nothing tells their rows apart; rows
-    that repeat an id and a text are treated as one. Only the columns in ``carry``
-    come along; an empty table gives an empty result.
-    """
+def _dropped(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """``(_id, _row, _dropped)``: the numbers of the lines that go from each document."""
     occurrences = _lines(docs, key, text)
     lines = _distinct_lines(occurrences)
     links = similar_lines(lines, _signed(lines), threshold)
@@ -313,7 +334,32 @@ def dedup_lines(
         .groupBy("_id", "_row")
         .agg(F.collect_set("_at").alias("_dropped"))
     )
-    dropped = materialise(dropped, "dropped-lines")
+    return materialise(dropped, "dropped-lines")
+
+
+def dedup_lines(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: float = SIMILARITY,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(key, text, n_lines, n_dropped)``: every document without the lines said before.
+
+    Lines are the parts between line feeds, compared without case and outer blanks.
+    Lines that are alike, directly or through others, are one component, and of all
+    its occurrences the one with the smallest id, then line number stays. Lines of
+    fewer than ``MIN_CHARS`` characters are alike only if equal, and those of them
+    without a letter or digit always stay. A document may end up empty;
+    its row stays. Null texts stay null with no lines. Lines under a null id rank
+    after all others and are never dropped, as nothing tells their rows apart; rows
+    that repeat an id and a text are treated as one. Only the columns in ``carry``
+    come along; an empty table gives an empty result.
+    """
+    with scratch_scope() as made:
+        dropped = _dropped(docs, key, text, threshold)
+    # the rest has been used up, and a chain of stages needs the disk
+    drop_paths(docs.sparkSession, made[:-1])
     release_shuffles(docs.sparkSession)
     parts = F.split(F.col("_text"), "\n", -1)
     stays = F.filter(parts, lambda _, i: ~F.array_contains("_dropped", i))

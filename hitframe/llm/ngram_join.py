@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitframe.session import scratch_path
+from hitframe.session import drop_paths, release_shuffles, scratch_path, scratch_scope
 from hitframe.sources.stages import materialise
 
 from .common import BLANKS, for_python
@@ -360,7 +360,8 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     beyond it. Those within r (the ball) are connected through the pivot and need no
     more comparison among each other. By the triangle inequality a set at distance x
     can link to a ball member at distance y only if x - y <= r, so only sets up to 2r
-    away are replicated against the ball, each against the window that it can reach.
+    away are compared with the ball members they can reach, once per pivot, and only if
+    the links found otherwise do not connect them to the ball.
     The sets outside the ball are a smaller region: a large one goes on with another
     pivot, a small one, or what is left after the last round, is joined directly. No
     pair is compared twice, and texts are read only for pairs that no bound excludes.
@@ -376,26 +377,29 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     place = F.lit(Decimal(2**63 - 1)) - F.col("id").cast("decimal(20,0)")
     weights = degrees.select("id", (share + place).cast("decimal(31,0)").alias("weight"))
     region = materialise(shared.join(weights, "id").select("token", "id", "n", "weight"), "region")
-    small, done = None, None
+    small, done, near = None, None, None
 
-    def compare(pairs: DataFrame) -> None:
-        """Bound or verify the pairs not seen yet and remember them."""
-        nonlocal done
-        new = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
-        both = _sketched(_sketched(new, sketches, "b"), sketches, "a")
-        bounded = materialise(both.select("a", "b", _bound().alias("bound")), "bounded-pairs")
-        close = bounded.where(F.col("bound") <= radius).select("a", "b")
+    def verify(close: DataFrame) -> DataFrame:
+        """Exact distances of pairs that no bound excludes."""
         exact = _verified(close, docs, shingle).select(
             "a",
             "b",
             (1 - F.col("common") / F.col("whole")).alias("d"),
             (F.col("common") * 100 >= F.col("whole") * percent).alias("linked"),
         )
+        return materialise(exact, "verified-pairs")
+
+    def compare(pairs: DataFrame) -> None:
+        """Bound or verify the pairs not seen yet and remember them."""
+        nonlocal done
+        new = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
+        both = _sketched(_sketched(new, sketches, "b"), sketches, "a")
+        bounded = materialise(both.select("a", "b", _bound().alias("bound")), "bounded-pairs")
+        found = verify(bounded.where(F.col("bound") <= radius).select("a", "b"))
         far = bounded.where(F.col("bound") > radius)
-        found = materialise(exact, "verified-pairs").unionByName(
-            far.select("a", "b", F.col("bound").alias("d"), F.lit(False).alias("linked"))
-        )
+        found = found.unionByName(far.select("a", "b", F.col("bound").alias("d"), F.lit(False).alias("linked")))
         done = found if done is None else done.unionByName(found)
+        release_shuffles(docs.sparkSession)
 
     for _ in range(ROUNDS):
         heads = region.groupBy("token").agg(F.max("weight").alias("_top"))
@@ -407,15 +411,9 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
             done.select(F.col("b").alias("pivot"), F.col("a").alias("id"), "d")
         )
         measured = materialise(members.join(distances, ["pivot", "id"]), "measured")
-        inside, outside = measured.where(F.col("d") <= radius), measured.where(F.col("d") > radius)
-        ball = inside.select("token", F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("d").alias("_db"))
-        edge = (
-            outside.where(F.col("d") <= 2 * radius)
-            .join(ball, "token")
-            .where(_may_link("n", "_nb", percent) & (F.col("d") - F.col("_db") <= radius))
-        )
-        compare(edge.select(*_ordered("id", "b")))
-        left = outside.select(*region.columns)
+        around = measured.where(F.col("d") <= 2 * radius).select("pivot", "id", "d")
+        near = around if near is None else near.unionByName(around)
+        left = measured.where(F.col("d") > radius).select(*region.columns)
         large = left.groupBy("token").count().where(F.col("count") > LARGE).select("token")
         direct = left.join(large, "token", "left_anti")
         small = direct if small is None else small.unionByName(direct)
@@ -427,7 +425,31 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     one = _sketched(rest.withColumnRenamed("id", "a"), sketches, "a")
     two = _sketched(rest.withColumnRenamed("id", "b"), sketches, "b")
     compare(one.join(two, "token").where((F.col("a") < F.col("b")) & (_bound() <= radius)).select("a", "b"))
-    return done.where("linked").select("a", "b")
+    links = materialise(done.where("linked").select("a", "b"), "set-links")
+    edge = _reached(materialise(near.distinct(), "pivot-distances"), links, sketches, radius)
+    return links.unionByName(verify(edge.join(done, ["a", "b"], "left_anti")).where("linked").select("a", "b"))
+
+
+def _reached(near: DataFrame, links: DataFrame, sketches: DataFrame, radius: float) -> DataFrame:
+    """Pairs ``(a, b)`` of a set beyond a pivot's ball and a ball member that may link.
+
+    A pivot has one ball, whatever tokens it was met by. What the links connect to the
+    ball already needs no comparison with it, and the bounds are part of the join.
+    """
+    roots = components(links)
+    root = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"_root_{side}"))
+    outside = (
+        near.where(F.col("d") > radius)
+        .join(root("pivot"), "pivot")  # a pivot without a link has no ball
+        .join(root("id"), "id", "left")
+        .where("_root_id IS NULL OR _root_id != _root_pivot")
+        .select("pivot", F.col("id").alias("a"), F.col("d").alias("_x"))
+    )
+    ball = near.where(F.col("d") <= radius).select("pivot", F.col("id").alias("b"), F.col("d").alias("_y"))
+    met = _sketched(outside, sketches, "a").join(_sketched(ball, sketches, "b"), "pivot")
+    # sets of too unlike sizes are beyond the bound as well
+    met = met.where((F.col("_x") - F.col("_y") <= radius) & (_bound() <= radius))
+    return met.select(*_ordered("a", "b")).distinct()
 
 
 def jaccard_components(
@@ -447,20 +469,27 @@ def jaccard_components(
     for linking, the one with its links merged. Other columns are not read; an empty
     table gives an empty result.
     """
-    for_python(docs.sparkSession)
+    spark = docs.sparkSession
+    for_python(spark)
     texts = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
     digests = materialise(_digests(texts, shingle), "shingle-digests")
-    order = _order(docs.sparkSession, digests)
+    order = _order(spark, digests)
     rows = digests.where("place IS NULL").select("_id", "n", "digest")
     sets = rows.where("n > 0").groupBy("digest").agg(F.min("_id").alias("_first"))
     known = texts.where("_id IS NOT NULL")
-    shared = materialise(_shared(_postings(known, order, shingle, percent)), "shared-tokens")
-    # only these texts are ever compared
-    candidates, name = _by_id(
-        known.join(shared.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi")
-    )
-    roots = components(_links(shared, candidates, shingle, percent))
-    docs.sparkSession.sql(f"DROP TABLE {name}")  # the entry; the files are scratch
+    with scratch_scope() as made:
+        shared = materialise(_shared(_postings(known, order, shingle, percent)), "shared-tokens")
+        release_shuffles(spark)
+        # only these texts are ever compared
+        candidates, name = _by_id(
+            known.join(shared.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi")
+        )
+        release_shuffles(spark)
+        roots = components(_links(shared, candidates, shingle, percent))
+        spark.sql(f"DROP TABLE {name}")  # the entry; the files are scratch
+    # all but the roots has been used up, and a chain of stages needs the disk
+    drop_paths(spark, made[:-1])
+    release_shuffles(spark)
     classes = sets.join(roots.withColumnRenamed("id", "_first"), "_first", "left").select(
         "digest", F.coalesce("root", "_first").alias("_component")
     )

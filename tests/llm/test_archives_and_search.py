@@ -180,6 +180,17 @@ def test_pipeline_stages_one_after_another(spark):
     assert len(kept) > 100
 
 
+def test_texts_stay_in_place_for_a_few_removed_keys(spark):
+    """Also where the list of keys cannot be told to be short from its plan."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.range(100).selectExpr("id AS doc_id", "repeat('x', 9) AS text")
+    gone = spark.range(10**7).where("id % 1000000 = 7").withColumnRenamed("id", "doc_id")
+    out = pipeline._without(docs, gone)
+    assert out.count() == 99 and out.where("doc_id = 7").isEmpty()
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pipeline_stages_keep_odd_rows(spark):
     """No ids, repeated ids, empty texts and columns of clashing names; then nothing at all."""
     import corpus_pipeline as pipeline

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hitframe.llm import exact_dedup, line_dedup, ngram_join
 from hitframe.llm.components import components
+from hitframe.session import scratch_mark
 
 DOC = "doc_id long, text string, source string, _id string, n long"
 
@@ -192,6 +193,27 @@ def test_unlike_lines_of_one_bucket_take_few_rounds(spark, monkeypatch):
     assert len(rounds) <= 5
 
 
+def test_pairs_that_sketches_rule_out_leave_no_join(spark, monkeypatch):
+    rnd = random.Random(2)
+    lines = ["".join(rnd.choice("abcdefghij ") for _ in range(60)) for _ in range(50)]
+    rows = [(n, line, [7]) for n, line in enumerate(lines)] + [(99, lines[30], [7])]
+    sizes, plain = [], line_dedup._compared
+    monkeypatch.setattr(line_dedup, "_compared", lambda *args: (sizes.append(args[0].count()), plain(*args))[1])
+    df = spark.createDataFrame(rows, "_n long, _line string, _bands array<long>")
+    assert [(r.a, r.b) for r in line_dedup.similar_lines(df, df, 0.8).collect()] == [(30, 99)]
+    assert sum(sizes) == 1
+
+
+def test_only_what_the_result_reads_stays_in_scratch(spark):
+    line = "a line that is long enough to count, and a bit longer than that"
+    rows = docs(spark, [(1, line), (2, line + " x"), (3, line)])
+    mark = scratch_mark(spark)
+    assert line_dedup.dedup_lines(rows).where("n_dropped > 0").count() == 2
+    assert scratch_mark(spark) == mark + 1
+    assert ngram_join.jaccard_components(rows).where("component_id = 1").count() >= 2
+    assert scratch_mark(spark) == mark + 3
+
+
 def test_short_lines_are_matched_as_they_are(spark):
     rows = [(1, "Share this\n--\n\nown line of one"), (2, " share THIS \n--\n\nown line of two"), (3, "share thus\n--")]
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(spark, rows)).collect()}

@@ -21,10 +21,10 @@ MIN_CHARS = 20
 # places of a line that are cut out in one go
 PIECE = 48
 # 64-bit words of a line's sketch
-SKETCH_WORDS = 8
+SKETCH_WORDS = 16
 # places that are signed in one row
 STEP = 4
-# heads of a bucket in each round grow by this factor
+# the heads of a bucket are as many times more in each round
 GROWTH = 4
 
 
@@ -64,10 +64,15 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(F.flatten(each))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Exact Jaccard index of two arrays without repeats."""
-    common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
+def _with_index(pairs: DataFrame, a: str, b: str, index: str) -> DataFrame:
+    """With the exact Jaccard index of two lines.
+
+    The steps are columns of their own, so that each is taken once.
+    """
+    sets = pairs.withColumns({"_set_a": shingles(F.col(a)), "_set_b": shingles(F.col(b))})
+    common = F.size(F.array_intersect("_set_a", "_set_b")).alias("_common")
+    sizes = sets.select(*pairs.columns, common, (F.size("_set_a") + F.size("_set_b")).alias("_both"))
+    return sizes.select(*pairs.columns, (F.col("_common") / (F.col("_both") - F.col("_common"))).alias(index))
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -198,14 +203,11 @@ def _bound() -> Column:
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, d, alike)`` of distinct pairs, by the exact Jaccard distance of the lines."""
+    """``(a, b, alike)`` of distinct pairs, by the exact Jaccard index of the lines."""
     text = lambda side: texts.select(F.col("_n").alias(side), F.col("_line").alias(f"_{side}"))
     both = pairs.join(text("b"), "b").join(text("a"), "a")
-    found = both.select("a", "b", similarity(shingles(F.col("_a")), shingles(F.col("_b"))).alias("_s"))
-    return materialise(
-        found.select("a", "b", (1 - F.col("_s")).alias("d"), (F.col("_s") >= threshold).alias("alike")),
-        "compared-lines",
-    )
+    found = _with_index(both, "_a", "_b", "_index")
+    return materialise(found.select("a", "b", (F.col("_index") >= threshold).alias("alike")), "compared-lines")
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -217,15 +219,15 @@ def _shared(members: DataFrame) -> DataFrame:
 def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     """Links ``(a, b)`` between distinct lines: enough to connect all that are connected.
 
-    The lines that share a band's hash are compared with the first of them, the heads;
-    those unlike all heads go on to be compared with the first that are left, four times
-    as many in each round, until every bucket is used up: a bucket of m unlike lines
-    takes some log m rounds. The lines like a head (its ball) are connected through it.
-    By the triangle inequality a line at distance x from the head can be like a ball
-    member at distance y only if x - y <= r, so lines up to 2r away are compared with
-    the members they can reach, unless other links connect them to the ball already.
-    Every pair that shares a band is thus compared, ruled out or connected. The sketches
-    are in the joins, so that only pairs that they do not rule out leave them.
+    The lines that share a band's hash are compared with a few of them, the heads, four
+    times as many in each round. What a head has been compared with needs it no more, so
+    heads leave their buckets; and what the links of all buckets connect needs no
+    comparison, so a bucket of which the lines are all connected is done. Lines without a
+    link are the first heads: those beside a large group are compared with its members,
+    not the members with each other. A bucket of m lines takes some log m rounds at most.
+    Every pair that shares a band is thus compared, ruled out by the sketches or
+    connected. The sketches are in the joins, so that only pairs that they do not rule
+    out leave them.
     """
     with scratch_scope() as made:
         links = _similar(lines, bands, threshold)
@@ -238,77 +240,53 @@ def _similar(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     radius = 1 - threshold + 1e-9
     spark = lines.sparkSession
     buckets = bands.select(F.explode("_bands").alias("_bucket"), F.col("_n").alias("b")).distinct()
-    members = materialise(_shared(buckets), "band-members")
+    narrow = materialise(_shared(buckets), "band-members")
     # only these texts are ever compared, in buckets of their number
-    wanted = lines.select("_n", "_line").join(members.select(F.col("b").alias("_n")).distinct(), "_n", "left_semi")
+    wanted = lines.select("_n", "_line").join(narrow.select(F.col("b").alias("_n")).distinct(), "_n", "left_semi")
     path = scratch_path(spark, "compared-texts")
     texts = write_bucketed(wanted, path, ["_n"], _buckets_of(spark), compression="zstd")
     sketches = _sketches(texts)
+    with scratch_scope() as written:
+        members = materialise(
+            _sketched(narrow, sketches, "b").withColumn("_root_b", F.lit(None).cast("long")), "sketched-members"
+        )
     release_shuffles(spark)
-    measured = known = None
+    links = bands.select(F.col("_n").alias("a"), F.col("_n").alias("b")).limit(0)
+    unlike = links
     heads_each = 1
     while not members.isEmpty():
-        first = F.row_number().over(Window.partitionBy("_bucket").orderBy("b"))
-        heads = members.withColumn("_at", first).where(F.col("_at") <= heads_each).select("_bucket", F.col("b").alias("a"))
-        heads = materialise(heads, "band-heads")
-        # heads come first in their bucket, so this also takes each pair of heads once
-        met = _sketched(members, sketches, "b").join(_sketched(heads, sketches, "a"), "_bucket")
-        near = met.where((F.col("a") < F.col("b")) & (_bound() <= 2 * radius))
-        pairs = materialise(near.select("_bucket", "a", "b", _bound().alias("_least")), "band-pairs")
-        new = pairs.where(F.col("_least") <= radius).select("a", "b").distinct()
-        if known is not None:
-            new = new.join(known, ["a", "b"], "left_anti")
-        compared = _compared(new, texts, threshold)
-        known = compared if known is None else known.unionByName(compared)
-        found = pairs.join(known, ["a", "b"], "left").select(
-            "_bucket",
-            "a",
-            "b",
-            F.coalesce("d", "_least").alias("d"),
-            F.coalesce("alike", F.lit(False)).alias("alike"),
-        )
-        found = materialise(found, "measured-lines")
-        measured = found if measured is None else measured.unionByName(found)
-        used = found.where("alike").select("_bucket", "b").unionByName(heads.select("_bucket", F.col("a").alias("b")))
-        members = materialise(_shared(members.join(used, ["_bucket", "b"], "left_anti")), "band-members")
+        with scratch_scope() as made:
+            first = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col("_root_b").isNotNull(), "b"))
+            heads = materialise(members.withColumn("_at", first).where(F.col("_at") <= heads_each).drop("_at"), "band-heads")
+            compared = _compared(_unconnected(members, heads, radius).join(unlike, ["a", "b"], "left_anti"), texts, threshold)
+            keep = made[-1]
+            links = links.unionByName(compared.where("alike").select("a", "b"))
+            unlike = unlike.unionByName(compared.where("NOT alike").select("a", "b"))
+            members = _left(members, heads, components(links))
+        drop_paths(spark, [*written, *(p for p in made[:-1] if p != keep)])
+        written = made[-1:]
         heads_each *= GROWTH
         release_shuffles(spark)
-    if measured is None:
-        return materialise(bands.select(F.col("_n").alias("a"), F.col("_n").alias("b")).limit(0), "line-links")
-    measured = materialise(measured.where(F.col("d") <= 2 * radius).select("a", "b", "d", "alike").distinct(), "line-distances")
-    links = measured.where("alike").select("a", "b")
-    more = _links_to_balls(measured, links, texts, sketches, threshold, radius)
-    return materialise(links.unionByName(more), "line-links")
-
-
-def _links_to_balls(
-    measured: DataFrame,
-    links: DataFrame,
-    texts: DataFrame,
-    sketches: DataFrame,
-    threshold: float,
-    radius: float,
-) -> DataFrame:
-    """Links between the lines outside a ball and its members that ``links`` lacks.
-
-    A head has one ball, whichever buckets it was met in."""
-    roots = components(links)
-    root = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"_root_{side}"))
-    outside = (
-        measured.where("NOT alike")
-        .join(root("a"), "a")  # a head without a link has no ball
-        .join(root("b"), "b", "left")
-        .where("_root_b IS NULL OR _root_a != _root_b")
-        .select(F.col("a").alias("_head"), F.col("b").alias("a"), F.col("d").alias("_x"))
-    )
-    ball = measured.where("alike").select(F.col("a").alias("_head"), "b", F.col("d").alias("_y"))
-    reached = (
-        _sketched(outside, sketches, "a")
-        .join(_sketched(ball, sketches, "b"), "_head")
-        .where((F.col("_x") - F.col("_y") <= radius) & (_bound() <= radius))
+    return materialise(links, "line-links")
+
+
+def _unconnected(members: DataFrame, heads: DataFrame, radius: float) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of a head and a line of its bucket that may be alike and
+    that no links connect."""
+    other = heads.select("_bucket", *[F.col(c).alias(c[:-1] + "a") for c in heads.columns if c != "_bucket"])
+    met = members.join(other, "_bucket").where(
+        (F.coalesce("_root_a", "a") != F.coalesce("_root_b", "b")) & (_bound() <= radius)
     )
-    pairs = reached.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return _compared(pairs.distinct(), texts, threshold).where("alike").select("a", "b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _left(members: DataFrame, heads: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members that have not been heads, in buckets that hold lines not connected yet."""
+    rest = members.drop("_root_b").join(heads.select("_bucket", "b"), ["_bucket", "b"], "left_anti")
+    rest = rest.join(roots.select(F.col("id").alias("b"), F.col("root").alias("_root_b")), "b", "left")
+    root = F.coalesce("_root_b", "b")
+    several = rest.groupBy("_bucket").agg(F.min(root).alias("_least"), F.max(root).alias("_most")).where("_least < _most")
+    return materialise(rest.join(several.select("_bucket"), "_bucket"), "sketched-members")
 
 
 def _dropped(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:

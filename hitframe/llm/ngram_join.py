@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitframe.session import drop_paths, release_shuffles, scratch_path, scratch_scope
-from hitframe.sources.stages import materialise
+from hitframe.sources.stages import materialise, write_bucketed
 
 from .common import BLANKS, for_python
 from .components import components
@@ -26,8 +26,10 @@ ROUNDS = 4
 LARGE = 64
 # bytes of a word that is hashed with the others
 SHORT_WORD = 64
-# 64-bit words of a set's parity sketch
+# 64-bit words of a set's short parity sketch
 SKETCH_WORDS = 8
+# a long sketch has so many bits for each shingle at least
+BITS_EACH = 2
 
 
 def _number(name: str, i: int) -> int:
@@ -249,11 +251,17 @@ def _shared(postings: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "token long, id long, n long")
 
 
+def _long_sketch_bits(n: int) -> int:
+    """A power of two, so that the sketch of a set folds to that of a smaller one."""
+    return max(64 * SKETCH_WORDS, 1 << (BITS_EACH * n - 1).bit_length())
+
+
 def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(id, n, s0, s1, ...)``: size and parity sketch of each set.
+    """``(id, n, s0, s1, ..., long)``: size and parity sketches of each set.
 
     Every shingle flips one of the bits. Two sketches differ in no more bits than
-    the sets have unshared shingles, which bounds their distance from below.
+    the sets have unshared shingles, which bounds their distance from below. The
+    short sketch has few bits for all sets alike, the long one grows with the set.
     """
     names = [f"s{i}" for i in range(SKETCH_WORDS)]
 
@@ -261,24 +269,56 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        bits = 64 * SKETCH_WORDS
+        def flipped(s, bits: int):
+            flips = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+            return np.packbits(flips.astype(np.uint8))
+
         for batch in batches:
             rows = np.zeros((batch.num_rows, SKETCH_WORDS), np.int64)
-            sizes = []
+            sizes, long = [], []
             for at, text in enumerate(batch.column(1).to_pylist()):
                 s = shingle_set(text, shingle)
-                flips = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-                rows[at] = np.packbits(flips.astype(np.uint8)).view(np.int64)
+                rows[at] = flipped(s, 64 * SKETCH_WORDS).view(np.int64)
                 sizes.append(len(s))
+                long.append(flipped(s, _long_sketch_bits(len(s))).tobytes())
             words = [pa.array(rows[:, i].copy()) for i in range(SKETCH_WORDS)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), *words], names=["id", "n", *names]
+                [batch.column(0), pa.array(sizes, pa.int64()), *words, pa.array(long, pa.binary())],
+                names=["id", "n", *names, "long"],
             )
 
-    schema = "id long, n long, " + ", ".join(f"{x} long" for x in names)
+    schema = "id long, n long, " + ", ".join(f"{x} long" for x in names) + ", long binary"
     return docs.select("_id", "_text").mapInArrow(run, schema)
 
 
+def unshared(a: bytes, b: bytes) -> int:
+    """How many shingles, at least, only one of the sets of two long sketches has."""
+    import numpy as np
+
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    folded = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ folded).sum())
+
+
+def _far(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``(a, b, bound)`` of pairs: a distance they have at least, by the long sketches."""
+    side = lambda x: sketches.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("long").alias(f"long_{x}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "long_a", "long_b")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            sizes = [batch.column(i).to_numpy() for i in (2, 3)]
+            long = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+            only = np.maximum(np.array([unshared(a, b) for a, b in long], np.int64), np.abs(sizes[0] - sizes[1]))
+            bound = 2 * only / (sizes[0] + sizes[1] + only)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bound, pa.float64())], names=["a", "b", "bound"])
+
+    return both.mapInArrow(run, "a long, b long, bound double")
+
+
 def _sketched(rows: DataFrame, sketches: DataFrame, side: str) -> DataFrame:
     """Rows with the size and the sketch of the set in the column ``side``."""
     words = [F.col(f"s{i}").alias(f"_{side}{i}") for i in range(SKETCH_WORDS)]
@@ -294,6 +334,10 @@ def _bound() -> Column:
     return 2 * unshared / (F.col("_na") + F.col("_nb") + unshared)
 
 
+def _buckets_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _by_id(docs: DataFrame) -> tuple[DataFrame, str]:
     """The texts as a table bucketed by id, and its name.
 
@@ -303,7 +347,7 @@ def _by_id(docs: DataFrame) -> tuple[DataFrame, str]:
     spark = docs.sparkSession
     path = scratch_path(spark, "candidates")
     name = "candidates_" + path.rsplit("-", 1)[1]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets_of(spark)
     writer = docs.repartition(buckets, "_id").write.bucketBy(buckets, "_id").sortBy("_id")
     writer.option("path", path).saveAsTable(name)
     return spark.table(name), name
@@ -368,7 +412,10 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     """
     # distances of small whole numbers differ by far more than this allowance
     radius = (100 - percent) / 100 + 1e-9
-    sketches = materialise(_sketches(docs, shingle), "sketches")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "sketches")
+    # in buckets like the texts, so that they go to the pairs without being moved
+    sketches = write_bucketed(_sketches(docs, shingle), path, ["id"], _buckets_of(spark), placed=True)
     degrees = shared.groupBy("id").agg(F.count(F.lit(1)).alias("_shared"), F.max("n").alias("_n"))
     prefix = F.col("_n") - F.ceil(F.col("_n") * percent / 100) + 1
     # the share of shared tokens, then the smallest id, in one decimal that hash
@@ -379,15 +426,20 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
     region = materialise(shared.join(weights, "id").select("token", "id", "n", "weight"), "region")
     small, done, near = None, None, None
 
+    def unlinked(bounded: DataFrame) -> DataFrame:
+        far = bounded.where(F.col("bound") > radius)
+        return far.select("a", "b", F.col("bound").alias("d"), F.lit(False).alias("linked"))
+
     def verify(close: DataFrame) -> DataFrame:
-        """Exact distances of pairs that no bound excludes."""
-        exact = _verified(close, docs, shingle).select(
+        """Distances of pairs: exact for those that the long sketches do not rule out."""
+        bounded = materialise(_far(close, sketches), "bounded-pairs")
+        exact = _verified(bounded.where(F.col("bound") <= radius).select("a", "b"), docs, shingle).select(
             "a",
             "b",
             (1 - F.col("common") / F.col("whole")).alias("d"),
             (F.col("common") * 100 >= F.col("whole") * percent).alias("linked"),
         )
-        return materialise(exact, "verified-pairs")
+        return materialise(exact.unionByName(unlinked(bounded)), "verified-pairs")
 
     def compare(pairs: DataFrame) -> None:
         """Bound or verify the pairs not seen yet and remember them."""
@@ -395,9 +447,7 @@ def _links(shared: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
         new = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
         both = _sketched(_sketched(new, sketches, "b"), sketches, "a")
         bounded = materialise(both.select("a", "b", _bound().alias("bound")), "bounded-pairs")
-        found = verify(bounded.where(F.col("bound") <= radius).select("a", "b"))
-        far = bounded.where(F.col("bound") > radius)
-        found = found.unionByName(far.select("a", "b", F.col("bound").alias("d"), F.lit(False).alias("linked")))
+        found = verify(bounded.where(F.col("bound") <= radius).select("a", "b")).unionByName(unlinked(bounded))
         done = found if done is None else done.unionByName(found)
         release_shuffles(docs.sparkSession)
 

@@ -221,8 +221,8 @@ def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataF
 
     The lines that share a band's hash are compared with a few of them, the heads, four
     times as many in each round. What a head has been compared with needs it no more, so
-    heads leave their buckets; and what the links of all buckets connect needs no
-    comparison, so a bucket of which the lines are all connected is done. Lines without a
+    heads leave their buckets; and what the links of all buckets are seen to connect needs
+    no comparison, so a bucket of which the lines are all connected is done. Lines without a
     link are the first heads: those beside a large group are compared with its members,
     not the members with each other. A bucket of m lines takes some log m rounds at most.
     Every pair that shares a band is thus compared, ruled out by the sketches or
@@ -253,6 +253,7 @@ def _similar(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     release_shuffles(spark)
     links = bands.select(F.col("_n").alias("a"), F.col("_n").alias("b")).limit(0)
     unlike = links
+    labels = None
     heads_each = 1
     while not members.isEmpty():
         with scratch_scope() as made:
@@ -262,9 +263,10 @@ def _similar(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
             keep = made[-1]
             links = links.unionByName(compared.where("alike").select("a", "b"))
             unlike = unlike.unionByName(compared.where("NOT alike").select("a", "b"))
-            members = _left(members, heads, components(links))
-        drop_paths(spark, [*written, *(p for p in made[:-1] if p != keep)])
-        written = made[-1:]
+            labels = _labels(links, labels)
+            members = _left(members, heads, labels)
+        drop_paths(spark, [*written, *(p for p in made[:-2] if p != keep)])
+        written = made[-2:]
         heads_each *= GROWTH
         release_shuffles(spark)
     return materialise(links, "line-links")
@@ -280,8 +282,25 @@ def _unconnected(members: DataFrame, heads: DataFrame, radius: float) -> DataFra
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _labels(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``(id, root)``: lines of one root are connected, though some connected ones differ.
+
+    One step of ``components`` from the labels of the last round: the smallest label
+    around, then the label of that.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if labels is not None:
+        known = labels.select(F.col("id").alias("b"), "root")
+        both = both.join(known, "b", "left").select("a", F.coalesce("root", "b").alias("b"))
+    taken = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("_offer"))
+    taken = taken.select("id", F.least("id", "_offer").alias("root"))
+    onward = taken.select(F.col("id").alias("root"), F.col("root").alias("_next"))
+    jumped = taken.join(onward, "root", "left").select("id", F.least("root", "_next").alias("root"))
+    return materialise(jumped, "line-labels")
+
+
 def _left(members: DataFrame, heads: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members that have not been heads, in buckets that hold lines not connected yet."""
+    """The members that have not been heads, in buckets that hold lines not known to be connected."""
     rest = members.drop("_root_b").join(heads.select("_bucket", "b"), ["_bucket", "b"], "left_anti")
     rest = rest.join(roots.select(F.col("id").alias("b"), F.col("root").alias("_root_b")), "b", "left")
     root = F.coalesce("_root_b", "b")

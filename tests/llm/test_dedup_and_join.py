@@ -204,6 +204,25 @@ def test_pairs_that_sketches_rule_out_leave_no_join(spark, monkeypatch):
     assert sum(sizes) == 1
 
 
+def test_what_links_connect_is_not_compared(spark, monkeypatch):
+    """A ring of copies, each unlike most others, beside one line that none is like."""
+    rnd = random.Random(8)
+    ring = "".join(rnd.choice("abcdefghij ") for _ in range(1000))
+    ring += ring
+    lines = [ring[25 * i : 25 * i + 600] for i in range(40)] + ["".join(rnd.choice("klmnop") for _ in range(600))]
+    pairs, plain = [], line_dedup._compared
+
+    def compared(*args):
+        pairs.extend((r.a, r.b) for r in args[0].collect())
+        return plain(*args)
+
+    monkeypatch.setattr(line_dedup, "_compared", compared)
+    df = spark.createDataFrame([(n, line, [7, 8, 9]) for n, line in enumerate(lines)], "_n long, _line string, _bands array<long>")
+    links = [(r.a, r.b) for r in line_dedup.similar_lines(df, df, 0.8).collect()]
+    assert {*union_find(range(41), links).values()} == {0, 40}
+    assert len(pairs) == len({*pairs}) < 41 * 40 / 4
+
+
 def test_only_what_the_result_reads_stays_in_scratch(spark):
     line = "a line that is long enough to count, and a bit longer than that"
     rows = docs(spark, [(1, line), (2, line + " x"), (3, line)])
@@ -314,6 +333,37 @@ def test_unequal_words_have_unequal_hashes():
     assert len(ngram_join.word_hashes("")) == len(ngram_join.word_hashes(" \n")) == 0
 
 
+def test_long_sketches_bound_the_unshared_shingles():
+    """Also of sets of unlike sizes; the short sketches cannot tell large sets apart."""
+    import numpy as np
+
+    rnd = random.Random(7)
+    words = [f"w{rnd.randrange(10**9)}" for _ in range(6000)]
+    a, b = ngram_join.shingle_set(" ".join(words[:5000])), ngram_join.shingle_set(" ".join(words[1000:]))
+    for x, y in ((a, b), (a, b[:900]), (a, a), (a[:3], b)):
+        sketches = []
+        for s in (x, y):
+            bits = ngram_join._long_sketch_bits(len(s))
+            flips = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+            sketches.append(np.packbits(flips.astype(np.uint8)).tobytes())
+        only = len(np.setxor1d(x, y))
+        assert only * (0 if len(x) != len(y) else 0.7) <= ngram_join.unshared(*sketches) <= only
+
+
+def test_only_likely_links_move_texts(spark, monkeypatch):
+    """Long texts with too many words of their own for the short sketches."""
+    rnd = random.Random(3)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**9)}" for _ in range(n))
+    shared = words(2400)
+    rows = [(i, f"{shared} {words(500)}") for i in range(12)]
+    rows.append((99, rows[4][1] + " end"))
+    moved, plain = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda *args: (moved.append(args[0].count()), plain(*args))[1])
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs(spark, rows)).collect()}
+    assert got == {i: 4 if i == 99 else i for i, _ in rows}
+    assert sum(moved) == 1
+
+
 def test_thue_morse_words_do_not_link(spark):
     thue = "a"
     while len(thue) < 1024:

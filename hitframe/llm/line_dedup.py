@@ -18,39 +18,44 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 # shorter lines have too few shingles to resemble each other and are matched as they are
 MIN_CHARS = 20
-# places of a line that are cut out in one go
-PIECE = 48
 # 64-bit words of a line's sketch
 SKETCH_WORDS = 16
-# places that are signed in one row
-STEP = 4
+# places of a line that are cut out in one go
+PIECE = 16
+# places that are hashed in one row
+STEP = 8
+# two bytes for each character of the first plane
+CODE = "UTF-16BE"
 # the heads of a bucket are as many times more in each round
 GROWTH = 4
 
 
-def _number(name: str) -> int:
-    """A fixed 64-bit number."""
-    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big", signed=True)
+def _number(row: int) -> int:
+    """A fixed number for a row of each band.
+
+    The bits that tell the bands are left out; the next ones count the rows, so that their
+    numbers are spread evenly over the hashes of a band.
+    """
+    low = 64 - (BANDS - 1).bit_length() - (ROWS - 1).bit_length()
+    rest = int.from_bytes(hashlib.blake2b(f"row {row}".encode(), digest_size=8).digest(), "big")
+    return (row << low) | (rest & ((1 << low) - 1))
 
 
-def normal_line(line: Column) -> Column:
-    return F.lower(F.trim(line))
+def _ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.char_length(text)
 
 
 def _pieces(line: Column) -> Column:
     """The line in overlapping pieces that hold each of its shingles once.
 
     The place of a character is counted from the start of its text, so shingles are cut
-    from short pieces: the work grows with the line and not with its square.
+    from short pieces, which one pass finds: the work grows with the line and not with its
+    square.
     """
-    # a piece holds the shingles at PIECE places
-    last = F.greatest(F.char_length(line) - SHINGLE, F.lit(0))
-    starts = F.sequence(F.lit(1), last + 1, F.lit(PIECE))
-    return F.transform(starts, lambda i: F.substring(line, i, F.lit(PIECE + SHINGLE - 1)))
-
-
-def _places(piece: Column) -> Column:
-    return F.sequence(F.lit(1), F.greatest(F.char_length(piece) - (SHINGLE - 1), F.lit(1)))
+    # as many characters are passed over as the piece has shingles
+    places = F.lit(f"(?s)(?=(.{{{SHINGLE},{PIECE + SHINGLE - 1}}})).{{1,{PIECE}}}")
+    found = F.regexp_extract_all(line, places, F.lit(1))
+    return F.when(F.char_length(line) < SHINGLE, F.array(line)).otherwise(found)
 
 
 def _hashed(piece: Column, at: Column) -> Column:
@@ -58,10 +63,19 @@ def _hashed(piece: Column, at: Column) -> Column:
     return F.xxhash64(F.substring(piece, at, F.lit(SHINGLE)))
 
 
+def _last(length: Column) -> Column:
+    return F.greatest(length - (SHINGLE - 1), F.lit(1))
+
+
 def shingles(line: Column) -> Column:
-    """Distinct 64-bit hashes of the shingles at every place."""
-    each = F.transform(_pieces(line), lambda p: F.transform(_places(p), lambda at: _hashed(p, at)))
-    return F.array_distinct(F.flatten(each))
+    """Distinct 64-bit hashes of the shingles at every place.
+
+    Bytes are cut at any place at once, so an ASCII line needs no pieces.
+    """
+    each = lambda p, n: F.transform(F.sequence(F.lit(1), _last(n)), lambda at: _hashed(p, at))
+    in_bytes = F.transform(F.array(line.cast("binary")), lambda p: each(p, F.octet_length(p)))
+    in_text = F.transform(_pieces(line), lambda p: each(p, F.char_length(p)))
+    return F.array_distinct(F.flatten(F.when(_ascii(line), in_bytes).otherwise(in_text)))
 
 
 def _with_index(pairs: DataFrame, a: str, b: str, index: str) -> DataFrame:
@@ -70,9 +84,9 @@ def _with_index(pairs: DataFrame, a: str, b: str, index: str) -> DataFrame:
     The steps are columns of their own, so that each is taken once.
     """
     sets = pairs.withColumns({"_set_a": shingles(F.col(a)), "_set_b": shingles(F.col(b))})
-    common = F.size(F.array_intersect("_set_a", "_set_b")).alias("_common")
-    sizes = sets.select(*pairs.columns, common, (F.size("_set_a") + F.size("_set_b")).alias("_both"))
-    return sizes.select(*pairs.columns, (F.col("_common") / (F.col("_both") - F.col("_common"))).alias(index))
+    only = F.size(F.array_except("_set_a", "_set_b")).alias("_only")
+    sizes = sets.select(*pairs.columns, only, F.size("_set_a").alias("_in_a"), F.size("_set_b").alias("_in_b"))
+    return sizes.select(*pairs.columns, ((F.col("_in_a") - F.col("_only")) / (F.col("_in_b") + F.col("_only"))).alias(index))
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -85,14 +99,15 @@ def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
         "CAST(CAST(coalesce(_id, 9223372036854775807) AS DECIMAL(19,0)) * CAST(10000000000 AS DECIMAL(11,0))"
         " + CAST(_at AS DECIMAL(10,0)) AS DECIMAL(31,0))"
     )
+    # lower case of the whole text, as a filter below would have it taken again for each line
     rows = docs.select(
         F.col(key).alias("_id"),
         F.xxhash64(text).alias("_row"),
-        F.posexplode(F.split(F.col(text), "\n", -1)).alias("_at", "_line"),
+        F.posexplode(F.split(F.lower(text), "\n", -1)).alias("_at", "_line"),
     )
     says = (F.char_length("_line") >= MIN_CHARS) | F.col("_line").rlike(r"[\p{L}\p{N}]")
     return (
-        rows.withColumn("_line", normal_line(F.col("_line")))
+        rows.withColumn("_line", F.trim("_line"))
         .where(says)
         .select("_id", "_row", "_at", place.alias("_place"), "_line", F.unhex(F.md5("_line")).alias("_digest"))
     )
@@ -103,83 +118,93 @@ def _buckets_of(spark) -> int:
 
 
 def _distinct_lines(lines: DataFrame) -> DataFrame:
-    """``(_digest, _line, _times, _place, _n)``: each line once, with its first place.
+    """``(_part, _digest, _line, _times, _place, _n)``: each line once, with its first place.
 
-    The one shuffle of the texts. They are written in buckets of the digest, so what
-    goes by line afterwards needs no other; the shuffle itself can go.
+    The one shuffle of the texts. They are written in buckets of a number that follows
+    from the digest, so what goes by line afterwards needs no other; the shuffle itself
+    can go.
     """
     spark = lines.sparkSession
     n = _buckets_of(spark)
-    distinct = lines.repartition(n, "_digest").groupBy("_digest", "_line").agg(
+    dealt = lines.withColumn("_part", F.xxhash64("_digest")).repartition(n, "_part")
+    distinct = dealt.groupBy("_part", "_digest", "_line").agg(
         F.count(F.lit(1)).alias("_times"), F.min("_place").alias("_place")
     )
     numbered = distinct.withColumn("_n", F.monotonically_increasing_id())
-    table = write_bucketed(numbered, scratch_path(spark, "distinct-lines"), ["_digest"], n, True, "zstd")
+    table = write_bucketed(numbered, scratch_path(spark, "distinct-lines"), ["_part"], n, True, "zstd")
     release_shuffles(spark)
     return table
 
 
+def _flat(text: Column, coded: Column) -> Column:
+    """Whether each character of the text takes two bytes of its code."""
+    return F.octet_length(coded) == 2 * F.char_length(text)
+
+
 def _hashes(lines: DataFrame, *keys: str) -> DataFrame:
     """``keys + [_h0, _h1, ...]``: hashes of the shingles at ``STEP`` places after each other.
 
     Together the rows hold the shingle at every place of the lines; the last place fills
-    up the last row. Bytes are cut at any place at once, so ASCII lines are one piece;
-    in other pieces the characters are counted.
+    up the last row. Shingles are hashed in a code of which any place can be cut at once;
+    only where a character takes more of it, the characters of pieces are counted.
     """
-    line = F.col("_line")
-    ascii = lambda text: F.octet_length(text) == F.char_length(text)
-    pieces = lines.select(*keys, F.explode(F.when(ascii(line), F.array(line)).otherwise(_pieces(line))).alias("_piece"))
-    cut = pieces.select(
-        *keys,
-        "_piece",
-        F.col("_piece").cast("binary").alias("_bytes"),
-        ascii(F.col("_piece")).alias("_ascii"),
-        F.greatest(F.char_length("_piece") - (SHINGLE - 1), F.lit(1)).alias("_last"),
+    line, piece = F.col("_line"), F.col("_piece")
+    whole = _ascii(line) | _flat(line, F.encode(line, CODE))
+    pieces = lines.select(*keys, F.explode(F.when(whole, F.array(line)).otherwise(_pieces(line))).alias("_piece"))
+    coded = pieces.select(*keys, "_piece", F.encode(piece, CODE).alias("_coded"))
+    cut = coded.select(
+        "*",
+        _flat(piece, F.col("_coded")).alias("_flat"),
+        _last(F.char_length(piece)).alias("_last"),
     )
     names = [c for c in cut.columns if c not in keys]
     steps = cut.select(*keys, *names, F.explode(F.sequence(F.lit(1), F.col("_last"), F.lit(STEP))).alias("_at"))
     at = [F.least(F.col("_at") + i, F.col("_last")) for i in range(STEP)]
-    hashed = lambda i: F.when(F.col("_ascii"), _hashed(F.col("_bytes"), at[i])).otherwise(
-        _hashed(F.col("_piece"), at[i])
-    )
+    hashed = lambda i: F.when(
+        F.col("_flat"), F.xxhash64(F.substring("_coded", 2 * at[i] - 1, F.lit(2 * SHINGLE)))
+    ).otherwise(F.xxhash64(F.encode(F.substring(piece, at[i], F.lit(SHINGLE)), CODE)))
     return steps.select(*keys, *[hashed(i).alias(f"_h{i}") for i in range(STEP)])
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """``(_n, _bands)``: hashes of the bands of each line's MinHash signature.
+    """``(_n, _bucket)``: a hash of each band of each line's MinHash signature.
 
-    The minima are taken over the shingles at every place of the whole line. Bands have
-    hashes of their own; the rows of a band look in one of them for what is nearest to
-    a number each.
+    The minima are taken over the shingles at every place of the whole line. The first
+    bits of a shingle's hash tell its band; of the hashes in a band each row looks for
+    what is nearest to a number of its own. So a hash is compared in one band only, and
+    shingles that two lines do not share spoil no other. Bands without a shingle, which
+    short lines have, are left out.
     """
-    hashed = _hashes(lines.where(F.char_length("_line") >= MIN_CHARS), "_digest", "_n")
-    each = hashed.select(
-        "_digest",
-        "_n",
-        *[F.xxhash64(f"_h{i}", F.lit(b)).alias(f"_h{b}_{i}") for b in range(BANDS) for i in range(STEP)],
-    )
-    nearest = lambda b, r: F.least(
-        *[F.col(f"_h{b}_{i}").bitwiseXOR(F.lit(_number(f"row {r}"))) for i in range(STEP)]
-    )
-    minima = [F.min(nearest(b, r)).alias(f"_m{b}_{r}") for b in range(BANDS) for r in range(ROWS)]
-    signed = each.groupBy("_digest", "_n").agg(*minima)
-    bands = [F.xxhash64(F.lit(b), *[f"_m{b}_{r}" for r in range(ROWS)]) for b in range(BANDS)]
-    return materialise(signed.select("_n", F.array(*bands).alias("_bands")), "line-bands")
+    places = _hashes(lines.where(F.char_length("_line") >= MIN_CHARS), "_part", "_n")
+    each = places.select("_part", "_n", F.explode(F.array(*[f"_h{i}" for i in range(STEP)])).alias("_hash"))
+    banded = each.withColumn("_band", F.shiftrightunsigned("_hash", 64 - (BANDS - 1).bit_length()).cast("int"))
+    rows = [f"_m{r}" for r in range(ROWS)]
+    nearest = [F.min(F.col("_hash").bitwiseXOR(F.lit(_number(r)))).alias(m) for r, m in enumerate(rows)]
+    signed = banded.groupBy("_part", "_n", "_band").agg(*nearest)
+    return materialise(signed.select("_n", F.xxhash64("_band", *rows).alias("_bucket")), "line-bands")
 
 
 def _sketches(lines: DataFrame) -> DataFrame:
     """``(_n, _places, _s0, _s1, ...)``: the number of places, and a sketch in which every
     shingle sets a bit."""
 
+    places = _last(F.char_length("_line")).cast("long")
+    # in a step of its own, so that it is taken once and not for every word
+    each = range(STEP)
+    hashed = _hashes(lines.withColumn("_places", places), "_n", "_places").select(
+        "_n",
+        "_places",
+        *[F.expr(f"CAST(shiftrightunsigned(_h{k}, 6) & {SKETCH_WORDS - 1} AS INT)").alias(f"_word{k}") for k in each],
+        *[F.expr(f"shiftleft(1L, CAST(_h{k} & 63 AS INT))").alias(f"_bit{k}") for k in each],
+    )
+
     def word(i: int) -> Column:
-        bits = F.lit(0).cast("long")
-        for k in range(STEP):
-            here = F.shiftrightunsigned(f"_h{k}", 6) % SKETCH_WORDS == i
-            bits = bits.bitwiseOR(F.when(here, F.expr(f"shiftleft(1L, CAST(_h{k} & 63 AS INT))")).otherwise(F.lit(0).cast("long")))
+        none = F.lit(0).cast("long")
+        bits = none
+        for k in each:
+            bits = bits.bitwiseOR(F.when(F.col(f"_word{k}") == i, F.col(f"_bit{k}")).otherwise(none))
         return F.bit_or(bits).alias(f"_s{i}")
 
-    places = F.greatest(F.char_length("_line") - (SHINGLE - 1), F.lit(1)).cast("long")
-    hashed = _hashes(lines.withColumn("_places", places), "_n", "_places")
     return materialise(hashed.groupBy("_n", "_places").agg(*[word(i) for i in range(SKETCH_WORDS)]), "line-sketches")
 
 
@@ -211,14 +236,35 @@ def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _shared(members: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one."""
-    several = members.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_members")).where("_members > 1")
-    return members.join(several.select("_bucket"), "_bucket")
+    """The members of buckets that hold more than one.
+
+    Both sides are dealt in one way, so one shuffle serves them, and the few buckets are
+    looked up in a hash table, so nothing is sorted.
+    """
+    dealt = members.repartition(_buckets_of(members.sparkSession), "_bucket")
+    ends = dealt.groupBy("_bucket").agg(F.min("b").alias("_least"), F.max("b").alias("_most"))
+    several = ends.where("_least < _most").select("_bucket")
+    return dealt.join(several.hint("shuffle_hash"), "_bucket", "left_semi")
+
+
+def _texts(lines: DataFrame, members: DataFrame) -> DataFrame:
+    """``(_n, _line)`` of the members of buckets, in buckets of their number.
+
+    Lines that lie in buckets already are found where they lie: only what is found is moved.
+    """
+    wanted = members.select(F.col("b").alias("_n")).distinct()
+    by = "_part" if "_part" in lines.columns else "_n"
+    if by != "_n":
+        wanted = lines.select(by, "_n").join(wanted, "_n", "left_semi").select(by).distinct()
+    found = lines.join(wanted.hint("shuffle_hash"), by, "left_semi").select("_n", "_line")
+    spark = lines.sparkSession
+    return write_bucketed(found, scratch_path(spark, "compared-texts"), ["_n"], _buckets_of(spark), compression="zstd")
 
 
 def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     """Links ``(a, b)`` between distinct lines: enough to connect all that are connected.
 
+    ``bands`` has each line's hashes of its bands, as ``_bands`` or one ``_bucket`` a row.
     The lines that share a band's hash are compared with a few of them, the heads, four
     times as many in each round. What a head has been compared with needs it no more, so
     heads leave their buckets; and what the links of all buckets are seen to connect needs
@@ -239,12 +285,12 @@ def _similar(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     # far less than the difference of two Jaccard indices
     radius = 1 - threshold + 1e-9
     spark = lines.sparkSession
-    buckets = bands.select(F.explode("_bands").alias("_bucket"), F.col("_n").alias("b")).distinct()
-    narrow = materialise(_shared(buckets), "band-members")
-    # only these texts are ever compared, in buckets of their number
-    wanted = lines.select("_n", "_line").join(narrow.select(F.col("b").alias("_n")).distinct(), "_n", "left_semi")
-    path = scratch_path(spark, "compared-texts")
-    texts = write_bucketed(wanted, path, ["_n"], _buckets_of(spark), compression="zstd")
+    if "_bands" in bands.columns:
+        bands = bands.select("_n", F.explode(F.array_distinct("_bands")).alias("_bucket"))
+    narrow = materialise(_shared(bands.select("_bucket", F.col("_n").alias("b"))), "band-members")
+    release_shuffles(spark)
+    # only these texts are ever compared
+    texts = _texts(lines, narrow)
     sketches = _sketches(texts)
     with scratch_scope() as written:
         members = materialise(

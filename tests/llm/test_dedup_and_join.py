@@ -298,6 +298,37 @@ def test_shingles_are_those_at_every_place(spark):
     assert {(r.line, h) for r in got for h in r.found} == want
 
 
+def test_hashes_of_any_code_are_those_of_the_shingles(spark):
+    """Pieces and whole lines give equal shingles one hash, and unequal ones another."""
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice(letters) for _ in range(n)) for letters in ("ab ", "a\u00e9\u4e2d", "a\u00e9\U0001f600b") for n in (20, 23, 24, 200)]
+    texts += [texts[3] + "\U0001f600" + texts[7], texts[7] + texts[3]]
+    df = spark.createDataFrame([*enumerate(texts)], "_n long, _line string")
+    got = {i: set() for i in range(len(texts))}
+    for r in line_dedup._hashes(df, "_n").collect():
+        got[r._n].update(r[1:])
+    names = {}
+    for i, x in enumerate(texts):
+        want = {x[a : a + 8] for a in range(len(x) - 7)}
+        assert len(got[i]) == len(want)
+        names[i] = want
+    for i in names:
+        for j in names:
+            assert len(got[i] & got[j]) == len(names[i] & names[j])
+
+
+def test_line_dedup_takes_costly_steps_once(spark):
+    """Lower case is taken once, and what shares a bucket is found without sorting all."""
+    rows = docs(spark, [(1, "A Line that is long enough to count")])
+    plan = line_dedup._lines(rows, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
+    members = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (3, 4), (3, 5)], "_bucket long, b long")
+    shared = line_dedup._shared(members)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    assert {tuple(r) for r in shared.collect()} == {(1, 1), (1, 2), (3, 4), (3, 5)}
+
+
 def test_line_dedup_odd_rows(spark):
     line = "a line that is long enough to count"
     rows = [(None, line), (1, line), (1, line), (2, line + "\n" + line), (None, line)]

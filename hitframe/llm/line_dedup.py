@@ -23,22 +23,14 @@ SKETCH_WORDS = 16
 # places of a line that are cut out in one go
 PIECE = 16
 # places that are hashed in one row
-STEP = 8
-# two bytes for each character of the first plane
-CODE = "UTF-16BE"
+STEP = 4
 # the heads of a bucket are as many times more in each round
 GROWTH = 4
 
 
-def _number(row: int) -> int:
-    """A fixed number for a row of each band.
-
-    The bits that tell the bands are left out; the next ones count the rows, so that their
-    numbers are spread evenly over the hashes of a band.
-    """
-    low = 64 - (BANDS - 1).bit_length() - (ROWS - 1).bit_length()
-    rest = int.from_bytes(hashlib.blake2b(f"row {row}".encode(), digest_size=8).digest(), "big")
-    return (row << low) | (rest & ((1 << low) - 1))
+def _number(name: str) -> int:
+    """A fixed 64-bit number."""
+    return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big", signed=True)
 
 
 def _ascii(text: Column) -> Column:
@@ -136,52 +128,49 @@ def _distinct_lines(lines: DataFrame) -> DataFrame:
     return table
 
 
-def _flat(text: Column, coded: Column) -> Column:
-    """Whether each character of the text takes two bytes of its code."""
-    return F.octet_length(coded) == 2 * F.char_length(text)
-
-
 def _hashes(lines: DataFrame, *keys: str) -> DataFrame:
     """``keys + [_h0, _h1, ...]``: hashes of the shingles at ``STEP`` places after each other.
 
     Together the rows hold the shingle at every place of the lines; the last place fills
-    up the last row. Shingles are hashed in a code of which any place can be cut at once;
-    only where a character takes more of it, the characters of pieces are counted.
+    up the last row. Bytes are cut at any place at once, so ASCII lines are one piece;
+    in other pieces the characters are counted.
     """
     line, piece = F.col("_line"), F.col("_piece")
-    whole = _ascii(line) | _flat(line, F.encode(line, CODE))
-    pieces = lines.select(*keys, F.explode(F.when(whole, F.array(line)).otherwise(_pieces(line))).alias("_piece"))
-    coded = pieces.select(*keys, "_piece", F.encode(piece, CODE).alias("_coded"))
-    cut = coded.select(
-        "*",
-        _flat(piece, F.col("_coded")).alias("_flat"),
+    pieces = lines.select(*keys, F.explode(F.when(_ascii(line), F.array(line)).otherwise(_pieces(line))).alias("_piece"))
+    cut = pieces.select(
+        *keys,
+        "_piece",
+        piece.cast("binary").alias("_bytes"),
+        _ascii(piece).alias("_ascii"),
         _last(F.char_length(piece)).alias("_last"),
     )
     names = [c for c in cut.columns if c not in keys]
     steps = cut.select(*keys, *names, F.explode(F.sequence(F.lit(1), F.col("_last"), F.lit(STEP))).alias("_at"))
     at = [F.least(F.col("_at") + i, F.col("_last")) for i in range(STEP)]
-    hashed = lambda i: F.when(
-        F.col("_flat"), F.xxhash64(F.substring("_coded", 2 * at[i] - 1, F.lit(2 * SHINGLE)))
-    ).otherwise(F.xxhash64(F.encode(F.substring(piece, at[i], F.lit(SHINGLE)), CODE)))
+    hashed = lambda i: F.when(F.col("_ascii"), _hashed(F.col("_bytes"), at[i])).otherwise(_hashed(piece, at[i]))
     return steps.select(*keys, *[hashed(i).alias(f"_h{i}") for i in range(STEP)])
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """``(_n, _bucket)``: a hash of each band of each line's MinHash signature.
+    """``(_n, _bands)``: hashes of the bands of each line's MinHash signature.
 
-    The minima are taken over the shingles at every place of the whole line. The first
-    bits of a shingle's hash tell its band; of the hashes in a band each row looks for
-    what is nearest to a number of its own. So a hash is compared in one band only, and
-    shingles that two lines do not share spoil no other. Bands without a shingle, which
-    short lines have, are left out.
+    The minima are taken over the shingles at every place of the whole line. Bands have
+    hashes of their own; the rows of a band look in one of them for what is nearest to
+    a number each.
     """
-    places = _hashes(lines.where(F.char_length("_line") >= MIN_CHARS), "_part", "_n")
-    each = places.select("_part", "_n", F.explode(F.array(*[f"_h{i}" for i in range(STEP)])).alias("_hash"))
-    banded = each.withColumn("_band", F.shiftrightunsigned("_hash", 64 - (BANDS - 1).bit_length()).cast("int"))
-    rows = [f"_m{r}" for r in range(ROWS)]
-    nearest = [F.min(F.col("_hash").bitwiseXOR(F.lit(_number(r)))).alias(m) for r, m in enumerate(rows)]
-    signed = banded.groupBy("_part", "_n", "_band").agg(*nearest)
-    return materialise(signed.select("_n", F.xxhash64("_band", *rows).alias("_bucket")), "line-bands")
+    hashed = _hashes(lines.where(F.char_length("_line") >= MIN_CHARS), "_part", "_n")
+    each = hashed.select(
+        "_part",
+        "_n",
+        *[F.xxhash64(f"_h{i}", F.lit(b)).alias(f"_h{b}_{i}") for b in range(BANDS) for i in range(STEP)],
+    )
+    nearest = lambda b, r: F.least(
+        *[F.col(f"_h{b}_{i}").bitwiseXOR(F.lit(_number(f"row {r}"))) for i in range(STEP)]
+    )
+    minima = [F.min(nearest(b, r)).alias(f"_m{b}_{r}") for b in range(BANDS) for r in range(ROWS)]
+    signed = each.groupBy("_part", "_n").agg(*minima)
+    bands = [F.xxhash64(F.lit(b), *[f"_m{b}_{r}" for r in range(ROWS)]) for b in range(BANDS)]
+    return materialise(signed.select("_n", F.array(*bands).alias("_bands")), "line-bands")
 
 
 def _sketches(lines: DataFrame) -> DataFrame:
@@ -263,8 +252,6 @@ def _texts(lines: DataFrame, members: DataFrame) -> DataFrame:
 
 def similar_lines(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     """Links ``(a, b)`` between distinct lines: enough to connect all that are connected.
-
-    ``bands`` has each line's hashes of its bands, as ``_bands`` or one ``_bucket`` a row.
     The lines that share a band's hash are compared with a few of them, the heads, four
     times as many in each round. What a head has been compared with needs it no more, so
     heads leave their buckets; and what the links of all buckets are seen to connect needs
@@ -285,9 +272,8 @@ def _similar(lines: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
     # far less than the difference of two Jaccard indices
     radius = 1 - threshold + 1e-9
     spark = lines.sparkSession
-    if "_bands" in bands.columns:
-        bands = bands.select("_n", F.explode(F.array_distinct("_bands")).alias("_bucket"))
-    narrow = materialise(_shared(bands.select("_bucket", F.col("_n").alias("b"))), "band-members")
+    buckets = bands.select(F.explode(F.array_distinct("_bands")).alias("_bucket"), F.col("_n").alias("b"))
+    narrow = materialise(_shared(buckets), "band-members")
     release_shuffles(spark)
     # only these texts are ever compared
     texts = _texts(lines, narrow)
